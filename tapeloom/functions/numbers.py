@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The accepted spellings of a floating-point literal.
-FLOAT_LITERAL = (
-    r"^[+-]?(?:\d+(?:_\d+)*\.?(?:\d+(?:_\d+)*)?|\.\d+(?:_\d+)*)"
-    r"(?:[eE][+-]?\d+(?:_\d+)*)?$"
+# The accepted spellings of a floating-point number in text.
+FLOAT_TEXT = (
+    r"(?i)^\s*[+-]?(?:(?:\d+(?:_\d+)*\.?(?:\d+(?:_\d+)*)?|\.\d+(?:_\d+)*)"
+    r"(?:e[+-]?\d+(?:_\d+)*)?|inf|infinity|nan)\s*$"
 )
-FLOAT_WORD = r"(?i)^[+-]?(?:inf|infinity|nan)$"
-# Numeric text a browser turns into a number.
-BROWSER_LITERAL = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
-BROWSER_HEX = r"^0[xX][0-9a-fA-F]{1,15}$"
+# Text a browser turns into a number.
+BROWSER_TEXT = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|Infinity)\s*$"
+BROWSER_HEX = r"^\s*0[xX][0-9a-fA-F]{1,15}\s*$"
 
 
 def nan_to_null(value: Column) -> Column:
@@ -31,30 +30,16 @@ def parse_float(text: Column) -> Column:
     The cast alone is too lax (``1.0d``) and too strict (``1_000``), so the
     spelling is checked first.
     """
-    trimmed = F.trim(text)
-    return F.when(
-        trimmed.rlike(FLOAT_LITERAL) | trimmed.rlike(FLOAT_WORD),
-        F.regexp_replace(trimmed, "_", "").try_cast("double"),
-    )
-
+    return F.when(text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
 
-def browser_number(kind: Column, text: Column) -> Column:
-    """Number conversion of a JSON value as a browser does it, NULL for NaN.
 
-    ``kind`` is the variant type name of the value, ``text`` its string form.
-    """
-    trimmed = F.trim(text)
-    from_text = (
-        F.when(trimmed == "", F.lit(0.0))
-        .when(trimmed.rlike(BROWSER_LITERAL), trimmed.try_cast("double"))
-        .when(trimmed.rlike(BROWSER_HEX), F.conv(F.substring(trimmed, 3, 15), 16, 10).try_cast("double"))
-        .when(trimmed.rlike(r"^[+-]?Infinity$"), trimmed.try_cast("double"))
-    )
+def browser_number(text: Column, is_boolean: Column) -> Column:
+    """Number a browser makes of a JSON value given as text, NULL for NaN."""
     return (
-        F.when(kind == "VOID", F.lit(0.0))
-        .when(kind == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0))
-        .when(kind == "STRING", from_text)
-        .when(~kind.startswith("OBJECT") & ~kind.startswith("ARRAY"), text.try_cast("double"))
+        F.when(text.rlike(BROWSER_TEXT), text.try_cast("double"))
+        .when(text.isin("true", "false"), F.when(is_boolean, F.when(text == "true", 1.0).otherwise(0.0)))
+        .when(F.trim(text) == "", F.lit(0.0))
+        .when(text.rlike(BROWSER_HEX), F.conv(F.substring(F.trim(text), 3, 15), 16, 10).try_cast("double"))
     )
 
 

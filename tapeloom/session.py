@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     # Buckets, trade dates and rendered times are all defined in UTC.
@@ -36,3 +39,28 @@ def create(app: str = "tapeloom", master: str | None = None, **conf: str) -> Spa
     for key, value in {**STATIC_CONF, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder for intermediate tables that every executor can reach.
+
+    The cluster names the parent in ``spark.checkpoint.dir``. Only a local
+    session may fall back to a folder of this machine.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        base = tempfile.mkdtemp(prefix="tapeloom-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate result once and go on from the written table.
+
+    For results that several jobs read; the table outlives lost executors.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
