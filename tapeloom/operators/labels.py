@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, WindowSpec, functions as F, types as T
 
 from ..schema import with_symbol
 from . import ordered
@@ -31,11 +31,13 @@ def build_targets(
         raise ValueError("horizon must be at least 1")
     close = F.col("price_close")
 
-    def columns(spec):
-        return {"_future": F.lag("price_close", horizon).over(spec)}
+    def columns(frame: DataFrame, spec: WindowSpec) -> DataFrame:
+        return frame.withColumn("_future", F.lag("price_close", horizon).over(spec))
 
     timed = with_symbol(bars).withColumn("_at", F.unix_millis("timestamp"))
-    ahead = ordered.framed(timed, ["symbol"], "_at", horizon, columns, descending=True, chunk_bits=chunk_bits)
+    ahead = ordered.framed(
+        timed, ["symbol"], "_at", horizon, columns, descending=True, chunk_bits=chunk_bits, levels=1
+    )
     change = F.col("_future") - close
     beyond = F.when(change > 0, F.lit(float("inf"))).when(change < 0, F.lit(float("-inf")))
     future_return = F.when(close == 0, beyond).otherwise(change / F.nullif(close, F.lit(0.0)))

@@ -24,7 +24,7 @@ def framed(
     keys: Sequence[str],
     position: str,
     back: int,
-    build: Callable[[WindowSpec], dict[str, Column]],
+    build: Callable[[DataFrame, WindowSpec], DataFrame],
     *,
     descending: bool = False,
     emit: str | None = None,
@@ -33,8 +33,8 @@ def framed(
 ) -> DataFrame:
     """Window columns that look at most ``back`` rows back, for any key size.
 
-    ``build`` gets a window spec and returns the new columns. ``position`` is a
-    BIGINT, unique per key. A row with more than ``back`` rows before it in its
+    ``build`` adds the columns to a frame, given the window spec to use.
+    ``position`` is a BIGINT, unique per key. A row with more than ``back`` rows before it in its
     own chunk is final after one shuffle. The others, at most ``back`` per
     chunk, are settled again among chunk heads and tails on chunks 2**9 times
     as wide. Rows whose ``emit`` column is false only serve as context.
@@ -52,7 +52,7 @@ def framed(
         last = level == levels
         ranked = flagged.withColumn(_RANK, F.row_number().over(spec))
         final = F.col(_EMIT) if last else F.col(_EMIT) & (F.col(_RANK) > back)
-        pieces.append(ranked.withColumns(build(spec)).where(final).drop(_CHUNK, _RANK, _EMIT))
+        pieces.append(build(ranked, spec).where(final).drop(_CHUNK, _RANK, _EMIT))
         if not last:
             head = F.col(_RANK) <= back
             tail = F.lead(F.lit(1), back).over(spec).isNull()

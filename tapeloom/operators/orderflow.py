@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from ..schema import with_symbol
 from . import ordered
@@ -20,6 +20,12 @@ def ratio(net: Column, known: Column) -> Column:
     return net.cast("double") / F.greatest(known, F.lit(1).cast("bigint")).cast("double")
 
 
+def _ratio_of_running(counted: DataFrame, spec: WindowSpec, size: int) -> DataFrame:
+    """``ofi`` from the running sums of the last ``size`` rows' end and start."""
+    last = {c: F.col(c) - F.coalesce(F.lag(c, size).over(spec), F.lit(0).cast("bigint")) for c in ("_net", "_known")}
+    return counted.withColumn("ofi", ratio(last["_net"], last["_known"])).drop("_net", "_known")
+
+
 def imbalance(
     trades: DataFrame, size: int = OFI_TRADES, *, emit: str | None = None, chunk_bits: int = ordered.CHUNK_BITS
 ) -> DataFrame:
@@ -27,11 +33,13 @@ def imbalance(
 
     Counts rows in arrival order, not time. Ticks are shuffled once.
     """
-    sign = F.col("_sign")
+    sums = {"_net": F.col("_sign"), "_known": F.abs(F.col("_sign"))}
 
-    def columns(spec):
-        frame = spec.rowsBetween(-(size - 1), 0)
-        return {"ofi": ratio(F.sum(sign).over(frame), F.sum(F.abs(sign)).over(frame))}
+    def columns(ticks: DataFrame, spec: WindowSpec) -> DataFrame:
+        # Running sums and their lag cost the same for any size; a sliding
+        # frame would add up `size` rows per trade.
+        upto = spec.rowsBetween(Window.unboundedPreceding, 0)
+        return _ratio_of_running(ticks.withColumns({n: F.sum(c).over(upto) for n, c in sums.items()}), spec, size)
 
     slim = with_symbol(trades).select(
         "symbol", "seq", "ts", side_sign(F.col("side")).alias("_sign"), *([emit] if emit else [])
@@ -63,9 +71,8 @@ def imbalance_by_prefix(
     blocks = F.when(place >= block_rows - size, F.array(block, block + 1)).otherwise(F.array(block))
     spread = counted.withColumn("_block", F.explode(blocks))
     spec = Window.partitionBy("symbol", "_block").orderBy("_nth")
-    past = {c: F.coalesce(F.lag(c, size).over(spec), F.lit(0).cast("bigint")) for c in ("_net", "_known")}
     return (
-        spread.withColumn("ofi", ratio(F.col("_net") - past["_net"], F.col("_known") - past["_known"]))
+        _ratio_of_running(spread, spec, size)
         .where(F.col("_block") == block)
         .select("symbol", "seq", "ts", "ofi")
     )

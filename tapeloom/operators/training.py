@@ -9,6 +9,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import materialize
 from . import labels, metrics
 from .scoring import Bundle, score
 
@@ -47,7 +48,10 @@ def train(dataset: DataFrame, feature_cols: Sequence[str], C: float = 1.0) -> tu
     feature_cols = tuple(feature_cols)
     if not feature_cols:
         raise ValueError("no feature columns")
-    split = labels.chrono_split(dataset).select(*feature_cols, "label", "is_test")
+    keep = [c for c in ("symbol", "timestamp") if c in dataset.columns]
+    # Read by the split, the checks, the fit and the test.
+    written = materialize(dataset.select(*keep, *feature_cols, "label"), "labelled")
+    split = labels.chrono_split(written).select(*feature_cols, "label", "is_test")
     rows = _check(split, feature_cols)
     stages = [
         VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="error"),

@@ -10,14 +10,14 @@ from ..schema import TRADE, stamp_symbol, with_symbol
 from ..sources import history, paths
 
 
-def write_once(df: DataFrame, base: str, batch_id: int) -> None:
+def write_once(df: DataFrame, base: str, batch_id: int, kind: str = "parquet") -> None:
     """Write a batch folder unless it is already complete.
 
     Readers that tail ``base`` never see a finished batch change.
     """
     target = paths.join(base, f"batch={batch_id}")
     if not paths.exists(df.sparkSession, paths.join(target, "_SUCCESS")):
-        df.write.mode("overwrite").parquet(target)
+        df.write.mode("overwrite").format(kind).save(target)
 
 
 def fan_out(

@@ -43,7 +43,8 @@ def start(
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
         bundle = models.load_model(batch.sparkSession, model_path)
-        write_once(scoring.payload_json(scoring.payload(batch, bundle)), out_path, batch_id)
+        texts = scoring.payload_json(scoring.payload(batch, bundle))
+        write_once(texts, out_path, batch_id, "text")
 
     writer = entries.writeStream.trigger(**when).option("checkpointLocation", checkpoint)
     return writer.foreachBatch(score_batch).start()
