@@ -180,6 +180,10 @@ def dense_chunks(trades: DataFrame, rule: str, halo: int, chunk_bars: int = CHUN
     rows = spread.withColumn("kind", F.lit(BAR)).unionByName(
         _carries(sparse, step, chunk_bars, halo), allowMissingColumns=True
     )
+    # A fixed number of partitions: gaps make these rows grow up to a thousand
+    # times below, so their size here must not decide how many tasks share them.
+    tasks = int(trades.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, "symbol", "chunk")
 
     by_time = Window.partitionBy("symbol", "chunk").orderBy("bucket", "kind")
     upto = by_time.rowsBetween(Window.unboundedPreceding, 0)

@@ -116,11 +116,12 @@ def latest_rows(
 ) -> DataFrame:
     """The ``count`` rows of highest position per key.
 
-    Every map task passes on at most ``count`` rows per key and salt, the salts
-    share a hot key among tasks, and the last step sees ``salts * count`` rows
-    per key.
+    Every map task passes on at most ``count`` rows per key, the salts share
+    what a hot key's many map tasks pass on, and the last step sees at most
+    ``salts * count`` rows per key. The salt is the same for all rows of a map
+    task, so it does not weaken the limit there.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(position), F.lit(salts)))
+    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     first = Window.partitionBy(*keys, "_salt").orderBy(F.col(position).desc())
     second = Window.partitionBy(*keys).orderBy(F.col(position).desc())
     return (
