@@ -217,6 +217,14 @@ def q_bars_ties(spark, sf_dir):
     return sparse_view(bars.sparse_bars(line_trades(spark, sf_dir), "7D"))
 
 
+def q_bars_weekly(spark, sf_dir):
+    return sparse_view(bars.sparse_bars(line_trades(spark, sf_dir), "W"))
+
+
+def q_bars_monthly(spark, sf_dir):
+    return sparse_view(bars.sparse_bars(line_trades(spark, sf_dir), "ME"))
+
+
 def q_bars_dense(spark, sf_dir):
     return bar_view(bars.compute(trades(spark, sf_dir)), *OHLCV)
 
@@ -417,8 +425,8 @@ def _r(expr: str, name: str | None = None) -> str:
     return f"round({expr} + 1e-9::DOUBLE, 6) + 0.0 AS {name or expr}"
 
 
-def _sparse_sql(step: int, divides_day: bool = True) -> str:
-    bucket = f"ts - ts % {step}"
+def _sparse_sql(step: int, divides_day: bool = True, bucket: str | None = None) -> str:
+    bucket = bucket or f"ts - ts % {step}"
     source = "t"
     if not divides_day:
         source = "(SELECT t.*, o FROM t JOIN (SELECT symbol, min(ts) - min(ts) % 86400000 AS o FROM t GROUP BY symbol) d USING (symbol))"
@@ -525,6 +533,8 @@ def oracle_sql() -> dict[str, str]:
         "bars_ohlcv": f"""WITH {_ticks("'UNKNOWN'")}, {_sparse_sql(MINUTE)} {_sparse_select()}""",
         "bars_7min": f"WITH {_ticks()}, {_sparse_sql(seven, False)} {_sparse_select()}",
         "bars_ties": f"WITH {_LINES}, {_sparse_sql(week, False)} {_sparse_select()}",
+        "bars_weekly": f"""WITH {_LINES}, {_sparse_sql(0, bucket="epoch_ms(date_trunc('week', make_timestamp(ts * 1000)) + INTERVAL 6 DAY)")} {_sparse_select()}""",
+        "bars_monthly": f"WITH {_LINES}, {_sparse_sql(0, bucket='epoch_ms(last_day(make_timestamp(ts * 1000))::TIMESTAMP)')} {_sparse_select()}",
         "bars_dense": _bars_sql(MINUTE, w, *OHLCV),
         "bars_vwap": _bars_sql(MINUTE, w, "vwap"),
         "bars_returns": _bars_sql(MINUTE, w, "return_1"),

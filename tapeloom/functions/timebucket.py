@@ -1,9 +1,11 @@
-"""Resampling rules of fixed duration and exact integer bucketing."""
+"""Resampling rules and exact integer bucketing."""
 
 from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
@@ -33,7 +35,7 @@ def rule_ms(rule: str) -> int:
     while at < len(text):
         part = _PART.match(text, at)
         if part is None:
-            raise ValueError(f"not a fixed-duration resample rule: {rule!r}")
+            raise ValueError(f"unknown resample rule: {rule!r}")
         total += int(part.group(1) or 1) * UNIT_MS[part.group(2)]
         at = part.end()
     if total <= 0:
@@ -56,11 +58,110 @@ def anchored_floor(value: Column, origin: Column, step: int) -> Column:
     return origin + floor_to(value - origin, step)
 
 
-def divides_day(step: int) -> bool:
-    """True when the midnight-anchored grid is the epoch grid for any first day."""
-    return DAY_MS % step == 0
+@dataclass(frozen=True)
+class Grid:
+    """The buckets of a rule, numbered so that neighbours differ by ``step``.
+
+    Every bucket is made of whole ``grain`` ms cells of the epoch grid and is
+    at most ``span`` ms long. ``start`` and ``label`` turn a bucket into ms.
+    """
+
+    step: int
+    grain: int
+    span: int
+    of_cell: Callable[[Column], Column]
+    start: Callable[[Column], Column]
+    label: Callable[[Column], Column]
+    # Set where the grid depends on the first day of the data.
+    of_cell_from: Callable[[Column, Column], Column] | None = None
+
+
+def _fixed(step: int) -> Grid:
+    # Grids through any midnight agree if the step divides a day. If not, they
+    # share the cells of the common divisor.
+    aligned = DAY_MS % step == 0
+    return Grid(
+        step=step,
+        grain=math.gcd(step, DAY_MS),
+        span=step,
+        of_cell=lambda cell: floor_to(cell, step),
+        start=lambda bucket: bucket,
+        label=lambda bucket: bucket,
+        of_cell_from=None if aligned else lambda cell, origin: anchored_floor(cell, origin, step),
+    )
+
+
+# Weekday number of the first seven days since 1970-01-01.
+WEEKDAY_OF_DAY = {"THU": 0, "FRI": 1, "SAT": 2, "SUN": 3, "MON": 4, "TUE": 5, "WED": 6}
+
+# Months per period and whether the label is its last day.
+CALENDAR = {
+    "MS": (1, False),
+    "ME": (1, True),
+    "M": (1, True),
+    "QS": (3, False),
+    "QE": (3, True),
+    "Q": (3, True),
+    "YS": (12, False),
+    "AS": (12, False),
+    "YE": (12, True),
+    "Y": (12, True),
+    "A": (12, True),
+}
+
+
+def _days(ms: Column) -> Column:
+    return slot_of(ms, DAY_MS)
+
+
+def _weeks(last_day: int) -> Grid:
+    """Weeks that end with, and are named after, a given weekday."""
+
+    def end(bucket: Column) -> Column:
+        return (bucket * 7 + last_day) * DAY_MS
+
+    return Grid(
+        step=1,
+        grain=DAY_MS,
+        span=7 * DAY_MS,
+        of_cell=lambda cell: slot_of(_days(cell) - last_day + 6, 7),
+        start=lambda bucket: end(bucket) - 6 * DAY_MS,
+        label=end,
+    )
+
+
+def _months(count: int, label_end: bool) -> Grid:
+    """Periods of ``count`` calendar months, numbered from year 0."""
+
+    def of_cell(cell: Column) -> Column:
+        day = F.date_from_unix_date(_days(cell).cast("int"))
+        return slot_of(F.year(day).cast("bigint") * 12 + F.month(day) - 1, count)
+
+    def start(bucket: Column) -> Column:
+        month = bucket * count
+        first = F.make_date(slot_of(month, 12).cast("int"), (F.pmod(month, F.lit(12)) + 1).cast("int"), F.lit(1))
+        return F.unix_date(first).cast("bigint") * DAY_MS
+
+    return Grid(
+        step=1,
+        grain=DAY_MS,
+        span=count * 31 * DAY_MS,
+        of_cell=of_cell,
+        start=start,
+        label=(lambda bucket: start(bucket + 1) - DAY_MS) if label_end else start,
+    )
+
 
+def grid(rule: str) -> Grid:
+    """Buckets of a resample rule.
 
-def day_grain(step: int) -> int:
-    """Coarsest epoch grid every midnight-anchored grid of ``step`` refines to."""
-    return math.gcd(step, DAY_MS)
+    Fixed durations start at midnight of the first day and are named after
+    their start. Weeks (``W``, ``W-WED``), months, quarters and years are whole
+    UTC days; ``W`` and the ``E`` forms are named after their last day.
+    """
+    name, _, anchor = rule.strip().partition("-")
+    if name == "W" and (anchor or "SUN") in WEEKDAY_OF_DAY:
+        return _weeks(WEEKDAY_OF_DAY[anchor or "SUN"])
+    if name in CALENDAR and not anchor:
+        return _months(*CALENDAR[name])
+    return _fixed(rule_ms(rule))

@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import finite_or_null, nan_to_null
-from ..functions.timebucket import DAY_MS, anchored_floor, day_grain, divides_day, floor_to, rule_ms, slot_of
+from ..functions.timebucket import DAY_MS, Grid, floor_to, grid, slot_of
 from ..schema import with_symbol
 
 DEFAULT_RULE = "1min"
@@ -31,12 +31,17 @@ PRICES = ("price_open", "price_high", "price_low", "price_close")
 def sparse_bars(trades: DataFrame, rule: str = DEFAULT_RULE) -> DataFrame:
     """One row per symbol and bucket that has a trade.
 
-    ``bucket`` is the bucket start in epoch ms. Open and close follow the order
-    ``(ts, seq)`` among trades with a price. The grid starts at midnight UTC of
-    the symbol's first day.
+    ``bucket`` is the name of the bucket in epoch ms. Open and close follow the
+    order ``(ts, seq)`` among trades with a price. The grid starts at midnight
+    UTC of the symbol's first day.
     """
-    step = rule_ms(rule)
-    grain = day_grain(step)
+    buckets = grid(rule)
+    return _numbered_bars(trades, buckets).withColumn("bucket", buckets.label(F.col("bucket")))
+
+
+def _numbered_bars(trades: DataFrame, buckets: Grid) -> DataFrame:
+    """Sparse bars by bucket number."""
+    grain = buckets.grain
     ticks = with_symbol(trades).where(F.col("ts").isNotNull()).select(
         "symbol",
         F.col("seq"),
@@ -50,8 +55,8 @@ def sparse_bars(trades: DataFrame, rule: str = DEFAULT_RULE) -> DataFrame:
     # high bits (the era) are a grouping key, so no value range is assumed.
     low_bits = 62 - grain.bit_length()
     era_bits = 63 - low_bits
-    if step.bit_length() + era_bits > 63:
-        raise ValueError(f"resample rule too long: {rule!r}")
+    if buckets.span.bit_length() + era_bits > 63:
+        raise ValueError("resample rule too long")
     order = F.shiftleft(F.pmod(F.col("ts"), F.lit(grain)).cast("bigint"), low_bits).bitwiseOR(
         F.col("seq").bitwiseAND(F.lit((1 << low_bits) - 1))
     )
@@ -77,14 +82,15 @@ def sparse_bars(trades: DataFrame, rule: str = DEFAULT_RULE) -> DataFrame:
         )
     )
 
-    bucket: Column = floor_to(F.col("cell"), step)
-    if not divides_day(step):
+    if buckets.of_cell_from:
         first_days = ticks.groupBy("symbol").agg(floor_to(F.min("ts"), DAY_MS).alias("origin"))
         cells = cells.join(first_days, "symbol")
-        bucket = anchored_floor(F.col("cell"), F.col("origin"), step)
+        bucket = buckets.of_cell_from(F.col("cell"), F.col("origin"))
+    else:
+        bucket = buckets.of_cell(F.col("cell"))
 
     def at(packed: str) -> Column:
-        since = F.col("cell") - F.col("bucket") + F.shiftright(F.col(packed), low_bits)
+        since = F.col("cell") - buckets.start(F.col("bucket")) + F.shiftright(F.col(packed), low_bits)
         return F.shiftleft(since, era_bits).bitwiseOR(F.col("era"))
 
     return (
@@ -151,18 +157,18 @@ def _carries(sparse: DataFrame, step: int, chunk_bars: int, halo: int) -> DataFr
     )
 
 
-def dense_chunks(trades: DataFrame, rule: str, halo: int, chunk_bars: int = CHUNK_BARS) -> DataFrame:
+def dense_chunks(trades: DataFrame, buckets: Grid, halo: int, chunk_bars: int = CHUNK_BARS) -> DataFrame:
     """Every grid point of every chunk, filled, plus ``halo`` points of context.
 
     Prices and VWAP repeat their own last value column by column, volume and
     count of empty buckets are 0. ``own`` marks points that belong to the chunk.
     """
-    step = rule_ms(rule)
+    step = buckets.step
     chunk_bars = max(chunk_bars, 4 * halo)
     width = step * chunk_bars
     into_chunk = F.pmod(F.col("bucket"), F.lit(width))
     tail = into_chunk >= (chunk_bars - halo) * step
-    sparse = sparse_bars(trades, rule).select(
+    sparse = _numbered_bars(trades, buckets).select(
         "symbol",
         "bucket",
         *PRICES,
@@ -246,7 +252,8 @@ def compute(
     if any(w < 1 for w in windows):
         raise ValueError("rolling windows must be at least 1")
     halo = max(windows, default=1)
-    bars = dense_chunks(trades, rule, halo, chunk_bars)
+    buckets = grid(rule)
+    bars = dense_chunks(trades, buckets, halo, chunk_bars)
     by_time = Window.partitionBy("symbol", "chunk").orderBy("bucket")
     bars = bars.withColumn("return_1", step_return(F.col("price_close"), F.lag("price_close").over(by_time)))
 
@@ -263,6 +270,6 @@ def compute(
     return (
         bars.withColumns(rolling)
         .where("own")
-        .select(F.timestamp_millis("bucket").alias("timestamp"), *values, "symbol")
+        .select(F.timestamp_millis(buckets.label(F.col("bucket"))).alias("timestamp"), *values, "symbol")
         .na.drop("any", subset=values)
     )

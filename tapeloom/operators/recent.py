@@ -7,14 +7,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.numbers import dollars, fixed, signed_percent
 from ..functions.timebucket import slot_of
 from ..schema import with_symbol
+from ..session import materialize
 from . import ordered
 
 BUFFER_TRADES = 200
 FEED_TRADES = 30
 ABSENT = "—"
 
-# Milliseconds per chunk of the axis scan (2**22, about 70 minutes).
-AXIS_CHUNK_BITS = 22
+# Milliseconds per chunk of the axis (2**20, about 17 minutes) and the number of
+# trades up to which one task numbers a chunk.
+AXIS_CHUNK_BITS = 20
+AXIS_CHUNK_ROWS = 1 << 22
 
 
 def last_trades(trades: DataFrame, count: int = BUFFER_TRADES) -> DataFrame:
@@ -65,55 +68,78 @@ def trade_feed(trades: DataFrame, count: int = FEED_TRADES) -> DataFrame:
     )
 
 
+def _chunk_starts(chunks: DataFrame) -> DataFrame:
+    """Per chunk: trades before it, and how far the axis ran ahead of them."""
+    zero = F.lit(0).cast("bigint")
+    earlier = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    return chunks.withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), zero)).select(
+        "symbol",
+        "_chunk",
+        "_start",
+        F.greatest(zero, F.max(F.col("_top") - F.col("_start")).over(earlier)).alias("_ahead"),
+    )
+
+
 def monotone_axis(
     trades: DataFrame,
     *,
     chunk_bits: int = AXIS_CHUNK_BITS,
     seq_bits: int = ordered.CHUNK_BITS,
+    chunk_rows: int = AXIS_CHUNK_ROWS,
 ) -> DataFrame:
     """Strictly rising whole seconds ``axis`` per symbol in ``(ts, seq)`` order.
 
     A trade takes its own second, or one more than the trade before it if that
     is not larger: ``axis = n + max(0, max over trades up to it of (second - n))``
-    with ``n`` the trade's number. Numbers come from counts per millisecond and
-    stretch of arrival positions, so neither a busy symbol nor a busy
-    millisecond lands in one task.
+    with ``n`` the trade's number. Trades are numbered inside stretches of time
+    and the stretches are chained by their totals. A stretch of more than
+    ``chunk_rows`` trades is numbered from counts per millisecond and run of
+    arrival positions instead, so even a single busy millisecond is shared.
     """
+    key = ["symbol", "_chunk"]
     slim = with_symbol(trades).select(
-        "symbol", "seq", "ts", "price", F.shiftright(F.col("seq"), seq_bits).alias("_stretch")
+        "symbol", "seq", "ts", "price", F.shiftright(F.col("ts"), chunk_bits).alias("_chunk")
     )
-    groups = (
-        slim.groupBy("symbol", "ts", "_stretch")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_chunk", F.shiftright(F.col("ts"), chunk_bits))
+    crowded = materialize(
+        slim.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > chunk_rows).select(*key),
+        "crowded",
     )
-    inside = Window.partitionBy("symbol", "_chunk").orderBy("ts", "_stretch")
-    zero = F.lit(0).cast("bigint")
-    local = groups.withColumn(
-        "_before", F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), zero)
-    ).withColumn("_lead", slot_of(F.col("ts"), 1000) - F.col("_before") - 1)
-
-    earlier = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = (
-        local.groupBy("symbol", "_chunk")
-        .agg(F.sum("_n").alias("_rows"), F.max("_lead").alias("_top"))
-        .withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), zero))
-        .withColumn("_ahead", F.greatest(zero, F.max(F.col("_top") - F.col("_start")).over(earlier)))
-        .select("symbol", "_chunk", "_start", "_ahead")
+    any_crowded = not crowded.isEmpty()
+    second = slot_of(F.col("ts"), 1000)
+
+    in_time = Window.partitionBy(*key).orderBy("ts", "seq")
+    upto = in_time.rowsBetween(Window.unboundedPreceding, 0)
+    calm = slim.join(crowded, key, "left_anti") if any_crowded else slim
+    calm = calm.withColumn("_nth", F.row_number().over(in_time).cast("bigint")).withColumn(
+        "_top", F.max(second - F.col("_nth")).over(upto)
     )
-    top = F.max("_lead").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_start")
-    bases = local.join(chunks, ["symbol", "_chunk"]).select(
-        "symbol",
-        "ts",
-        "_stretch",
-        (F.col("_start") + F.col("_before") + F.greatest(F.col("_ahead"), top)).alias("_base"),
+    chunks = calm.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"), F.max("_top").alias("_top"))
+    axis = F.col("_start") + F.col("_nth") + F.greatest(F.col("_ahead"), F.col("_top") - F.col("_start"))
+    columns = ["symbol", "seq", "ts", axis.alias("axis"), "price"]
+    if not any_crowded:
+        return calm.join(_chunk_starts(chunks), key).select(*columns)
+
+    run = [*key, "ts", "_run"]
+    busy = slim.join(crowded, key, "left_semi").withColumn("_run", F.shiftright(F.col("seq"), seq_bits))
+    in_runs = Window.partitionBy(*key).orderBy("ts", "_run")
+    before = F.sum("_n").over(in_runs.rowsBetween(Window.unboundedPreceding, -1))
+    runs = (
+        busy.groupBy(*run)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.coalesce(before, F.lit(0).cast("bigint")))
+        .withColumn(
+            "_top",
+            F.max(second - F.col("_before") - 1).over(in_runs.rowsBetween(Window.unboundedPreceding, 0)),
+        )
     )
-    tie = Window.partitionBy("symbol", "ts", "_stretch").orderBy("seq")
-    return (
-        slim.withColumn("_nth", F.row_number().over(tie))
-        .join(bases, ["symbol", "ts", "_stretch"])
-        .select("symbol", "seq", "ts", (F.col("_base") + F.col("_nth")).alias("axis"), "price")
+    starts = _chunk_starts(
+        chunks.unionByName(runs.groupBy(*key).agg(F.sum("_n").alias("_rows"), F.max("_top").alias("_top")))
     )
+    placed = runs.join(starts, key).drop("_n")
+    in_run = Window.partitionBy(*run).orderBy("seq")
+    numbered = busy.withColumn("_place", F.row_number().over(in_run)).join(placed, run)
+    crowded_part = numbered.withColumn("_nth", F.col("_before") + F.col("_place")).select(*columns)
+    return calm.join(starts, key).select(*columns).unionByName(crowded_part)
 
 
 def chart_points(trades: DataFrame, count: int = BUFFER_TRADES) -> DataFrame:

@@ -141,6 +141,19 @@ def test_random_series_match_brute_force(trades_of, rule, chunk_bars):
     assert_same(got, expected_bars(dicts, rule, (2, 5)))
 
 
+@pytest.mark.parametrize("rule", ["W", "W-WED", "MS", "ME", "QS", "QE", "YS", "YE", "36h"])
+def test_calendar_rules_match_brute_force(trades_of, rule):
+    rng = random.Random(rule)
+    rows = []
+    for symbol in "AB":
+        for _ in range(25):
+            day = rng.randrange(18_000, 18_900) * 86_400_000
+            rows.append((day + rng.choice([0, 86_399_999, rng.randrange(86_400_000)]), float(rng.randrange(1, 9)), 1.0, "buy", symbol))
+    dicts = [dict(ts=r[0], price=r[1], qty=r[2], symbol=r[4], seq=i) for i, r in enumerate(rows)]
+    got = table(bars.compute(trades_of(rows), rule, (3,), chunk_bars=16))
+    assert_same(got, expected_bars(dicts, rule, (3,)))
+
+
 def test_wide_positions_keep_their_order(spark):
     # Positions beyond the packed low bits fall into several eras.
     day = 1704067200000

@@ -47,9 +47,9 @@ def test_rules():
     assert timebucket.rule_ms("250ms") == 250
     assert timebucket.rule_ms("1h30min") == 5_400_000
     assert timebucket.rule_ms("2D") == 172_800_000
-    for bad in ("W", "1M", "", "0s", "min5"):
+    for bad in ("2W", "1M", "", "0s", "min5", "W-XYZ", "ME-DEC", "B"):
         with pytest.raises(ValueError):
-            timebucket.rule_ms(bad)
+            timebucket.grid(bad)
 
 
 def test_floor_is_exact_for_large_and_negative(spark):

@@ -92,8 +92,9 @@ def loop_axis(part):
     return out
 
 
+@pytest.mark.parametrize("chunk_rows", [0, 40, 10**9])
 @pytest.mark.parametrize("chunk_bits,seq_bits", [(10, 2), (13, 5), (22, 18)])
-def test_axis_matches_the_loop(spark, chunk_bits, seq_bits):
+def test_axis_matches_the_loop(spark, chunk_bits, seq_bits, chunk_rows):
     rng = random.Random(11)
     rows = []
     for seq in range(600):
@@ -101,7 +102,7 @@ def test_axis_matches_the_loop(spark, chunk_bits, seq_bits):
         ts = rng.choice([0, 5, 900, 1000, 1001, 7000, 7000, 7000, 7999, rng.randrange(90_000), rng.randrange(2_000_000)])
         rows.append((rng.choice(["A", "A", "B"]), seq, ts, 1.0))
     df = spark.createDataFrame(rows, "symbol string, seq bigint, ts bigint, price double")
-    got = recent.monotone_axis(df, chunk_bits=chunk_bits, seq_bits=seq_bits).collect()
+    got = recent.monotone_axis(df, chunk_bits=chunk_bits, seq_bits=seq_bits, chunk_rows=chunk_rows).collect()
     for symbol in "AB":
         mine = {r["seq"]: r["axis"] for r in got if r["symbol"] == symbol}
         assert mine == loop_axis([(r[2], r[1]) for r in rows if r[0] == symbol])
