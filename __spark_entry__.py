@@ -173,7 +173,7 @@ def q_normalize_trade(spark, sf_dir):
 
 
 def q_normalize_dialects(spark, sf_dir):
-    return normalize.normalize_dialects(dialect_frames(trades(spark, sf_dir))).select("seq", "ts", "price", "qty", "side")
+    return normalize.normalize_dialects(dialect_frames(trades(spark, sf_dir))).select("seq", "id", "ts", "price", "qty", "side")
 
 
 def q_coerce_fields(spark, sf_dir):
@@ -205,6 +205,14 @@ def q_replay_roundtrip(spark, sf_dir):
     return orderflow.imbalance(replay_stream.received(spark.read.parquet(out)))
 
 
+def q_replay_stream(spark, sf_dir):
+    past, out, checkpoint = (session.shared_folder(spark, n) for n in ("history", "replay", "replay-cp"))
+    history.append(trades(spark, sf_dir), past)
+    source = raw.stream_frames(spark, past, history.HISTORY)
+    _drain(replay_stream.publish_stream(source, RANGE_START, RANGE_END, out, checkpoint))
+    return spark.read.parquet(out)
+
+
 def q_bars_ohlcv(spark, sf_dir):
     return sparse_view(bars.sparse_bars(trades(spark, sf_dir, with_symbol=False)))
 
@@ -245,6 +253,11 @@ def q_bars_full(spark, sf_dir):
     return bar_view(bars.compute(trades(spark, sf_dir)))
 
 
+def q_features_saved(spark, sf_dir):
+    path = features.save_features(bars.compute(trades(spark, sf_dir)), session.shared_folder(spark, "features"))
+    return bar_view(features.load_features(spark, path))
+
+
 def q_bars_full_7min(spark, sf_dir):
     return bar_view(bars.compute(trades(spark, sf_dir), "7min", (2, 30)))
 
@@ -493,6 +506,7 @@ _SIGNED = "CASE WHEN side = 'buy' THEN qty ELSE -qty END"
 _SCORED_TRADES = f"WITH {_ticks()}, e AS (SELECT CAST(seq AS VARCHAR) AS id, ts, price, qty, side, {_SIGNED} AS ofi FROM t) SELECT id, {_PAYLOAD} FROM e"
 
 _BAD = "((side = 'buy' AND qty < 5) OR (side = 'sell' AND qty < 5) OR (side = 'other' AND qty < 10))"
+_STRINGS = "SELECT symbol, seq, CAST(ts AS VARCHAR) AS ts, CAST(price AS VARCHAR) AS price, CAST(qty AS VARCHAR) AS qty, side FROM t"
 _IN_RANGE = f"ts BETWEEN {RANGE_START} AND {RANGE_END}"
 
 _LABEL_SCORES = _labels_sql() + f""", x AS (SELECT greatest(0.0, least(1.0, 0.5 + ({_SIGNED}) * 0.05::DOUBLE)) AS score, lab.label
@@ -522,13 +536,14 @@ def oracle_sql() -> dict[str, str]:
         "raw_parse": f"""WITH {_ticks()} SELECT seq, CASE side WHEN 'buy' THEN 'not json' WHEN 'sell' THEN 'bad price' ELSE 'missing m' END AS reason
             FROM t WHERE {_BAD}""",
         "normalize_trade": f"WITH {_ticks()} SELECT seq, ts, price, qty, CASE WHEN side = 'buy' THEN 'buy' ELSE 'sell' END AS side FROM t WHERE NOT {_BAD}",
-        "normalize_dialects": f"WITH {_ticks()} SELECT seq, ts, price, qty, CASE WHEN side = 'buy' THEN 'buy' ELSE 'sell' END AS side FROM t WHERE side = 'buy' OR qty >= 5",
+        "normalize_dialects": f"WITH {_ticks()} SELECT seq, ts || '-' || qty || '-' || price || '-' || seq AS id, ts, price, qty, CASE WHEN side = 'buy' THEN 'buy' ELSE 'sell' END AS side FROM t WHERE side = 'buy' OR qty >= 5",
         "coerce_fields": f"""WITH {_ticks()} SELECT seq, ts, price, CASE WHEN side = 'sell' THEN 0.0 ELSE qty END AS qty,
             CASE WHEN side = 'other' THEN 'buy' ELSE side END AS side, round(CASE WHEN side = 'other' THEN price / 8 ELSE 0.0 END + 1e-9::DOUBLE, 6) + 0.0 AS ofi FROM t""",
         "load_trades": f"WITH {_ticks()} SELECT seq, ts, price, qty, side, symbol FROM t WHERE symbol = 'SYM1' AND {_IN_RANGE}",
         "history_load": f"WITH {_ticks()} SELECT seq, ts, price, qty, side, symbol FROM t WHERE symbol = 'SYM3' AND {_IN_RANGE}",
         "replay_range": f"WITH {_ticks()} SELECT seq, ts, price, qty, side FROM t WHERE {_IN_RANGE}",
-        "replay_strings": f"WITH {_ticks()} SELECT symbol, seq, CAST(ts AS VARCHAR) AS ts, CAST(price AS VARCHAR) AS price, CAST(qty AS VARCHAR) AS qty, side FROM t",
+        "replay_strings": f"WITH {_ticks()} {_STRINGS}",
+        "replay_stream": f"WITH {_ticks()} {_STRINGS} WHERE t.{_IN_RANGE}",
         "replay_roundtrip": f"WITH {_ticks().replace('t AS', 'a AS', 1)}, t AS (SELECT * FROM a WHERE {_IN_RANGE}) {_OFI}",
         "bars_ohlcv": f"""WITH {_ticks("'UNKNOWN'")}, {_sparse_sql(MINUTE)} {_sparse_select()}""",
         "bars_7min": f"WITH {_ticks()}, {_sparse_sql(seven, False)} {_sparse_select()}",
@@ -540,6 +555,7 @@ def oracle_sql() -> dict[str, str]:
         "bars_returns": _bars_sql(MINUTE, w, "return_1"),
         "bars_rolling": _bars_sql(MINUTE, w, *bars.feature_columns(w)),
         "bars_full": _bars_sql(MINUTE, w),
+        "features_saved": _bars_sql(MINUTE, w),
         "bars_full_7min": _bars_sql(seven, (2, 30), divides_day=False),
         "bars_daily": _bars_sql(86_400_000, w, ticks=_LINES),
         "ofi": f"WITH {_ticks()} {_OFI}",

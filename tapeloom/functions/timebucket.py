@@ -53,6 +53,17 @@ def slot_of(value: Column, width: int) -> Column:
     return F.call_function("div", floor_to(value, width), F.lit(width).cast("bigint"))
 
 
+def utc_date(ms: Column) -> Column:
+    """UTC calendar day, whatever the session's time zone."""
+    return F.date_from_unix_date(slot_of(ms, DAY_MS).cast("int"))
+
+
+def utc_clock(ms: Column) -> Column:
+    """``HH:mm:ss`` in UTC, whatever the session's time zone."""
+    second = slot_of(F.pmod(ms, F.lit(DAY_MS)), 1000)
+    return F.format_string("%02d:%02d:%02d", slot_of(second, 3600), F.pmod(slot_of(second, 60), F.lit(60)), F.pmod(second, F.lit(60)))
+
+
 def anchored_floor(value: Column, origin: Column, step: int) -> Column:
     """Start of the bucket holding ``value`` on the grid through ``origin``."""
     return origin + floor_to(value - origin, step)
@@ -134,7 +145,7 @@ def _months(count: int, label_end: bool) -> Grid:
     """Periods of ``count`` calendar months, numbered from year 0."""
 
     def of_cell(cell: Column) -> Column:
-        day = F.date_from_unix_date(_days(cell).cast("int"))
+        day = utc_date(cell)
         return slot_of(F.year(day).cast("bigint") * 12 + F.month(day) - 1, count)
 
     def start(bucket: Column) -> Column:

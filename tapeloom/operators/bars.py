@@ -174,7 +174,7 @@ def dense_chunks(trades: DataFrame, buckets: Grid, halo: int, chunk_bars: int =
         *PRICES,
         "volume",
         "trade_count",
-        F.when(F.col("volume") != 0, F.col("notional") / F.col("volume")).alias("vwap"),
+        F.when(F.col("volume") != 0, nan_to_null(F.col("notional") / F.nullif(F.col("volume"), F.lit(0.0)))).alias("vwap"),
         (slot_of(F.col("bucket"), width) * 2 + F.when(tail, 1).otherwise(0)).alias("zone"),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import dollars, fixed, signed_percent
-from ..functions.timebucket import slot_of
+from ..functions.timebucket import slot_of, utc_clock
 from ..schema import with_symbol
 from ..session import materialize
 from . import ordered
@@ -61,7 +61,7 @@ def trade_feed(trades: DataFrame, count: int = FEED_TRADES) -> DataFrame:
         "symbol",
         F.row_number().over(newest).alias("position"),
         "seq",
-        F.date_format(F.timestamp_millis("ts"), "HH:mm:ss").alias("time_text"),
+        utc_clock(F.col("ts")).alias("time_text"),
         dollars(F.col("price"), 3).alias("price_text"),
         fixed(F.col("qty"), 6).alias("qty_text"),
         "side",

@@ -8,6 +8,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.numbers import float_text
+from ..functions.timebucket import utc_date
 from ..schema import TRADE, with_symbol
 from . import paths
 
@@ -40,7 +41,7 @@ def _laid_out(trades: DataFrame, batch_id: int) -> DataFrame:
     """Rows grouped for writing; a busy symbol and day spreads over many tasks."""
     dated = with_symbol(trades).withColumns(
         {
-            "trade_date": F.to_date(F.timestamp_millis("ts")),
+            "trade_date": utc_date(F.col("ts")),
             "ingest_batch": F.lit(batch_id).cast("bigint"),
             "_file": F.shiftright("seq", FILE_BITS),
         }
@@ -95,7 +96,7 @@ def select_trades(
     dated = "trade_date" in trades.columns
 
     def day(ms: int) -> Column:
-        return F.to_date(F.timestamp_millis(F.lit(ms).cast("bigint")))
+        return utc_date(F.lit(ms).cast("bigint"))
 
     wanted: list[Column] = []
     if symbol is not None and "symbol" in trades.columns:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..schema import RAW_FRAME, TRADE
+from ..schema import RAW_FRAME, TRADE, UNKNOWN_SYMBOL
 
 
 def read_frames(spark: SparkSession, path: str) -> DataFrame:
@@ -62,3 +62,10 @@ def stream_kafka(
         .load()
         .select(F.col("offset").alias("seq"), F.col("value").cast("string").alias("value"))
     )
+
+
+def kafka_records(rows: DataFrame) -> DataFrame:
+    """Rows as Kafka records, JSON values keyed by symbol so that its order is kept."""
+    key = F.col("symbol") if "symbol" in rows.columns else F.lit(UNKNOWN_SYMBOL)
+    value = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+    return rows.select(key.alias("key"), value.alias("value"))

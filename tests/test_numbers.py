@@ -57,3 +57,15 @@ def test_floor_is_exact_for_large_and_negative(spark):
     got = one(spark, values, "bigint", lambda c: timebucket.floor_to(c, 60_000))
     assert got == [v - v % 60_000 for v in values]
     assert one(spark, values, "bigint", lambda c: timebucket.slot_of(c, 60_000)) == [v // 60_000 for v in values]
+
+
+def test_days_and_clock_ignore_the_session_zone(spark):
+    values = [0, 86_399_999, 86_400_000, -1, 1700000002000]
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        days = one(spark, values, "bigint", lambda c: timebucket.utc_date(c).cast("string"))
+        clocks = one(spark, values, "bigint", timebucket.utc_clock)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert days == ["1970-01-01", "1970-01-01", "1970-01-02", "1969-12-31", "2023-11-14"]
+    assert clocks == ["00:00:00", "23:59:59", "00:00:00", "23:59:59", "22:13:22"]

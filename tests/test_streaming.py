@@ -204,3 +204,9 @@ def test_append_log_and_text_frames(spark, folder, landed):
     raw.read_frames(spark, landed).orderBy("seq").coalesce(1).select("value").write.text(folder("text"))
     lines = raw.read_text(spark, folder("text"))
     assert lines.count() == 300 and lines.select("seq").distinct().count() == 300
+
+
+def test_kafka_records(trades_of):
+    row = raw.kafka_records(trades_of([(5, None, 2.0)])).first()
+    assert row["key"] == "BTCUSDT"
+    assert json.loads(row["value"]) == {"symbol": "BTCUSDT", "seq": 0, "ts": 5, "price": None, "qty": 2.0, "side": "buy"}
