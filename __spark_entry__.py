@@ -53,10 +53,10 @@ def trades(spark: SparkSession, sf_dir: str, with_symbol: bool = True) -> DataFr
     return _as_trades(spark.read.parquet(f"{sf_dir}/events.parquet"), with_symbol)
 
 
-def trades_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trades_stream(spark: SparkSession, sf_dir: str, **caps: int) -> DataFrame:
     session.prepare(spark)
     path = f"{sf_dir}/events.parquet"
-    return _as_trades(raw.stream_frames(spark, f"{path}*", spark.read.parquet(path).schema), True)
+    return _as_trades(raw.stream_frames(spark, f"{path}*", spark.read.parquet(path).schema, **caps), True)
 
 
 def line_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,7 +286,8 @@ def q_ofi_stream(spark, sf_dir):
 
 def q_ofi_stateful(spark, sf_dir):
     out, checkpoint = session.shared_folder(spark, "ofi"), session.shared_folder(spark, "ofi-cp")
-    _drain(orderflow_stream.start_stateful(trades_stream(spark, sf_dir), out, checkpoint))
+    capped = trades_stream(spark, sf_dir, max_bytes_per_trigger=orderflow_stream.STATEFUL_BYTES)
+    _drain(orderflow_stream.start_stateful(capped, out, checkpoint))
     return spark.read.parquet(out)
 
 
@@ -329,7 +330,8 @@ def q_labels_h3(spark, sf_dir):
 
 
 def q_chrono_split(spark, sf_dir):
-    return bar_view(labels.chrono_split(labelled(spark, sf_dir)), "label", "is_test")
+    written = session.materialize(labelled(spark, sf_dir), "labelled")
+    return bar_view(labels.chrono_split(written), "label", "is_test")
 
 
 def q_auc_rank(spark, sf_dir):

@@ -61,8 +61,9 @@ def chrono_split(
 ) -> DataFrame:
     """Add ``is_test``: the last ``ceil(test_share * n)`` rows of each symbol.
 
-    Only the chunk that holds the boundary is ranked; rows of other chunks are
-    placed by their chunk alone.
+    Only the chunk that holds the boundary is ranked; all other rows are
+    compared with the time found there. The dataset is read three times, twice
+    for its time column only, so pass a written one.
     """
     base = with_symbol(dataset).withColumns(
         {"_at": F.unix_millis("timestamp"), "_chunk": F.shiftright(F.unix_millis("timestamp"), chunk_bits)}

@@ -3,12 +3,13 @@
     spark-submit -m tapeloom.plans.run_stream ingest FRAMES LOG HISTORY --checkpoint DIR
     spark-submit -m tapeloom.plans.run_stream orderflow LOG OUT --checkpoint DIR
     spark-submit -m tapeloom.plans.run_stream score LOG OUT --checkpoint DIR [--model DIR]
-    spark-submit -m tapeloom.plans.run_stream replay HISTORY OUT --start-ts MS --end-ts MS --checkpoint DIR
+    spark-submit -m tapeloom.plans.run_stream replay HISTORY OUT --checkpoint DIR [--start-ts MS --end-ts MS]
 """
 
 from __future__ import annotations
 
 import argparse
+import time
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -27,8 +28,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--rejects")
     parser.add_argument("--symbol")
     parser.add_argument("--model")
-    parser.add_argument("--start-ts", type=int)
-    parser.add_argument("--end-ts", type=int)
+    parser.add_argument("--start-ts", type=int, help="first ms to replay, by default a minute before the last")
+    parser.add_argument("--end-ts", type=int, help="last ms to replay, by default now")
     parser.add_argument("--every", help="trigger interval; without it the query ends with the backlog")
     return parser.parse_args(argv)
 
@@ -44,7 +45,9 @@ def start(args: argparse.Namespace, spark: SparkSession) -> StreamingQuery:
     (out,) = args.sinks
     if args.query == "replay":
         trades = raw.stream_frames(spark, args.source, history.HISTORY)
-        return replay.publish_stream(trades, args.start_ts, args.end_ts, out, args.checkpoint, when)
+        end = int(time.time() * 1000) if args.end_ts is None else args.end_ts
+        begin = end - replay.DEFAULT_SPAN_MS if args.start_ts is None else args.start_ts
+        return replay.publish_stream(trades, begin, end, out, args.checkpoint, when)
     trades = raw.stream_trades(spark, args.source)
     if args.query == "orderflow":
         return orderflow.start(trades, out, args.checkpoint, trigger=when)

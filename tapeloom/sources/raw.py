@@ -22,14 +22,20 @@ def stream_frames(
     path: str,
     schema: T.StructType = RAW_FRAME,
     *,
-    max_files_per_trigger: int = 1000,
+    max_bytes_per_trigger: int = 8 << 30,
+    max_files_per_trigger: int | None = None,
     **options: str,
 ) -> DataFrame:
     """Tail a folder of Parquet frames from its beginning.
 
-    The position is kept in the checkpoint of the query that reads it.
+    The position is kept in the checkpoint of the query that reads it. A
+    micro-batch is capped by bytes, or by files where that is given.
     """
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger is None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    else:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     for key, value in options.items():
         reader = reader.option(key, value)
     return reader.parquet(path)

@@ -25,6 +25,10 @@ from ..schema import with_symbol
 from ..sources import paths
 
 
+# Bytes per micro-batch that one task can take in the stateful form.
+STATEFUL_BYTES = 128 << 20
+
+
 def _remove(spark, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
@@ -90,8 +94,10 @@ def _sliding(signs: np.ndarray, context: int, size: int) -> np.ndarray:
 def stateful(trades: DataFrame, size: int = OFI_TRADES) -> DataFrame:
     """Stream of features from per-symbol state.
 
-    All trades of a symbol in a micro-batch meet in one task, so the source
-    must cap its micro-batches (files or offsets per trigger).
+    All trades of a symbol in a micro-batch meet in one task, so cap the
+    source's micro-batches at what one task may hold (``STATEFUL_BYTES`` for
+    files, offsets per trigger for Kafka); the next micro-batch goes on from
+    the state.
     """
 
     def advance(

@@ -8,6 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.normalize import coerce_fields
 from ..sources import history
 
+# Range of a replay that names no start: the last minute.
+DEFAULT_SPAN_MS = 60_000
+
 
 def publish(trades: DataFrame, start_ts: int, end_ts: int, out_path: str) -> str:
     """Write a closed range as log entries, files in ``(ts, seq)`` order."""
