@@ -61,7 +61,9 @@ def utc_date(ms: Column) -> Column:
 def utc_clock(ms: Column) -> Column:
     """``HH:mm:ss`` in UTC, whatever the session's time zone."""
     second = slot_of(F.pmod(ms, F.lit(DAY_MS)), 1000)
-    return F.format_string("%02d:%02d:%02d", slot_of(second, 3600), F.pmod(slot_of(second, 60), F.lit(60)), F.pmod(second, F.lit(60)))
+    sixty = F.lit(60)
+    parts = (slot_of(second, 3600), F.pmod(slot_of(second, 60), sixty), F.pmod(second, sixty))
+    return F.format_string("%02d:%02d:%02d", *parts)
 
 
 def anchored_floor(value: Column, origin: Column, step: int) -> Column:

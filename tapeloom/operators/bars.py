@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import finite_or_null, nan_to_null
 from ..functions.timebucket import DAY_MS, Grid, floor_to, grid, slot_of
-from ..schema import with_symbol
+from ..schema import with_position, with_symbol
 
 DEFAULT_RULE = "1min"
 DEFAULT_WINDOWS = (3, 5, 15)
@@ -42,10 +42,10 @@ def sparse_bars(trades: DataFrame, rule: str = DEFAULT_RULE) -> DataFrame:
 def _numbered_bars(trades: DataFrame, buckets: Grid) -> DataFrame:
     """Sparse bars by bucket number."""
     grain = buckets.grain
-    ticks = with_symbol(trades).where(F.col("ts").isNotNull()).select(
+    ticks = with_position(with_symbol(trades)).where(F.col("ts").isNotNull()).select(
         "symbol",
-        F.col("seq"),
-        F.col("ts"),
+        "seq",
+        "ts",
         nan_to_null(F.col("price").cast("double")).alias("price"),
         nan_to_null(F.col("qty").cast("double")).alias("qty"),
     )
@@ -174,7 +174,7 @@ def dense_chunks(trades: DataFrame, buckets: Grid, halo: int, chunk_bars: int =
         *PRICES,
         "volume",
         "trade_count",
-        F.when(F.col("volume") != 0, nan_to_null(F.col("notional") / F.nullif(F.col("volume"), F.lit(0.0)))).alias("vwap"),
+        nan_to_null(F.col("notional") / F.nullif(F.col("volume"), F.lit(0.0))).alias("vwap"),
         (slot_of(F.col("bucket"), width) * 2 + F.when(tail, 1).otherwise(0)).alias("zone"),
     )
 

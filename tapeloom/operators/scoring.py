@@ -58,11 +58,9 @@ def score(df: DataFrame, bundle: Bundle | None = None) -> DataFrame:
     """
     if bundle is None or not bundle.feature_cols:
         return heuristic(df)
-    # The model reads its inputs from prefixed copies, so the frame keeps its own columns.
-    inputs = df.select("*", F.struct(*[_input(df, c, 0.0, "double").alias(c) for c in bundle.feature_cols]).alias("_in"))
-    packed = inputs.select(
-        F.struct(*[F.col(c) for c in df.columns]).alias("_row"), *[F.col(f"_in.{c}") for c in bundle.feature_cols]
-    )
+    # The model reads clean copies of its inputs, so the frame keeps its own columns.
+    own = F.struct(*[F.col(c) for c in df.columns]).alias("_row")
+    packed = df.select(own, *[_input(df, c, 0.0, "double").alias(c) for c in bundle.feature_cols])
     both = vector_to_array("probability")
     return (
         bundle.model.transform(packed)

@@ -35,6 +35,13 @@ def with_symbol(df: DataFrame, default: str = UNKNOWN_SYMBOL) -> DataFrame:
     return df.withColumn("symbol", F.lit(default))
 
 
+def with_position(df: DataFrame) -> DataFrame:
+    """Make the arrival position present; without one, ties have no order."""
+    if "seq" in df.columns:
+        return df.withColumn("seq", F.coalesce(F.col("seq"), F.lit(0).cast("bigint")))
+    return df.withColumn("seq", F.lit(0).cast("bigint"))
+
+
 def stamp_symbol(df: DataFrame, symbol: str) -> DataFrame:
     """Overwrite the symbol of every row, as a single-pair build does."""
     return df.withColumn("symbol", F.lit(symbol))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.numbers import float_text
 from ..functions.timebucket import utc_date
-from ..schema import TRADE, with_symbol
+from ..schema import TRADE, with_position, with_symbol
 from . import paths
 
 PARTITIONS = ("symbol", "trade_date", "ingest_batch")
@@ -39,7 +39,7 @@ def create_table(spark: SparkSession, name: str, location: str | None = None) ->
 
 def _laid_out(trades: DataFrame, batch_id: int) -> DataFrame:
     """Rows grouped for writing; a busy symbol and day spreads over many tasks."""
-    dated = with_symbol(trades).withColumns(
+    dated = with_position(with_symbol(trades)).withColumns(
         {
             "trade_date": utc_date(F.col("ts")),
             "ingest_batch": F.lit(batch_id).cast("bigint"),
@@ -126,12 +126,16 @@ def load_trades(
     """Bounded history load. Operators sort for themselves; ask for the order
     only where the rows leave the engine."""
     trades = select_trades(open_history(spark, path), symbol, start_ts, end_ts)
-    return trades.orderBy("ts", "seq") if ordered else trades
+    return _in_order(trades) if ordered else trades
+
+
+def _in_order(trades: DataFrame) -> DataFrame:
+    return trades.orderBy(*[c for c in ("ts", "seq") if c in trades.columns])
 
 
 def replay_range(trades: DataFrame, start_ts: int, end_ts: int) -> DataFrame:
     """Trades with ``ts`` in the closed range, in replay order."""
-    return select_trades(trades, None, start_ts, end_ts).orderBy("ts", "seq")
+    return _in_order(select_trades(trades, None, start_ts, end_ts))
 
 
 def replay_entries(trades: DataFrame) -> DataFrame:

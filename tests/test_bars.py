@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeloom.operators import bars, labels
+from tapeloom.sources import history
 
 from conftest import BASE
 
@@ -166,6 +167,17 @@ def test_wide_positions_keep_their_order(spark):
     assert (bar["price_open"], bar["price_close"]) == (1.0, 3.0)
 
 
+def test_history_without_positions(spark, ten_trades, folder):
+    # A plain table of ts, price, qty, side works as it is.
+    ten_trades.drop("seq", "symbol").write.parquet(folder("plain"))
+    plain = history.load_trades(spark, folder("plain"), "ANY", ordered=True)
+    assert plain.columns == ["ts", "price", "qty", "side"]
+    with_all = bars.compute(ten_trades, "1min", (3,)).drop("symbol")
+    assert bars.compute(plain, "1min", (3,)).drop("symbol").exceptAll(with_all).count() == 0
+    history.append(plain, folder("kept"))
+    assert history.load_trades(spark, folder("kept"), "UNKNOWN").count() == 10
+
+
 def test_ticks_are_read_and_shuffled_once(spark, ten_trades, folder):
     ten_trades.write.parquet(folder("t"))
     result = bars.compute(spark.read.parquet(folder("t")))
