@@ -11,8 +11,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-# Positions per chunk (2**18) and how much wider each further level is (2**9).
-CHUNK_BITS = 18
+# Positions per chunk (2**22, so at most four million rows of a key in a task) and
+# how much wider each further level is (2**9).
+CHUNK_BITS = 22
 LEVEL_BITS = 9
 LEVELS = 2
 
