@@ -1,6 +1,6 @@
 """Job: history to feature bars.
 
-    spark-submit -m tapeloom.plans.build_features SYMBOL --db PATH [options]
+    spark-submit job.py build_features SYMBOL --db PATH [options]
 """
 
 from __future__ import annotations

@@ -1,9 +1,9 @@
 """Job: one of the streaming queries.
 
-    spark-submit -m tapeloom.plans.run_stream ingest FRAMES LOG HISTORY --checkpoint DIR
-    spark-submit -m tapeloom.plans.run_stream orderflow LOG OUT --checkpoint DIR
-    spark-submit -m tapeloom.plans.run_stream score LOG OUT --checkpoint DIR [--model DIR]
-    spark-submit -m tapeloom.plans.run_stream replay HISTORY OUT --checkpoint DIR [--start-ts MS --end-ts MS]
+    spark-submit job.py run_stream ingest FRAMES LOG HISTORY --checkpoint DIR
+    spark-submit job.py run_stream orderflow LOG OUT --checkpoint DIR
+    spark-submit job.py run_stream score LOG OUT --checkpoint DIR [--model DIR]
+    spark-submit job.py run_stream replay HISTORY OUT --checkpoint DIR [--start-ts MS --end-ts MS]
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Job: feature bars to a fitted model with metadata.
 
-    spark-submit -m tapeloom.plans.train_model SYMBOL [options]
+    spark-submit job.py train_model SYMBOL [options]
 """
 
 from __future__ import annotations

@@ -32,7 +32,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def create(app: str = "tapeloom", master: str | None = None, **conf: str) -> SparkSession:
-    """Session for jobs started with plain python; spark-submit settings win."""
+    """Session for a job. All settings not named here come from spark-submit."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
