@@ -24,6 +24,14 @@ from tapeloom.streaming import orderflow as orderflow_stream  # noqa: E402
 from tapeloom.streaming import replay as replay_stream  # noqa: E402
 from tapeloom.streaming import scoring as scoring_stream  # noqa: E402
 
+try:  # the only place that may do without the training-data subpackage
+    import corpus_pipeline
+    from tapeloom.llm import queries as llm_queries
+except ModuleNotFoundError as absent:
+    if absent.name not in ("corpus_pipeline", "tapeloom.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 MINUTE = 60_000
 NUDGE = 1e-9
 RANGE_START = 1704412800000  # 2024-01-05 00:00 UTC
@@ -413,7 +421,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
+    own = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
+    if llm_queries is None:
+        return own
+    return own | llm_queries.queries() | {"pipeline": corpus_pipeline.run}
 
 
 # --- the same in SQL ------------------------------------------------------------
@@ -534,7 +545,7 @@ _CHANGE = f"""c AS (SELECT symbol, last(price ORDER BY seq) AS last_price,
 def oracle_sql() -> dict[str, str]:
     w = bars.DEFAULT_WINDOWS
     week, seven = 7 * 86_400_000, 7 * MINUTE
-    return {
+    own = {
         "raw_parse": f"""WITH {_ticks()} SELECT seq, CASE side WHEN 'buy' THEN 'not json' WHEN 'sell' THEN 'bad price' ELSE 'missing m' END AS reason
             FROM t WHERE {_BAD}""",
         "normalize_trade": f"WITH {_ticks()} SELECT seq, ts, price, qty, CASE WHEN side = 'buy' THEN 'buy' ELSE 'sell' END AS side FROM t WHERE NOT {_BAD}",
@@ -601,3 +612,7 @@ def oracle_sql() -> dict[str, str]:
         "portfolio_lines": f"""SELECT symbol, quantity, {_r('value')}, {_dollars('value', 3)} AS value_text FROM (
             SELECT c_mktsegment AS symbol, CAST(count(*) AS DOUBLE) AS quantity, sum(c_acctbal) AS value FROM customer GROUP BY 1)""",
     }
+    if llm_queries is None:
+        return own
+    found = own | llm_queries.oracle_sql()
+    return found if corpus_pipeline.ORACLE_SQL is None else found | {"pipeline": corpus_pipeline.ORACLE_SQL}
