@@ -109,6 +109,13 @@ def taken(size: Column, key: Column, identity: Column) -> Column:
     return (F.col("epochs") * size + extra).cast("bigint")
 
 
+def _decided(rows: DataFrame, cut: DataFrame, key: Column) -> DataFrame:
+    """Rows with the cut of their source; a source's rows meet it in 16 places by their key's first digit."""
+    digits = F.array(*[F.lit(f"{d:x}") for d in range(16)])
+    spread = cut.withColumnRenamed("source", "cut_source").withColumn("cut_digit", F.explode(digits))
+    return rows.withColumn("digit", F.substring(key, 1, 1)).join(spread, F.expr("digit = cut_digit AND source <=> cut_source"))
+
+
 def mix(docs: DataFrame, identity: str = "doc_id", source: str = "source", text: str = "text", weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """(id, source, size, source_size, target, taken) of every document.
 
@@ -116,8 +123,7 @@ def mix(docs: DataFrame, identity: str = "doc_id", source: str = "source", text:
     any other; repeated rows get the same answer; an empty table gives no rows.
     """
     sizes = common.stored(sized(docs, identity, source, text), "mixing-sizes")
-    decided = cuts(sizes, weights, share, most).withColumnRenamed("source", "cut_source")
-    return sizes.join(decided, F.expr("source <=> cut_source")).select(
+    return _decided(sizes, cuts(sizes, weights, share, most), F.col("key")).select(
         F.col("id").alias(identity), "source", "size", "source_size", "target", taken(F.col("size"), F.col("key"), F.col("id")).alias("taken")
     )
 
@@ -128,11 +134,10 @@ def repeat(docs: DataFrame, identity: str = "doc_id", source: str = "source", te
     A document taken in part comes with the first words of its text up to the
     cut, white space between them kept. Documents not taken go.
     """
-    decided = cuts(common.stored(sized(docs, identity, source, text), "mixing-sizes"), weights, share, most)
-    decided = decided.select(F.col("source").alias("cut_source"), "epochs", "cut", "part")
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    decided = cuts(common.stored(sized(docs, identity, source, text), "mixing-sizes"), weights, share, most).select("source", "epochs", "cut", "part")
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{source}`").alias("source"))
     size = word_count(F.col(f"doc.`{text}`"))
-    joined = inner.join(decided, F.expr(f"doc.`{source}` <=> cut_source")).withColumn("size", size)
+    joined = _decided(inner, decided, random_key(F.col(f"doc.`{identity}`"))).withColumn("size", size)
     counted = joined.withColumn("taken", taken(F.col("size"), random_key(F.col(f"doc.`{identity}`")), F.col(f"doc.`{identity}`")))
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.greatest("size", F.lit(1)))).otherwise(0).cast("int")
     rest = (F.col("taken") - whole * F.col("size")).cast("int")
