@@ -7,7 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, mixing
+from . import common, mixing, outliers
+
+
+def op4_outlier_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(common.table(spark, sf_dir, "documents"))
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +19,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op9_mix_sources": op9_mix_sources}
+    return {name: fn for name, fn in globals().items() if name.startswith("op")}
 
 
 OP9_SQL = """
