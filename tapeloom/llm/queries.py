@@ -7,17 +7,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, mixing, outliers
+from . import common, mixing, outliers, repeats, window_dedup
 
 
 def op4_outlier_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(common.table(spark, sf_dir, "documents"))
 
 
+def op7_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.kept_bytes(common.table(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(common.table(spark, sf_dir, "documents"))
 
 
+def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dedup.kept_words(common.table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
 
@@ -59,5 +67,49 @@ FROM running, range(copies)
 """
 
 
+OP10_SQL = """
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), g AS (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + 34], ' ')) AS h FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM w)
+), r AS (
+  SELECT h FROM g GROUP BY h HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS p FROM g JOIN r USING (h), range(35) t(k)
+), each_word AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM w
+), marked AS (
+  SELECT e.doc_id, e.p, word, gone.p IS NOT NULL AS removed FROM each_word e LEFT JOIN gone ON e.doc_id = gone.doc_id AND e.p = gone.p
+), sums AS (
+  SELECT doc_id, count(*) FILTER (WHERE removed) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT removed), '') AS kept
+  FROM marked GROUP BY doc_id
+)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN sums ON w.doc_id = sums.doc_id
+"""
+
+OP7_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), g AS (
+  SELECT doc_id, i, md5(substr(x, 2 * i + 1, 800)) AS h FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 399)) AS i FROM d)
+), r AS (
+  SELECT h FROM g GROUP BY h HAVING count(*) > 1
+), hit AS (
+  SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM g JOIN r USING (h)
+), numbered AS (
+  SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 400 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hit
+), runs AS (
+  SELECT doc_id, run, min(i) AS low, max(i) + 400 AS high FROM numbered GROUP BY doc_id, run
+), kept AS (
+  SELECT doc_id, count(*) AS n_spans, sum(high - low) AS n_removed, list(low ORDER BY low) AS lows, list(high ORDER BY low) AS highs FROM runs GROUP BY doc_id
+)
+SELECT d.doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(array_to_string([substr(x, 2 * p[1] + 1, 2 * (p[2] - p[1])) FOR p IN
+    list_zip(list_concat([0], coalesce(highs, [])), list_concat(coalesce(lows, []), [length(x) // 2]))], ''))) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
+
+
 def oracle_sql() -> dict:
-    return {"op9_mix_sources": OP9_SQL}
+    return {"op9_mix_sources": OP9_SQL, "op7_repeated_bytes": OP7_SQL, "op10_repeated_windows": OP10_SQL}
