@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, mixing, outliers, repeats, window_dedup
+from . import common, jaccard, mixing, outliers, repeats, window_dedup
 
 
 def op4_outlier_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op7_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.kept_bytes(common.table(spark, sf_dir, "documents"))
 
 
+def op8_shingle_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(common.table(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(common.table(spark, sf_dir, "documents"))
 
@@ -111,5 +115,29 @@ FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
 
 
+OP8_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) > 2 THEN [words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] FOR i IN range(1, len(words) - 1)]
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle
+  FROM w
+), n AS (
+  SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.shingle = b.shingle GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * both >= 90 * (x.size + y.size - both)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT doc_id, coalesce(size, 0)::BIGINT AS n_shingles, component_id
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN n USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict:
-    return {"op9_mix_sources": OP9_SQL, "op7_repeated_bytes": OP7_SQL, "op10_repeated_windows": OP10_SQL}
+    return {"op8_shingle_links": OP8_SQL, "op9_mix_sources": OP9_SQL, "op7_repeated_bytes": OP7_SQL, "op10_repeated_windows": OP10_SQL}
