@@ -7,13 +7,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, jaccard, mixing, outliers, repeats, window_dedup
+from . import common, jaccard, mixing, outliers, pii, repeats, window_dedup
 
 
 def op4_outlier_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(common.table(spark, sf_dir, "documents"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans(common.table(spark, sf_dir, "documents"))
+
+
 def op7_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.kept_bytes(common.table(spark, sf_dir, "documents"))
 
