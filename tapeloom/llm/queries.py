@@ -5,9 +5,16 @@ Each query applies one operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import common, jaccard, mixing, outliers, pii, repeats, window_dedup
+from . import common, jaccard, langid, mixing, outliers, pii, repeats, window_dedup
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    held_out = langid.held_out(F.col("doc_id"))
+    model = langid.fit(docs.where(~held_out))
+    return langid.predict(docs, model).withColumn("held_out", held_out)
 
 
 def op4_outlier_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
