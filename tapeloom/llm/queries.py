@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import common, jaccard, langid, mixing, outliers, pii, repeats, window_dedup
+from . import common, jaccard, langid, mixing, outliers, packing, pii, repeats, window_dedup
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans(common.table(spark, sf_dir, "documents"))
 
 
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(common.table(spark, sf_dir, "documents"))
+
+
 def op7_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.kept_bytes(common.table(spark, sf_dir, "documents"))
 
