@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import common, jaccard, langid, mixing, outliers, packing, pii, repeats, window_dedup
+from . import common, jaccard, langid, mixing, nearest, outliers, packing, pii, repeats, sharding, window_dedup
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,19 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).withColumn("held_out", held_out)
 
 
+#: A megabyte, so that the given tables need a directory; files in use are some hundred times that.
+SHARD_BYTES = 1 << 20
+
+
+def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(common.table(spark, sf_dir, "documents"), limit=SHARD_BYTES)
+
+
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = nearest.usable(common.table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return nearest.search(vectors, vectors.where("id % 100 = 0"))
+
+
 def op4_outlier_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(common.table(spark, sf_dir, "documents"))
 
@@ -141,9 +154,9 @@ WITH RECURSIVE w AS (
 ), n AS (
   SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id
 ), pairs AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.shingle = b.shingle GROUP BY ALL
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle GROUP BY ALL
 ), links AS (
-  SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * both >= 90 * (x.size + y.size - both)
+  SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 90 * (x.size + y.size - k)
 ), reach AS (
   SELECT doc_id AS a, doc_id AS b FROM documents
   UNION
@@ -154,5 +167,20 @@ FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOI
 """
 
 
+OP2_SQL = f"""
+WITH d AS (
+  SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS key, coalesce(strlen(text), 0)::BIGINT AS bytes FROM documents
+), each_depth AS (
+  SELECT doc_id, bytes, depth, (1::BIGINT << depth) + (key >> (60 - depth)) AS node FROM d, range(0, 61) t(depth)
+), nodes AS (
+  SELECT depth, node, sum(bytes)::BIGINT AS shard_bytes, count(*) AS n FROM each_depth GROUP BY ALL
+), fitting AS (
+  SELECT doc_id, bytes, e.depth, e.node, shard_bytes, row_number() OVER (PARTITION BY doc_id ORDER BY e.depth) AS nth
+  FROM each_depth e JOIN nodes n ON e.depth = n.depth AND e.node = n.node WHERE shard_bytes <= {SHARD_BYTES} OR n = 1
+)
+SELECT doc_id, bytes, node AS shard_id, 0::BIGINT AS overflow, depth::INTEGER AS depth, shard_bytes FROM fitting WHERE nth = 1
+"""
+
+
 def oracle_sql() -> dict:
-    return {"op8_shingle_links": OP8_SQL, "op9_mix_sources": OP9_SQL, "op7_repeated_bytes": OP7_SQL, "op10_repeated_windows": OP10_SQL}
+    return {"op2_shards": OP2_SQL, "op8_shingle_links": OP8_SQL, "op9_mix_sources": OP9_SQL, "op7_repeated_bytes": OP7_SQL, "op10_repeated_windows": OP10_SQL}
