@@ -5,7 +5,9 @@ order in the whole corpus, rare before frequent. Of a set of s tokens any partne
 shares t = ceil(s * percent / 100) at least, so the first s - t + c tokens of both
 have c in common. Small sets enumerate the subsets of c = 2 of these; large sets are
 looked up in inverted lists of their first s - t + 1 tokens, where the small sets
-that could be their partners stand too. The boundary between small and large is the
+that could be their partners stand too. Partners are of nearly equal size, so both
+kinds of list are kept apart by classes of size, and a set stands in the class below
+as well if a partner could. The boundary between small and large is the
 size where the subsets to be enumerated cost more than the lists to be scanned,
 counted over the corpus.
 
@@ -42,8 +44,10 @@ GATHERED = 1 << 22
 LEAST_BITS, MOST_BITS = 64, 8192
 #: Members of a list that meet in one group; longer lists meet block by block.
 BLOCK = 1024
-#: Sketch comparisons that cost as much as a row.
-COMPARED = 64
+#: Costs of a member of a list, whose sketch is sent along, and of a comparison of sketches, in rows.
+MEMBER, COMPARED = 20.0, 1 / 64
+#: First sizes of the classes.
+CLASSES = [1, *(math.ceil(8 * 1.5**i) for i in range(80))]
 _RARE = U64(1)
 _LATE = U64(1 << 63)
 
@@ -156,36 +160,49 @@ def _first(percent: int, more: int):
     return F.least(F.size("prefix"), (F.col("size") - F.ceil(F.col("size") * percent / 100) + more).cast("int"))
 
 
+def _level():
+    """The class of a set's size."""
+    return F.size(F.filter(F.array(*[F.lit(c) for c in CLASSES]), lambda c: c <= F.col("size"))) - 1
+
+
+def _levels(percent: int):
+    """The classes in which a set stands: its own, and the one below if a partner may be there."""
+    own = F.element_at(F.array(*[F.lit(c) for c in CLASSES]), F.col("level") + 1)
+    below = (F.col("level") > 0) & (F.col("size") * percent <= (own - 1) * 100)
+    return F.when(below, F.array("level", F.col("level") - 1)).otherwise(F.array("level"))
+
+
 def boundary(sets: DataFrame, percent: int = PERCENT) -> int:
-    """The size from which sets are looked up in lists.
+    """The size from which sets are looked up in lists: the first of a class.
 
-    Sizes fall into classes of a tenth; per class, subsets cost a row each, lists a
-    row per token and what their members' comparisons cost.
+    Per class, subsets cost a row each; lists a row per token, and for each that is
+    shared what its members and their comparisons cost.
     """
-    level = F.floor(F.log(F.col("size")) / math.log(1.1)).cast("int")
     n1, n2 = _first(percent, 1), _first(percent, SUBSET)
-    rows = sets.withColumn("level", level)
+    rows = sets.withColumn("level", _level())
     subsets = rows.groupBy("level").agg(F.sum(n2 * (n2 - 1) / 2).alias("subsets"), F.sum(n1).alias("tokens"))
     lists = rows.select("level", F.explode(F.slice("prefix", F.lit(1), n1)).alias("token")).groupBy("level", "token").agg(F.count(F.lit(1)).alias("n"))
-    pairs = lists.where("n > 1").groupBy("level").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs"))
+    shared = lists.where("n > 1").groupBy("level").agg(F.sum("n").alias("members"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs"))
     # A row per class of sizes.
-    costs = {r["level"]: (r["subsets"], r["tokens"] + (r["pairs"] or 0) / COMPARED) for r in subsets.join(pairs, "level", "left").collect()}
-    levels = sorted(costs)
-    ends = [0, *(x + 1 for x in levels)]
-    total = lambda end: sum(c[0] if x < end else c[1] for x, c in costs.items())
-    best = min(ends, key=total)
-    return math.ceil(1.1**best) if best else 0
+    costs = {
+        r["level"]: (r["subsets"], r["tokens"] + MEMBER * (r["members"] or 0) + COMPARED * (r["pairs"] or 0))
+        for r in subsets.join(shared, "level", "left").collect()
+    }
+    ends = [0, *(x + 1 for x in sorted(costs))]
+    best = min(ends, key=lambda end: sum(c[0] if x < end else c[1] for x, c in costs.items()))
+    return CLASSES[best] if best else 0
 
 
 def postings(sets: DataFrame, bound: int, percent: int = PERCENT) -> DataFrame:
     """(list, set): every subset of the small sets, every token of the large ones and of those just below."""
-    small = sets.where(F.col("size") < bound).withColumn("prefix", F.slice("prefix", F.lit(1), _first(percent, SUBSET)))
-    pairs = small.select("set", "prefix", F.posexplode("prefix").alias("at", "one"))
-    pairs = pairs.select("set", "one", F.explode(F.slice("prefix", F.col("at") + 2, F.size("prefix"))).alias("other"))
-    pairs = pairs.select(F.xxhash64("one", "other").alias("list"), "set")
-    large = sets.where(F.col("size") * 100 >= bound * percent)
-    tokens = large.select(F.explode(F.slice("prefix", F.lit(1), _first(percent, 1))).alias("list"), "set")
-    return pairs.unionByName(tokens)
+    placed = sets.select("set", "size", "prefix").withColumn("level", _level()).withColumn("level", F.explode(_levels(percent)))
+    small = placed.where(F.col("size") < bound).withColumn("prefix", F.slice("prefix", F.lit(1), _first(percent, SUBSET)))
+    pairs = small.select("set", "level", "prefix", F.posexplode("prefix").alias("at", "one"))
+    pairs = pairs.select("set", "level", "one", F.explode(F.slice("prefix", F.col("at") + 2, F.size("prefix"))).alias("other"))
+    pairs = pairs.select(F.xxhash64("level", "one", "other").alias("list"), "set")
+    large = placed.where(F.col("size") * 100 >= bound * percent)
+    tokens = large.select("set", "level", F.explode(F.slice("prefix", F.lit(1), _first(percent, 1))).alias("token"))
+    return pairs.unionByName(tokens.select(F.xxhash64("level", "token").alias("list"), "set"))
 
 
 def members(sets: DataFrame, bound: int, percent: int = PERCENT) -> DataFrame:
