@@ -206,10 +206,17 @@ def postings(sets: DataFrame, bound: int, percent: int = PERCENT) -> DataFrame:
 
 
 def members(sets: DataFrame, bound: int, percent: int = PERCENT) -> DataFrame:
-    """(list, n, set) of lists with two members or more."""
+    """(list, n, set) of lists with two members or more, once for each different group of members.
+
+    Near copies share many tokens and so stand together in many lists; groups are
+    told by count and two 64-bit sums of their members.
+    """
     posted = postings(sets, bound, percent)
     shared = posted.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return posted.join(shared, "list")
+    held = common.stored(posted.join(shared, "list"), "members-all")
+    sums = [F.bit_xor(F.xxhash64("set", F.lit(seed))).alias(f"sum{seed}") for seed in (1, 2)]
+    once = held.groupBy("list", "n").agg(*sums).groupBy("n", "sum1", "sum2").agg(F.min("list").alias("list"))
+    return held.join(once.select("list"), "list")
 
 
 def _folded(sketch: np.ndarray, width: int) -> np.ndarray:
