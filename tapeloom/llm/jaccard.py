@@ -354,15 +354,19 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return chosen.mapInArrow(task, "set binary, tokens array<long>").dropDuplicates(["set"])
 
 
-def _checked(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked): the exact answer for proposed links."""
-    named = pairs.select("a", "b").distinct()
-    wanted = named.select(F.col("a").alias("set")).unionByName(named.select(F.col("b").alias("set"))).distinct().join(sets.select("set", "id", "key"), "set")
-    full = common.stored(_whole_sets(docs, wanted), "sets-whole")
+def _proposed_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(set, tokens) of all sets in proposals."""
+    wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
+    return _whole_sets(docs, wanted.join(sets.select("set", "id", "key"), "set"))
+
+
+def _checked(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b, linked): the exact answer for proposed links, by the whole sets (set, tokens)."""
     one = full.select(F.col("set").alias("a"), F.col("tokens").alias("a_tokens"))
     two = full.select(F.col("set").alias("b"), F.col("tokens").alias("b_tokens"))
     common_size = F.size(F.array_intersect("a_tokens", "b_tokens"))
     either = F.size("a_tokens") + F.size("b_tokens") - common_size
+    named = pairs.select("a", "b").distinct()
     return named.join(two, "b").join(one, "a").select("a", "b", (100 * common_size >= percent * either).alias("linked"))
 
 
@@ -376,12 +380,15 @@ def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame
     seen = sets.select("set", "size", "sketch")
     nothing = F.lit(None).cast("array<binary>")
     joined = listed.join(seen, "set").withColumn("label", F.col("set")).withColumn("refuted", nothing)
-    found, refuted, trees = None, None, 1
+    found, refuted, full, trees = None, None, None, 1
     while True:
         pairs = common.stored(proposals(joined, percent, trees), "proposals")
         if pairs.isEmpty():
             return found if found is not None else pairs.select("a", "b")
-        answers = common.stored(_checked(docs, sets, pairs, percent), "answers")
+        if full is None:
+            # The first trees span all that the sketches allow, so later proposals are of the same sets.
+            full = common.stored(_proposed_sets(docs, sets, pairs), "sets-whole")
+        answers = common.stored(_checked(full, pairs, percent), "answers")
         good = answers.where("linked").select("a", "b")
         bad = answers.where("NOT linked").select("a", "b")
         found = good if found is None else found.unionByName(good)
@@ -398,6 +405,16 @@ def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame
         joined = joined.withColumn("label", F.coalesce("label", "set"))
 
 
+def _owned(rows: DataFrame, percent: int) -> DataFrame:
+    """(id, key, size, component) of rows (id, key, text); no component without a shingle."""
+    known = common.stored(described(rows, frequent_tokens(rows), percent), "sets")
+    picked = F.min(F.struct("id", "key")).alias("one")
+    once = known.where("set IS NOT NULL").groupBy("set").agg(picked, F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"))
+    sets = common.stored(once.where("size(prefix) > 0").select("set", "one.id", "one.key", "size", "prefix", "sketch"), "sets-once")
+    labels = components.components(links(rows, sets, percent)).withColumnRenamed("node", "set")
+    return known.select("id", "key", "size", "set").join(labels, "set", "left").withColumn("component", F.coalesce("component", "set"))
+
+
 def groups(docs: DataFrame, identity: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id) of every document.
 
@@ -406,14 +423,28 @@ def groups(docs: DataFrame, identity: str = "doc_id", text: str = "text", percen
     rows are linked with each other. NULL ids are never the least unless there is
     no other. An empty table gives no rows.
     """
-    rows = anchors.identified(docs, identity, text)
-    known = common.stored(described(rows, frequent_tokens(rows), percent), "sets")
-    picked = F.min(F.struct("id", "key")).alias("one")
-    once = known.where("set IS NOT NULL").groupBy("set").agg(picked, F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"))
-    sets = common.stored(once.where("size(prefix) > 0").select("set", "one.id", "one.key", "size", "prefix", "sketch"), "sets-once")
-    labels = components.components(links(rows, sets, percent)).withColumnRenamed("node", "set")
-    owned = known.select("id", "size", "set").join(labels, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    owned = _owned(anchors.identified(docs, identity, text), percent)
     least = owned.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
     return owned.join(least, "component", "left").select(
         F.col("id").alias(identity), F.col("size").alias("n_shingles"), F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id")
     )
+
+
+def keep_one(docs: DataFrame, identity: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs` without near copies: of each group the one with the least id.
+
+    Of repeated rows one stays; rows without a word all stay.
+    """
+    owned = _owned(anchors.identified(docs, identity, text), percent).where("component IS NOT NULL")
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "key")).alias("one")
+    kept = owned.groupBy("component").agg(first).select(F.to_json(F.struct("one.id")).alias("kept_id"), F.col("one.key").alias("kept_key"))
+    whole, name, key, wordy = common.fresh(docs, "document", "row_id", "row_key", "wordy")
+    content = F.col(f"`{text}`")
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole),
+        F.to_json(F.struct(F.col(f"`{identity}`").alias("id"))).alias(name),
+        F.xxhash64(content).alias(key),
+        F.coalesce(content.rlike(common.WORD), F.lit(False)).alias(wordy),
+    )
+    chosen = packed.where(wordy).join(kept.select(F.col("kept_id").alias(name), F.col("kept_key").alias(key)), [name, key]).dropDuplicates([name, key])
+    return chosen.select(whole).unionByName(packed.where(~F.col(wordy)).select(whole)).select(f"{whole}.*")
