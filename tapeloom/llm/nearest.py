@@ -52,51 +52,56 @@ def lines(dimensions: int, count: int = LINES, seed: int = SEED) -> np.ndarray:
     return np.random.default_rng([seed, dimensions]).standard_normal((dimensions, count))
 
 
-def _distances(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-    return np.sqrt(((many - one) ** 2).sum(axis=1))
-
-
 class Arrays:
     """Sorted projections of a block of vectors on every line."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, count: int):
-        self.ids, self.vectors = ids, vectors
+        self.ids, self.vectors, self.squares = ids, vectors, (vectors**2).sum(axis=1)
         self.lines = lines(vectors.shape[1], count)
-        projected = vectors @ self.lines
-        self.order = np.argsort(projected, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(projected, self.order, axis=0)
+        # A row per line, so that a window is one stretch of memory.
+        projected = np.ascontiguousarray((vectors @ self.lines).T)
+        order = np.argsort(projected, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(projected, order, axis=1)
+        self.order = order.astype(np.int32)
+
+    def verify(self, vector: np.ndarray, at: np.ndarray, k: int) -> list[tuple[float, int]]:
+        """The k nearest of the candidates. A product of matrices leaves a few of them, whose distances are then taken exactly."""
+        square = float(vector @ vector)
+        rough = self.squares[at] + square - 2 * (self.vectors[at] @ vector)
+        if len(at) > k:
+            slack = 1e-9 * (square + float(self.squares[at].max()))
+            at = at[rough <= np.partition(rough, k - 1)[k - 1] + slack]
+        found = np.sqrt(((self.vectors[at] - vector) ** 2).sum(axis=1))
+        return sorted(zip(found.tolist(), self.ids[at].tolist(), strict=True))[:k]
 
     def search(self, query: int, vector: np.ndarray, radius: float, k: int, threshold: int) -> list[tuple[float, int]]:
         """The k nearest found, as (distance, id)."""
         n, center = len(self.ids), vector @ self.lines
-        count = np.zeros(n, np.int16)
+        count = np.zeros(n, np.int64)
         low = high = None
         best: list[tuple[float, int]] = []
         done = np.zeros(n, bool)
         for _ in range(ROUNDS):
             half = HALF_WIDTH * radius
-            begin = [int(np.searchsorted(self.sorted[:, m], center[m] - half, "left")) for m in range(len(center))]
-            end = [int(np.searchsorted(self.sorted[:, m], center[m] + half, "right")) for m in range(len(center))]
-            for m, (a, b) in enumerate(zip(begin, end, strict=True)):
-                # Only what the wider window adds.
-                if low is None:
-                    count[self.order[a:b, m]] += 1
-                else:
-                    count[self.order[a : low[m], m]] += 1
-                    count[self.order[high[m] : b, m]] += 1
+            begin = [int(row.searchsorted(c - half, "left")) for row, c in zip(self.sorted, center, strict=True)]
+            end = [int(row.searchsorted(c + half, "right")) for row, c in zip(self.sorted, center, strict=True)]
+            # Only what the wider window adds.
+            parts = [(m, a, b) for m, (a, b) in enumerate(zip(begin, end, strict=True))]
+            if low is not None:
+                parts = [x for m, a, b in parts for x in ((m, a, low[m]), (m, high[m], b))]
+            count += np.bincount(np.concatenate([self.order[m, a:b] for m, a, b in parts]), minlength=n)
             low, high = begin, end
             fresh = np.flatnonzero((count >= threshold) & ~done)
             done[fresh] = True
             fresh = fresh[self.ids[fresh] != query]
             if len(fresh):
-                found = _distances(vector, self.vectors[fresh])
-                best = sorted([*best, *zip(found.tolist(), self.ids[fresh].tolist(), strict=True)])[:k]
+                best = sorted([*best, *self.verify(vector, fresh, k)])[:k]
             if (len(best) == k and best[-1][0] <= radius) or done.all():
                 break
             radius *= GROWTH
         else:
             rest = np.flatnonzero(~done & (self.ids != query))
-            best = sorted([*best, *zip(_distances(vector, self.vectors[rest]).tolist(), self.ids[rest].tolist(), strict=True)])[:k]
+            best = sorted([*best, *self.verify(vector, rest, k)])[:k] if len(rest) else best
         return best
 
 
