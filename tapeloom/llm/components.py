@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import common
@@ -27,14 +30,41 @@ def _stars(links: DataFrame, larger: bool) -> DataFrame:
     return moved.where("a <> b").distinct()
 
 
+def _local(links: DataFrame) -> DataFrame:
+    """Each partition's links as stars, by union and find over its own links; no shuffle."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict = {}
+        kinds = None
+
+        def root(x):
+            parent.setdefault(x, x)
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for batch in batches:
+            kinds = batch.schema
+            for a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                a, b = root(a), root(b)
+                parent[max(a, b)] = min(a, b)
+        if kinds is not None:
+            found = [(x, r) for x in list(parent) if (r := root(x)) != x]
+            columns = list(zip(*found, strict=True)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(columns, kinds, strict=True)], names=["a", "b"])
+
+    return links.mapInArrow(task, links.schema)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for links (a, b): the least node reachable from each linked node.
 
-    Large and small stars in turn until every node hangs on the least one of its
-    component; the rounds grow with the logarithm of the longest path. A node with
+    First each partition's links become stars of their own. Then large and small
+    stars in turn until every node hangs on the least one of its component; the rounds grow with the logarithm of the longest path. A node with
     many links is a key of a join with one row per node, which Spark splits.
     """
-    links = common.stored(links.where("a <> b").select("a", "b").distinct(), "links")
+    links = common.stored(_local(common.stored(links.where("a <> b").select("a", "b").distinct(), "links")), "links-local")
     seen = None
     while True:
         links = common.stored(_stars(_stars(links, True), False), "links")

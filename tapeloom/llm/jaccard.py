@@ -172,49 +172,62 @@ def _levels(percent: int):
     return F.when(below, F.array("level", F.col("level") - 1)).otherwise(F.array("level"))
 
 
-def boundary(sets: DataFrame, percent: int = PERCENT) -> int:
+def _tokens(sets: DataFrame, percent: int) -> DataFrame:
+    """(list, level, set, size): every set in the lists of its first tokens."""
+    placed = sets.select("set", "size", "prefix").withColumn("level", _level()).withColumn("level", F.explode(_levels(percent)))
+    tokens = placed.select("set", "size", "level", F.explode(F.slice("prefix", F.lit(1), _first(percent, 1))).alias("token"))
+    return tokens.select(F.xxhash64("level", "token").alias("list"), "level", _name().alias("name"), "size")
+
+
+def _name():
+    """A set's short name: two sets of one name are both members wherever one is, and refuted later."""
+    return F.xxhash64("set")
+
+
+def _subsets(sets: DataFrame, percent: int) -> DataFrame:
+    """(list, name): every set in the lists of the pairs of its first tokens."""
+    placed = sets.select("set", "size", "prefix").withColumn("level", _level()).withColumn("level", F.explode(_levels(percent)))
+    chosen = placed.withColumn("prefix", F.slice("prefix", F.lit(1), _first(percent, SUBSET)))
+    pairs = chosen.select(_name().alias("name"), "level", "prefix", F.posexplode("prefix").alias("at", "one"))
+    pairs = pairs.select("name", "level", "one", F.explode(F.slice("prefix", F.col("at") + 2, F.size("prefix"))).alias("other"))
+    return pairs.select(F.xxhash64("level", "one", "other").alias("list"), "name")
+
+
+def boundary(sets: DataFrame, shared: DataFrame, percent: int = PERCENT) -> int:
     """The size from which sets are looked up in lists: the first of a class.
 
     Per class, subsets cost a row each; lists a row per token, and for each that is
-    shared what its members and their comparisons cost.
+    `shared` (list, level, n) what its members and their comparisons cost.
     """
     n1, n2 = _first(percent, 1), _first(percent, SUBSET)
-    rows = sets.withColumn("level", _level())
-    subsets = rows.groupBy("level").agg(F.sum(n2 * (n2 - 1) / 2).alias("subsets"), F.sum(n1).alias("tokens"))
-    lists = rows.select("level", F.explode(F.slice("prefix", F.lit(1), n1)).alias("token")).groupBy("level", "token").agg(F.count(F.lit(1)).alias("n"))
-    shared = lists.where("n > 1").groupBy("level").agg(F.sum("n").alias("members"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs"))
+    rows = sets.withColumn("level", _level()).groupBy("level").agg(F.sum(n2 * (n2 - 1) / 2).alias("subsets"), F.sum(n1).alias("tokens"))
+    pairs = shared.groupBy("level").agg(F.sum("n").alias("members"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs"))
     # A row per class of sizes.
     costs = {
         r["level"]: (r["subsets"], r["tokens"] + MEMBER * (r["members"] or 0) + COMPARED * (r["pairs"] or 0))
-        for r in subsets.join(shared, "level", "left").collect()
+        for r in rows.join(pairs, "level", "left").collect()
     }
     ends = [0, *(x + 1 for x in sorted(costs))]
     best = min(ends, key=lambda end: sum(c[0] if x < end else c[1] for x, c in costs.items()))
     return CLASSES[best] if best else 0
 
 
-def postings(sets: DataFrame, bound: int, percent: int = PERCENT) -> DataFrame:
-    """(list, set): every subset of the small sets, every token of the large ones and of those just below."""
-    placed = sets.select("set", "size", "prefix").withColumn("level", _level()).withColumn("level", F.explode(_levels(percent)))
-    small = placed.where(F.col("size") < bound).withColumn("prefix", F.slice("prefix", F.lit(1), _first(percent, SUBSET)))
-    pairs = small.select("set", "level", "prefix", F.posexplode("prefix").alias("at", "one"))
-    pairs = pairs.select("set", "level", "one", F.explode(F.slice("prefix", F.col("at") + 2, F.size("prefix"))).alias("other"))
-    pairs = pairs.select(F.xxhash64("level", "one", "other").alias("list"), "set")
-    large = placed.where(F.col("size") * 100 >= bound * percent)
-    tokens = large.select("set", "level", F.explode(F.slice("prefix", F.lit(1), _first(percent, 1))).alias("token"))
-    return pairs.unionByName(tokens.select(F.xxhash64("level", "token").alias("list"), "set"))
-
-
-def members(sets: DataFrame, bound: int, percent: int = PERCENT) -> DataFrame:
-    """(list, n, set) of lists with two members or more, once for each different group of members.
+def members(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(list, n, name) of lists with two members or more, once for each different group of members.
 
     Near copies share many tokens and so stand together in many lists; groups are
     told by count and two 64-bit sums of their members.
     """
-    posted = postings(sets, bound, percent)
-    shared = posted.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    held = common.stored(posted.join(shared, "list"), "members-all")
-    sums = [F.bit_xor(F.xxhash64("set", F.lit(seed))).alias(f"sum{seed}") for seed in (1, 2)]
+    tokens = _tokens(sets, percent)
+    counted = tokens.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.first("level").alias("level")).where("n > 1")
+    counted = common.stored(counted, "lists-shared")
+    bound = boundary(sets, counted, percent)
+    # Large sets, and the small ones that could be their partners.
+    large = tokens.where(F.col("size") * 100 >= bound * percent).join(counted.select("list", "n"), "list").select("list", "n", "name")
+    small = _subsets(sets.where(F.col("size") < bound), percent)
+    few = small.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    held = common.stored(large.unionByName(small.join(few, "list").select("list", "n", "name")), "members-all")
+    sums = [F.bit_xor(F.xxhash64("name", F.lit(seed))).alias(f"sum{seed}") for seed in (1, 2)]
     once = held.groupBy("list", "n").agg(*sums).groupBy("n", "sum1", "sum2").agg(F.min("list").alias("list"))
     return held.join(once.select("list"), "list")
 
@@ -257,57 +270,60 @@ def near_pairs(sizes: np.ndarray, sketches: list[bytes], percent: int) -> tuple[
 
 
 class _Forest:
-    def __init__(self, labels: list):
-        self.parent: dict = {x: x for x in labels}
+    def __init__(self, n: int):
+        self.parent = list(range(n))
 
-    def root(self, x):
+    def root(self, x: int) -> int:
         while self.parent[x] != x:
             self.parent[x] = self.parent[self.parent[x]]
             x = self.parent[x]
         return x
 
-    def join(self, x, y) -> bool:
+    def join(self, x: int, y: int) -> bool:
         x, y = self.root(x), self.root(y)
         self.parent[x] = y
         return x != y
 
 
 def _propose(rows: list[tuple], percent: int, trees: int) -> Iterator[tuple[bytes, bytes]]:
-    """Links to check among members (set, size, sketch, label, refuted, side): `trees` forests without common edges."""
-    if len(rows) == 2 and rows[0][3] == rows[1][3]:
-        return
+    """Links to check among members (set, size, sketch, linked, refuted, side): `trees` forests without common edges."""
     sizes = np.array([r[1] for r in rows], np.int64)
     i, j, bits = near_pairs(sizes, [r[2] for r in rows], percent)
     order = np.lexsort((j, i, bits))
     crossing = any(r[5] for r in rows)
+    place = {r[0]: k for k, r in enumerate(rows)}
+    known = [(k, place[other]) for k, r in enumerate(rows) for other in r[3] or () if other in place]
+    answered = {(min(x), max(x)) for x in known}
+    answered |= {(min(k, place[o]), max(k, place[o])) for k, r in enumerate(rows) for o in r[4] or () if o in place}
     edges = []
-    for k in order.tolist():
-        a, b = rows[i[k]], rows[j[k]]
-        if a[3] != b[3] and not (crossing and a[5] == b[5]) and b[0] not in (a[4] or ()):
+    for a, b in zip(i[order].tolist(), j[order].tolist(), strict=True):
+        if (min(a, b), max(a, b)) not in answered and not (crossing and rows[a][5] == rows[b][5]):
             edges.append((a, b))
     for _ in range(trees):
-        forest, rest = _Forest([r[3] for r in rows]), []
+        forest, rest = _Forest(len(rows)), []
+        for a, b in known:
+            forest.join(a, b)
         for a, b in edges:
-            if forest.join(a[3], b[3]):
-                yield min(a[0], b[0]), max(a[0], b[0])
+            if forest.join(a, b):
+                yield min(rows[a][0], rows[b][0]), max(rows[a][0], rows[b][0])
             else:
                 rest.append((a, b))
-        edges = rest
-        if not edges:
+        if len(rest) == len(edges):
             return
+        edges = rest
 
 
 _PAIR = "list long, a binary, b binary"
 
 
 def proposals(joined: DataFrame, percent: int, trees: int) -> DataFrame:
-    """(list, a, b) from rows (list, n, set, size, sketch, label, refuted)."""
+    """(list, a, b) from rows (list, n, set, size, sketch, linked, refuted)."""
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("set"), blocks.cast("bigint")).cast("int")
     placed = joined.withColumn("blocks", blocks).withColumn("own", own).withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
     placed = placed.select(
         "list", F.least("own", "with").alias("one"), F.greatest("own", "with").alias("two"),
-        "set", "size", "sketch", "label", "refuted", F.when(F.col("own") > F.col("with"), 1).otherwise(0).alias("side"),
+        "set", "size", "sketch", "linked", "refuted", F.when(F.col("own") > F.col("with"), 1).otherwise(0).alias("side"),
     )
     # In the group of two blocks only pairs across are compared.
     placed = placed.withColumn("side", F.when(F.col("one") == F.col("two"), 0).otherwise(F.col("side") + 1))
@@ -339,25 +355,52 @@ def proposals(joined: DataFrame, percent: int, trees: int) -> DataFrame:
     return placed.repartition("list", "one", "two").sortWithinPartitions("list", "one", "two", "set").mapInArrow(task, _PAIR)
 
 
+#: Bits of the filter of wanted rows: a power of two over so many for each, up to a bound.
+FILTER_BITS, MOST_FILTER_BITS = 16, 1 << 28
+
+
+def _filter(wanted: DataFrame) -> tuple[bytes, int]:
+    """Bits by hash of the wanted rows (id, key), and their number; a word of 64 is a row."""
+    bits = min(MOST_FILTER_BITS, max(64, 1 << (FILTER_BITS * wanted.count()).bit_length()))
+    cell = F.pmod(F.col("key"), F.lit(bits))
+    word, place = F.floor(cell / 64).cast("int"), F.pmod(cell, F.lit(64)).cast("int")
+    words = wanted.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), place).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    held = np.zeros(bits // 64, np.int64)
+    for row in words.toLocalIterator():
+        held[row["word"]] = row["bits"]
+    return held.tobytes(), bits
+
+
 def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set, tokens) for rows (id, key, set)."""
+    """(set, tokens) for rows (id, key, set).
+
+    Texts stay where they are: the filter, which lets through all wanted rows and
+    few others, goes to the tasks, and only sets meet the wanted rows.
+    """
+    held, bits = _filter(wanted)
+    shared = docs.sparkSession.sparkContext.broadcast(held)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.frombuffer(shared.value, np.int64).view(U64)
         for batch in batches:
-            for base, bounds, token in _sets(batch.column(1)):
+            cell = batch.column(1).to_numpy().view(U64) & U64(bits - 1)
+            chosen = batch.filter(pa.array((words[(cell >> U64(6)).astype(np.int64)] >> (cell & U64(63))) & U64(1) > 0))
+            for base, bounds, token in _sets(chosen.column(2)):
                 n = len(bounds) - 1
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(base, n), ta.lists(pa.array(ta.signed(token)), bounds)], names=["set", "tokens"]
+                    [chosen.column(0).slice(base, n), chosen.column(1).slice(base, n), ta.lists(pa.array(ta.signed(token)), bounds)],
+                    names=["id", "key", "tokens"],
                 )
 
-    chosen = docs.alias("d").join(wanted.alias("w"), F.expr("d.id <=> w.id AND d.key = w.key")).select("w.set", "d.text")
-    return chosen.mapInArrow(task, "set binary, tokens array<long>").dropDuplicates(["set"])
+    schema = T.StructType([docs.schema["id"], T.StructField("key", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))])
+    found = docs.select("id", "key", "text").mapInArrow(task, schema).alias("d")
+    return found.join(wanted.alias("w"), F.expr("d.id <=> w.id AND d.key = w.key")).select("w.set", "d.tokens").dropDuplicates(["set"])
 
 
 def _proposed_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """(set, tokens) of all sets in proposals."""
     wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-    return _whole_sets(docs, wanted.join(sets.select("set", "id", "key"), "set"))
+    return _whole_sets(docs, common.stored(wanted.join(sets.select("set", "id", "key"), "set"), "sets-wanted"))
 
 
 def _checked(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -375,34 +418,35 @@ def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame
 
     For rows (id, key, text) and one row (set, id, key, size, prefix, sketch) per set.
     """
-    bound = boundary(sets, percent)
-    listed = common.stored(members(sets, bound, percent), "members")
-    seen = sets.select("set", "size", "sketch")
-    nothing = F.lit(None).cast("array<binary>")
-    joined = listed.join(seen, "set").withColumn("label", F.col("set")).withColumn("refuted", nothing)
-    found, refuted, full, trees = None, None, None, 1
+    listed = common.stored(members(sets, percent), "members")
+    seen = sets.select(_name().alias("name"), "set", "size", "sketch")
+    unknown = F.lit(None).cast("array<binary>")
+    joined = listed.join(seen, "name").withColumn("linked", unknown).withColumn("refuted", unknown)
+    full, answers, past, trees = None, None, None, 1
     while True:
         pairs = common.stored(proposals(joined, percent, trees), "proposals")
-        if pairs.isEmpty():
-            return found if found is not None else pairs.select("a", "b")
         if full is None:
             # The first trees span all that the sketches allow, so later proposals are of the same sets.
             full = common.stored(_proposed_sets(docs, sets, pairs), "sets-whole")
-        answers = common.stored(_checked(full, pairs, percent), "answers")
-        good = answers.where("linked").select("a", "b")
-        bad = answers.where("NOT linked").select("a", "b")
-        found = good if found is None else found.unionByName(good)
-        if bad.isEmpty():
-            return found
-        refuted = bad if refuted is None else refuted.unionByName(bad)
+        fresh = pairs.select("a", "b").distinct()
+        fresh = fresh if answers is None else fresh.join(answers, ["a", "b"], "left_anti")
+        checked = common.stored(_checked(full, fresh, percent), "answers")
+        answers = checked if answers is None else answers.unionByName(checked)
+        told = common.stored(pairs.join(answers, ["a", "b"]), "told")
+        past = told if past is None else past.unionByName(told)
+        failed = told.where("NOT linked").select("list").distinct()
+        if failed.isEmpty():
+            return answers.where("linked").select("a", "b")
         trees *= 8
         # Only lists with a failed proposal can hold more.
-        again = pairs.join(bad, ["a", "b"]).select("list").distinct()
-        labels = common.stored(components.components(found), "labels").select(F.col("node").alias("set"), F.col("component").alias("label"))
-        both = refuted.unionByName(refuted.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        without = both.groupBy(F.col("a").alias("set")).agg(F.collect_set("b").alias("refuted"))
-        joined = listed.join(again, "list").join(seen, "set").join(labels, "set", "left").join(without, "set", "left")
-        joined = joined.withColumn("label", F.coalesce("label", "set"))
+        both = past.join(failed, "list")
+        both = both.select("list", F.col("a").alias("set"), F.col("b").alias("other"), "linked").unionByName(
+            both.select("list", F.col("b").alias("set"), F.col("a").alias("other"), "linked")
+        )
+        known = both.groupBy("list", "set").agg(
+            F.collect_set(F.when(F.col("linked"), F.col("other"))).alias("linked"), F.collect_set(F.when(~F.col("linked"), F.col("other"))).alias("refuted")
+        )
+        joined = listed.join(failed, "list").join(seen, "name").join(known, ["list", "set"], "left")
 
 
 def _owned(rows: DataFrame, percent: int) -> DataFrame:

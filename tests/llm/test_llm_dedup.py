@@ -209,7 +209,7 @@ def test_small_and_large_sets_meet(spark, docs, monkeypatch):
     df = spark.createDataFrame(rows, docs.schema)
     want = order(linked(rows))
     for bound in (0, 8, 12, 27, 41, 1000):
-        monkeypatch.setattr(jaccard, "boundary", lambda sets, percent, bound=bound: bound)
+        monkeypatch.setattr(jaccard, "boundary", lambda sets, shared, percent, bound=bound: bound)
         assert order([tuple(r) for r in jaccard.groups(df).collect()]) == want, bound
 
 
