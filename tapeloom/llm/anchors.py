@@ -30,7 +30,7 @@ from . import common, textarrays as ta
 from .textarrays import U64
 
 #: Symbols that are worked on at once; positions take the low bits of a sort key.
-SLICE = 1 << 21
+SLICE = 1 << 19
 _PLACE = U64((1 << 22) - 1)
 
 

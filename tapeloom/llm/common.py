@@ -10,8 +10,13 @@ from tapeloom import session
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of rows that go to a Python worker at once; the default counts rows, whatever their length.
+BATCH_BYTES = 8 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     session.prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

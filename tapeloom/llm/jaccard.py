@@ -39,7 +39,7 @@ SUBSET = 2
 #: FREQUENT times the mean set size of these, which bounds what tasks are sent.
 FREQUENT = 500
 #: Tokens a task gathers before it looks for frequent ones.
-GATHERED = 1 << 22
+GATHERED = 1 << 20
 #: Sketch bits: least power of two over twice the tokens, within these.
 LEAST_BITS, MOST_BITS = 64, 8192
 #: Members of a list that meet in one group; longer lists meet block by block.
@@ -212,24 +212,30 @@ def boundary(sets: DataFrame, shared: DataFrame, percent: int = PERCENT) -> int:
     return CLASSES[best] if best else 0
 
 
+def _shared(posted: DataFrame) -> DataFrame:
+    """Members of lists that have two or more, with the list's count and two sums that tell its members.
+
+    Dealt by list once: what is counted there is joined there.
+    """
+    dealt = posted.repartition("list")
+    sums = [F.bit_xor(F.xxhash64("name", F.lit(seed))).alias(f"sum{seed}") for seed in (1, 2)]
+    return dealt.join(dealt.groupBy("list").agg(F.count(F.lit(1)).alias("n"), *sums).where("n > 1"), "list")
+
+
 def members(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(list, n, name) of lists with two members or more, once for each different group of members.
 
     Near copies share many tokens and so stand together in many lists; groups are
     told by count and two 64-bit sums of their members.
     """
-    tokens = _tokens(sets, percent)
-    counted = tokens.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.first("level").alias("level")).where("n > 1")
-    counted = common.stored(counted, "lists-shared")
+    large = common.stored(_shared(_tokens(sets, percent)), "lists-of-tokens")
+    counted = large.groupBy("list", "level").agg(F.count(F.lit(1)).alias("n"))
     bound = boundary(sets, counted, percent)
     # Large sets, and the small ones that could be their partners.
-    large = tokens.where(F.col("size") * 100 >= bound * percent).join(counted.select("list", "n"), "list").select("list", "n", "name")
-    small = _subsets(sets.where(F.col("size") < bound), percent)
-    few = small.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    held = common.stored(large.unionByName(small.join(few, "list").select("list", "n", "name")), "members-all")
-    sums = [F.bit_xor(F.xxhash64("name", F.lit(seed))).alias(f"sum{seed}") for seed in (1, 2)]
-    once = held.groupBy("list", "n").agg(*sums).groupBy("n", "sum1", "sum2").agg(F.min("list").alias("list"))
-    return held.join(once.select("list"), "list")
+    large = large.where(F.col("size") * 100 >= bound * percent).drop("level", "size")
+    held = large.unionByName(common.stored(_shared(_subsets(sets.where(F.col("size") < bound), percent)), "lists-of-pairs"))
+    once = held.groupBy("n", "sum1", "sum2").agg(F.min("list").alias("list"))
+    return held.join(once.select("list"), "list").select("list", "n", "name")
 
 
 def _folded(sketch: np.ndarray, width: int) -> np.ndarray:

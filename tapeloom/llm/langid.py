@@ -37,7 +37,7 @@ LONG = 48
 #: Probabilities are scaled by this for each byte, to keep products in range.
 SCALE = 8.0
 TOGETHER = 20_000
-SLICE = 1 << 22
+SLICE = 1 << 21
 REMEMBERED = 1 << 20
 UNKNOWN = "und"
 

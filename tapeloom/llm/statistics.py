@@ -11,7 +11,7 @@ IS_SYMBOL = np.zeros(256, bool)
 IS_SYMBOL[list(b"#*$%&|<>")] = True
 NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Bytes of text that are worked on at once.
-SLICE = 1 << 21
+SLICE = 1 << 19
 
 
 def _per_text(marks: np.ndarray, bounds: np.ndarray) -> np.ndarray:

@@ -37,7 +37,7 @@ LEAST_CELLS, MOST_CELLS = 1 << 20, 1 << 28
 #: Cells that are merged and sent together.
 BLOCK = 1 << 18
 #: Anchors that a task gathers before it sends a sketch of them.
-GATHERED = 1 << 21
+GATHERED = 1 << 19
 SALTS = 16
 
 
