@@ -17,12 +17,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tapeloom import session  # noqa: E402
 from tapeloom.functions.timebucket import floor_to  # noqa: E402
-from tapeloom.operators import bars, labels, metrics, normalize, orderflow, recent, scoring, training  # noqa: E402
+from tapeloom.operators import bars, labels, metrics, normalize, ordered, orderflow, recent, scoring, training  # noqa: E402
 from tapeloom.sources import features, history, models, raw  # noqa: E402
 from tapeloom.streaming import ingest as ingest_stream  # noqa: E402
 from tapeloom.streaming import orderflow as orderflow_stream  # noqa: E402
 from tapeloom.streaming import replay as replay_stream  # noqa: E402
 from tapeloom.streaming import scoring as scoring_stream  # noqa: E402
+from tapeloom.streaming import tail  # noqa: E402
 
 try:  # the only place that may do without the training-data subpackage
     import corpus_pipeline
@@ -99,19 +100,20 @@ def raw_frames(ticks: DataFrame) -> DataFrame:
 
 
 def dialect_frames(ticks: DataFrame) -> DataFrame:
-    """Buys with short keys, the rest with long ones; some long prices absent."""
+    """Buys with short keys, the rest with long ones; some long prices absent, some quantities tiny."""
     short = F.to_json(F.struct(
         F.col("ts").alias("T"), F.col("price").cast("string").alias("p"), F.col("qty").cast("string").alias("q"), F.lit(False).alias("m"),
     ))
-    long = F.to_json(F.struct("ts", F.when(F.col("qty") >= 5, F.col("price")).alias("price"), "qty", "side"))
+    tiny = F.when(F.col("side") == "other", F.col("qty") / 100000).otherwise(F.col("qty"))
+    long = F.to_json(F.struct("ts", F.when(F.col("qty") >= 5, F.col("price")).alias("price"), tiny.alias("qty"), "side"))
     return ticks.select("seq", F.when(F.col("side") == "buy", short).otherwise(long).alias("value"))
 
 
 def log_fields(ticks: DataFrame) -> DataFrame:
-    """Log entries as string maps; which fields are there depends on the side."""
+    """Log entries as string maps; which fields are there, and how times are spelled, depends on the side."""
     pairs = F.array(
         *[F.struct(F.lit(n).alias("k"), c.cast("string").alias("v")) for n, c in {
-            "ts": F.col("ts"),
+            "ts": F.when(F.col("side") == "sell", F.regexp_replace(F.col("ts").cast("string"), "(...)$", "_$1 ")).otherwise(F.col("ts").cast("string")),
             "price": F.col("price"),
             "qty": F.when(F.col("side") != "sell", F.col("qty")),
             "side": F.when(F.col("side") != "other", F.col("side")),
@@ -147,7 +149,7 @@ def sparse_view(df: DataFrame) -> DataFrame:
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled bars of all symbols."""
-    return labels.build_targets(bars.compute(trades(spark, sf_dir)))
+    return labels.labelled_bars(trades(spark, sf_dir))
 
 
 def scored_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,14 +159,6 @@ def scored_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.heuristic(ticks.withColumn("ofi", F.lit(0.0))).join(marked, ["symbol", "bucket"])
 
 
-def _trained(spark: SparkSession, sf_dir: str):
-    # Zero prices make infinite returns, which training refuses.
-    priced = trades(spark, sf_dir, with_symbol=False).where("price > 0")
-    path = features.save_features(bars.compute(priced), session.shared_folder(spark, "bars"))
-    dataset = labels.build_targets(features.load_features(spark, path))
-    return dataset, *training.train(dataset, labels.numeric_features(dataset))
-
-
 def _drain(query) -> None:
     query.awaitTermination()
 
@@ -214,11 +208,13 @@ def q_replay_roundtrip(spark, sf_dir):
 
 
 def q_replay_stream(spark, sf_dir):
-    past, out, checkpoint = (session.shared_folder(spark, n) for n in ("history", "replay", "replay-cp"))
+    """A range of the history published in order and tailed by a stream."""
+    past, out, log, checkpoint = (session.shared_folder(spark, n) for n in ("history", "replay", "log", "replay-cp"))
     history.append(trades(spark, sf_dir), past)
-    source = raw.stream_frames(spark, past, history.HISTORY)
-    _drain(replay_stream.publish_stream(source, RANGE_START, RANGE_END, out, checkpoint))
-    return spark.read.parquet(out)
+    replay_stream.publish(history.open_history(spark, past), RANGE_START, RANGE_END, out)
+    entries = raw.stream_frames(spark, out, spark.read.parquet(out).schema)
+    _drain(ingest_stream.append_log(entries, log, checkpoint))
+    return spark.read.parquet(log)
 
 
 def q_bars_ohlcv(spark, sf_dir):
@@ -279,7 +275,15 @@ def q_ofi(spark, sf_dir):
 
 
 def q_ofi_prefix(spark, sf_dir):
-    return orderflow.imbalance_by_prefix(trades(spark, sf_dir))
+    return orderflow.imbalance(trades(spark, sf_dir), chunk_bits=10)
+
+
+def q_ofi_chunks(spark, sf_dir):
+    return orderflow.imbalance_by_chunks(trades(spark, sf_dir))
+
+
+def q_ofi_no_seq(spark, sf_dir):
+    return orderflow.imbalance(trades(spark, sf_dir).drop("seq"))
 
 
 def q_ofi_single(spark, sf_dir):
@@ -306,6 +310,45 @@ def q_ingest_stream(spark, sf_dir):
     return history.load_trades(spark, past, "BTCUSDT")
 
 
+def q_ingest_two_feeds(spark, sf_dir):
+    """Two feeds with a checkpoint each into one log, history and folder of rejects."""
+    log, past, bad = (session.shared_folder(spark, n) for n in ("log", "history", "rejects"))
+    for part in (0, 1):
+        frames = raw_frames(trades_stream(spark, sf_dir)).where(F.col("seq") % 2 == part)
+        checkpoint = session.shared_folder(spark, "ingest-cp")
+        _drain(ingest_stream.start(frames, log, past, checkpoint, rejects_path=bad, symbol="BTCUSDT"))
+    columns = ("seq", "ts", "price", "qty", "side")
+    logged = spark.read.schema(raw.TRADE).option("recursiveFileLookup", "true").parquet(log).select(*columns)
+    loaded = history.load_trades(spark, past, "BTCUSDT").select(*columns)
+    rejected = spark.read.option("recursiveFileLookup", "true").parquet(bad).select("seq", F.col("reason").alias("side"))
+    parts = {"log": logged, "history": loaded, "rejects": rejected}
+    first, *rest = [df.withColumn("sink", F.lit(name)) for name, df in parts.items()]
+    for df in rest:
+        first = first.unionByName(df, allowMissingColumns=True)
+    return first
+
+
+def q_log_tail(spark, sf_dir):
+    """The live log read to its end by a second consumer."""
+    log, past, seen = (session.shared_folder(spark, n) for n in ("log", "history", "seen"))
+    frames = raw_frames(trades_stream(spark, sf_dir))
+    _drain(ingest_stream.start(frames, log, past, session.shared_folder(spark, "cp"), drop_rejects=True, symbol="BTCUSDT"))
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
+
+    _drain(tail.tail(raw.stream_trades(spark, log), session.shared_folder(spark, "cp"), keep))
+    return spark.read.parquet(seen).drop("batch")
+
+
+def q_text_frames(spark, sf_dir):
+    """Messages landed as text files; their positions are the order of arrival."""
+    path = session.shared_folder(spark, "text")
+    raw_frames(trades(spark, sf_dir)).repartitionByRange(5, "seq").sortWithinPartitions("seq").select("value").write.text(path)
+    lines = ordered.running(raw.read_text(spark, path), [], "seq", {"position": F.lit(1).cast("bigint")})
+    return normalize.normalize(lines)[0].select("position", "ts", "price", "qty", "side")
+
+
 def q_heuristic_score(spark, sf_dir):
     scored = scoring.payload(normalize.coerce_fields(log_fields(trades(spark, sf_dir))).withColumnRenamed("seq", "id"))
     return scored.select("id", "ts", "price", "qty", "side", *map(r6, ("ofi", "prob_up", "prob_down")), "predictor")
@@ -333,8 +376,18 @@ def q_labels(spark, sf_dir):
 
 
 def q_labels_h3(spark, sf_dir):
-    targets = labels.build_targets(bars.compute(trades(spark, sf_dir), "7min", (3,)), 3, 0.0)
-    return bar_view(targets, "future_return", "label")
+    return bar_view(labels.labelled_bars(trades(spark, sf_dir), "7min", (3,), 3, 0.0), "future_return", "label")
+
+
+def q_labels_wide(spark, sf_dir):
+    """A horizon that is wider than a chunk would otherwise be."""
+    return bar_view(labels.labelled_bars(trades(spark, sf_dir), "1min", (3,), 5000), "future_return", "label")
+
+
+def q_labels_of_bars(spark, sf_dir):
+    """Targets of bars that are made already."""
+    path = features.save_features(bars.compute(trades(spark, sf_dir)), session.shared_folder(spark, "features"))
+    return bar_view(labels.build_targets(features.load_features(spark, path)), "price_close", "future_return", "label")
 
 
 def q_chrono_split(spark, sf_dir):
@@ -351,21 +404,40 @@ def q_class_metrics(spark, sf_dir):
 
 
 def q_train_model(spark, sf_dir):
-    """One row per fitted coefficient with the quality of the model."""
-    _, bundle, quality = _trained(spark, sf_dir)
-    names = [*bundle.feature_cols, "intercept"]
+    """How far the fitted coefficients are from a minimum of the penalised loss: its gradient, by term.
+
+    The fit sees the earlier 80 % of each symbol's labelled bars whose returns are finite.
+    """
+    written = session.materialize(labelled(spark, sf_dir), "labelled")
+    terms = ("return_1", "vol_3", "ma_3")
+    bundle, _ = training.train(written, terms, unusable="drop")
+    rows = training.usable(labels.chrono_split(written).where(~F.col("is_test")), terms).persist()
+    off = scoring.score(rows, bundle).withColumn("off", F.col("prob_up") - F.col("label"))
     fitted = bundle.model.stages[-1]
-    values = [*map(float, fitted.coefficients), float(fitted.intercept)]
-    rows = spark.createDataFrame(list(zip(names, values)), "term string, coefficient double")
-    return rows.withColumns({k: F.lit(float(v)) for k, v in sorted(quality.items())})
+    sums = off.agg(F.count(F.lit(1)).alias("rows"), F.sum("off").alias("intercept"), *[F.sum(F.col("off") * F.col(t)).alias(t) for t in terms])
+    gradient = [F.struct(F.lit("intercept").alias("term"), F.col("intercept").alias("g"))]
+    gradient += [F.struct(F.lit(t).alias("term"), (F.col(t) + F.lit(float(c))).alias("g")) for t, c in zip(terms, fitted.coefficients)]
+    each = sums.select("rows", F.explode(F.array(*gradient)).alias("x"))
+    return each.select("x.term", "rows", (F.round(F.col("x.g") / F.col("rows"), 4) + F.lit(0.0)).alias("gradient"))
 
 
 def q_model_score(spark, sf_dir):
-    """Bars scored by the saved and reloaded model."""
-    dataset, bundle, quality = _trained(spark, sf_dir)
+    """Bars scored by a saved and reloaded model, and by the same model where the bars miss its column.
+
+    With one 0/1 feature and no penalty to speak of, the fitted probabilities are
+    the shares of ones among the training rows with and without the feature.
+    """
+    up = F.when(F.col("price_close") >= F.col("price_open"), 1).otherwise(0)
+    written = session.materialize(labelled(spark, sf_dir).withColumn("up", up), "labelled")
+    bundle, quality = training.train(written, ("up",), C=1e9)
     path = models.save_model(spark, bundle, session.shared_folder(spark, "model"), {"metrics": quality})
-    scored = scoring.score(dataset, models.load_model(spark, path))
-    return bar_view(scored, "label", "prob_up", "prob_down", "predictor")
+    models.save_model(spark, bundle, path, {"metrics": quality})
+    loaded = models.load_model(spark, path)
+    scored = scoring.score(written, loaded).withColumnsRenamed({"prob_up": "p_up", "prob_down": "p_down"}).drop("predictor", "up")
+    both = scoring.score(scored, loaded)
+    names = {"p_up": "p_up", "p_down": "p_down", "prob_up": "missing_up"}
+    rounded = [(F.round(F.col(c) + NUDGE, 4) + F.lit(0.0)).alias(n) for c, n in names.items()]
+    return both.select("symbol", F.unix_millis("timestamp").alias("bucket"), "label", *rounded, "predictor")
 
 
 def q_last_n(spark, sf_dir):
@@ -392,6 +464,10 @@ def q_monotone_axis(spark, sf_dir):
     return recent.monotone_axis(trades(spark, sf_dir))
 
 
+def q_axis_no_seq(spark, sf_dir):
+    return recent.monotone_axis(trades(spark, sf_dir).drop("seq"))
+
+
 def q_monotone_axis_ties(spark, sf_dir):
     return recent.monotone_axis(line_trades(spark, sf_dir)).select("symbol", "seq", "ts", "axis")
 
@@ -513,12 +589,23 @@ _OFI = """SELECT symbol, seq, ts, (b - s)::DOUBLE / greatest(b + s, 1) AS ofi FR
   SELECT *, sum(CASE WHEN side = 'buy' THEN 1 ELSE 0 END) OVER w AS b, sum(CASE WHEN side = 'sell' THEN 1 ELSE 0 END) OVER w AS s
   FROM t WINDOW w AS (PARTITION BY symbol ORDER BY seq ROWS BETWEEN 99 PRECEDING AND CURRENT ROW))"""
 
+# Trades without arrival positions: in time order, ties by price, quantity and side.
+_TIME_ORDER = """t AS (SELECT * REPLACE (row_number() OVER (PARTITION BY symbol ORDER BY ts, price NULLS FIRST, qty NULLS FIRST, side NULLS FIRST) AS seq) FROM a)"""
+
+_SPLIT = """SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY bucket) > n - CAST(ceil(0.2::DOUBLE * n) AS BIGINT) AS is_test
+  FROM (SELECT *, count(*) OVER (PARTITION BY symbol) AS n FROM lab)"""
+
 _SCORE = "greatest(0.0, least(1.0, 0.5 + ofi * 0.05::DOUBLE))"
 _PAYLOAD = f"ts, price, qty, side, {_r('ofi')}, {_r(_SCORE, 'prob_up')}, {_r(f'1.0 - {_SCORE}', 'prob_down')}, 'heuristic' AS predictor"
 _SIGNED = "CASE WHEN side = 'buy' THEN qty ELSE -qty END"
 _SCORED_TRADES = f"WITH {_ticks()}, e AS (SELECT CAST(seq AS VARCHAR) AS id, ts, price, qty, side, {_SIGNED} AS ofi FROM t) SELECT id, {_PAYLOAD} FROM e"
 
 _BAD = "((side = 'buy' AND qty < 5) OR (side = 'sell' AND qty < 5) OR (side = 'other' AND qty < 10))"
+def _browser(expr: str) -> str:
+    """A browser's text of numbers that have ten decimals at most."""
+    return f"regexp_replace(rtrim(format('{{:.10f}}', {expr}), '0'), '[.]$', '')"
+
+
 _STRINGS = "SELECT symbol, seq, CAST(ts AS VARCHAR) AS ts, CAST(price AS VARCHAR) AS price, CAST(qty AS VARCHAR) AS qty, side FROM t"
 _IN_RANGE = f"ts BETWEEN {RANGE_START} AND {RANGE_END}"
 
@@ -549,14 +636,15 @@ def oracle_sql() -> dict[str, str]:
         "raw_parse": f"""WITH {_ticks()} SELECT seq, CASE side WHEN 'buy' THEN 'not json' WHEN 'sell' THEN 'bad price' ELSE 'missing m' END AS reason
             FROM t WHERE {_BAD}""",
         "normalize_trade": f"WITH {_ticks()} SELECT seq, ts, price, qty, CASE WHEN side = 'buy' THEN 'buy' ELSE 'sell' END AS side FROM t WHERE NOT {_BAD}",
-        "normalize_dialects": f"WITH {_ticks()} SELECT seq, ts || '-' || qty || '-' || price || '-' || seq AS id, ts, price, qty, CASE WHEN side = 'buy' THEN 'buy' ELSE 'sell' END AS side FROM t WHERE side = 'buy' OR qty >= 5",
+        "normalize_dialects": f"""WITH {_ticks()}, u AS (SELECT seq, ts, price, side, CASE WHEN side = 'other' THEN qty / 100000 ELSE qty END AS qty FROM t WHERE side = 'buy' OR qty >= 5)
+            SELECT seq, ts || '-' || {_browser('qty')} || '-' || {_browser('price')} || '-' || seq AS id, ts, price, qty, CASE WHEN side = 'buy' THEN 'buy' ELSE 'sell' END AS side FROM u""",
         "coerce_fields": f"""WITH {_ticks()} SELECT seq, ts, price, CASE WHEN side = 'sell' THEN 0.0 ELSE qty END AS qty,
             CASE WHEN side = 'other' THEN 'buy' ELSE side END AS side, round(CASE WHEN side = 'other' THEN price / 8 ELSE 0.0 END + 1e-9::DOUBLE, 6) + 0.0 AS ofi FROM t""",
         "load_trades": f"WITH {_ticks()} SELECT seq, ts, price, qty, side, symbol FROM t WHERE symbol = 'SYM1' AND {_IN_RANGE}",
         "history_load": f"WITH {_ticks()} SELECT seq, ts, price, qty, side, symbol FROM t WHERE symbol = 'SYM3' AND {_IN_RANGE}",
-        "replay_range": f"WITH {_ticks()} SELECT seq, ts, price, qty, side FROM t WHERE {_IN_RANGE}",
+        "replay_range": f"WITH {_ticks()} SELECT seq, ts, price, qty, side, row_number() OVER (ORDER BY ts, seq) AS position FROM t WHERE {_IN_RANGE}",
         "replay_strings": f"WITH {_ticks()} {_STRINGS}",
-        "replay_stream": f"WITH {_ticks()} {_STRINGS} WHERE t.{_IN_RANGE}",
+        "replay_stream": f"WITH {_ticks()} {_STRINGS.replace('side FROM', 'side, row_number() OVER (ORDER BY t.ts, seq, symbol) AS position FROM')} WHERE t.{_IN_RANGE}",
         "replay_roundtrip": f"WITH {_ticks().replace('t AS', 'a AS', 1)}, t AS (SELECT * FROM a WHERE {_IN_RANGE}) {_OFI}",
         "bars_ohlcv": f"""WITH {_ticks("'UNKNOWN'")}, {_sparse_sql(MINUTE)} {_sparse_select()}""",
         "bars_7min": f"WITH {_ticks()}, {_sparse_sql(seven, False)} {_sparse_select()}",
@@ -574,6 +662,15 @@ def oracle_sql() -> dict[str, str]:
         "ofi": f"WITH {_ticks()} {_OFI}",
         "ofi_prefix": f"WITH {_ticks()} {_OFI}",
         "ofi_single": f"""WITH {_ticks("'UNKNOWN'")} {_OFI}""",
+        "ofi_chunks": f"WITH {_ticks()} {_OFI}",
+        "ofi_no_seq": f"WITH {_ticks().replace('t AS', 'a AS', 1)}, {_TIME_ORDER} {_OFI}",
+        "axis_no_seq": f"WITH {_ticks().replace('t AS', 'a AS', 1)}, {_TIME_ORDER} {_axis_sql('t')}",
+        "log_tail": f"WITH {_ticks()} SELECT 'BTCUSDT' AS symbol, seq, ts, price, qty, CASE WHEN side = 'buy' THEN 'buy' ELSE 'sell' END AS side FROM t WHERE NOT {_BAD}",
+        "text_frames": f"""WITH {_ticks()}, n AS (SELECT *, row_number() OVER (ORDER BY seq) AS position FROM t)
+            SELECT position, ts, price, qty, CASE WHEN side = 'buy' THEN 'buy' ELSE 'sell' END AS side FROM n WHERE NOT {_BAD}""",
+        "ingest_two_feeds": f"""WITH {_ticks()}, good AS (SELECT seq, ts, price, qty, CASE WHEN side = 'buy' THEN 'buy' ELSE 'sell' END AS side FROM t WHERE NOT {_BAD})
+            SELECT seq, ts, price, qty, side, sink FROM good, (VALUES ('log'), ('history')) s(sink)
+            UNION ALL SELECT seq, NULL, NULL, NULL, CASE side WHEN 'buy' THEN 'not json' WHEN 'sell' THEN 'bad price' ELSE 'missing m' END, 'rejects' FROM t WHERE {_BAD}""",
         "ofi_stream": f"WITH {_ticks()} {_OFI}",
         "ofi_stateful": f"WITH {_ticks()} {_OFI}",
         "ingest_stream": f"WITH {_ticks()} SELECT seq, ts, price, qty, CASE WHEN side = 'buy' THEN 'buy' ELSE 'sell' END AS side, 'BTCUSDT' AS symbol FROM t WHERE NOT {_BAD}",
@@ -584,6 +681,16 @@ def oracle_sql() -> dict[str, str]:
         "score_stream": _SCORED_TRADES,
         "labels": _labels_sql() + f"SELECT symbol, bucket, {_r('price_close')}, {_r('future_return')}, label FROM lab",
         "labels_h3": _labels_sql(seven, (3,), 3, "0.0", False) + f"SELECT symbol, bucket, {_r('future_return')}, label FROM lab",
+        "labels_wide": _labels_sql(MINUTE, (3,), 5000) + f"SELECT symbol, bucket, {_r('future_return')}, label FROM lab",
+        "labels_of_bars": _labels_sql() + f"SELECT symbol, bucket, {_r('price_close')}, {_r('future_return')}, label FROM lab",
+        "train_model": _labels_sql()
+        + f"""SELECT term, count(*) AS rows, 0.0::DOUBLE AS gradient FROM ({_SPLIT}), (VALUES ('intercept'), ('return_1'), ('vol_3'), ('ma_3')) v(term)
+            WHERE NOT is_test AND isfinite(return_1) AND isfinite(vol_3) AND isfinite(ma_3) GROUP BY term""",
+        "model_score": _labels_sql()
+        + f""", sc AS (SELECT *, CASE WHEN price_close >= price_open THEN 1 ELSE 0 END AS up FROM ({_SPLIT})),
+            shares AS (SELECT avg(label) FILTER (WHERE up = 1) AS one, avg(label) FILTER (WHERE up = 0) AS zero FROM sc WHERE NOT is_test)
+            SELECT symbol, bucket, label, round(CASE WHEN up = 1 THEN one ELSE zero END + 1e-9::DOUBLE, 4) + 0.0 AS p_up,
+              round(1 - CASE WHEN up = 1 THEN one ELSE zero END + 1e-9::DOUBLE, 4) + 0.0 AS p_down, round(zero + 1e-9::DOUBLE, 4) + 0.0 AS missing_up, 'model' AS predictor FROM sc, shares""",
         "chrono_split": _labels_sql()
         + """SELECT symbol, bucket, label, row_number() OVER (PARTITION BY symbol ORDER BY bucket)
             > n - CAST(ceil(0.2::DOUBLE * n) AS BIGINT) AS is_test FROM (SELECT *, count(*) OVER (PARTITION BY symbol) AS n FROM lab)""",

@@ -11,6 +11,8 @@ FLOAT_TEXT = (
 )
 # Text a browser turns into a number.
 BROWSER_TEXT = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|Infinity)\s*$"
+# The accepted spellings of a whole number in text.
+INT_TEXT = r"^\s*[+-]?\d+(?:_\d+)*\s*$"
 BROWSER_HEX = r"^\s*0[xX][0-9a-fA-F]{1,15}\s*$"
 
 
@@ -33,6 +35,12 @@ def parse_float(text: Column) -> Column:
     return F.when(text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
 
 
+def parse_int(text: Column) -> Column:
+    """BIGINT from text; NULL where the text is no whole number."""
+    digits = F.regexp_replace(text, r"[_\s]", "")
+    return F.when(text.rlike(INT_TEXT), digits.try_cast("bigint"))
+
+
 def browser_number(text: Column, is_boolean: Column) -> Column:
     """Number a browser makes of a JSON value given as text, NULL for NaN."""
     return (
@@ -71,6 +79,29 @@ def float_text(value: Column) -> Column:
     )
 
 
+def browser_text(value: Column) -> Column:
+    """Text a browser makes of a number: no ``.0``, plain from 1e-6 up to 1e21, else ``1e-7`` style."""
+    size = F.abs(value)
+    whole = value.try_cast("decimal(38,0)")
+    plain = F.when((size < 1e21) & (whole.cast("double") == value), whole.cast("string")).otherwise(
+        F.regexp_replace(value.try_cast("decimal(38,20)").cast("string"), r"\.?0+$", "")
+    )
+    parts = F.split(value.cast("string"), "E")
+    power = parts.getItem(1).try_cast("int")
+    exponent = F.concat(
+        F.regexp_replace(parts.getItem(0), r"\.0$", ""),
+        F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
+        F.abs(power).cast("string"),
+    )
+    return (
+        F.when(value == 0, F.lit("0"))
+        .when(F.isnan(value), F.lit("NaN"))
+        .when(size == float("inf"), F.when(value > 0, F.lit("Infinity")).otherwise(F.lit("-Infinity")))
+        .when((size >= 1e-6) & (size < 1e21), plain)
+        .otherwise(exponent)
+    )
+
+
 def grouped(value: Column, digits: int) -> Column:
     """Thousands separators and at most ``digits`` decimals, no trailing zeros."""
     text = F.format_number(F.round(value, digits), digits)

@@ -21,6 +21,9 @@ DEFAULT_WINDOWS = (3, 5, 15)
 # Grid points per chunk of the dense stage.
 CHUNK_BARS = 4096
 
+# Chunks of a gap that are told together (2**10).
+GAP_BITS = 10
+
 # Kinds of rows in a chunk, in order at equal times: what was known before the
 # chunk, a bar, and the first grid point after the chunk.
 OPENING, BAR, CLOSING = 0, 1, 2
@@ -139,31 +142,38 @@ def _carries(sparse: DataFrame, step: int, chunk_bars: int, halo: int) -> DataFr
     zone, following = F.col("zone"), F.col("next_zone")
     phase = F.col("phase")
 
-    def marks(first: Column, last: Column, kind: int, shift: int) -> Column:
-        def mark(chunk: Column) -> Column:
-            start = (chunk + (1 if kind == CLOSING else 0)) * width + phase - shift
-            return F.struct(chunk.alias("chunk"), start.alias("bucket"), F.lit(kind).alias("kind"))
-
-        span = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
-        return F.transform(span, mark)
+    def marks(first: Column, last: Column, kind: int, offset: int) -> Column:
+        at = F.lit(offset).cast("bigint") + phase
+        return F.struct(first.alias("first"), last.alias("last"), F.lit(kind).alias("kind"), at.alias("at"))
 
     half = F.shiftright
-    openings = marks(half(zone + 1, 1) + 1, half(following + 1, 1), OPENING, halo * step)
-    closings = marks(half(zone, 1), half(following, 1) - 1, CLOSING, 0)
+    openings = marks(half(zone + 1, 1) + 1, half(following + 1, 1), OPENING, -halo * step)
+    closings = marks(half(zone, 1), half(following, 1) - 1, CLOSING, width)
+    # A gap may span millions of chunks, so they are told in two steps.
+    low, block = F.shiftleft(F.col("block"), GAP_BITS), F.sequence(half("first", GAP_BITS), half("last", GAP_BITS))
     return (
         pairs.where("next_zone IS NOT NULL")
-        .select("symbol", F.explode(F.concat(openings, closings)).alias("mark"), *fills)
-        .select("symbol", "mark.*", *fills)
+        .select("symbol", F.inline(F.array(openings, closings)), *fills)
+        .where("first <= last")
+        .withColumn("block", F.explode(block))
+        .withColumn("chunk", F.explode(F.sequence(F.greatest("first", low), F.least("last", low + ((1 << GAP_BITS) - 1)))))
+        .select("symbol", "chunk", (F.col("chunk") * width + F.col("at")).alias("bucket"), "kind", *fills)
     )
 
 
-def dense_chunks(trades: DataFrame, buckets: Grid, halo: int, chunk_bars: int = CHUNK_BARS) -> DataFrame:
+def dense_chunks(
+    trades: DataFrame, buckets: Grid, halo: int, chunk_bars: int = CHUNK_BARS, ahead: int = 0
+) -> DataFrame:
     """Every grid point of every chunk, filled, plus ``halo`` points of context.
 
     Prices and VWAP repeat their own last value column by column, volume and
-    count of empty buckets are 0. ``own`` marks points that belong to the chunk.
+    count of empty buckets are 0. ``own`` marks points that belong to the chunk:
+    with ``ahead``, those whose ``ahead``-th successor lies in its stretch of
+    time. So every own point sees that far into the future, and only the last
+    ``ahead`` points of a symbol belong to no chunk.
     """
     step = buckets.step
+    halo += ahead
     chunk_bars = max(chunk_bars, 4 * halo)
     width = step * chunk_bars
     into_chunk = F.pmod(F.col("bucket"), F.lit(width))
@@ -222,7 +232,7 @@ def dense_chunks(trades: DataFrame, buckets: Grid, halo: int, chunk_bars: int =
         .cast("bigint")
         .alias("trade_count"),
         F.coalesce(F.col("vwap"), F.col("price_close")).alias("vwap"),
-        (slot_of(F.col("slot"), width) == F.col("chunk")).alias("own"),
+        (slot_of(F.col("slot") + ahead * step, width) == F.col("chunk")).alias("own"),
     )
 
 
@@ -248,12 +258,24 @@ def compute(
     Rows still missing a value (before the first price) are dropped last, so
     they count in the rolling windows. Empty trades give empty bars.
     """
+    return features(trades, rule, windows, chunk_bars)
+
+
+def features(
+    trades: DataFrame,
+    rule: str = DEFAULT_RULE,
+    windows: Iterable[int] = DEFAULT_WINDOWS,
+    chunk_bars: int = CHUNK_BARS,
+    ahead: int = 0,
+) -> DataFrame:
+    """The bars of ``compute``; with ``ahead`` also ``price_ahead``, the close that
+    many bars later, for all bars that have one."""
     windows = tuple(dict.fromkeys(int(w) for w in windows))
     if any(w < 1 for w in windows):
         raise ValueError("rolling windows must be at least 1")
     halo = max(windows, default=1)
     buckets = grid(rule)
-    bars = dense_chunks(trades, buckets, halo, chunk_bars)
+    bars = dense_chunks(trades, buckets, halo, chunk_bars, ahead)
     by_time = Window.partitionBy("symbol", "chunk").orderBy("bucket")
     bars = bars.withColumn("return_1", step_return(F.col("price_close"), F.lag("price_close").over(by_time)))
 
@@ -263,6 +285,8 @@ def compute(
         rolling[f"ma_{w}"] = F.avg(finite_or_null(F.col("price_close"))).over(frame)
         rolling[f"vol_{w}"] = F.coalesce(F.stddev_samp(finite_or_null(F.col("return_1"))).over(frame), F.lit(0.0))
         rolling[f"volumema_{w}"] = F.avg(finite_or_null(F.col("volume"))).over(frame)
+    if ahead:
+        rolling["price_ahead"] = F.lead("price_close", ahead).over(by_time)
     values = [
         "price_close", "price_open", "price_high", "price_low", "volume", "trade_count", "vwap", "return_1",
         *rolling,

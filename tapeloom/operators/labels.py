@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, Window, WindowSpec, functions as F, types as T
 
 from ..schema import with_symbol
-from . import ordered
+from . import bars, ordered
 
 DEFAULT_HORIZON = 1
 DEFAULT_THRESHOLD = 0.001
@@ -16,6 +18,39 @@ TARGETS = ("label", "future_return")
 TIME_CHUNK_BITS = 28
 
 
+def _targets(ahead: DataFrame, threshold: float, columns: list[str]) -> DataFrame:
+    """Targets from ``price_close`` and ``price_ahead``."""
+    close = F.col("price_close")
+    change = F.col("price_ahead") - close
+    beyond = F.when(change > 0, F.lit(float("inf"))).when(change < 0, F.lit(float("-inf")))
+    future_return = F.when(close == 0, beyond).otherwise(change / F.nullif(close, F.lit(0.0)))
+    return (
+        ahead.withColumn("future_return", future_return)
+        .where(F.col("future_return").isNotNull() & ~F.isnan("future_return"))
+        .withColumn("label", F.when(F.col("future_return") >= threshold, 1).otherwise(0))
+        .select(*columns, "future_return", "label")
+    )
+
+
+def labelled_bars(
+    trades: DataFrame,
+    rule: str = bars.DEFAULT_RULE,
+    windows: Iterable[int] = bars.DEFAULT_WINDOWS,
+    horizon: int = DEFAULT_HORIZON,
+    threshold: float = DEFAULT_THRESHOLD,
+    chunk_bars: int = bars.CHUNK_BARS,
+) -> DataFrame:
+    """Feature bars with their targets, straight from trades.
+
+    The future price is looked up where the bars are made, in the same chunk,
+    so labels cost no further shuffle whatever the horizon.
+    """
+    if horizon < 1:
+        raise ValueError("horizon must be at least 1")
+    ahead = bars.features(trades, rule, windows, chunk_bars, horizon)
+    return _targets(ahead, threshold, [c for c in ahead.columns if c != "price_ahead"])
+
+
 def build_targets(
     bars: DataFrame,
     horizon: int = DEFAULT_HORIZON,
@@ -23,30 +58,21 @@ def build_targets(
     *,
     chunk_bits: int = TIME_CHUNK_BITS,
 ) -> DataFrame:
-    """Add ``future_return`` over ``horizon`` rows and the 0/1 ``label``.
+    """Add ``future_return`` over ``horizon`` rows and the 0/1 ``label`` to made bars.
 
-    The last ``horizon`` bars of a symbol have no future and are dropped.
+    ``labelled_bars`` makes both at once. The last ``horizon`` bars of a symbol have no future and are dropped.
     """
     if horizon < 1:
         raise ValueError("horizon must be at least 1")
-    close = F.col("price_close")
 
     def columns(frame: DataFrame, spec: WindowSpec) -> DataFrame:
-        return frame.withColumn("_future", F.lag("price_close", horizon).over(spec))
+        return frame.withColumn("price_ahead", F.lag("price_close", horizon).over(spec))
 
     timed = with_symbol(bars).withColumn("_at", F.unix_millis("timestamp"))
     ahead = ordered.framed(
         timed, ["symbol"], "_at", horizon, columns, descending=True, chunk_bits=chunk_bits, levels=1
     )
-    change = F.col("_future") - close
-    beyond = F.when(change > 0, F.lit(float("inf"))).when(change < 0, F.lit(float("-inf")))
-    future_return = F.when(close == 0, beyond).otherwise(change / F.nullif(close, F.lit(0.0)))
-    return (
-        ahead.withColumn("future_return", future_return)
-        .where(F.col("future_return").isNotNull() & ~F.isnan("future_return"))
-        .withColumn("label", F.when(F.col("future_return") >= threshold, 1).otherwise(0))
-        .select(*bars.columns, "future_return", "label")
-    )
+    return _targets(ahead, threshold, bars.columns)
 
 
 def numeric_features(df: DataFrame) -> tuple[str, ...]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numbers import browser_number, parse_float
+from ..functions.numbers import browser_number, browser_text, parse_float, parse_int
 
 # Type and default of each log field.
 FIELD_DEFAULTS = {
@@ -133,7 +133,7 @@ def normalize_dialects(frames: DataFrame) -> DataFrame:
     )
     kept = parsed.where("ts IS NOT NULL AND price IS NOT NULL AND qty IS NOT NULL")
     # The arrival position stands in for a wall clock, so ids are reproducible.
-    made = F.concat_ws("-", F.col("ts").cast("bigint"), "qty", "price", "seq")
+    made = F.concat_ws("-", F.col("ts").cast("bigint"), browser_text(F.col("qty")), browser_text(F.col("price")), "seq")
     return kept.withColumns(
         {"id": F.coalesce("_id", made), "ts": F.col("ts").cast("bigint")}
     ).select(*[c for c in frames.columns if c != "value"], "id", "ts", "price", "qty", "side")
@@ -152,7 +152,7 @@ def coerce_fields(entries: DataFrame, column: str = "fields") -> DataFrame:
         if kind == "string":
             value = raw
         else:
-            parsed = F.trim(raw).try_cast("bigint") if kind == "bigint" else parse_float(raw)
+            parsed = parse_int(raw) if kind == "bigint" else parse_float(raw)
             complaint = F.concat(F.lit(f"bad {name}: "), raw)
             value = F.when(raw.isNotNull() & parsed.isNull(), F.raise_error(complaint).cast(kind)).otherwise(parsed)
         return F.coalesce(value, F.lit(default).cast(kind)).alias(name)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from ..schema import with_symbol
+from ..schema import with_arrival, with_symbol
 from . import ordered
 
 OFI_TRADES = 100
@@ -26,12 +26,12 @@ def _ratio_of_running(counted: DataFrame, spec: WindowSpec, size: int) -> DataFr
     return counted.withColumn("ofi", ratio(last["_net"], last["_known"])).drop("_net", "_known")
 
 
-def imbalance(
+def imbalance_by_chunks(
     trades: DataFrame, size: int = OFI_TRADES, *, emit: str | None = None, chunk_bits: int = ordered.CHUNK_BITS
 ) -> DataFrame:
-    """One ``ofi`` per trade over the last ``size`` trades, itself included.
+    """The values of ``imbalance`` with one shuffle of the ticks, but two sorts.
 
-    Counts rows in arrival order, not time. Ticks are shuffled once.
+    For positions without wide holes.
     """
     sums = {"_net": F.col("_sign"), "_known": F.abs(F.col("_sign"))}
 
@@ -41,22 +41,26 @@ def imbalance(
         upto = spec.rowsBetween(Window.unboundedPreceding, 0)
         return _ratio_of_running(ticks.withColumns({n: F.sum(c).over(upto) for n, c in sums.items()}), spec, size)
 
-    slim = with_symbol(trades).select(
+    slim = with_arrival(with_symbol(trades)).select(
         "symbol", "seq", "ts", side_sign(F.col("side")).alias("_sign"), *([emit] if emit else [])
     )
     framed = ordered.framed(slim, ["symbol"], "seq", size - 1, columns, emit=emit, chunk_bits=chunk_bits)
     return framed.select("symbol", "seq", "ts", "ofi")
 
 
-def imbalance_by_prefix(
-    trades: DataFrame, size: int = OFI_TRADES, *, chunk_bits: int = ordered.CHUNK_BITS
+def imbalance(
+    trades: DataFrame, size: int = OFI_TRADES, *, emit: str | None = None, chunk_bits: int = ordered.CHUNK_BITS
 ) -> DataFrame:
-    """The same values from running counts, for sequences with wide holes.
+    """One ``ofi`` per trade over the last ``size`` trades, itself included.
 
-    Where arrival positions of a symbol are far apart, chunks by position hold
-    few rows; this form numbers the rows first and cuts blocks of equal size.
+    Counts rows in arrival order, not time. Rows are numbered by running counts
+    and cut into blocks of equal size, so it does not matter how far apart the
+    arrival positions of a symbol are. Rows whose ``emit`` column is false only
+    serve as context.
     """
-    slim = with_symbol(trades).select("symbol", "seq", "ts", side_sign(F.col("side")).alias("_sign"))
+    slim = with_arrival(with_symbol(trades)).select(
+        "symbol", "seq", "ts", side_sign(F.col("side")).alias("_sign"), *([emit] if emit else [])
+    )
     sums = {
         "_nth": F.lit(1).cast("bigint"),
         "_net": F.col("_sign"),
@@ -73,6 +77,6 @@ def imbalance_by_prefix(
     spec = Window.partitionBy("symbol", "_block").orderBy("_nth")
     return (
         _ratio_of_running(spread, spec, size)
-        .where(F.col("_block") == block)
+        .where((F.col("_block") == block) & (F.col(emit) if emit else F.lit(True)))
         .select("symbol", "seq", "ts", "ofi")
     )

@@ -6,23 +6,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import dollars, fixed, signed_percent
 from ..functions.timebucket import slot_of, utc_clock
-from ..schema import with_symbol
-from ..session import materialize
+from ..schema import with_arrival, with_symbol
 from . import ordered
 
 BUFFER_TRADES = 200
 FEED_TRADES = 30
 ABSENT = "—"
 
-# Milliseconds per chunk of the axis (2**20, about 17 minutes) and the number of
-# trades up to which one task numbers a chunk.
+# Milliseconds per chunk of the axis (2**20, about 17 minutes).
 AXIS_CHUNK_BITS = 20
-AXIS_CHUNK_ROWS = 1 << 22
 
 
 def last_trades(trades: DataFrame, count: int = BUFFER_TRADES) -> DataFrame:
     """The newest ``count`` trades per symbol by arrival."""
-    return ordered.latest_rows(with_symbol(trades), ["symbol"], "seq", count)
+    return ordered.latest_rows(with_arrival(with_symbol(trades)), ["symbol"], "seq", count)
 
 
 def latest_trade(trades: DataFrame) -> DataFrame:
@@ -81,50 +78,33 @@ def _chunk_starts(chunks: DataFrame) -> DataFrame:
 
 
 def monotone_axis(
-    trades: DataFrame,
-    *,
-    chunk_bits: int = AXIS_CHUNK_BITS,
-    seq_bits: int = ordered.CHUNK_BITS,
-    chunk_rows: int = AXIS_CHUNK_ROWS,
+    trades: DataFrame, *, chunk_bits: int = AXIS_CHUNK_BITS, seq_bits: int = ordered.CHUNK_BITS
 ) -> DataFrame:
     """Strictly rising whole seconds ``axis`` per symbol in ``(ts, seq)`` order.
 
     A trade takes its own second, or one more than the trade before it if that
     is not larger: ``axis = n + max(0, max over trades up to it of (second - n))``
-    with ``n`` the trade's number. Trades are numbered inside stretches of time
-    and the stretches are chained by their totals. A stretch of more than
-    ``chunk_rows`` trades is numbered from counts per millisecond and run of
-    arrival positions instead, so even a single busy millisecond is shared.
+    with ``n`` the trade's number. Numbers come from counts per millisecond and
+    run of arrival positions, summed map-side: running counts within stretches
+    of time, stretches chained by their totals. Within a run the first trade has
+    the largest ``second - n``. So trades move once, to be numbered inside their
+    run, and even a single busy millisecond is shared.
     """
     key = ["symbol", "_chunk"]
-    slim = with_symbol(trades).select(
-        "symbol", "seq", "ts", "price", F.shiftright(F.col("ts"), chunk_bits).alias("_chunk")
-    )
-    crowded = materialize(
-        slim.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > chunk_rows).select(*key),
-        "crowded",
+    run = [*key, "ts", "_run"]
+    slim = with_arrival(with_symbol(trades)).select(
+        "symbol",
+        "seq",
+        "ts",
+        "price",
+        F.shiftright(F.col("ts"), chunk_bits).alias("_chunk"),
+        F.shiftright(F.col("seq"), seq_bits).alias("_run"),
     )
-    any_crowded = not crowded.isEmpty()
     second = slot_of(F.col("ts"), 1000)
-
-    in_time = Window.partitionBy(*key).orderBy("ts", "seq")
-    upto = in_time.rowsBetween(Window.unboundedPreceding, 0)
-    calm = slim.join(crowded, key, "left_anti") if any_crowded else slim
-    calm = calm.withColumn("_nth", F.row_number().over(in_time).cast("bigint")).withColumn(
-        "_top", F.max(second - F.col("_nth")).over(upto)
-    )
-    chunks = calm.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"), F.max("_top").alias("_top"))
-    axis = F.col("_start") + F.col("_nth") + F.greatest(F.col("_ahead"), F.col("_top") - F.col("_start"))
-    columns = ["symbol", "seq", "ts", axis.alias("axis"), "price"]
-    if not any_crowded:
-        return calm.join(_chunk_starts(chunks), key).select(*columns)
-
-    run = [*key, "ts", "_run"]
-    busy = slim.join(crowded, key, "left_semi").withColumn("_run", F.shiftright(F.col("seq"), seq_bits))
     in_runs = Window.partitionBy(*key).orderBy("ts", "_run")
     before = F.sum("_n").over(in_runs.rowsBetween(Window.unboundedPreceding, -1))
     runs = (
-        busy.groupBy(*run)
+        slim.groupBy(*run)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_before", F.coalesce(before, F.lit(0).cast("bigint")))
         .withColumn(
@@ -132,14 +112,13 @@ def monotone_axis(
             F.max(second - F.col("_before") - 1).over(in_runs.rowsBetween(Window.unboundedPreceding, 0)),
         )
     )
-    starts = _chunk_starts(
-        chunks.unionByName(runs.groupBy(*key).agg(F.sum("_n").alias("_rows"), F.max("_top").alias("_top")))
-    )
+    starts = _chunk_starts(runs.groupBy(*key).agg(F.sum("_n").alias("_rows"), F.max("_top").alias("_top")))
     placed = runs.join(starts, key).drop("_n")
     in_run = Window.partitionBy(*run).orderBy("seq")
-    numbered = busy.withColumn("_place", F.row_number().over(in_run)).join(placed, run)
-    crowded_part = numbered.withColumn("_nth", F.col("_before") + F.col("_place")).select(*columns)
-    return calm.join(starts, key).select(*columns).unionByName(crowded_part)
+    numbered = slim.withColumn("_nth", F.row_number().over(in_run)).join(placed, run)
+    nth = F.col("_before") + F.col("_nth")
+    axis = F.col("_start") + nth + F.greatest(F.col("_ahead"), F.col("_top") - F.col("_start"))
+    return numbered.select("symbol", "seq", "ts", axis.alias("axis"), "price")
 
 
 def chart_points(trades: DataFrame, count: int = BUFFER_TRADES) -> DataFrame:

@@ -39,9 +39,22 @@ def _check(dataset: DataFrame, feature_cols: Sequence[str]) -> int:
     return row["n"]
 
 
-def train(dataset: DataFrame, feature_cols: Sequence[str], C: float = 1.0) -> tuple[Bundle, dict[str, float]]:
+def usable(dataset: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
+    """Rows whose features are all there and finite."""
+    kept = dataset
+    for name in feature_cols:
+        value = F.col(name).cast("double")
+        kept = kept.where(value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf")))
+    return kept
+
+
+def train(
+    dataset: DataFrame, feature_cols: Sequence[str], C: float = 1.0, unusable: str = "refuse"
+) -> tuple[Bundle, dict[str, float]]:
     """Fit on the earlier 80 % of labelled bars, measure on the rest.
 
+    Rows with missing or infinite features (the return after a zero price) fail
+    the job, or with ``unusable="drop"`` have no part in fit and test.
     L2 penalty of strength 1/C on unscaled inputs, intercept not penalised.
     Spark averages the loss over rows, so the penalty is divided by their number.
     """
@@ -52,6 +65,8 @@ def train(dataset: DataFrame, feature_cols: Sequence[str], C: float = 1.0) -> tu
     # Read by the split, the checks, the fit and the test.
     written = materialize(dataset.select(*keep, *feature_cols, "label"), "labelled")
     split = labels.chrono_split(written).select(*feature_cols, "label", "is_test")
+    if unusable == "drop":
+        split = usable(split, feature_cols)
     rows = _check(split, feature_cols)
     stages = [
         VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="error"),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
+
+# 2**18 ms, about four minutes of trades for a task to number.
+ARRIVAL_BITS = 18
 
 UNKNOWN_SYMBOL = "UNKNOWN"
 
@@ -42,6 +45,24 @@ def with_position(df: DataFrame) -> DataFrame:
     return df.withColumn("seq", F.lit(0).cast("bigint"))
 
 
+def with_arrival(df: DataFrame) -> DataFrame:
+    """Make the arrival position present for operators that go by it.
+
+    Trades without one are taken in time order; at one time the order is price,
+    quantity, side. The positions then are 1, 2, ... within each symbol. A
+    millisecond is what one task numbers at least.
+    """
+    if "seq" in df.columns:
+        return df
+    from .operators import ordered
+
+    timed = with_symbol(df).withColumn("_slot", F.shiftright("ts", ARRIVAL_BITS))
+    before = ordered.offsets(timed, ["symbol"], "_slot", {"_before": F.lit(1).cast("bigint")})
+    place = Window.partitionBy("symbol", "_slot").orderBy("ts", "price", "qty", "side")
+    numbered = timed.withColumn("_place", F.row_number().over(place)).join(before, ["symbol", "_slot"])
+    return numbered.withColumn("seq", F.col("_before") + F.col("_place")).drop("_slot", "_place", "_before")
+
+
 def stamp_symbol(df: DataFrame, symbol: str) -> DataFrame:
     """Overwrite the symbol of every row, as a single-pair build does."""
     return df.withColumn("symbol", F.lit(symbol))

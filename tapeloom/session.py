@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,13 +55,38 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="tapeloom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate folders made inside when it ends.
+
+    Results must be written, or collected, before that.
+    """
+    from .sources import paths
+
+    own: list[str] = []
+    _scopes.append(own)
+    try:
+        yield
+    finally:
+        _scopes.remove(own)
+        for path in own:
+            paths.remove(spark, path)
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write an intermediate result once and go on from the written table.
 
-    For results that several jobs read; the table outlives lost executors.
+    For results that several jobs read; the table outlives lost executors. It
+    stays until the caller's ``scope`` ends, or for ever without one.
     """
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)

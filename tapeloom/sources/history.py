@@ -5,11 +5,12 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.numbers import float_text
 from ..functions.timebucket import utc_date
-from ..schema import TRADE, with_position, with_symbol
+from ..operators import ordered
+from ..schema import ARRIVAL_BITS, TRADE, with_arrival, with_position, with_symbol
 from . import paths
 
 PARTITIONS = ("symbol", "trade_date", "ingest_batch")
@@ -18,11 +19,11 @@ HISTORY = T.StructType(
         *TRADE.fields[1:],
         TRADE["symbol"],
         T.StructField("trade_date", T.DateType()),
-        T.StructField("ingest_batch", T.LongType()),
+        T.StructField("ingest_batch", T.StringType()),
     ]
 )
-# Batch number of rows that came from no stream.
-NO_BATCH = -1
+# Feed of rows that came from no stream.
+NO_FEED = "direct"
 # One file holds at most this many positions of a symbol and day (2**22).
 FILE_BITS = 22
 
@@ -37,12 +38,12 @@ def create_table(spark: SparkSession, name: str, location: str | None = None) ->
     )
 
 
-def _laid_out(trades: DataFrame, batch_id: int) -> DataFrame:
+def _laid_out(trades: DataFrame, batch: str = NO_FEED) -> DataFrame:
     """Rows grouped for writing; a busy symbol and day spreads over many tasks."""
     dated = with_position(with_symbol(trades)).withColumns(
         {
             "trade_date": utc_date(F.col("ts")),
-            "ingest_batch": F.lit(batch_id).cast("bigint"),
+            "ingest_batch": F.lit(batch),
             "_file": F.shiftright("seq", FILE_BITS),
         }
     )
@@ -55,18 +56,18 @@ def _laid_out(trades: DataFrame, batch_id: int) -> DataFrame:
 
 def append(trades: DataFrame, path: str) -> None:
     """Add trades to the history; nothing is deduplicated."""
-    _laid_out(trades, NO_BATCH).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    _laid_out(trades).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
 
 
 def append_table(trades: DataFrame, name: str) -> None:
     """Add trades to the catalogued history table."""
-    _laid_out(trades, NO_BATCH).write.mode("append").insertInto(name)
+    _laid_out(trades).write.mode("append").insertInto(name)
 
 
-def append_batch(trades: DataFrame, path: str, batch_id: int) -> None:
-    """Add a micro-batch; writing the same batch again replaces it."""
+def append_batch(trades: DataFrame, path: str, batch_id: int, feed: str = NO_FEED) -> None:
+    """Add a micro-batch; writing the same batch of the same feed again replaces it."""
     (
-        _laid_out(trades, batch_id)
+        _laid_out(trades, f"{feed}-{batch_id}")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS)
@@ -134,13 +135,23 @@ def _in_order(trades: DataFrame) -> DataFrame:
 
 
 def replay_range(trades: DataFrame, start_ts: int, end_ts: int) -> DataFrame:
-    """Trades with ``ts`` in the closed range, in replay order."""
-    return _in_order(select_trades(trades, None, start_ts, end_ts))
+    """Trades with ``ts`` in the closed range, in replay order, with ``position`` 1, 2, ...
+
+    The order is ``(ts, seq, symbol)``. Positions are counted per stretch of time
+    and the stretches added up, so no task ranks the whole range.
+    """
+    chosen = select_trades(with_arrival(trades), None, start_ts, end_ts)
+    timed = chosen.withColumn("_slot", F.shiftright("ts", ARRIVAL_BITS))
+    last = ["symbol"] if "symbol" in chosen.columns else []
+    place = Window.partitionBy("_slot").orderBy("ts", "seq", *last)
+    before = ordered.offsets(timed, [], "_slot", {"_before": F.lit(1).cast("bigint")})
+    numbered = timed.withColumn("_place", F.row_number().over(place)).join(before, "_slot")
+    return numbered.select(*chosen.columns, (F.col("_before") + F.col("_place")).alias("position")).orderBy("position")
 
 
 def replay_entries(trades: DataFrame) -> DataFrame:
     """Trades as log entries, every value as text."""
-    keep = [c for c in ("symbol", "seq") if c in trades.columns]
+    keep = [c for c in ("symbol", "seq", "position") if c in trades.columns]
     return trades.select(
         *keep,
         F.col("ts").cast("bigint").cast("string").alias("ts"),

@@ -2,19 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..schema import RAW_FRAME, TRADE, UNKNOWN_SYMBOL
 
 
+# Bits of a position that number the lines of a split.
+SPLIT_BITS = 33
+
+
 def read_frames(spark: SparkSession, path: str) -> DataFrame:
     """Frames landed with their arrival position, as Parquet ``[seq, value]``."""
     return spark.read.schema(RAW_FRAME).parquet(path)
 
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
-    """Plain text files, one frame per line, numbered by file split and line."""
-    return spark.read.text(path).withColumn("seq", F.monotonically_increasing_id())
+    """Plain text files, one frame per line, in the order of file names and lines.
+
+    Spark reads splits in any order, but the lines of one split in theirs: a
+    split's place among the others goes in front of its lines' numbers. There is
+    a row per split to put in order.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << SPLIT_BITS) - 1)).alias("_line"),
+    )
+    splits = lines.select("_file", "_start").distinct()
+    placed = splits.withColumn("_place", F.row_number().over(Window.orderBy("_file", "_start")).cast("bigint") - 1)
+    seq = F.shiftleft("_place", SPLIT_BITS).bitwiseOR(F.col("_line"))
+    return lines.join(placed, ["_file", "_start"]).select("value", seq.alias("seq"))
 
 
 def stream_frames(
@@ -24,12 +42,14 @@ def stream_frames(
     *,
     max_bytes_per_trigger: int = 8 << 30,
     max_files_per_trigger: int | None = None,
+    since_ms: int | None = None,
     **options: str,
 ) -> DataFrame:
     """Tail a folder of Parquet frames from its beginning.
 
     The position is kept in the checkpoint of the query that reads it. A
     micro-batch is capped by bytes, or by files where that is given.
+    ``since_ms`` passes over files that were there before that time.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger is None:
@@ -38,7 +58,10 @@ def stream_frames(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     for key, value in options.items():
         reader = reader.option(key, value)
-    return reader.parquet(path)
+    frames = reader.parquet(path)
+    if since_ms is None:
+        return frames
+    return frames.where(F.col("_metadata.file_modification_time") >= F.timestamp_millis(F.lit(since_ms)))
 
 
 def stream_trades(spark: SparkSession, path: str, **options) -> DataFrame:

@@ -10,16 +10,6 @@ from ..schema import TRADE, stamp_symbol, with_symbol
 from ..sources import history, paths
 
 
-def write_once(df: DataFrame, base: str, batch_id: int, kind: str = "parquet") -> None:
-    """Write a batch folder unless it is already complete.
-
-    Readers that tail ``base`` never see a finished batch change.
-    """
-    target = paths.join(base, f"batch={batch_id}")
-    if not paths.exists(df.sparkSession, paths.join(target, "_SUCCESS")):
-        df.write.mode("overwrite").format(kind).save(target)
-
-
 def fan_out(
     frames: DataFrame,
     batch_id: int,
@@ -27,17 +17,27 @@ def fan_out(
     history_path: str,
     rejects_path: str | None = None,
     symbol: str | None = None,
+    *,
+    drop_rejects: bool = False,
+    feed: str = history.NO_FEED,
 ) -> None:
-    """One micro-batch to the log, then to the history, each at most once."""
+    """One micro-batch to the log, then to the history, each at most once.
+
+    Without ``rejects_path`` a bad frame fails the batch before anything is
+    written, unless ``drop_rejects`` asks to leave such frames out.
+    """
     both = normalize.checked(frames).persist()
     try:
+        rejects = normalize.rejects_of(both)
+        if rejects_path:
+            paths.write_once(rejects, rejects_path, feed, batch_id)
+        elif not drop_rejects and (bad := rejects.first()) is not None:
+            raise ValueError(f"bad trade message at {bad['seq']}: {bad['reason']}")
         trades = normalize.trades_of(both)
         trades = stamp_symbol(trades, symbol) if symbol else with_symbol(trades)
         trades = trades.select(*TRADE.names)
-        write_once(trades, log_path, batch_id)
-        history.append_batch(trades, history_path, batch_id)
-        if rejects_path:
-            write_once(normalize.rejects_of(both), rejects_path, batch_id)
+        paths.write_once(trades, log_path, feed, batch_id)
+        history.append_batch(trades, history_path, batch_id, feed)
     finally:
         both.unpersist()
 
@@ -50,19 +50,24 @@ def start(
     *,
     rejects_path: str | None = None,
     symbol: str | None = None,
+    drop_rejects: bool = False,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Run the fan-out on a stream of ``[seq, value]`` frames.
 
-    Without ``rejects_path`` a bad frame is left out of both sinks silently;
-    with it, it is kept there together with the reason.
+    Bad frames are kept under ``rejects_path`` together with the reason. Without
+    it they fail the query, or go unseen if ``drop_rejects`` is set. Feeds may
+    share the sinks: each batch is known by its checkpoint and number.
     """
+    feed = paths.feed_id(frames.sparkSession, checkpoint)
     return (
         frames.writeStream.queryName("ingest")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .foreachBatch(
-            lambda batch, batch_id: fan_out(batch, batch_id, log_path, history_path, rejects_path, symbol)
+            lambda batch, batch_id: fan_out(
+                batch, batch_id, log_path, history_path, rejects_path, symbol, drop_rejects=drop_rejects, feed=feed
+            )
         )
         .start()
     )

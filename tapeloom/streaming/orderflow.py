@@ -23,23 +23,25 @@ from ..operators import ordered
 from ..operators.orderflow import OFI_TRADES, imbalance, side_sign
 from ..schema import with_symbol
 from ..sources import paths
+from ..sources.history import NO_FEED
 
 
 # Bytes per micro-batch that one task can take in the stateful form.
 STATEFUL_BYTES = 128 << 20
 
 
-def _remove(spark, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def micro_batch(
-    trades: DataFrame, batch_id: int, out_path: str, state_path: str, size: int = OFI_TRADES
+    trades: DataFrame,
+    batch_id: int,
+    out_path: str,
+    state_path: str,
+    size: int = OFI_TRADES,
+    feed: str = NO_FEED,
 ) -> None:
     """Features of one micro-batch, and the last ``size - 1`` trades per symbol.
 
-    Output and state are named by batch, so a repeated batch replaces its own.
+    The output is written once per feed and batch; the state belongs to one
+    checkpoint and is named by batch, so a repeated batch replaces its own.
     """
     spark = trades.sparkSession
 
@@ -53,14 +55,13 @@ def micro_batch(
             paths.require(spark, paths.join(state(batch_id - 1), "_SUCCESS"), "order-flow state")
             before = spark.read.schema("symbol string, seq bigint, ts bigint, side string").parquet(state(batch_id - 1))
             known = fresh.unionByName(before.withColumn("fresh", F.lit(False)))
-        features = imbalance(known, size, emit="fresh")
-        features.write.mode("overwrite").parquet(paths.join(out_path, f"batch={batch_id}"))
+        paths.write_once(imbalance(known, size, emit="fresh"), out_path, feed, batch_id)
         last = ordered.latest_rows(known, ["symbol"], "seq", size - 1).drop("fresh")
         last.write.mode("overwrite").parquet(state(batch_id))
     finally:
         fresh.unpersist()
     if batch_id > 1:
-        _remove(spark, state(batch_id - 2))
+        paths.remove(spark, state(batch_id - 2))
 
 
 def start(
@@ -71,13 +72,14 @@ def start(
     size: int = OFI_TRADES,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Write one feature row per trade to ``out_path/batch=N``."""
+    """Write one feature row per trade to ``out_path/feed=ID/batch=N``."""
     state_path = paths.join(checkpoint, "last_trades")
+    feed = paths.feed_id(trades.sparkSession, checkpoint)
     return (
         trades.writeStream.queryName("orderflow")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .foreachBatch(lambda batch, batch_id: micro_batch(batch, batch_id, out_path, state_path, size))
+        .foreachBatch(lambda batch, batch_id: micro_batch(batch, batch_id, out_path, state_path, size, feed))
         .start()
     )
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.normalize import coerce_fields
 from ..sources import history
@@ -13,31 +12,16 @@ DEFAULT_SPAN_MS = 60_000
 
 
 def publish(trades: DataFrame, start_ts: int, end_ts: int, out_path: str) -> str:
-    """Write a closed range as log entries, files in ``(ts, seq)`` order."""
+    """Write a closed range as log entries in ``(ts, seq)`` order, with their ``position``.
+
+    Files are numbered in that order. The range is read in batch, so only the
+    days it touches are listed; consumers tail what is published as any log.
+    """
     entries = history.replay_entries(history.replay_range(trades, start_ts, end_ts))
     entries.write.mode("append").parquet(out_path)
     return out_path
 
 
-def publish_stream(
-    trades: DataFrame,
-    start_ts: int,
-    end_ts: int,
-    out_path: str,
-    checkpoint: str,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """The same entries from a stream over the history files."""
-    entries = history.replay_entries(history.select_trades(trades, None, start_ts, end_ts))
-    return (
-        entries.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start(out_path)
-    )
-
-
 def received(entries: DataFrame) -> DataFrame:
     """Published entries as trades, read the way every consumer reads the log."""
     names = ("ts", "price", "qty", "side")

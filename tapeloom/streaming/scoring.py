@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import scoring
-from ..sources import models
-from .ingest import write_once
+from ..sources import models, paths
 
 
 def entries_of(trades: DataFrame) -> DataFrame:
@@ -41,10 +40,12 @@ def start(
         writer = texts.writeStream.format("text").outputMode("append").trigger(**when)
         return writer.option("checkpointLocation", checkpoint).start(out_path)
 
+    feed = paths.feed_id(entries.sparkSession, checkpoint)
+
     def score_batch(batch: DataFrame, batch_id: int) -> None:
         bundle = models.load_model(batch.sparkSession, model_path)
         texts = scoring.payload_json(scoring.payload(batch, bundle))
-        write_once(texts, out_path, batch_id, "text")
+        paths.write_once(texts, out_path, feed, batch_id, "text")
 
     writer = entries.writeStream.trigger(**when).option("checkpointLocation", checkpoint)
     return writer.foreachBatch(score_batch).start()

@@ -217,3 +217,29 @@ def test_labels_across_chunks(spark, horizon, chunk_bits):
     assert {r["symbol"]: (r["n"], r["first"]) for r in split.collect()} == {
         "A": (12, at + 60_000 * 48), "B": (1, at + 120_000), "C": (1, at)
     }
+
+
+def test_labels_need_no_further_shuffle(spark, trades_of):
+    """One explosion of the gaps and one exchange of the dense stage in the plan of labelled bars."""
+    df = labels.labelled_bars(trades_of([(BASE + 60_000 * i * (1 + i % 5), 1.0 + i, 1.0) for i in range(300)]), "1min", (3,), 5)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("REPARTITION_BY_NUM") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("horizon", [1, 3, 50, 390])
+@pytest.mark.parametrize("rule", ["1min", "250ms"])
+def test_labelled_bars_equal_targets_of_bars(spark, trades_of, horizon, rule):
+    step = 60_000 if rule == "1min" else 250
+    rows = [(BASE + step * (i * 7 % 400), float(1 + i % 9), 1.0, "buy", f"S{i % 2}") for i in range(200)]
+    trades = trades_of(rows)
+    ours = labels.labelled_bars(trades, rule, (3, 5), horizon, 0.0, chunk_bars=16)
+    theirs = labels.build_targets(bars.compute(trades, rule, (3, 5)), horizon, 0.0)
+    key = ["symbol", "timestamp", "price_close", "future_return", "label", "ma_5"]
+    shown = lambda df: sorted((r[0], str(r[1]), *[round(x, 9) for x in r[2:]]) for r in df.select(*key).collect())
+    assert shown(ours) == shown(theirs) and theirs.count() > 0
+
+
+def test_a_stray_time_makes_no_giant_array(trades_of):
+    trades = trades_of([(0, 1.0, 1.0), (86_400_000 * 40, 2.0, 1.0)])
+    assert bars.compute(trades, "1s", (3,)).count() == 86_400 * 40 + 1

@@ -81,6 +81,12 @@ def test_model_scoring_fills_missing_inputs(spark, dataset, folder):
     assert loaded.feature_cols == ("a", "b")
     assert models.load_metadata(spark, path)["metrics"] == quality
     assert models.load_model(spark, folder("none")) is None
+    # A second save is another version; the newest counts, with its own columns.
+    models.save_model(spark, training.train(dataset, ("a",))[0], path, {"metrics": {}})
+    assert models.load_model(spark, path).feature_cols == ("a",)
+    models.save_model(spark, bundle, path, {"metrics": quality})
+    loaded = models.load_model(spark, path)
+    assert loaded.feature_cols == ("a", "b")
     # Neither input is there: a constant, from the intercept alone.
     row = scoring.score(spark.createDataFrame([("x", 1.0)], "id string, qty double"), loaded).first()
     expected = 1 / (1 + math.exp(-bundle.model.stages[-1].intercept))

@@ -97,7 +97,7 @@ def test_dialects(spark):
         8: (9, 1.0, float("inf"), "buy"),
     }
     ids = by_seq(normalize.normalize_dialects(frames(spark, texts[:2])), "id")
-    assert ids == {0: ("1-0",), 1: ("6-3.0-11.0-1",)}
+    assert ids == {0: ("1-0",), 1: ("6-3-11-1",)}
 
 
 def test_coerce_defaults_only_for_absent_fields(spark):

@@ -46,7 +46,7 @@ def test_other_sides_fill_a_slot(spark):
 
 
 @pytest.mark.parametrize("chunk_bits", [3, 7, 10, 18])
-@pytest.mark.parametrize("form", [orderflow.imbalance, orderflow.imbalance_by_prefix])
+@pytest.mark.parametrize("form", [orderflow.imbalance, orderflow.imbalance_by_chunks])
 def test_chunked_forms_match_brute_force(spark, random_rows, form, chunk_bits):
     got = {(r["symbol"], r["seq"]): r["ofi"] for r in form(frame(spark, random_rows), chunk_bits=chunk_bits).collect()}
     assert got == brute(random_rows)
@@ -92,9 +92,8 @@ def loop_axis(part):
     return out
 
 
-@pytest.mark.parametrize("chunk_rows", [0, 40, 10**9])
 @pytest.mark.parametrize("chunk_bits,seq_bits", [(10, 2), (13, 5), (22, 18)])
-def test_axis_matches_the_loop(spark, chunk_bits, seq_bits, chunk_rows):
+def test_axis_matches_the_loop(spark, chunk_bits, seq_bits):
     rng = random.Random(11)
     rows = []
     for seq in range(600):
@@ -102,7 +101,7 @@ def test_axis_matches_the_loop(spark, chunk_bits, seq_bits, chunk_rows):
         ts = rng.choice([0, 5, 900, 1000, 1001, 7000, 7000, 7000, 7999, rng.randrange(90_000), rng.randrange(2_000_000)])
         rows.append((rng.choice(["A", "A", "B"]), seq, ts, 1.0))
     df = spark.createDataFrame(rows, "symbol string, seq bigint, ts bigint, price double")
-    got = recent.monotone_axis(df, chunk_bits=chunk_bits, seq_bits=seq_bits, chunk_rows=chunk_rows).collect()
+    got = recent.monotone_axis(df, chunk_bits=chunk_bits, seq_bits=seq_bits).collect()
     for symbol in "AB":
         mine = {r["seq"]: r["axis"] for r in got if r["symbol"] == symbol}
         assert mine == loop_axis([(r[2], r[1]) for r in rows if r[0] == symbol])

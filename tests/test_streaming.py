@@ -1,11 +1,12 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tapeloom.operators import normalize, orderflow, scoring
 from tapeloom.plans import run_stream
-from tapeloom.sources import history, models, raw
+from tapeloom.sources import history, models, paths, raw
 from tapeloom.streaming import ingest, replay, tail
 from tapeloom.streaming import orderflow as orderflow_stream
 from tapeloom.streaming import scoring as scoring_stream
@@ -74,7 +75,7 @@ def test_ingest_fans_out_and_restarts_without_duplicates(spark, folder, landed):
 def test_repeated_batch_changes_nothing(spark, folder, landed):
     batch = raw.read_frames(spark, landed)
     for _ in range(2):
-        ingest.fan_out(batch, 4, folder("log"), folder("past"))
+        ingest.fan_out(batch, 4, folder("log"), folder("past"), drop_rejects=True)
     expected = normalize.normalize(batch)[0].count()
     assert spark.read.parquet(folder("log")).count() == expected
     assert history.load_trades(spark, folder("past")).count() == expected
@@ -147,7 +148,7 @@ def test_replay_gives_the_live_features(spark, folder, landed):
     replay.publish(past, begin, end, folder("again"))
     assert same(orderflow.imbalance(replay.received(spark.read.parquet(folder("again")))).select(*KEY), live)
     run_stream.main(
-        ["replay", folder("past"), folder("again2"), "--start-ts", str(begin), "--end-ts", str(end), "--checkpoint", folder("cp-r")],
+        ["replay", folder("past"), folder("again2"), "--start-ts", str(begin), "--end-ts", str(end)],
         spark,
     )
     assert same(spark.read.parquet(folder("again2")), spark.read.parquet(folder("again")))
@@ -164,7 +165,7 @@ def test_independent_consumers_see_the_whole_log(spark, folder, landed):
 
 
 def test_jobs_run_streams(spark, folder, landed):
-    run_stream.main(["ingest", landed, folder("log"), folder("past"), "--checkpoint", folder("c1"), "--symbol", "ETH"], spark)
+    run_stream.main(["ingest", landed, folder("log"), folder("past"), "--checkpoint", folder("c1"), "--symbol", "ETH", "--drop-rejects"], spark)
     run_stream.main(["orderflow", folder("log"), folder("ofi"), "--checkpoint", folder("c2")], spark)
     run_stream.main(["score", folder("log"), folder("scored"), "--checkpoint", folder("c3")], spark)
     n = history.load_trades(spark, folder("past"), "ETH").count()
@@ -206,6 +207,117 @@ def test_append_log_and_text_frames(spark, folder, landed):
     assert lines.count() == 300 and lines.select("seq").distinct().count() == 300
 
 
+def test_text_positions_follow_files_and_lines(spark, tmp_path):
+    (tmp_path / "part-0").write_text("a0\na1\na2\n")
+    (tmp_path / "part-1").write_text("".join(f"b{i}\n" for i in range(3000)))
+    got = [r["value"] for r in raw.read_text(spark, str(tmp_path)).orderBy("seq").collect()]
+    assert got == ["a0", "a1", "a2", *(f"b{i}" for i in range(3000))]
+
+
+def test_two_feeds_share_their_sinks(spark, folder):
+    """Both begin with batch 0, as does a feed whose checkpoint was reset."""
+    total = 0
+    for name, begin, end in (("a", 0, 40), ("b", 40, 100), ("a-reset", 100, 130)):
+        frames(spark, begin, end).write.parquet(folder(f"raw-{name}"))
+        source = raw.stream_frames(spark, folder(f"raw-{name}"))
+        run(ingest.start(source, folder("log"), folder("past"), folder(f"cp-{name}"), rejects_path=folder("bad"), symbol="X"))
+        total += end - begin
+        n = history.load_trades(spark, folder("past"), "X").count()
+        assert n == spark.read.option("recursiveFileLookup", "true").parquet(folder("log")).count()
+        assert n + spark.read.option("recursiveFileLookup", "true").parquet(folder("bad")).count() == total
+
+
+def test_bad_frames_end_an_ingest_unless_told_otherwise(spark, folder, landed):
+    batch = raw.read_frames(spark, landed)
+    with pytest.raises(ValueError, match="bad trade message"):
+        ingest.fan_out(batch, 0, folder("log"), folder("past"))
+    assert not paths.exists(spark, folder("log")) and not paths.exists(spark, folder("past"))
+    ingest.fan_out(batch, 0, folder("log"), folder("past"), drop_rejects=True)
+    assert history.load_trades(spark, folder("past")).count() == normalize.normalize(batch)[0].count()
+
+
+def test_a_batch_is_seen_whole_or_not_at_all(spark, folder, landed, monkeypatch):
+    """The driver is lost after writing, before publishing."""
+    batch = raw.read_frames(spark, landed)
+    at = paths._at
+
+    class Lost:
+        def __init__(self, files):
+            self.files = files
+
+        def rename(self, source, goal):
+            raise ConnectionError("driver lost")
+
+        def __getattr__(self, name):
+            return getattr(self.files, name)
+
+    monkeypatch.setattr(paths, "_at", lambda spark, path: (Lost(at(spark, path)[0]), at(spark, path)[1]))
+    with pytest.raises(ConnectionError):
+        paths.write_once(batch, folder("log"), "f", 0)
+    monkeypatch.setattr(paths, "_at", at)
+    seen = spark.read.schema(raw.RAW_FRAME).option("recursiveFileLookup", "true").parquet(folder("log"))
+    assert seen.count() == 0
+    for _ in range(2):
+        paths.write_once(batch, folder("log"), "f", 0)
+    assert spark.read.option("recursiveFileLookup", "true").parquet(folder("log")).count() == 300
+
+
+def test_feeds_are_named_by_their_checkpoint(spark, folder):
+    one = paths.feed_id(spark, folder("cp"))
+    assert paths.feed_id(spark, folder("cp")) == one
+    paths.remove(spark, folder("cp"))
+    assert paths.feed_id(spark, folder("cp")) != one
+
+
+def test_replay_is_in_order_and_pruned(spark, folder, trades_of):
+    day = 86_400_000
+    rows = [(day * (i % 4) + 4 * i, 1.0, 1.0, "buy", f"S{i % 3}") for i in range(60)]
+    history.append(trades_of(rows), folder("past"))
+    replay.publish(history.open_history(spark, folder("past")), 0, 9 * day, folder("again"))
+    found = spark.read.parquet(folder("again"))
+    want = sorted((r[0], i) for i, r in enumerate(rows))
+    assert [(int(r["ts"]), r["seq"]) for r in found.orderBy("position").collect()] == want
+    assert [r["position"] for r in found.orderBy("position").collect()] == list(range(1, 61))
+    # Files follow each other in the order of their names.
+    in_files = found.select("*", F.input_file_name().alias("file")).groupBy("file").agg(F.min("position").alias("a"), F.max("position").alias("b"))
+    spans = [(r["a"], r["b"]) for r in in_files.orderBy("file").collect()]
+    assert all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
+    minute = history.replay_range(history.open_history(spark, folder("past")), day, day + 60_000)
+    assert {r["symbol"] for r in minute.select("symbol").collect()} <= {"S0", "S1", "S2"}
+    plan = minute._jdf.queryExecution().executedPlan().toString()
+    assert "trade_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_new_only_streams_pass_over_old_files(spark, folder, landed):
+    def tailed(since):
+        seen = []
+        source = raw.stream_frames(spark, landed, since_ms=since)
+        run(tail.tail(source, folder(f"cp-{since}"), lambda batch, _: seen.append(batch.count())))
+        return sum(seen)
+
+    assert tailed(0) == 300
+    assert tailed(int(time.time() * 1000) + 60_000) == 0
+    first = paths.remembered(spark, folder("cp"), "since", "5")
+    assert first == paths.remembered(spark, folder("cp"), "since", "9") == "5"
+
+
+def test_tail_job(spark, folder, landed, capfd):
+    run_stream.main(["ingest", landed, folder("log"), folder("past"), "--checkpoint", folder("c1"), "--rejects", folder("bad")], spark)
+    run_stream.main(["tail", folder("log"), "--checkpoint", folder("c2"), "--max-files", "1"], spark)
+    with pytest.raises(SystemExit):
+        run_stream.main(["tail", folder("log")], spark)
+
+
+def test_scopes_remove_what_was_made_inside(spark, trades_of):
+    from tapeloom import session
+
+    with session.scope(spark):
+        kept = session.materialize(trades_of([(5, 1.0, 2.0)]), "scoped")
+        path = kept.inputFiles()[0].rsplit("/", 1)[0]
+        assert paths.exists(spark, path)
+    assert not paths.exists(spark, path)
+
+
 def test_kafka_records(trades_of):
     row = raw.kafka_records(trades_of([(5, None, 2.0)])).first()
     assert row["key"] == "BTCUSDT"
