@@ -185,12 +185,12 @@ def _name():
 
 
 def _subsets(sets: DataFrame, percent: int) -> DataFrame:
-    """(list, name): every set in the lists of the pairs of its first tokens."""
+    """(list, level, name, size): every set in the lists of the pairs of its first tokens."""
     placed = sets.select("set", "size", "prefix").withColumn("level", _level()).withColumn("level", F.explode(_levels(percent)))
     chosen = placed.withColumn("prefix", F.slice("prefix", F.lit(1), _first(percent, SUBSET)))
-    pairs = chosen.select(_name().alias("name"), "level", "prefix", F.posexplode("prefix").alias("at", "one"))
-    pairs = pairs.select("name", "level", "one", F.explode(F.slice("prefix", F.col("at") + 2, F.size("prefix"))).alias("other"))
-    return pairs.select(F.xxhash64("level", "one", "other").alias("list"), "name")
+    pairs = chosen.select(_name().alias("name"), "size", "level", "prefix", F.posexplode("prefix").alias("at", "one"))
+    pairs = pairs.select("name", "size", "level", "one", F.explode(F.slice("prefix", F.col("at") + 2, F.size("prefix"))).alias("other"))
+    return pairs.select(F.xxhash64("level", "one", "other").alias("list"), "level", "name", "size")
 
 
 def boundary(sets: DataFrame, shared: DataFrame, percent: int = PERCENT) -> int:
@@ -212,14 +212,17 @@ def boundary(sets: DataFrame, shared: DataFrame, percent: int = PERCENT) -> int:
     return CLASSES[best] if best else 0
 
 
-def _shared(posted: DataFrame) -> DataFrame:
+def _shared(posted: DataFrame, percent: int) -> DataFrame:
     """Members of lists that have two or more, with the list's count and two sums that tell its members.
 
-    Dealt by list once: what is counted there is joined there.
+    Two members alone must be near in size. Dealt by list once: what is counted
+    there is joined there, and both sides read all columns, so that it is one exchange.
     """
-    dealt = posted.repartition("list")
+    dealt = posted.repartition("list", "level")
     sums = [F.bit_xor(F.xxhash64("name", F.lit(seed))).alias(f"sum{seed}") for seed in (1, 2)]
-    return dealt.join(dealt.groupBy("list").agg(F.count(F.lit(1)).alias("n"), *sums).where("n > 1"), "list")
+    counted = dealt.groupBy("list", "level").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("least"), F.max("size").alias("most"), *sums)
+    kept = counted.where((F.col("n") > 2) | ((F.col("n") == 2) & (F.col("least") * 100 >= F.col("most") * percent)))
+    return dealt.join(kept.drop("least", "most"), ["list", "level"])
 
 
 def members(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -228,12 +231,12 @@ def members(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     Near copies share many tokens and so stand together in many lists; groups are
     told by count and two 64-bit sums of their members.
     """
-    large = common.stored(_shared(_tokens(sets, percent)), "lists-of-tokens")
+    large = common.stored(_shared(_tokens(sets, percent), percent), "lists-of-tokens")
     counted = large.groupBy("list", "level").agg(F.count(F.lit(1)).alias("n"))
     bound = boundary(sets, counted, percent)
     # Large sets, and the small ones that could be their partners.
-    large = large.where(F.col("size") * 100 >= bound * percent).drop("level", "size")
-    held = large.unionByName(common.stored(_shared(_subsets(sets.where(F.col("size") < bound), percent)), "lists-of-pairs"))
+    small = common.stored(_shared(_subsets(sets.where(F.col("size") < bound), percent), percent), "lists-of-pairs")
+    held = large.where(F.col("size") * 100 >= bound * percent).unionByName(small)
     once = held.groupBy("n", "sum1", "sum2").agg(F.min("list").alias("list"))
     return held.join(once.select("list"), "list").select("list", "n", "name")
 
@@ -410,13 +413,12 @@ def _proposed_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFr
 
 
 def _checked(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked): the exact answer for proposed links, by the whole sets (set, tokens)."""
+    """(a, b, linked): the exact answer for different proposed links, by the whole sets (set, tokens)."""
     one = full.select(F.col("set").alias("a"), F.col("tokens").alias("a_tokens"))
     two = full.select(F.col("set").alias("b"), F.col("tokens").alias("b_tokens"))
     common_size = F.size(F.array_intersect("a_tokens", "b_tokens"))
     either = F.size("a_tokens") + F.size("b_tokens") - common_size
-    named = pairs.select("a", "b").distinct()
-    return named.join(two, "b").join(one, "a").select("a", "b", (100 * common_size >= percent * either).alias("linked"))
+    return pairs.join(two, "b").join(one, "a").select("a", "b", (100 * common_size >= percent * either).alias("linked"))
 
 
 def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -435,12 +437,13 @@ def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame
             # The first trees span all that the sketches allow, so later proposals are of the same sets.
             full = common.stored(_proposed_sets(docs, sets, pairs), "sets-whole")
         fresh = pairs.select("a", "b").distinct()
-        fresh = fresh if answers is None else fresh.join(answers, ["a", "b"], "left_anti")
+        # Written before the joins, so that Spark knows when there are few.
+        fresh = common.stored(fresh if answers is None else fresh.join(answers, ["a", "b"], "left_anti"), "fresh")
         checked = common.stored(_checked(full, fresh, percent), "answers")
         answers = checked if answers is None else answers.unionByName(checked)
         told = common.stored(pairs.join(answers, ["a", "b"]), "told")
         past = told if past is None else past.unionByName(told)
-        failed = told.where("NOT linked").select("list").distinct()
+        failed = common.stored(told.where("NOT linked").select("list").distinct(), "failed")
         if failed.isEmpty():
             return answers.where("linked").select("a", "b")
         trees *= 8
@@ -452,7 +455,8 @@ def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame
         known = both.groupBy("list", "set").agg(
             F.collect_set(F.when(F.col("linked"), F.col("other"))).alias("linked"), F.collect_set(F.when(~F.col("linked"), F.col("other"))).alias("refuted")
         )
-        joined = listed.join(failed, "list").join(seen, "name").join(known, ["list", "set"], "left")
+        again = common.stored(listed.join(failed, "list"), "again")
+        joined = again.join(seen, "name").join(common.stored(known, "known"), ["list", "set"], "left")
 
 
 def _owned(rows: DataFrame, percent: int) -> DataFrame:
