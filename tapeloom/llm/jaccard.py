@@ -40,7 +40,8 @@ SUBSET = 2
 FREQUENT = 500
 #: Tokens a task gathers before it looks for frequent ones.
 GATHERED = 1 << 20
-#: Sketch bits: least power of two over twice the tokens, within these.
+#: Sketch bits: least power of two over half the tokens, within these. At a tenth of
+#: the tokens differing few bits are hit twice; what slips through is checked exactly.
 LEAST_BITS, MOST_BITS = 64, 8192
 #: Members of a list that meet in one group; longer lists meet block by block.
 BLOCK = 1024
@@ -103,7 +104,7 @@ def frequent_tokens(docs: DataFrame) -> np.ndarray:
 
 
 def _sketch(tokens: np.ndarray) -> bytes:
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (2 * len(tokens) - 1).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (len(tokens) // 2).bit_length()))
     odd = np.bincount((ta.mix(tokens) & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -365,7 +366,7 @@ def proposals(joined: DataFrame, percent: int, trees: int) -> DataFrame:
 
 
 #: Bits of the filter of wanted rows: a power of two over so many for each, up to a bound.
-FILTER_BITS, MOST_FILTER_BITS = 16, 1 << 28
+FILTER_BITS, MOST_FILTER_BITS = 64, 1 << 28
 
 
 def _filter(wanted: DataFrame) -> tuple[bytes, int]:
