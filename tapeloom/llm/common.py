@@ -20,12 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, files: int | None = None) -> DataFrame:
     """The frame written once to the cluster's shared folder and read from there.
 
-    Cuts the lineage, so that a lost executor costs its own tasks only.
+    Cuts the lineage, so that a lost executor costs its own tasks only. `files`
+    bounds the number of files, for tables with a row per group or less.
     """
-    return session.materialize(df, purpose)
+    return session.materialize(df if files is None else df.coalesce(files), purpose)
 
 
 def text_key(text: Column) -> Column:

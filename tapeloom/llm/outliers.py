@@ -32,6 +32,8 @@ ALPHA = 1e-6
 #: Groups with fewer documents form one group.
 LEAST = 100
 FEWEST_WORDS = 50
+#: Files of tables that have a row per group.
+FILES = 8
 
 #: Transformed statistics: name, expression, least spread (standard deviation).
 #: Most documents have no symbol, no repeated line and no repeated window, so
@@ -148,18 +150,17 @@ def _estimate(sums: DataFrame, share: float) -> DataFrame:
 
 def estimate(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFrame:
     """(kind, center, precision) for rows (kind, the features)."""
-    found = common.stored(_start(rows), "outliers-start")
+    found = common.stored(_start(rows), "outliers-start", FILES)
     for _ in range(steps):
         placed = rows.join(found, "kind").withColumn("bin", _bin(_distance()))
         counts = placed.groupBy("kind", "bin").agg(F.count(F.lit(1)).alias("n"))
-        edges = common.stored(_upto(counts, "bin", share), "outliers-edges")
-        near = placed.join(edges, "kind").where("bin <= edge")
+        near = placed.join(common.stored(_upto(counts, "bin", share), "outliers-edges", FILES), "kind").where("bin <= edge")
         sums = near.groupBy("kind").agg(
             F.count(F.lit(1)).alias("n"),
             F.array(*[F.sum(n) for n in NAMES]).alias("first"),
             F.array(*[F.sum(F.col(NAMES[i]) * F.col(NAMES[j])) for i, j in PAIRS]).alias("second"),
         )
-        found = common.stored(_estimate(sums, share), "outliers-step")
+        found = common.stored(_estimate(sums, share), "outliers-step", FILES)
     return found
 
 
@@ -172,9 +173,9 @@ def _kinds(sound: DataFrame, least: int) -> DataFrame:
 def fit(stats: DataFrame, share: float = SHARE, steps: int = STEPS, least: int = LEAST) -> DataFrame:
     """(own, center, precision) for every group of rows that pass the base rule."""
     sound = _features(stats.where(f"NOT ({BASE_FAILED})")).select("own", *NAMES)
-    kinds = common.stored(_kinds(sound, least), "outliers-kinds")
+    kinds = common.stored(_kinds(sound, least), "outliers-kinds", FILES)
     rows = sound.join(kinds, "own").select("kind", *NAMES)
-    return common.stored(kinds.join(estimate(rows, share, steps), "kind").select("own", "center", "precision"), "outliers")
+    return common.stored(kinds.join(estimate(rows, share, steps), "kind").select("own", "center", "precision"), "outliers", FILES)
 
 
 def verdict(stats: DataFrame, model: DataFrame, alpha: float = ALPHA) -> DataFrame:
