@@ -21,6 +21,8 @@ SHARE = 1.5
 MOST = 2.0
 #: Hex digits of the key that name a range: 4,096 ranges for each source, whose totals one task adds up.
 DIGITS = 3
+#: Files of the table with a row per source.
+FILES = 8
 
 
 def word_count(text: Column) -> Column:
@@ -123,7 +125,7 @@ def mix(docs: DataFrame, identity: str = "doc_id", source: str = "source", text:
     any other; repeated rows get the same answer; an empty table gives no rows.
     """
     sizes = common.stored(sized(docs, identity, source, text), "mixing-sizes")
-    return _decided(sizes, cuts(sizes, weights, share, most), F.col("key")).select(
+    return _decided(sizes, common.stored(cuts(sizes, weights, share, most), "mixing-cuts", FILES), F.col("key")).select(
         F.col("id").alias(identity), "source", "size", "source_size", "target", taken(F.col("size"), F.col("key"), F.col("id")).alias("taken")
     )
 
@@ -134,7 +136,9 @@ def repeat(docs: DataFrame, identity: str = "doc_id", source: str = "source", te
     A document taken in part comes with the first words of its text up to the
     cut, white space between them kept. Documents not taken go.
     """
-    decided = cuts(common.stored(sized(docs, identity, source, text), "mixing-sizes"), weights, share, most).select("source", "epochs", "cut", "part")
+    sizes = common.stored(sized(docs, identity, source, text), "mixing-sizes")
+    # Written, so that Spark knows how small it is and leaves the texts where they are.
+    decided = common.stored(cuts(sizes, weights, share, most), "mixing-cuts", FILES).select("source", "epochs", "cut", "part")
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{source}`").alias("source"))
     size = word_count(F.col(f"doc.`{text}`"))
     joined = _decided(inner, decided, random_key(F.col(f"doc.`{identity}`"))).withColumn("size", size)
