@@ -1,7 +1,7 @@
 """Link documents whose sets of word shingles are nearly equal: size-aware join.
 
 Equal sets are one set from the start. For the others, tokens (shingles) have one
-order in the whole corpus, rare before frequent. Of a set of s tokens any partner
+order in the whole corpus: those that a sketch counts once, others, frequent ones. Of a set of s tokens any partner
 shares t = ceil(s * percent / 100) at least, so the first s - t + c tokens of both
 have c in common. Small sets enumerate the subsets of c = 2 of these; large sets are
 looked up in inverted lists of their first s - t + 1 tokens, where the small sets
@@ -26,10 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from . import anchors, common, components, textarrays as ta
+from . import anchors, common, components, textarrays as ta, window_dedup
 from .textarrays import U64
 
 PERCENT = 90
@@ -49,8 +50,9 @@ BLOCK = 1024
 MEMBER, COMPARED = 20.0, 1 / 64
 #: First sizes of the classes.
 CLASSES = [1, *(math.ceil(8 * 1.5**i) for i in range(80))]
-_RARE = U64(1)
-_LATE = U64(1 << 63)
+_SHARED, _LATE = U64(1 << 62), U64(1 << 63)
+#: Bytes of text for a cell of the sketch of tokens, and its most cells (32 MB of bits).
+BYTES_PER_CELL, MOST_CELLS = 8, 1 << 28
 
 
 def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -76,31 +78,61 @@ def least_overlap(size: int, percent: int) -> int:
     return -(-size * percent // 100)
 
 
-def frequent_tokens(docs: DataFrame) -> np.ndarray:
-    """Hashes of the frequent tokens, the rarer ones first."""
+def order_of_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(bits, frequent): what the common order of tokens goes by, in one pass over the texts.
 
-    def heavy(parts: list[np.ndarray], n: int) -> pa.RecordBatch:
+    `bits` tells for a quarter of all tokens, by hash, whether a merged count sketch
+    of one row counts them twice or more; tokens that it counts once come first.
+    `frequent` are the hashes of frequent tokens, the rarer ones first; they come
+    last. A set whose first tokens occur nowhere else has no partner, and most
+    sets are done with that. Any order gives the same links.
+    """
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    width = min(MOST_CELLS, max(window_dedup.BLOCK, 1 << max(0, total // BYTES_PER_CELL - 1).bit_length()))
+
+    def seen(parts: list[np.ndarray], n: int, salt: int) -> pa.RecordBatch:
         token, count = np.unique(np.concatenate(parts), return_counts=True)
         often = count >= max(4, n / FREQUENT)
-        return pa.RecordBatch.from_arrays([pa.array(ta.signed(token[often])), pa.array(count[often], pa.int64())], names=["token", "n"])
+        heavy = np.stack([token[often], count[often].astype(U64)])
+        chosen = _judged(token)
+        cells, inverse = np.unique(_cell(token[chosen], width), return_inverse=True)
+        blocks = list(window_dedup.blocks(cells, np.bincount(inverse, count[chosen]).astype(np.int64)))
+        return window_dedup.rows([(-1, heavy.tobytes()), *blocks], salt)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, texts, size = [], 0, 0
+        salt, parts, texts, size = TaskContext.get().partitionId() % window_dedup.SALTS, [], 0, 0
         for batch in batches:
             for _, bounds, token in _sets(batch.column(0)):
                 parts.append(token)
                 texts += len(bounds) - 1
                 size += len(token)
                 if size >= GATHERED:
-                    yield heavy(parts, texts)
+                    yield seen(parts, texts, salt)
                     parts, texts, size = [], 0, 0
         if parts:
-            yield heavy(parts, texts)
+            yield seen(parts, texts, salt)
+
+    found = common.stored(docs.select("text").mapInArrow(task, window_dedup.SKETCH), "tokens-seen")
+    bits = window_dedup.bits_of(found.where("block >= 0"), width)
 
-    counted = docs.select("text").mapInArrow(task, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                token, count = np.frombuffer(data, U64).reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(ta.signed(token)), pa.array(count.astype(np.int64))], names=["token", "n"])
+
+    heavy = found.where("block < 0").select("cells").mapInArrow(unpacked, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     least = max(4, docs.count() // FREQUENT)
-    rows = counted.where(F.col("n") >= least).orderBy("n", "token").select("token").collect()
-    return np.array([r["token"] for r in rows], np.int64).view(U64)
+    often = heavy.where(F.col("n") >= least).orderBy("n", "token").select("token").collect()
+    return bits, np.array([r["token"] for r in often], np.int64).view(U64)
+
+
+def _judged(token: np.ndarray) -> np.ndarray:
+    return token >> U64(62) == 0
+
+
+def _cell(token: np.ndarray, width: int) -> np.ndarray:
+    return (ta.mix(token + U64(11)) & U64(width - 1)).astype(np.int64)
 
 
 def _sketch(tokens: np.ndarray) -> bytes:
@@ -109,23 +141,27 @@ def _sketch(tokens: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def described(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT) -> DataFrame:
+def described(docs: DataFrame, bits: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> DataFrame:
     """(id, key, size, set, prefix, sketch) of every document.
 
     `set` is a 128-bit hash of the whole set, NULL if it is empty; `prefix` the first
     tokens in the common order, `sketch` the parity sketch.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(frequent.tobytes())
+    shared = docs.sparkSession.sparkContext.broadcast((bits.tobytes(), frequent.tobytes()))
     smallest = math.ceil(percent / (100 - percent)) if percent < 100 else 1 << 62
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = np.frombuffer(shared.value, U64)
+        held, often = np.frombuffer(shared.value[0], np.uint8), np.frombuffer(shared.value[1], U64)
         ranked = np.argsort(often)
         sorted_often = often[ranked]
         for batch in batches:
             sizes, names, prefixes, sketches = [], [], [], []
             for _, bounds, token in _sets(batch.column(2)):
-                order = token >> _RARE
+                order = (token >> U64(2)) | _SHARED
+                chosen = np.flatnonzero(_judged(token))
+                cell = _cell(token[chosen], 8 * len(held))
+                once = chosen[(held[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 0]
+                order[once] ^= _SHARED
                 if len(often):
                     at = np.minimum(np.searchsorted(sorted_often, token), len(often) - 1)
                     known = sorted_often[at] == token
@@ -414,12 +450,15 @@ def _proposed_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFr
 
 
 def _checked(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked): the exact answer for different proposed links, by the whole sets (set, tokens)."""
-    one = full.select(F.col("set").alias("a"), F.col("tokens").alias("a_tokens"))
-    two = full.select(F.col("set").alias("b"), F.col("tokens").alias("b_tokens"))
-    common_size = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    either = F.size("a_tokens") + F.size("b_tokens") - common_size
-    return pairs.join(two, "b").join(one, "a").select("a", "b", (100 * common_size >= percent * either).alias("linked"))
+    """(a, b, linked): the exact answer for different proposed links, by the whole sets (set, tokens).
+
+    The sets are read once, for both ends of a pair, and only those asked for move.
+    """
+    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("set")).join(full, "set")
+    both = ends.groupBy("a", "b").agg(F.min_by("tokens", "set").alias("one"), F.max_by("tokens", "set").alias("two"))
+    common_size = F.size(F.array_intersect("one", "two"))
+    either = F.size("one") + F.size("two") - common_size
+    return both.select("a", "b", (100 * common_size >= percent * either).alias("linked"))
 
 
 def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -462,7 +501,7 @@ def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame
 
 def _owned(rows: DataFrame, percent: int) -> DataFrame:
     """(id, key, size, component) of rows (id, key, text); no component without a shingle."""
-    known = common.stored(described(rows, frequent_tokens(rows), percent), "sets")
+    known = common.stored(described(rows, *order_of_tokens(rows), percent), "sets")
     picked = F.min(F.struct("id", "key")).alias("one")
     once = known.where("set IS NOT NULL").groupBy("set").agg(picked, F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"))
     sets = common.stored(once.where("size(prefix) > 0").select("set", "one.id", "one.key", "size", "prefix", "sketch"), "sets-once")

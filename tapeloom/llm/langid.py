@@ -236,7 +236,8 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 def sample(docs: DataFrame, lang: str, text: str, per_lang: int) -> DataFrame:
     """(lang, text) of about `per_lang` texts of each language, chosen by the hash of the text."""
     rows = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("texts"))
+    # Written, so that Spark knows how small it is and leaves the texts where they are.
+    sizes = common.stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("texts")), "langid-sizes", 1)
     share = F.least(F.lit(1.0), F.lit(float(per_lang)) / F.col("texts"))
     return rows.join(sizes, "lang").where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30)).select("lang", "text")
 

@@ -58,28 +58,28 @@ def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps >> 1, dtype=np.int64), (steps & 1).astype(np.uint8) + 1
 
 
-def _blocks(cells: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
+def blocks(cells: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
     cuts = np.flatnonzero(np.diff(cells // BLOCK)) + 1
     for own, n in zip(np.split(cells, cuts), np.split(counts, cuts), strict=True):
         if len(own):
             yield int(own[0]) // BLOCK, _packed(own % BLOCK, n)
 
 
-def _rows(found: list[tuple[int, bytes]], salt: int) -> pa.RecordBatch:
+def rows(found: list[tuple[int, bytes]], salt: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([b for b, _ in found], pa.int32()), pa.array([salt] * len(found), pa.int32()), pa.array([d for _, d in found], pa.binary())],
         names=["block", "salt", "cells"],
     )
 
 
-_SKETCH = "block int, salt int, cells binary"
+SKETCH = "block int, salt int, cells binary"
 
 
 def _partial(docs: DataFrame, unit: anchors.Unit, width: int) -> DataFrame:
     def sketch(parts: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
         gathered = np.concatenate(parts)
         for cells in _cells(gathered, width):
-            yield from _blocks(*np.unique(cells, return_counts=True))
+            yield from blocks(*np.unique(cells, return_counts=True))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt, parts, size = TaskContext.get().partitionId() % SALTS, [], 0
@@ -89,12 +89,12 @@ def _partial(docs: DataFrame, unit: anchors.Unit, width: int) -> DataFrame:
                     parts.append(found.anchor)
                     size += len(found.anchor)
                     if size >= GATHERED:
-                        yield _rows(list(sketch(parts)), salt)
+                        yield rows(list(sketch(parts)), salt)
                         parts, size = [], 0
         if size:
-            yield _rows(list(sketch(parts)), salt)
+            yield rows(list(sketch(parts)), salt)
 
-    return docs.select("text").mapInArrow(task, _SKETCH)
+    return docs.select("text").mapInArrow(task, SKETCH)
 
 
 def _merged(sketches: DataFrame, last: bool) -> DataFrame:
@@ -109,9 +109,9 @@ def _merged(sketches: DataFrame, last: bool) -> DataFrame:
                 own[cells] = np.minimum(own[cells] + counts, 2)
         for (block, salt), own in held.items():
             cells = np.flatnonzero(own)
-            yield _rows([(block, np.packbits(own > 1).tobytes() if last else _packed(cells, own[cells]))], salt)
+            yield rows([(block, np.packbits(own > 1).tobytes() if last else _packed(cells, own[cells]))], salt)
 
-    return sketches.repartition(*(["block"] if last else ["block", "salt"])).mapInArrow(task, _SKETCH)
+    return sketches.repartition(*(["block"] if last else ["block", "salt"])).mapInArrow(task, SKETCH)
 
 
 def width_for(docs: DataFrame) -> int:
@@ -120,13 +120,18 @@ def width_for(docs: DataFrame) -> int:
     return min(MOST_CELLS, max(LEAST_CELLS, 1 << max(0, total // BYTES_PER_CELL - 1).bit_length()))
 
 
+def bits_of(sketches: DataFrame, cells: int) -> np.ndarray:
+    """The merged sketch as bits: set for cells that count 2 or more."""
+    bits = np.zeros(max(cells, BLOCK) // 8, np.uint8)
+    for row in _merged(_merged(sketches, False), True).select("block", "cells").toLocalIterator():
+        bits[row["block"] * BLOCK // 8 : (row["block"] + 1) * BLOCK // 8] = np.frombuffer(row["cells"], np.uint8)
+    return bits
+
+
 def repeated_anchors(docs: DataFrame, unit: anchors.Unit = UNIT, width: int | None = None):
     """A maker of tests, for use in tasks: which anchors does the merged sketch count twice or more?"""
     width = width or width_for(docs)
-    bits = np.zeros(DEPTH * width // 8, np.uint8)
-    merged = _merged(_merged(_partial(docs, unit, width), False), True)
-    for row in merged.select("block", "cells").toLocalIterator():
-        bits[row["block"] * BLOCK // 8 : (row["block"] + 1) * BLOCK // 8] = np.frombuffer(row["cells"], np.uint8)
+    bits = bits_of(_partial(docs, unit, width), DEPTH * width)
     shared = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
 
     def make():
@@ -159,7 +164,7 @@ def kept_words(docs: DataFrame, identity: str = "doc_id", text: str = "text") ->
     elsewhere for each other. Texts shorter than a window stay whole. An empty
     table gives no rows.
     """
-    rows = repeated_spans(anchors.identified(docs, identity, text))
+    found = repeated_spans(anchors.identified(docs, identity, text))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,6 +182,6 @@ def kept_words(docs: DataFrame, identity: str = "doc_id", text: str = "text") ->
             )
 
     schema = T.StructType(
-        [T.StructField(identity, anchors.id_type(rows)), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())]
+        [T.StructField(identity, anchors.id_type(found)), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())]
     )
-    return rows.select("id", "text", "spans").mapInArrow(task, schema)
+    return found.select("id", "text", "spans").mapInArrow(task, schema)
