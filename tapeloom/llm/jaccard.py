@@ -44,6 +44,8 @@ GATHERED = 1 << 20
 #: Sketch bits: least power of two over half the tokens, within these. At a tenth of
 #: the tokens differing few bits are hit twice; what slips through is checked exactly.
 LEAST_BITS, MOST_BITS = 64, 8192
+#: Files of the tables of proposals and answers, some fifty bytes a row.
+FILES = 32
 #: Members of a list that meet in one group; longer lists meet block by block.
 BLOCK = 1024
 #: Costs of a member of a list, whose sketch is sent along, and of a comparison of sketches, in rows.
@@ -142,10 +144,11 @@ def _sketch(tokens: np.ndarray) -> bytes:
 
 
 def described(docs: DataFrame, bits: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """(id, key, size, set, prefix, sketch) of every document.
+    """(id, key, size, set, alone, prefix, sketch) of every document.
 
     `set` is a 128-bit hash of the whole set, NULL if it is empty; `prefix` the first
-    tokens in the common order, `sketch` the parity sketch.
+    tokens in the common order without the `alone` very first, which occur nowhere
+    else and so are in no one's list; `sketch` the parity sketch.
     """
     shared = docs.sparkSession.sparkContext.broadcast((bits.tobytes(), frequent.tobytes()))
     smallest = math.ceil(percent / (100 - percent)) if percent < 100 else 1 << 62
@@ -155,7 +158,7 @@ def described(docs: DataFrame, bits: np.ndarray, frequent: np.ndarray, percent:
         ranked = np.argsort(often)
         sorted_often = often[ranked]
         for batch in batches:
-            sizes, names, prefixes, sketches = [], [], [], []
+            sizes, names, prefixes, sketches, alone = [], [], [], [], []
             for _, bounds, token in _sets(batch.column(2)):
                 order = (token >> U64(2)) | _SHARED
                 chosen = np.flatnonzero(_judged(token))
@@ -175,26 +178,29 @@ def described(docs: DataFrame, bits: np.ndarray, frequent: np.ndarray, percent:
                     names.append(b"".join(n[i].tobytes() for n in name) if size else None)
                     # Smaller sets have no partner but their equals.
                     wide = min(size, size - least_overlap(size, percent) + SUBSET) if size >= smallest else 0
-                    prefixes.append(np.sort(np.partition(order[own], wide - 1)[:wide]).view(np.int64) if wide else [])
-                    sketches.append(_sketch(token[own]) if wide else b"")
+                    first = np.sort(np.partition(order[own], wide - 1)[:wide]) if wide else np.zeros(0, U64)
+                    alone.append(int(np.searchsorted(first, _SHARED)))
+                    prefixes.append(first[alone[-1] :].view(np.int64))
+                    sketches.append(_sketch(token[own]) if len(prefixes[-1]) else b"")
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()),
-                    pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
+                    pa.array(alone, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
                 ],
-                names=["id", "key", "size", "set", "prefix", "sketch"],
+                names=["id", "key", "size", "set", "alone", "prefix", "sketch"],
             )
 
     schema = T.StructType(
         [docs.schema["id"], T.StructField("key", T.LongType()), T.StructField("size", T.LongType()), T.StructField("set", T.BinaryType()),
-         T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())]
+         T.StructField("alone", T.IntegerType()), T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())]
     )
     return docs.select("id", "key", "text").mapInArrow(task, schema)
 
 
 def _first(percent: int, more: int):
     """How many tokens of the prefix share `more` with those of any partner."""
-    return F.least(F.size("prefix"), (F.col("size") - F.ceil(F.col("size") * percent / 100) + more).cast("int"))
+    wide = (F.col("size") - F.ceil(F.col("size") * percent / 100) + more).cast("int") - F.col("alone")
+    return F.greatest(F.lit(0), F.least(F.size("prefix"), wide))
 
 
 def _level():
@@ -211,7 +217,7 @@ def _levels(percent: int):
 
 def _tokens(sets: DataFrame, percent: int) -> DataFrame:
     """(list, level, set, size): every set in the lists of its first tokens."""
-    placed = sets.select("set", "size", "prefix").withColumn("level", _level()).withColumn("level", F.explode(_levels(percent)))
+    placed = sets.select("set", "size", "alone", "prefix").withColumn("level", _level()).withColumn("level", F.explode(_levels(percent)))
     tokens = placed.select("set", "size", "level", F.explode(F.slice("prefix", F.lit(1), _first(percent, 1))).alias("token"))
     return tokens.select(F.xxhash64("level", "token").alias("list"), "level", _name().alias("name"), "size")
 
@@ -223,7 +229,7 @@ def _name():
 
 def _subsets(sets: DataFrame, percent: int) -> DataFrame:
     """(list, level, name, size): every set in the lists of the pairs of its first tokens."""
-    placed = sets.select("set", "size", "prefix").withColumn("level", _level()).withColumn("level", F.explode(_levels(percent)))
+    placed = sets.select("set", "size", "alone", "prefix").withColumn("level", _level()).withColumn("level", F.explode(_levels(percent)))
     chosen = placed.withColumn("prefix", F.slice("prefix", F.lit(1), _first(percent, SUBSET)))
     pairs = chosen.select(_name().alias("name"), "size", "level", "prefix", F.posexplode("prefix").alias("at", "one"))
     pairs = pairs.select("name", "size", "level", "one", F.explode(F.slice("prefix", F.col("at") + 2, F.size("prefix"))).alias("other"))
@@ -464,7 +470,7 @@ def _checked(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b): links between different sets that join all that belong together.
 
-    For rows (id, key, text) and one row (set, id, key, size, prefix, sketch) per set.
+    For rows (id, key, text) and one row (set, id, key, size, alone, prefix, sketch) per set.
     """
     listed = common.stored(members(sets, percent), "members")
     seen = sets.select(_name().alias("name"), "set", "size", "sketch")
@@ -478,12 +484,12 @@ def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame
             full = common.stored(_proposed_sets(docs, sets, pairs), "sets-whole")
         fresh = pairs.select("a", "b").distinct()
         # Written before the joins, so that Spark knows when there are few.
-        fresh = common.stored(fresh if answers is None else fresh.join(answers, ["a", "b"], "left_anti"), "fresh")
-        checked = common.stored(_checked(full, fresh, percent), "answers")
+        fresh = common.stored(fresh if answers is None else fresh.join(answers, ["a", "b"], "left_anti"), "fresh", FILES)
+        checked = common.stored(_checked(full, fresh, percent), "answers", FILES)
         answers = checked if answers is None else answers.unionByName(checked)
-        told = common.stored(pairs.join(answers, ["a", "b"]), "told")
+        told = common.stored(pairs.join(answers, ["a", "b"]), "told", FILES)
         past = told if past is None else past.unionByName(told)
-        failed = common.stored(told.where("NOT linked").select("list").distinct(), "failed")
+        failed = common.stored(told.where("NOT linked").select("list").distinct(), "failed", FILES)
         if failed.isEmpty():
             return answers.where("linked").select("a", "b")
         trees *= 8
@@ -495,16 +501,17 @@ def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame
         known = both.groupBy("list", "set").agg(
             F.collect_set(F.when(F.col("linked"), F.col("other"))).alias("linked"), F.collect_set(F.when(~F.col("linked"), F.col("other"))).alias("refuted")
         )
-        again = common.stored(listed.join(failed, "list"), "again")
-        joined = again.join(seen, "name").join(common.stored(known, "known"), ["list", "set"], "left")
+        again = common.stored(listed.join(failed, "list"), "again", FILES)
+        joined = again.join(seen, "name").join(common.stored(known, "known", FILES), ["list", "set"], "left")
 
 
 def _owned(rows: DataFrame, percent: int) -> DataFrame:
     """(id, key, size, component) of rows (id, key, text); no component without a shingle."""
     known = common.stored(described(rows, *order_of_tokens(rows), percent), "sets")
     picked = F.min(F.struct("id", "key")).alias("one")
-    once = known.where("set IS NOT NULL").groupBy("set").agg(picked, F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"))
-    sets = common.stored(once.where("size(prefix) > 0").select("set", "one.id", "one.key", "size", "prefix", "sketch"), "sets-once")
+    once = known.where("size(prefix) > 0").groupBy("set").agg(picked, *[F.first(c).alias(c) for c in ("size", "alone", "prefix", "sketch")])
+    # Equal sets have equal prefixes; a set without one has no partner.
+    sets = common.stored(once.select("set", "one.id", "one.key", "size", "alone", "prefix", "sketch"), "sets-once")
     labels = components.components(links(rows, sets, percent)).withColumnRenamed("node", "set")
     return known.select("id", "key", "size", "set").join(labels, "set", "left").withColumn("component", F.coalesce("component", "set"))
 
