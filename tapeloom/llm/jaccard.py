@@ -322,8 +322,9 @@ def near_pairs(sizes: np.ndarray, sketches: list[bytes], percent: int) -> tuple[
 
 
 class _Forest:
-    def __init__(self, n: int):
-        self.parent = list(range(n))
+    def __init__(self, parent: int | list[int]):
+        """From single nodes, or from what each node already hangs on."""
+        self.parent = list(range(parent)) if isinstance(parent, int) else parent
 
     def root(self, x: int) -> int:
         while self.parent[x] != x:
@@ -341,20 +342,25 @@ def _propose(rows: list[tuple], percent: int, trees: int) -> Iterator[tuple[byte
     """Links to check among members (set, size, sketch, linked, refuted, side): `trees` forests without common edges."""
     sizes = np.array([r[1] for r in rows], np.int64)
     i, j, bits = near_pairs(sizes, [r[2] for r in rows], percent)
-    order = np.lexsort((j, i, bits))
     crossing = any(r[5] for r in rows)
     place = {r[0]: k for k, r in enumerate(rows)}
     known = [(k, place[other]) for k, r in enumerate(rows) for other in r[3] or () if other in place]
     answered = {(min(x), max(x)) for x in known}
     answered |= {(min(k, place[o]), max(k, place[o])) for k, r in enumerate(rows) for o in r[4] or () if o in place}
-    edges = []
-    for a, b in zip(i[order].tolist(), j[order].tolist(), strict=True):
-        if (min(a, b), max(a, b)) not in answered and not (crossing and rows[a][5] == rows[b][5]):
-            edges.append((a, b))
+    joined = _Forest(len(rows))
+    for a, b in known:
+        joined.join(a, b)
+    whole = np.array([joined.root(k) for k in range(len(rows))])
+    side = np.array([r[5] for r in rows])
+    # Only what isn't joined yet; between two blocks only pairs across.
+    open_ = whole[i] != whole[j]
+    if crossing:
+        open_ &= side[i] != side[j]
+    i, j, bits = i[open_], j[open_], bits[open_]
+    order = np.lexsort((j, i, bits))
+    edges = [e for e in zip(i[order].tolist(), j[order].tolist(), strict=True) if (min(e), max(e)) not in answered]
     for _ in range(trees):
-        forest, rest = _Forest(len(rows)), []
-        for a, b in known:
-            forest.join(a, b)
+        forest, rest = _Forest(whole.tolist()), []
         for a, b in edges:
             if forest.join(a, b):
                 yield min(rows[a][0], rows[b][0]), max(rows[a][0], rows[b][0])
