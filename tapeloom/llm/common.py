@@ -11,7 +11,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 #: Bytes of rows that go to a Python worker at once; the default counts rows, whatever their length.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
