@@ -256,7 +256,7 @@ def boundary(sets: DataFrame, shared: DataFrame, percent: int = PERCENT) -> int:
 
 
 def _shared(posted: DataFrame, percent: int) -> DataFrame:
-    """Members of lists that have two or more, with the list's count and two sums that tell its members.
+    """Members of lists that have two or more, with the list's count, least size and two sums that tell its members.
 
     Two members alone must be near in size. Dealt by list once: what is counted
     there is joined there, and both sides read all columns, so that it is one exchange.
@@ -265,22 +265,24 @@ def _shared(posted: DataFrame, percent: int) -> DataFrame:
     sums = [F.bit_xor(F.xxhash64("name", F.lit(seed))).alias(f"sum{seed}") for seed in (1, 2)]
     counted = dealt.groupBy("list", "level").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("least"), F.max("size").alias("most"), *sums)
     kept = counted.where((F.col("n") > 2) | ((F.col("n") == 2) & (F.col("least") * 100 >= F.col("most") * percent)))
-    return dealt.join(kept.drop("least", "most"), ["list", "level"])
+    return dealt.join(kept.drop("most"), ["list", "level"])
 
 
 def members(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(list, n, name) of lists with two members or more, once for each different group of members.
 
     Near copies share many tokens and so stand together in many lists; groups are
-    told by count and two 64-bit sums of their members.
+    told by count and two 64-bit sums of their members, and by whether the boundary cuts
+    members off: what is left of such a list doesn't stand for the whole group.
     """
     large = common.stored(_shared(_tokens(sets, percent), percent), "lists-of-tokens")
     counted = large.groupBy("list", "level").agg(F.count(F.lit(1)).alias("n"))
     bound = boundary(sets, counted, percent)
     # Large sets, and the small ones that could be their partners.
     small = common.stored(_shared(_subsets(sets.where(F.col("size") < bound), percent), percent), "lists-of-pairs")
-    held = large.where(F.col("size") * 100 >= bound * percent).unionByName(small)
-    once = held.groupBy("n", "sum1", "sum2").agg(F.min("list").alias("list"))
+    partner = F.col("size") * 100 >= bound * percent
+    held = large.where(partner).withColumn("cut", F.col("least") * 100 < bound * percent).unionByName(small.withColumn("cut", F.lit(False)))
+    once = held.groupBy("n", "sum1", "sum2", "cut").agg(F.min("list").alias("list"))
     return held.join(once.select("list"), "list").select("list", "n", "name")
 
 

@@ -213,6 +213,18 @@ def test_small_and_large_sets_meet(spark, docs, monkeypatch):
         assert order([tuple(r) for r in jaccard.groups(df).collect()]) == want, bound
 
 
+def test_copies_on_both_sides_of_the_boundary(spark, docs, monkeypatch):
+    # Sets of 35 or 36 shingles lie below 0.9 * 41, their only partners between that and 41.
+    rows = []
+    for i in range(60):
+        for k in range(2 if i % 3 else 4):
+            words = [f"w{i}x{j}" for j in range(37 + i % 2)] + [f"v{i}x{k}x{j}" for j in range(2 if k % 2 else 0)]
+            rows.append((len(rows), " ".join(words if k < 2 else words[: len(words) - k // 3]), "en", "s", 0))
+    df = spark.createDataFrame(rows, docs.schema)
+    monkeypatch.setattr(jaccard, "boundary", lambda sets, shared, percent: 41)
+    assert order([tuple(r) for r in jaccard.groups(df).collect()]) == order(linked(rows))
+
+
 def test_crowded_lists_meet_block_by_block(docs, rows, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 3)
     assert order([tuple(r) for r in jaccard.groups(docs).collect()]) == order(linked(rows))
