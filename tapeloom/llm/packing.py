@@ -13,9 +13,11 @@ partitions plus those before it in its own.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,25 +33,29 @@ END = 1
 
 
 class Vocabulary:
-    """The ranks and the splitting pattern of a byte-level BPE, read on the driver.
+    """The ranks, the splitting pattern and the added tokens of a byte-level BPE, read on the driver.
 
-    Strings of special tokens are ordinary text.
+    The string of an added token is one id, also inside a text.
     """
 
-    def __init__(self, path: str | None = None, pattern: str | None = None):
+    def __init__(self, path: str | None = None, pattern: str | None = None, added: dict[str, int] | None = None):
         if path is None or pattern is None:
             import public_tokenizers
 
+            if path is None and added is None:
+                with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as whole:
+                    added = {token["content"]: token["id"] for token in json.load(whole)["added_tokens"]}
             path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
             pattern = pattern or public_tokenizers.PATTERN
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.pattern = pattern
+        self.added = added or {}
 
     def encoder(self):
         import tiktoken
 
-        return tiktoken.Encoding("given", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})
+        return tiktoken.Encoding("given", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens=self.added)
 
 
 def pieces(docs: DataFrame, identity: str, text: str, vocabulary: Vocabulary, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -62,10 +68,11 @@ def pieces(docs: DataFrame, identity: str, text: str, vocabulary: Vocabulary, ca
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, encoder, seen = TaskContext.get().partitionId(), shared.value.encoder(), defaultdict(int)
+        encode = partial(encoder.encode, allowed_special="all") if shared.value.added else encoder.encode_ordinary
         for batch in batches:
             rows: list[tuple] = []
             for i, content in enumerate(batch.column(1).to_pylist()):
-                ids = np.array([*encoder.encode_ordinary(content or ""), END], "<u4")
+                ids = np.array([*encode(content or ""), END], "<u4")
                 for start in range(0, len(ids), capacity):
                     own = ids[start : start + capacity]
                     rows.append((i, start, len(own), zlib.crc32(own.tobytes()), len(ids), part, seen[len(own)], own))

@@ -337,3 +337,14 @@ def test_long_texts_are_encoded_whole():
     encoder = packing.Vocabulary().encoder()
     for text in ("a" * 50000, " " * 50000 + "x", "é" * 20000, "\n\t" * 9000, "<|endoftext|> it's  a\n\n b"):
         assert encoder.encode_ordinary(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_are_one_id(spark, docs):
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|>\n\n  y <|endoftext", "\n <|endoftext|>it's", "plain"]
+    found = packing.pack(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], docs.schema), with_ids=True).collect()
+    assert {r.doc_id: r.ids for r in found} == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
