@@ -129,8 +129,10 @@ def search(points: DataFrame, queries: DataFrame, k: int = K, count: int = LINES
 
     For frames (id, vector). Vectors of different lengths never meet. Ties go to the
     smaller id; repeated rows are candidates each, those with the query's id none.
+    Repeated queries are one. An id that asks with several vectors has the k nearest
+    of each, ranked by vector.
     """
-    points, queries = common.stored(points, "nearest-points"), common.stored(queries, "nearest-queries")
+    points, queries = common.stored(points, "nearest-points"), common.stored(queries.dropDuplicates(["id", "vector"]), "nearest-queries")
     radius = first_radius(points, k, sample)
     blocks = max(1, math.ceil(points.count() / BLOCK))
     groups = max(1, math.ceil(queries.count() / GROUP))
@@ -138,29 +140,29 @@ def search(points: DataFrame, queries: DataFrame, k: int = K, count: int = LINES
     # Every vector is told its block by hash, so blocks are even; copies of one id spread by position.
     dealt = points.withColumn("block", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int"))
     dealt = dealt.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).select(
-        "block", "group", kind, F.lit(0).alias("asks"), F.col("id").cast("bigint").alias("id"), "vector"
+        "block", "group", kind, F.lit(0).alias("asks"), F.col("id").cast("bigint").alias("id"), "vector", F.lit(0).cast("bigint").alias("with")
     )
     asking = queries.withColumn("group", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(groups)).cast("int"))
     asking = asking.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
-        "block", "group", kind, F.lit(1).alias("asks"), F.col("id").cast("bigint").alias("id"), "vector"
+        "block", "group", kind, F.lit(1).alias("asks"), F.col("id").cast("bigint").alias("id"), "vector", F.xxhash64("vector").alias("with")
     )
 
-    def answer(arrays: Arrays | None, asked: list[tuple[int, np.ndarray]]) -> Iterator[tuple[int, int, float]]:
-        for query, vector in asked if arrays else ():
+    def answer(arrays: Arrays | None, asked: list[tuple[int, int, np.ndarray]]) -> Iterator[tuple[int, int, int, float]]:
+        for query, name, vector in asked if arrays else ():
             for score, other in arrays.search(query, vector, radius, k, threshold):
-                yield query, other, score
+                yield query, name, other, score
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, ids, vectors, arrays, asked, out = None, [], [], None, [], []
 
         def table() -> pa.RecordBatch:
-            columns = list(zip(*out, strict=True)) or [()] * 3
+            columns = list(zip(*out, strict=True)) or [()] * 4
             return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], names=["query_id", "vec_id", "score"]
+                [*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.float64())], names=["query_id", "with", "vec_id", "score"]
             )
 
         for batch in batches:
-            one, two, three, asks, own = (batch.column(i).to_numpy() for i in range(5))
+            one, two, three, asks, own, names = (batch.column(i).to_numpy() for i in (0, 1, 2, 3, 4, 6))
             for i, vector in enumerate(batch.column(5).to_pylist()):
                 here = (one[i], two[i], three[i])
                 if here != last:
@@ -169,7 +171,7 @@ def search(points: DataFrame, queries: DataFrame, k: int = K, count: int = LINES
                 if asks[i]:
                     if arrays is None and ids:
                         arrays = Arrays(np.array(ids, np.int64), np.array(vectors), count)
-                    asked.append((int(own[i]), np.array(vector)))
+                    asked.append((int(own[i]), int(names[i]), np.array(vector)))
                 else:
                     ids.append(int(own[i]))
                     vectors.append(vector)
@@ -180,6 +182,6 @@ def search(points: DataFrame, queries: DataFrame, k: int = K, count: int = LINES
         yield table()
 
     keys = ("block", "group", "size")
-    found = dealt.unionByName(asking).repartition(*keys).sortWithinPartitions(*keys, "asks", "id").mapInArrow(task, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    found = dealt.unionByName(asking).repartition(*keys).sortWithinPartitions(*keys, "asks", "id").mapInArrow(task, "query_id long, `with` long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "with").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -59,6 +59,19 @@ def test_recall_and_scores(space):
     assert hits >= 0.9 * total
 
 
+def test_repeated_queries_lose_nothing(spark):
+    rows = vectors(n=300)
+    other = rows[200][1]
+    rows += [rows[100], rows[100], (200, [-x for x in other]), (250, rows[250][1])]
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    found = defaultdict(list)
+    for r in nearest.search(df, df.where("id IN (0, 100, 200, 250)"), threshold=0).collect():
+        found[r.query_id].append((r.rank, r.vec_id, round(r.score, 9)))
+    for query, own in ((0, [rows[0][1]]), (100, [rows[100][1]]), (200, [other, [-x for x in other]]), (250, [rows[250][1]])):
+        want = [(rank, i, round(score, 9)) for v in own for rank, (score, i) in enumerate(exact(rows, query, v), 1)]
+        assert sorted(found[query]) == sorted(want), query
+
+
 def test_fewer_vectors_than_wanted(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (100, [1.0, 1.0]), (200, [1.0, 2.0, 3.0])], "id long, vector array<double>")
     found = {(r.query_id, r.rank): (r.vec_id, r.score) for r in nearest.search(df, df.where("id % 100 = 0")).collect()}
