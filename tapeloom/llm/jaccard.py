@@ -57,7 +57,7 @@ _SHARED, _LATE = U64(1 << 62), U64(1 << 63)
 BYTES_PER_CELL, MOST_CELLS = 8, 1 << 28
 
 
-def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _sets(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first text, bounds, tokens) of runs of texts: distinct hashes of shingles, by text."""
     data, offsets = ta.flat(column)
     for a, b in ta.parts(offsets, anchors.SLICE):
@@ -65,10 +65,10 @@ def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         hashes = ta.Hashes(words.hashes(ta.LOWERED))
         count = np.diff(words.first)
         # Few words are one shingle.
-        shingles = np.where(count >= SHINGLE, count - SHINGLE + 1, np.minimum(count, 1))
+        shingles = np.where(count >= width, count - width + 1, np.minimum(count, 1))
         text = np.repeat(np.arange(b - a), shingles)
         start = words.first[:-1][text] + np.arange(len(text)) - np.repeat(np.cumsum(shingles) - shingles, shingles)
-        token = hashes.of(start, start + np.minimum(count, SHINGLE)[text])
+        token = hashes.of(start, start + np.minimum(count, width)[text])
         order = np.lexsort((token, text))
         token, text = token[order], text[order]
         new = np.ones(len(token), bool)
@@ -80,7 +80,7 @@ def least_overlap(size: int, percent: int) -> int:
     return -(-size * percent // 100)
 
 
-def order_of_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def order_of_tokens(docs: DataFrame, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(bits, frequent): what the common order of tokens goes by, in one pass over the texts.
 
     `bits` tells for a quarter of all tokens, by hash, whether a merged count sketch
@@ -90,21 +90,21 @@ def order_of_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     sets are done with that. Any order gives the same links.
     """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    width = min(MOST_CELLS, max(window_dedup.BLOCK, 1 << max(0, total // BYTES_PER_CELL - 1).bit_length()))
+    cells_wide = min(MOST_CELLS, max(window_dedup.BLOCK, 1 << max(0, total // BYTES_PER_CELL - 1).bit_length()))
 
     def seen(parts: list[np.ndarray], n: int, salt: int) -> pa.RecordBatch:
         token, count = np.unique(np.concatenate(parts), return_counts=True)
         often = count >= max(4, n / FREQUENT)
         heavy = np.stack([token[often], count[often].astype(U64)])
         chosen = _judged(token)
-        cells, inverse = np.unique(_cell(token[chosen], width), return_inverse=True)
+        cells, inverse = np.unique(_cell(token[chosen], cells_wide), return_inverse=True)
         blocks = list(window_dedup.blocks(cells, np.bincount(inverse, count[chosen]).astype(np.int64)))
         return window_dedup.rows([(-1, heavy.tobytes()), *blocks], salt)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt, parts, texts, size = TaskContext.get().partitionId() % window_dedup.SALTS, [], 0, 0
         for batch in batches:
-            for _, bounds, token in _sets(batch.column(0)):
+            for _, bounds, token in _sets(batch.column(0), width):
                 parts.append(token)
                 texts += len(bounds) - 1
                 size += len(token)
@@ -115,7 +115,7 @@ def order_of_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             yield seen(parts, texts, salt)
 
     found = common.stored(docs.select("text").mapInArrow(task, window_dedup.SKETCH), "tokens-seen")
-    bits = window_dedup.bits_of(found.where("block >= 0"), width)
+    bits = window_dedup.bits_of(found.where("block >= 0"), cells_wide)
 
     def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,7 +143,7 @@ def _sketch(tokens: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def described(docs: DataFrame, bits: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> DataFrame:
+def described(docs: DataFrame, bits: np.ndarray, frequent: np.ndarray, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """(id, key, size, set, alone, prefix, sketch) of every document.
 
     `set` is a 128-bit hash of the whole set, NULL if it is empty; `prefix` the first
@@ -159,7 +159,7 @@ def described(docs: DataFrame, bits: np.ndarray, frequent: np.ndarray, percent:
         sorted_often = often[ranked]
         for batch in batches:
             sizes, names, prefixes, sketches, alone = [], [], [], [], []
-            for _, bounds, token in _sets(batch.column(2)):
+            for _, bounds, token in _sets(batch.column(2), width):
                 order = (token >> U64(2)) | _SHARED
                 chosen = np.flatnonzero(_judged(token))
                 cell = _cell(token[chosen], 8 * len(held))
@@ -431,7 +431,7 @@ def _filter(wanted: DataFrame) -> tuple[bytes, int]:
     return held.tobytes(), bits
 
 
-def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(set, tokens) for rows (id, key, set).
 
     Texts stay where they are: the filter, which lets through all wanted rows and
@@ -445,7 +445,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             cell = batch.column(1).to_numpy().view(U64) & U64(bits - 1)
             chosen = batch.filter(pa.array((words[(cell >> U64(6)).astype(np.int64)] >> (cell & U64(63))) & U64(1) > 0))
-            for base, bounds, token in _sets(chosen.column(2)):
+            for base, bounds, token in _sets(chosen.column(2), width):
                 n = len(bounds) - 1
                 yield pa.RecordBatch.from_arrays(
                     [chosen.column(0).slice(base, n), chosen.column(1).slice(base, n), ta.lists(pa.array(ta.signed(token)), bounds)],
@@ -457,10 +457,10 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.join(wanted.alias("w"), F.expr("d.id <=> w.id AND d.key = w.key")).select("w.set", "d.tokens").dropDuplicates(["set"])
 
 
-def _proposed_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+def _proposed_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """(set, tokens) of all sets in proposals."""
     wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-    return _whole_sets(docs, common.stored(wanted.join(sets.select("set", "id", "key"), "set"), "sets-wanted"))
+    return _whole_sets(docs, common.stored(wanted.join(sets.select("set", "id", "key"), "set"), "sets-wanted"), width)
 
 
 def _checked(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -475,7 +475,7 @@ def _checked(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", (100 * common_size >= percent * either).alias("linked"))
 
 
-def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """(a, b): links between different sets that join all that belong together.
 
     For rows (id, key, text) and one row (set, id, key, size, alone, prefix, sketch) per set.
@@ -489,7 +489,7 @@ def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame
         pairs = common.stored(proposals(joined, percent, trees), "proposals")
         if full is None:
             # The first trees span all that the sketches allow, so later proposals are of the same sets.
-            full = common.stored(_proposed_sets(docs, sets, pairs), "sets-whole")
+            full = common.stored(_proposed_sets(docs, sets, pairs, width), "sets-whole")
         fresh = pairs.select("a", "b").distinct()
         # Written before the joins, so that Spark knows when there are few.
         fresh = common.stored(fresh if answers is None else fresh.join(answers, ["a", "b"], "left_anti"), "fresh", FILES)
@@ -513,38 +513,38 @@ def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame
         joined = again.join(seen, "name").join(common.stored(known, "known", FILES), ["list", "set"], "left")
 
 
-def _owned(rows: DataFrame, percent: int) -> DataFrame:
+def _owned(rows: DataFrame, percent: int, width: int) -> DataFrame:
     """(id, key, size, component) of rows (id, key, text); no component without a shingle."""
-    known = common.stored(described(rows, *order_of_tokens(rows), percent), "sets")
+    known = common.stored(described(rows, *order_of_tokens(rows, width), percent, width), "sets")
     picked = F.min(F.struct("id", "key")).alias("one")
     once = known.where("size(prefix) > 0").groupBy("set").agg(picked, *[F.first(c).alias(c) for c in ("size", "alone", "prefix", "sketch")])
     # Equal sets have equal prefixes; a set without one has no partner.
     sets = common.stored(once.select("set", "one.id", "one.key", "size", "alone", "prefix", "sketch"), "sets-once")
-    labels = components.components(links(rows, sets, percent)).withColumnRenamed("node", "set")
+    labels = components.components(links(rows, sets, percent, width)).withColumnRenamed("node", "set")
     return known.select("id", "key", "size", "set").join(labels, "set", "left").withColumn("component", F.coalesce("component", "set"))
 
 
-def groups(docs: DataFrame, identity: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, component_id) of every document.
+def groups(docs: DataFrame, identity: str = "doc_id", text: str = "text", percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
+    """(id, n_shingles, component_id) of every document, by shingles of `width` words.
 
     `component_id` is the least id among the documents that links reach. Texts that
     are NULL, empty or without a word have no shingle and stand alone. Repeated
     rows are linked with each other. NULL ids are never the least unless there is
     no other. An empty table gives no rows.
     """
-    owned = _owned(anchors.identified(docs, identity, text), percent)
+    owned = _owned(anchors.identified(docs, identity, text), percent, width)
     least = owned.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
     return owned.join(least, "component", "left").select(
         F.col("id").alias(identity), F.col("size").alias("n_shingles"), F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id")
     )
 
 
-def keep_one(docs: DataFrame, identity: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def keep_one(docs: DataFrame, identity: str = "doc_id", text: str = "text", percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """The rows of `docs` without near copies: of each group the one with the least id.
 
     Of repeated rows one stays; rows without a word all stay.
     """
-    owned = _owned(anchors.identified(docs, identity, text), percent).where("component IS NOT NULL")
+    owned = _owned(anchors.identified(docs, identity, text), percent, width).where("component IS NOT NULL")
     first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "key")).alias("one")
     kept = owned.groupBy("component").agg(first).select(F.to_json(F.struct("one.id")).alias("kept_id"), F.col("one.key").alias("kept_key"))
     whole, name, key, wordy = common.fresh(docs, "document", "row_id", "row_key", "wordy")

@@ -5,6 +5,8 @@ from collections import Counter
 import corpus_pipeline
 from tapeloom.llm import common, jaccard, mixing, outliers, packing, pii, queries
 
+from test_llm_dedup import linked
+
 
 def test_stages_keep_columns_and_take_effect(spark, crowded, folder):
     docs, seen = crowded, {}
@@ -31,6 +33,21 @@ def test_stages_keep_columns_and_take_effect(spark, crowded, folder):
     assert tokens(packing.pack(before)) == tokens(after)
 
 
+def test_near_copies_with_changed_blocks_go(spark, docs):
+    rows, copies = [], []
+    for n in (60, 150, 400):
+        for share in (0.03, 0.1, 0.15):
+            words, k = [f"w{len(rows)}x{j}" for j in range(n)], int(n * share)
+            for copy in (words, [*words[:9], *[f"c{j}" for j in range(k // 2)], *words[9 + k // 2 :]], words[:-k], [*words, *words[:3], *[f"a{j}" for j in range(k)]]):
+                copies.append((len(copies), " ".join(copy), "en", "s", 0))
+            rows.append(words)
+    df = spark.createDataFrame(copies, docs.schema)
+    want = linked(copies, 80, 5)
+    assert sorted(tuple(r) for r in jaccard.groups(df, percent=80, width=5).collect()) == sorted(want)
+    kept = {r.doc_id for r in corpus_pipeline.single(spark, df, "").collect()}
+    assert kept == {c for _, _, c in want} and kept != {c for _, _, c in linked(copies)}
+
+
 def test_run_gives_the_last_stage(spark, docs, folder):
     path = folder("tables")
     docs.write.parquet(f"{path}/documents.parquet")
