@@ -187,13 +187,38 @@ class Model:
                 out[some] = np.log(_ahead(self.finder.find(matrix), weights)[:, size]) - size * np.log(SCALE)
         return out
 
+    def _add_long(self, out: np.ndarray, word: bytes, counts: np.ndarray) -> None:
+        """Add the expected piece counts of a word of any length; sums are logarithms."""
+        with np.errstate(divide="ignore"):
+            logs = np.log(np.vstack([self.probabilities, np.zeros(len(self.langs))]))
+        found = [starts[0] for starts in self.finder.find(np.frombuffer(word, np.uint8)[None, :])]
+        size, reach = len(word), len(found)
+        begins, ends = (np.full((size + 1, reach), len(self.pieces), np.int32) for _ in range(2))
+        for d, starts in enumerate(found, 1):
+            begins[: size - d + 1, d - 1] = ends[d:, d - 1] = starts
+        # Nothing comes before the word or after it.
+        ahead, behind = (np.full((size + 1 + reach, len(self.langs)), -np.inf) for _ in range(2))
+        ahead[reach] = behind[size] = 0.0
+        for j in range(1, size + 1):
+            ahead[reach + j] = np.logaddexp.reduce(ahead[j : reach + j][::-1] + logs[ends[j]])
+        for i in range(size - 1, -1, -1):
+            behind[i] = np.logaddexp.reduce(behind[i + 1 : i + 1 + reach] + logs[begins[i]])
+        for d, starts in enumerate(found, 1):
+            start = np.flatnonzero(starts < len(self.pieces))
+            piece = starts[start]
+            np.add.at(out, piece, np.exp(ahead[reach + start] + logs[piece] + behind[start + d] - behind[0]) * counts)
+
     def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """Expected piece counts by language for words seen `counts` (word, language) times; long words are left out."""
+        """Expected piece counts by language for words seen `counts` (word, language) times."""
         out = np.zeros((len(self.pieces) + 1, len(self.langs)))
         sizes = np.array([len(w) for w in words])
         weights = self.weights
-        for size in np.unique(sizes[sizes <= LONG]):
+        for size in np.unique(sizes):
             at = np.flatnonzero(sizes == size)
+            if size > LONG:
+                for i in at:
+                    self._add_long(out, words[i], counts[i])
+                continue
             for some in np.array_split(at, -(-len(at) // TOGETHER)):
                 matrix = np.frombuffer(b"".join(words[i] for i in some), np.uint8).reshape(len(some), size)
                 found = self.finder.find(matrix)
@@ -224,7 +249,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
             counts: dict[str, Counter] = {}
             for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 counts.setdefault(lang, Counter()).update(text.encode().split())
-            rows = [(lang, b" " + word, n) for lang, own in counts.items() for word, n in own.items() if len(word) < LONG]
+            rows = [(lang, b" " + word, n) for lang, own in counts.items() for word, n in own.items()]
             columns = list(zip(*rows, strict=True)) or [()] * 3
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.binary(), pa.int64()), strict=True)], names=["lang", "word", "n"]

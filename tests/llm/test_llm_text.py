@@ -145,6 +145,26 @@ def test_long_words_stay_in_range():
     assert np.allclose(model.long_word(word), model.words([word])[0])
 
 
+def test_long_words_are_learned_from(spark, docs, monkeypatch):
+    model, counts = small_model(), np.array([[1, 2, 0], [3, 0, 5]])
+    words = [b" abcab" * 7, " éabcc a".encode() * 5]
+    short = model.expected(words, counts)
+    whole = [model.expected([w * 40], counts[:1]) for w in words]
+    sizes = np.array([len(p) for p in model.pieces])
+    assert all(np.allclose(sizes @ own, len(w) * 40 * counts[0]) for own, w in zip(whole, words, strict=True))
+    monkeypatch.setattr(langid, "LONG", 4)
+    assert short.sum() > 0 and np.allclose(model.expected(words, counts), short)
+    monkeypatch.undo()
+    # Clauses of 48 bytes and more, as in scripts without blanks.
+    rng = np.random.default_rng(4)
+    text = lambda letters: " ".join("".join(rng.choice(list(letters), 25)) for _ in range(6))
+    rows = [(i, text("のはをにがでとたしてい" if i % 2 else "的一是不了人我在有他这"), "ja" if i % 2 else "zh", "s", 0) for i in range(30)]
+    df = spark.createDataFrame(rows, docs.schema)
+    fitted = langid.fit(df.where("doc_id < 20"))
+    assert fitted.langs == ["ja", "zh"]
+    assert all(r.lang_pred == ("ja" if r.doc_id % 2 else "zh") for r in langid.predict(df, fitted).collect())
+
+
 def test_held_out_accuracy(docs, rows):
     held = langid.held_out(F.col("doc_id"))
     found = langid.predict(docs, langid.fit(docs.where(~held))).withColumn("held_out", held).collect()
