@@ -5,8 +5,10 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+# The package, and helpers that only tests share; no test module imports `conftest`.
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
 
+from sample_times import BASE  # noqa: E402
 from tapeloom import session  # noqa: E402
 
 
@@ -42,9 +44,6 @@ def trades_of(spark):
     return make
 
 
-BASE = 1700000000000
-
-
 @pytest.fixture(scope="session")
 def ten_trades(trades_of):
     prices = [100.0, 101.0, 102.0, 101.5, 100.5, 99.5, 100.2, 99.8, 100.4, 99.9]

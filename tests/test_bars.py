@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tapeloom.operators import bars, labels
 from tapeloom.sources import history
 
-from conftest import BASE
+from sample_times import BASE
 
 
 def table(df):

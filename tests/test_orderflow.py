@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.operators import orderflow, ordered, recent
 
-from conftest import BASE
+from sample_times import BASE
 
 
 def brute(rows, size=100):
