@@ -2,10 +2,13 @@ from __future__ import annotations
 
 import os
 import random
+import sys
 from pathlib import Path
 
 import pytest
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 # Python workers import the package by themselves.
 os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [str(Path(__file__).resolve().parents[2]), os.environ.get("PYTHONPATH")]))
 

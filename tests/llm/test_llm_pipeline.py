@@ -3,10 +3,9 @@ from __future__ import annotations
 from collections import Counter
 
 import corpus_pipeline
+from brute_links import linked
 from tapeloom.llm import common, jaccard, mixing, outliers, packing, pii, queries
 
-from test_llm_dedup import linked
-
 
 def test_stages_keep_columns_and_take_effect(spark, crowded, folder):
     docs, seen = crowded, {}
