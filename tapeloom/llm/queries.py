@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import common, jaccard, langid, mixing, nearest, outliers, packing, pii, repeats, sharding, window_dedup
+from . import common, jaccard, langid, merkle, mixing, nearest, outliers, packing, pii, repeats, sharding, window_dedup
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.kept_words(common.table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(common.table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
 
@@ -182,5 +186,61 @@ SELECT doc_id, bytes, node AS shard_id, 0::BIGINT AS overflow, depth::INTEGER AS
 """
 
 
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of an ASCII text, bit by bit."""
+    bits = f"flatten([[(ascii(c) >> k) & 1 FOR k IN range(8)] FOR c IN string_split({text}, '')])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda x, b: xor(x >> 1, (xor(x, b) & 1) * 3988292384::BIGINT)), 4294967295::BIGINT)"
+
+
+def _value(expr: str) -> str:
+    return f"coalesce(strlen({expr})::VARCHAR || ':' || {expr}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_value(x) for x in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)) + ")"
+
+
+#: Trees level by level: (tree, level, place, digest, how many); a tree of one node is done.
+OP11_SQL = f"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, source, {_leaf('text')} AS leaf, {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS lowered,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM (SELECT *, {_leaf('text')} AS leaf FROM documents)
+), trees AS (
+  SELECT source, 0 AS level, pos, leaf AS digest, count(*) OVER (PARTITION BY source) AS n FROM l
+  UNION ALL
+  SELECT source, level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 15) // 16 FROM trees WHERE n > 1 GROUP BY source, level, pos // 16
+), subroots AS (
+  SELECT source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos FROM trees WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, pos, digest, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 15) // 16 FROM tops WHERE n > 1 GROUP BY level, pos // 16
+), sibs AS (
+  SELECT l.source, l.pos AS leaf_at, t.level, coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (WHERE t.pos < l.pos // (16 ** t.level)::BIGINT), '') AS lefts,
+    coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (WHERE t.pos > l.pos // (16 ** t.level)::BIGINT), '') AS rights
+  FROM l JOIN trees t ON t.source IS NOT DISTINCT FROM l.source AND t.n > 1 AND t.pos // 16 = l.pos // (16 ** (t.level + 1))::BIGINT GROUP BY ALL
+), top_sibs AS (
+  SELECT s.source, t.level, coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (WHERE t.pos < s.pos // (16 ** t.level)::BIGINT), '') AS lefts,
+    coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (WHERE t.pos > s.pos // (16 ** t.level)::BIGINT), '') AS rights
+  FROM subroots s JOIN tops t ON t.n > 1 AND t.pos // 16 = s.pos // (16 ** (t.level + 1))::BIGINT GROUP BY ALL
+), steps AS (
+  SELECT source, leaf_at, row_number() OVER (PARTITION BY source, leaf_at ORDER BY stage, level) AS step, lefts, rights FROM (
+    SELECT source, leaf_at, 0 AS stage, level, lefts, rights FROM sibs
+    UNION ALL SELECT l.source, l.pos, 1, t.level, t.lefts, t.rights FROM l JOIN top_sibs t ON l.source IS NOT DISTINCT FROM t.source)
+), fold AS (
+  SELECT source, pos, 0::BIGINT AS step, CASE WHEN {_crc32('doc_id::VARCHAR')} % 5 = 0 THEN lowered ELSE leaf END AS digest FROM l
+  UNION ALL
+  SELECT f.source, f.pos, s.step, sha256(lefts || f.digest || rights) FROM fold f JOIN steps s ON f.source IS NOT DISTINCT FROM s.source AND f.pos = s.leaf_at AND s.step = f.step + 1
+), proofs AS (
+  SELECT source, leaf_at, sha256(string_agg(lefts || rights, '' ORDER BY step)) AS proof, max(step) AS steps FROM steps GROUP BY ALL
+)
+SELECT l.doc_id, l.leaf, s.digest AS subroot, t.digest AS root, coalesce(p.proof, sha256('')) AS proof_sha256, f.digest AS folded_root, f.digest = t.digest AS verified
+FROM l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source JOIN tops t ON t.n = 1
+LEFT JOIN proofs p ON l.source IS NOT DISTINCT FROM p.source AND l.pos = p.leaf_at
+JOIN fold f ON l.source IS NOT DISTINCT FROM f.source AND l.pos = f.pos AND f.step = coalesce(p.steps, 0)
+"""
+
+
 def oracle_sql() -> dict:
-    return {"op2_shards": OP2_SQL, "op8_shingle_links": OP8_SQL, "op9_mix_sources": OP9_SQL, "op7_repeated_bytes": OP7_SQL, "op10_repeated_windows": OP10_SQL}
+    return {"op2_shards": OP2_SQL, "op8_shingle_links": OP8_SQL, "op9_mix_sources": OP9_SQL, "op7_repeated_bytes": OP7_SQL, "op10_repeated_windows": OP10_SQL, "op11_merkle_manifest": OP11_SQL}
