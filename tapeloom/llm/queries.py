@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import common, jaccard, langid, merkle, mixing, nearest, outliers, packing, pii, repeats, sharding, window_dedup
+from . import common, fingerprints, jaccard, langid, merkle, mixing, nearest, outliers, packing, pii, repeats, sharding, window_dedup
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(common.table(spark, sf_dir, "documents"))
 
 
+def op12_rare_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(common.table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
 
