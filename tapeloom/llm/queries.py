@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import common, fingerprints, jaccard, langid, merkle, mixing, nearest, outliers, packing, pii, repeats, sharding, window_dedup
+from . import common, fingerprints, jaccard, langid, merkle, mixing, nearest, outliers, packing, pii, repeats, sharding, trie, window_dedup
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +66,10 @@ def op12_rare_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(common.table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(common.table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
 
@@ -246,5 +250,41 @@ JOIN fold f ON l.source IS NOT DISTINCT FROM f.source AND l.pos = f.pos AND f.st
 """
 
 
+OP13_SQL = f"""
+WITH own AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, name) - 1 AS p, name, w FROM (
+    SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS name,
+      coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS w FROM conversations WHERE conv_id IS NOT NULL)
+), convs AS (
+  SELECT c, c - c % 20 AS b, {_crc32('c::VARCHAR')} % 4 AS h FROM (SELECT DISTINCT c FROM own)
+), lent AS (
+  SELECT k.c, h, coalesce(count(o.c), 0) AS l FROM convs k LEFT JOIN own o ON o.c = k.b AND o.p < k.h GROUP BY ALL
+), t AS (
+  SELECT k.c, o.p, name, w FROM convs k JOIN own o ON o.c = k.b AND o.p < k.h
+  UNION ALL SELECT o.c, o.p - h + l, name, w FROM own o JOIN lent USING (c) WHERE o.p >= h
+), path AS (
+  SELECT c, p + 1 AS d, w, md5(string_agg(name, '') OVER (PARTITION BY c ORDER BY p)) AS k FROM t
+  UNION ALL SELECT c, 0, 0, '' FROM convs
+), n AS (
+  SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, any_value(w) AS w FROM path GROUP BY d, k
+), up AS (
+  SELECT DISTINCT a.d, a.k, b.d AS pd, b.k AS pk FROM path a JOIN path b ON a.c = b.c AND a.d = b.d + 1
+), kids AS (
+  SELECT pd AS d, pk AS k, count(*) AS n_children FROM up GROUP BY ALL
+), below AS (
+  SELECT DISTINCT b.d, b.k, a.d AS ad, a.k AS ak FROM path a JOIN path b ON a.c = b.c AND a.d <= b.d
+), sums AS (
+  SELECT ad AS d, ak AS k, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum((n_convs - 1) * w) AS saved
+  FROM below JOIN n USING (d, k) LEFT JOIN kids USING (d, k) GROUP BY ALL
+), ends AS (
+  SELECT d, k, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS h FROM path JOIN (SELECT c, max(d) AS d FROM path GROUP BY c) USING (c, d) GROUP BY ALL
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, m.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+  saved::BIGINT AS saved_tokens, coalesce(ends.h, sha256('')) AS ends_sha256
+FROM n LEFT JOIN up USING (d, k) LEFT JOIN n m ON m.d = up.pd AND m.k = up.pk LEFT JOIN kids ON kids.d = n.d AND kids.k = n.k
+JOIN sums ON sums.d = n.d AND sums.k = n.k LEFT JOIN ends ON ends.d = n.d AND ends.k = n.k
+"""
+
+
 def oracle_sql() -> dict:
-    return {"op2_shards": OP2_SQL, "op8_shingle_links": OP8_SQL, "op9_mix_sources": OP9_SQL, "op7_repeated_bytes": OP7_SQL, "op10_repeated_windows": OP10_SQL, "op11_merkle_manifest": OP11_SQL}
+    return {"op2_shards": OP2_SQL, "op8_shingle_links": OP8_SQL, "op9_mix_sources": OP9_SQL, "op7_repeated_bytes": OP7_SQL, "op10_repeated_windows": OP10_SQL, "op11_merkle_manifest": OP11_SQL, "op13_prefix_trie": OP13_SQL}

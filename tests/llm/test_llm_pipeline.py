@@ -64,6 +64,6 @@ def test_a_table_without_rows(spark, empty, folder):
 
 def test_names():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(queries.queries())
     assert [len(s) for s in corpus_pipeline.STAGES] == [2] * 5
