@@ -17,13 +17,15 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tapeloom import session  # noqa: E402
 from tapeloom.functions.timebucket import floor_to  # noqa: E402
-from tapeloom.operators import bars, labels, metrics, normalize, ordered, orderflow, recent, scoring, training  # noqa: E402
+from tapeloom.operators import asof, bars, divergence, labels, metrics, normalize, ordered, orderflow, recent, scoring, training  # noqa: E402
 from tapeloom.sources import features, history, models, raw  # noqa: E402
+from tapeloom.streaming import accuracy as accuracy_stream  # noqa: E402
 from tapeloom.streaming import ingest as ingest_stream  # noqa: E402
 from tapeloom.streaming import orderflow as orderflow_stream  # noqa: E402
 from tapeloom.streaming import replay as replay_stream  # noqa: E402
 from tapeloom.streaming import scoring as scoring_stream  # noqa: E402
 from tapeloom.streaming import tail  # noqa: E402
+from tapeloom.streaming import volatility as volatility_stream  # noqa: E402
 
 try:  # the only place that may do without the training-data subpackage
     import corpus_pipeline
@@ -491,6 +493,80 @@ def q_portfolio_lines(spark, sf_dir):
     return recent.portfolio_lines(held).select("symbol", "quantity", r6("value"), "value_text")
 
 
+ASOF_FEATURES = ("closed_at", "price_close", "return_1", "ma_3", "vol_5")
+
+
+def q_asof_features(spark, sf_dir):
+    """Trades with the features of the newest bar that had closed."""
+    seen = asof.closed_features(trades(spark, sf_dir), bars.compute(trades(spark, sf_dir)), "1min")
+    return seen.select("symbol", "seq", "ts", "closed_at", *map(r6, ASOF_FEATURES[1:]))
+
+
+def q_asof_ties(spark, sf_dir):
+    """Line items with the newest order of their customer's priority class, many of both on a day."""
+    session.prepare(spark)
+    millis = lambda c: F.unix_millis(F.col(c).cast("timestamp"))
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("flag"), millis("l_shipdate").alias("ts"))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.when(F.col("o_orderpriority") < "3", "A").when(F.col("o_orderpriority") < "5", "N").otherwise("R").alias("flag"), millis("o_orderdate").alias("ordered"), "o_orderkey"
+    )
+    found = asof.join(lines, orders.groupBy("flag", "ordered").agg(F.max("o_orderkey").alias("newest")), ["flag"], "ts", "ordered", most_rows=4096)
+    return found.select("l_orderkey", "l_linenumber", "flag", "ts", "ordered", "newest")
+
+
+def q_asof_model_score(spark, sf_dir):
+    """Trades scored by a model of bar features, through the bar each of them could see.
+
+    With one 0/1 feature and no penalty to speak of, the probabilities are shares
+    among the training rows; trades before the first closed bar lack the feature, which
+    then counts as 0.
+    """
+    up = F.when(F.col("price_close") >= F.col("price_open"), 1).otherwise(0)
+    written = session.materialize(labelled(spark, sf_dir).withColumn("up", up), "labelled")
+    bundle, _ = training.train(written, ("up",), C=1e9)
+    made = session.materialize(bars.compute(trades(spark, sf_dir)).withColumn("up", up).select("symbol", "timestamp", "up"), "features")
+    seen = asof.closed_features(trades(spark, sf_dir), made, "1min")
+    return scoring.score(seen, bundle).select("symbol", "seq", (F.round(F.col("prob_up") + NUDGE, 4) + F.lit(0.0)).alias("prob_up"), "predictor")
+
+
+def _live_and_replayed(spark, sf_dir):
+    """Order flow as computed live, and from a replay that lost and doubled trades and changed sides."""
+    live = orderflow.imbalance(trades(spark, sf_dir))
+    heard = trades(spark, sf_dir).where(F.col("seq") % 997 != 5)
+    heard = heard.withColumn("side", F.when(F.col("seq") % 499 == 7, "sell").otherwise(F.col("side")))
+    again = orderflow.imbalance(heard)
+    return live, again.unionByName(again.where(F.col("seq") % 811 == 3))
+
+
+def q_replay_differences(spark, sf_dir):
+    """Every row of live features without an equal one in the replay, and the other way round."""
+    found = divergence.differences(*_live_and_replayed(spark, sf_dir), ["symbol", "seq"])
+    return found.select("symbol", "seq", "copy", "status", F.array_join("differing", ",").alias("differing"), F.col("left.ofi").alias("live"), F.col("right.ofi").alias("replayed"))
+
+
+def q_replay_divergence(spark, sf_dir):
+    """How much of the features diverges, by kind and by column."""
+    return divergence.report(*_live_and_replayed(spark, sf_dir), ["symbol", "seq"])
+
+
+def q_stream_accuracy(spark, sf_dir):
+    """Forecasts of a stream of scored trades against labels that a second stream brings later."""
+    known, out, checkpoint = (session.shared_folder(spark, n) for n in ("known-labels", "accuracy", "accuracy-cp"))
+    told = labelled(spark, sf_dir).select("symbol", F.unix_millis("timestamp").alias("bucket"), F.col("label").cast("int").alias("label"))
+    told.write.parquet(known)
+    scored = scoring.heuristic(trades_stream(spark, sf_dir).withColumn("ofi", F.lit(0.0)))
+    later = raw.stream_frames(spark, known, told.schema)
+    _drain(accuracy_stream.start(scored, later, out, checkpoint, rule="1min", window_ms=86_400_000))
+    return accuracy_stream.read(spark, out).select("symbol", "window", "n", "hits", r6("accuracy"))
+
+
+def q_stream_volatility(spark, sf_dir):
+    """Rolling volatility of the bars that a stream of trades has closed."""
+    out, checkpoint = (session.shared_folder(spark, n) for n in ("volatility", "volatility-cp"))
+    _drain(volatility_stream.start(trades_stream(spark, sf_dir), out, checkpoint, rule="1min", delay="30 minutes"))
+    return spark.read.parquet(out).select("symbol", "bucket", *map(r6, ("price_close", "return_1", "vol_3", "vol_5", "vol_15")))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Feature bars per symbol at one minute."""
     return q_bars_full(spark, "/root/testdata/sf0.001")
@@ -592,6 +668,11 @@ _OFI = """SELECT symbol, seq, ts, (b - s)::DOUBLE / greatest(b + s, 1) AS ofi FR
 # Trades without arrival positions: in time order, ties by price, quantity and side.
 _TIME_ORDER = """t AS (SELECT * REPLACE (row_number() OVER (PARTITION BY symbol ORDER BY ts, price NULLS FIRST, qty NULLS FIRST, side NULLS FIRST) AS seq) FROM a)"""
 
+_REPLAYED = f"""live AS ({_OFI}), heard AS (SELECT * REPLACE (CASE WHEN seq % 499 = 7 THEN 'sell' ELSE side END AS side) FROM t WHERE seq % 997 <> 5),
+  once AS ({_OFI.replace("FROM t WINDOW", "FROM heard WINDOW")}), again AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE seq % 811 = 3),
+  off_live AS (SELECT *, row_number() OVER (PARTITION BY symbol, seq ORDER BY ts, ofi) AS copy FROM (SELECT * FROM live EXCEPT ALL SELECT * FROM again)),
+  off_again AS (SELECT *, row_number() OVER (PARTITION BY symbol, seq ORDER BY ts, ofi) AS copy FROM (SELECT * FROM again EXCEPT ALL SELECT * FROM live))"""
+
 _SPLIT = """SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY bucket) > n - CAST(ceil(0.2::DOUBLE * n) AS BIGINT) AS is_test
   FROM (SELECT *, count(*) OVER (PARTITION BY symbol) AS n FROM lab)"""
 
@@ -719,6 +800,34 @@ def oracle_sql() -> dict[str, str]:
         "portfolio_lines": f"""SELECT symbol, quantity, {_r('value')}, {_dollars('value', 3)} AS value_text FROM (
             SELECT c_mktsegment AS symbol, CAST(count(*) AS DOUBLE) AS quantity, sum(c_acctbal) AS value FROM customer GROUP BY 1)""",
     }
+    own |= {
+        "asof_features": f"WITH {_ticks()}, {_sparse_sql(MINUTE)},\n{_dense_sql(MINUTE, (3, 5))},\ne AS (SELECT *, bucket + {MINUTE} AS closed_at FROM b)"
+        f"""SELECT t.symbol, seq, ts, closed_at, {_r('price_close')}, {_r('return_1')}, {_r('ma_3')}, {_r('vol_5')}
+            FROM t ASOF LEFT JOIN e ON t.symbol = e.symbol AND t.ts >= e.closed_at""",
+        "asof_ties": """WITH l AS (SELECT l_orderkey, l_linenumber, l_returnflag AS flag, epoch_us(l_shipdate) // 1000 AS ts FROM lineitem),
+            o AS (SELECT CASE WHEN o_orderpriority < '3' THEN 'A' WHEN o_orderpriority < '5' THEN 'N' ELSE 'R' END AS flag, epoch_us(o_orderdate) // 1000 AS ordered, max(o_orderkey) AS newest FROM orders GROUP BY ALL)
+            SELECT l_orderkey, l_linenumber, l.flag, ts, ordered, newest FROM l ASOF LEFT JOIN o ON l.flag = o.flag AND l.ts >= o.ordered""",
+        "asof_model_score": _labels_sql()
+        + f""", sc AS (SELECT *, CASE WHEN price_close >= price_open THEN 1 ELSE 0 END AS up FROM ({_SPLIT})),
+            shares AS (SELECT avg(label) FILTER (WHERE up = 1) AS one, avg(label) FILTER (WHERE up = 0) AS zero FROM sc WHERE NOT is_test),
+            e AS (SELECT symbol, bucket + {MINUTE} AS closed_at, price_close >= price_open AS up FROM b)
+            SELECT t.symbol, seq, round(CASE WHEN e.up THEN one ELSE zero END + 1e-9::DOUBLE, 4) + 0.0 AS prob_up, 'model' AS predictor
+            FROM t ASOF LEFT JOIN e ON t.symbol = e.symbol AND t.ts >= e.closed_at, shares""",
+        "replay_differences": f"""WITH {_ticks()}, {_REPLAYED} SELECT coalesce(l.symbol, r.symbol) AS symbol, coalesce(l.seq, r.seq) AS seq, coalesce(l.copy, r.copy)::BIGINT AS copy,
+            CASE WHEN r.seq IS NULL THEN 'left only' WHEN l.seq IS NULL THEN 'right only' ELSE 'changed' END AS status,
+            CASE WHEN l.ofi <> r.ofi THEN 'ofi' ELSE '' END AS differing, l.ofi AS live, r.ofi AS replayed FROM off_live l FULL JOIN off_again r ON l.symbol = r.symbol AND l.seq = r.seq AND l.copy = r.copy""",
+        "replay_divergence": f"""WITH {_ticks()}, {_REPLAYED}, j AS (SELECT l.seq AS a, r.seq AS b, l.ofi <> r.ofi AS differs FROM off_live l FULL JOIN off_again r ON l.symbol = r.symbol AND l.seq = r.seq AND l.copy = r.copy)
+            SELECT 'equal' AS subject, (SELECT count(*) FROM live) - count(*) FILTER (WHERE a IS NOT NULL) AS rows FROM j
+            UNION ALL SELECT 'changed', count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL) FROM j
+            UNION ALL SELECT 'left only', count(*) FILTER (WHERE b IS NULL) FROM j UNION ALL SELECT 'right only', count(*) FILTER (WHERE a IS NULL) FROM j
+            UNION ALL SELECT 'column: ts', 0 UNION ALL SELECT 'column: ofi', count(*) FILTER (WHERE differs) FROM j""",
+        "stream_accuracy": _LABEL_SCORES.replace("AS score, lab.label", "AS score, lab.label, t.symbol, ts")
+        + """ SELECT symbol, ts - ts % 86400000 AS window, count(*) AS n, sum(CASE WHEN (score >= 0.5) = (label = 1) THEN 1 ELSE 0 END)::BIGINT AS hits,
+            round(avg(CASE WHEN (score >= 0.5) = (label = 1) THEN 1.0::DOUBLE ELSE 0.0 END) + 1e-9::DOUBLE, 6) + 0.0 AS accuracy FROM x GROUP BY ALL""",
+        "stream_volatility": f"WITH {_ticks()}, {_sparse_sql(MINUTE)},\n{_dense_sql(MINUTE, w)},\n"
+        f"""k AS (SELECT symbol, max(bucket) AS newest FROM s WHERE bucket + {MINUTE} <= (SELECT max(ts) FROM t) - 1800000 GROUP BY symbol)
+            SELECT symbol, bucket, {_r('price_close')}, {_r('return_1')}, {_r('vol_3')}, {_r('vol_5')}, {_r('vol_15')} FROM b JOIN k USING (symbol) WHERE bucket <= newest""",
+    }
     if llm_queries is None:
         return own
     found = own | llm_queries.oracle_sql()

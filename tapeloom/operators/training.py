@@ -62,11 +62,12 @@ def train(
     if not feature_cols:
         raise ValueError("no feature columns")
     keep = [c for c in ("symbol", "timestamp") if c in dataset.columns]
-    # Read by the split, the checks, the fit and the test.
     written = materialize(dataset.select(*keep, *feature_cols, "label"), "labelled")
     split = labels.chrono_split(written).select(*feature_cols, "label", "is_test")
     if unusable == "drop":
         split = usable(split, feature_cols)
+    # Read by the checks, the fit and the test.
+    split = materialize(split, "split")
     rows = _check(split, feature_cols)
     stages = [
         VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="error"),

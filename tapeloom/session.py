@@ -15,15 +15,14 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-}
-
-STATIC_CONF = {
-    "spark.ui.enabled": "false",
+    # State that outgrows memory goes to disk; processors with state of their own need it.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
 }
 
+STATIC_CONF = {"spark.ui.enabled": "false"}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the settings that results depend on in a session made elsewhere."""
