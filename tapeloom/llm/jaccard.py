@@ -341,19 +341,24 @@ class _Forest:
 
 
 def _propose(rows: list[tuple], percent: int, trees: int) -> Iterator[tuple[bytes, bytes]]:
-    """Links to check among members (set, size, sketch, linked, refuted, side): `trees` forests without common edges."""
+    """Links to check among members (set, size, sketch, component, linked, refuted, side): `trees` forests without common edges.
+
+    Members of one component are joined already.
+    """
     sizes = np.array([r[1] for r in rows], np.int64)
     i, j, bits = near_pairs(sizes, [r[2] for r in rows], percent)
-    crossing = any(r[5] for r in rows)
+    crossing = any(r[6] for r in rows)
     place = {r[0]: k for k, r in enumerate(rows)}
-    known = [(k, place[other]) for k, r in enumerate(rows) for other in r[3] or () if other in place]
+    known = [(k, place[other]) for k, r in enumerate(rows) for other in r[4] or () if other in place]
     answered = {(min(x), max(x)) for x in known}
-    answered |= {(min(k, place[o]), max(k, place[o])) for k, r in enumerate(rows) for o in r[4] or () if o in place}
-    joined = _Forest(len(rows))
+    answered |= {(min(k, place[o]), max(k, place[o])) for k, r in enumerate(rows) for o in r[5] or () if o in place}
+    joined, first = _Forest(len(rows)), {}
+    for k, r in enumerate(rows):
+        joined.join(k, first.setdefault(r[3], k))
     for a, b in known:
         joined.join(a, b)
     whole = np.array([joined.root(k) for k in range(len(rows))])
-    side = np.array([r[5] for r in rows])
+    side = np.array([r[6] for r in rows])
     # Only what isn't joined yet; between two blocks only pairs across.
     open_ = whole[i] != whole[j]
     if crossing:
@@ -377,13 +382,13 @@ _PAIR = "list long, a binary, b binary"
 
 
 def proposals(joined: DataFrame, percent: int, trees: int) -> DataFrame:
-    """(list, a, b) from rows (list, n, set, size, sketch, linked, refuted)."""
+    """(list, a, b) from rows (list, n, set, size, sketch, component, linked, refuted)."""
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("set"), blocks.cast("bigint")).cast("int")
     placed = joined.withColumn("blocks", blocks).withColumn("own", own).withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
     placed = placed.select(
         "list", F.least("own", "with").alias("one"), F.greatest("own", "with").alias("two"),
-        "set", "size", "sketch", "linked", "refuted", F.when(F.col("own") > F.col("with"), 1).otherwise(0).alias("side"),
+        "set", "size", "sketch", "component", "linked", "refuted", F.when(F.col("own") > F.col("with"), 1).otherwise(0).alias("side"),
     )
     # In the group of two blocks only pairs across are compared.
     placed = placed.withColumn("side", F.when(F.col("one") == F.col("two"), 0).otherwise(F.col("side") + 1))
@@ -457,12 +462,6 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return found.join(wanted.alias("w"), F.expr("d.id <=> w.id AND d.key = w.key")).select("w.set", "d.tokens").dropDuplicates(["set"])
 
 
-def _proposed_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """(set, tokens) of all sets in proposals."""
-    wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-    return _whole_sets(docs, common.stored(wanted.join(sets.select("set", "id", "key"), "set"), "sets-wanted"), width)
-
-
 def _checked(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """(a, b, linked): the exact answer for different proposed links, by the whole sets (set, tokens).
 
@@ -475,33 +474,84 @@ def _checked(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", (100 * common_size >= percent * either).alias("linked"))
 
 
+class _Answers:
+    """Proposed links and what the whole sets say about them; no pair is asked twice."""
+
+    def __init__(self, docs: DataFrame, sets: DataFrame, percent: int, width: int):
+        self.docs, self.sets, self.percent, self.width = docs, sets, percent, width
+        self.full = self.known = None
+
+    def ask(self, pairs: DataFrame) -> None:
+        fresh = pairs.select("a", "b").distinct()
+        # Written before the joins, so that Spark knows when there are few.
+        fresh = common.stored(fresh if self.known is None else fresh.join(self.known, ["a", "b"], "left_anti"), "fresh", FILES)
+        wanted = fresh.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+        if self.full is not None:
+            wanted = wanted.join(self.full.select("set"), "set", "left_anti")
+        wanted = common.stored(wanted.join(self.sets.select("set", "id", "key"), "set"), "sets-wanted", FILES)
+        if self.full is None or not wanted.isEmpty():
+            more = common.stored(_whole_sets(self.docs, wanted, self.width), "sets-whole")
+            self.full = more if self.full is None else self.full.unionByName(more)
+        checked = common.stored(_checked(self.full, fresh, self.percent), "answers", FILES)
+        self.known = checked if self.known is None else self.known.unionByName(checked)
+
+    def links(self) -> DataFrame:
+        return self.known.where("linked").select("a", "b")
+
+    def components(self) -> DataFrame:
+        """(name, set, component) of every set by the links so far; its own without any."""
+        labels = components.components(self.links())
+        names = self.sets.select(_name().alias("name"), "set")
+        return names.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
+
+
+def _open(listed: DataFrame, owned: DataFrame) -> DataFrame:
+    """(list, n, groups, sum) of the lists whose members are in several components: how many, and their sum."""
+    inside = listed.join(owned.select("name", "component"), "name").groupBy("list", "component").agg(F.max("n").alias("n"))
+    told = inside.groupBy("list").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("groups"), F.bit_xor(F.xxhash64("component")).alias("sum"))
+    return told.where("groups > 1")
+
+
 def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """(a, b): links between different sets that join all that belong together.
 
     For rows (id, key, text) and one row (set, id, key, size, alone, prefix, sketch) per set.
+    A group of near copies stands together in very many lists that differ by a few
+    members each. So the first proposals come from one list per set, its longest, and
+    the next from one list for all that see the same components; a list whose members
+    these have joined is done. What is left of the lists is then gone through in full.
     """
     listed = common.stored(members(sets, percent), "members")
     seen = sets.select(_name().alias("name"), "set", "size", "sketch")
     unknown = F.lit(None).cast("array<binary>")
-    joined = listed.join(seen, "name").withColumn("linked", unknown).withColumn("refuted", unknown)
-    full, answers, past, trees = None, None, None, 1
+    answers = _Answers(docs, sets, percent, width)
+
+    def offered(chosen: DataFrame, owned: DataFrame | None) -> DataFrame:
+        joined = chosen.join(seen, "name")
+        joined = joined.withColumn("component", F.col("set")) if owned is None else joined.join(owned.select("set", "component"), "set")
+        return joined.withColumn("linked", unknown).withColumn("refuted", unknown).select("list", "n", "set", "size", "sketch", "component", "linked", "refuted")
+
+    longest = common.stored(listed.groupBy("name").agg(F.max_by("list", F.struct("n", "list")).alias("list")), "longest")
+    sizes = longest.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    answers.ask(common.stored(proposals(offered(longest.join(sizes, "list"), None), percent, 1), "proposals"))
+    owned = common.stored(answers.components(), "components")
+    one_each = _open(listed, owned).groupBy("groups", "sum").agg(F.max_by("list", F.struct("n", "list")).alias("list")).select("list")
+    chosen = listed.join(common.stored(one_each, "one-each", FILES), "list")
+    answers.ask(common.stored(proposals(offered(chosen, owned), percent, 1), "proposals"))
+    owned = common.stored(answers.components(), "components")
+    listed = common.stored(listed.join(_open(listed, owned).select("list"), "list"), "open")
+
+    joined, past, trees = offered(listed, owned), None, 1
     while True:
         pairs = common.stored(proposals(joined, percent, trees), "proposals")
-        if full is None:
-            # The first trees span all that the sketches allow, so later proposals are of the same sets.
-            full = common.stored(_proposed_sets(docs, sets, pairs, width), "sets-whole")
-        fresh = pairs.select("a", "b").distinct()
-        # Written before the joins, so that Spark knows when there are few.
-        fresh = common.stored(fresh if answers is None else fresh.join(answers, ["a", "b"], "left_anti"), "fresh", FILES)
-        checked = common.stored(_checked(full, fresh, percent), "answers", FILES)
-        answers = checked if answers is None else answers.unionByName(checked)
-        told = common.stored(pairs.join(answers, ["a", "b"]), "told", FILES)
-        past = told if past is None else past.unionByName(told)
-        failed = common.stored(told.where("NOT linked").select("list").distinct(), "failed", FILES)
+        answers.ask(pairs)
+        # Only lists with a failed proposal can hold more.
+        failed = common.stored(pairs.join(answers.known.where("NOT linked"), ["a", "b"]).select("list").distinct(), "failed", FILES)
         if failed.isEmpty():
-            return answers.where("linked").select("a", "b")
+            return answers.links()
+        told = common.stored(pairs.join(failed, "list").join(answers.known, ["a", "b"]), "told", FILES)
+        past = told if past is None else past.unionByName(told)
         trees *= 8
-        # Only lists with a failed proposal can hold more.
         both = past.join(failed, "list")
         both = both.select("list", F.col("a").alias("set"), F.col("b").alias("other"), "linked").unionByName(
             both.select("list", F.col("b").alias("set"), F.col("a").alias("other"), "linked")
@@ -510,7 +560,7 @@ def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT, width: int =
             F.collect_set(F.when(F.col("linked"), F.col("other"))).alias("linked"), F.collect_set(F.when(~F.col("linked"), F.col("other"))).alias("refuted")
         )
         again = common.stored(listed.join(failed, "list"), "again", FILES)
-        joined = again.join(seen, "name").join(common.stored(known, "known", FILES), ["list", "set"], "left")
+        joined = offered(again, owned).drop("linked", "refuted").join(common.stored(known, "known", FILES), ["list", "set"], "left")
 
 
 def _owned(rows: DataFrame, percent: int, width: int) -> DataFrame:
