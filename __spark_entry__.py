@@ -17,10 +17,12 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tapeloom import session  # noqa: E402
 from tapeloom.functions.timebucket import floor_to  # noqa: E402
-from tapeloom.operators import asof, bars, divergence, labels, metrics, normalize, ordered, orderflow, recent, scoring, training  # noqa: E402
+from tapeloom.operators import asof, backtest, bars, correlation, divergence, labels, metrics, normalize, ordered  # noqa: E402
+from tapeloom.operators import orderflow, quantiles, recent, scoring, training  # noqa: E402
 from tapeloom.sources import features, history, models, raw  # noqa: E402
 from tapeloom.streaming import accuracy as accuracy_stream  # noqa: E402
 from tapeloom.streaming import ingest as ingest_stream  # noqa: E402
+from tapeloom.streaming import monitor  # noqa: E402
 from tapeloom.streaming import orderflow as orderflow_stream  # noqa: E402
 from tapeloom.streaming import replay as replay_stream  # noqa: E402
 from tapeloom.streaming import scoring as scoring_stream  # noqa: E402
@@ -567,6 +569,59 @@ def q_stream_volatility(spark, sf_dir):
     return spark.read.parquet(out).select("symbol", "bucket", *map(r6, ("price_close", "return_1", "vol_3", "vol_5", "vol_15")))
 
 
+def _delays(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Line items as events: the day of their order, and how many days later they were shipped, some before it."""
+    millis = lambda c: F.unix_millis(F.col(c).cast("timestamp"))
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.select(millis("o_orderdate").alias("ts"), ((millis("l_shipdate") - millis("o_orderdate")) / 86_400_000 + F.col("l_linenumber") / 8).alias("latency"))
+
+
+MONTH = 30 * 86_400_000
+
+
+def q_latency_exact(spark, sf_dir):
+    session.prepare(spark)
+    delays = _delays(*(spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("lineitem", "orders"))).withColumn("window", floor_to(F.col("ts"), MONTH))
+    return quantiles.exact(delays, ["window"], "latency").select("window", "probability", r6("value"))
+
+
+def q_stream_latency(spark, sf_dir):
+    """Quantiles of a stream's delays from sketches that its micro-batches have left."""
+    session.prepare(spark)
+    out, checkpoint = (session.shared_folder(spark, n) for n in ("latency", "latency-cp"))
+    path = f"{sf_dir}/lineitem.parquet"
+    lines = raw.stream_frames(spark, f"{path}*", spark.read.parquet(path).schema)
+    _drain(monitor.start_latency(_delays(lines, spark.read.parquet(f"{sf_dir}/orders.parquet")), F.col("latency"), out, checkpoint, window_ms=MONTH))
+    return monitor.read_latency(spark, out).select("window", "probability", r6("value"))
+
+
+def q_stream_throughput(spark, sf_dir):
+    out, checkpoint = (session.shared_folder(spark, n) for n in ("throughput", "throughput-cp"))
+    _drain(monitor.start_throughput(trades_stream(spark, sf_dir), out, checkpoint, unit_ms=MINUTE))
+    return monitor.read_throughput(spark, out, MINUTE)
+
+
+def _curve(spark, sf_dir):
+    """A hundredth of the equity follows the last change of the price for one bar."""
+    held = F.when(F.col("return_1") > 0, 1.0).when(F.col("return_1") < 0, -0.5).otherwise(0.0)
+    return backtest.equity(backtest.strategy_returns(labelled(spark, sf_dir), held, cost=0.001, stake=0.01))
+
+
+def q_backtest_curve(spark, sf_dir):
+    log = _curve(spark, sf_dir).withColumn("log_equity", F.ln("equity"))
+    return bar_view(log, "position", "log_equity", "drawdown")
+
+
+def q_backtest_summary(spark, sf_dir):
+    found = backtest.summary(_curve(spark, sf_dir)).withColumn("log_equity", F.ln("final_equity"))
+    return found.select("symbol", "bars", "trades", "wins", r6("log_equity"), r6("worst_drawdown"))
+
+
+def q_correlations(spark, sf_dir):
+    found = correlation.correlations(bars.compute(trades(spark, sf_dir)), 86_400_000, block=2)
+    return found.select("window", "symbol", "other", "n", r6("correlation"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Feature bars per symbol at one minute."""
     return q_bars_full(spark, "/root/testdata/sf0.001")
@@ -828,6 +883,30 @@ def oracle_sql() -> dict[str, str]:
         f"""k AS (SELECT symbol, max(bucket) AS newest FROM s WHERE bucket + {MINUTE} <= (SELECT max(ts) FROM t) - 1800000 GROUP BY symbol)
             SELECT symbol, bucket, {_r('price_close')}, {_r('return_1')}, {_r('vol_3')}, {_r('vol_5')}, {_r('vol_15')} FROM b JOIN k USING (symbol) WHERE bucket <= newest""",
     }
+    delays = f"""d AS (SELECT epoch_us(o_orderdate) // 1000 AS ts, (epoch_us(l_shipdate) // 1000 - epoch_us(o_orderdate) // 1000) / 86400000.0::DOUBLE + l_linenumber / 8.0::DOUBLE AS latency FROM lineitem JOIN orders ON l_orderkey = o_orderkey), x AS (SELECT ts - ts % {MONTH} AS window, latency::DOUBLE AS v FROM d)"""
+    ratio = "(1.01::DOUBLE / 0.99::DOUBLE)"
+    curve = _labels_sql() + """, held AS (SELECT *, CASE WHEN return_1 > 0 THEN 1.0::DOUBLE WHEN return_1 < 0 THEN -0.5::DOUBLE ELSE 0.0::DOUBLE END AS position FROM lab),
+            gains AS (SELECT *, (position * CASE WHEN isfinite(future_return) THEN future_return ELSE 0 END - abs(position) * 0.001::DOUBLE) * 0.01::DOUBLE AS earned FROM held),
+            curves AS (SELECT *, product(1 + earned) OVER (PARTITION BY symbol ORDER BY bucket) AS equity FROM gains),
+            falls AS (SELECT *, equity / greatest(1, max(equity) OVER (PARTITION BY symbol ORDER BY bucket)) - 1 AS drawdown FROM curves) """
+    own |= {
+        "latency_exact": f"""WITH {delays} SELECT "window", 0.5::DOUBLE AS probability, round(quantile_cont(v, 0.5::DOUBLE) + 1e-9::DOUBLE, 6) + 0.0 AS value FROM x GROUP BY "window"
+            UNION ALL SELECT "window", 0.95::DOUBLE, round(quantile_cont(v, 0.95::DOUBLE) + 1e-9::DOUBLE, 6) + 0.0 FROM x GROUP BY "window" """,
+        "stream_latency": f"""WITH {delays}, g AS (SELECT "window", CASE WHEN v = 0 THEN 0 ELSE sign(v) * (ceil(ln(abs(v)) / ln({ratio})) + 1000000) END AS bin, count(*) AS n FROM x GROUP BY ALL),
+            k AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY "window" ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(n) OVER (PARTITION BY "window") AS total FROM g)
+            SELECT "window", p AS probability, round(CASE WHEN bin = 0 THEN 0 ELSE sign(bin) * exp((abs(bin) - 1000000) * ln({ratio})) * 2 / ({ratio} + 1) END + 1e-9::DOUBLE, 6) + 0.0 AS value
+            FROM k, (VALUES (0.5::DOUBLE), (0.95::DOUBLE)) q(p) WHERE before <= floor(p * (total - 1)) AND floor(p * (total - 1)) < before + n""",
+        "stream_throughput": f"""WITH {_ticks()}, c AS (SELECT symbol, ts - ts % {MINUTE} AS second, count(*) AS n FROM t GROUP BY ALL),
+            g AS (SELECT symbol, unnest(range(min(second), max(second) + {MINUTE}, {MINUTE})) AS second FROM c GROUP BY symbol)
+            SELECT symbol, second, coalesce(n, 0) AS n FROM g LEFT JOIN c USING (symbol, second)""",
+        "backtest_curve": curve + f"SELECT symbol, bucket, {_r('position')}, {_r('CASE WHEN equity > 0 THEN ln(equity) END', 'log_equity')}, {_r('drawdown')} FROM falls",
+        "backtest_summary": curve + f"""SELECT symbol, count(*) AS bars, count(*) FILTER (WHERE position <> 0) AS trades, count(*) FILTER (WHERE position <> 0 AND earned > 0) AS wins,
+            {_r('CASE WHEN last(equity ORDER BY bucket) > 0 THEN ln(last(equity ORDER BY bucket)) END', 'log_equity')}, {_r('min(drawdown)', 'worst_drawdown')} FROM falls GROUP BY symbol""",
+        "correlations": f"WITH {_ticks()}, {_sparse_sql(MINUTE)},\n{_dense_sql(MINUTE, (3,))},\nfin AS (SELECT symbol, bucket, bucket - bucket % 86400000 AS window, return_1 AS v FROM b WHERE isfinite(return_1))"
+        """, pairs AS (SELECT x.window, x.symbol, y.symbol AS other, count(*) AS n, stddev_pop(x.v) AS sx, stddev_pop(y.v) AS sy, covar_pop(x.v, y.v) AS c
+            FROM fin x JOIN fin y ON x.bucket = y.bucket AND x.symbol < y.symbol GROUP BY ALL)
+            SELECT pairs."window", symbol, other, n, CASE WHEN sx > 0 AND sy > 0 THEN round(c / (sx * sy) + 1e-9::DOUBLE, 6) + 0.0 END AS correlation FROM pairs""",
+    }
     if llm_queries is None:
         return own
     found = own | llm_queries.oracle_sql()
