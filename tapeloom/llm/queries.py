@@ -10,11 +10,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import common, fingerprints, jaccard, langid, merkle, mixing, nearest, outliers, packing, pii, repeats, sharding, trie, window_dedup
 
 
+def _led_by(df: DataFrame, *names: str) -> DataFrame:
+    """The frame with these columns first."""
+    return df.select(*names, *[c for c in df.columns if c not in names])
+
+
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     held_out = langid.held_out(F.col("doc_id"))
     model = langid.fit(docs.where(~held_out))
-    return langid.predict(docs, model).withColumn("held_out", held_out)
+    return _led_by(langid.predict(docs, model).withColumn("held_out", held_out), "doc_id", "held_out", "lang_pred", "score")
 
 
 #: A megabyte, so that the given tables need a directory; files in use are some hundred times that.
@@ -31,7 +36,9 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_outlier_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return outliers.judge(common.table(spark, sf_dir, "documents"))
+    found = outliers.judge(common.table(spark, sf_dir, "documents"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return _led_by(found, "doc_id", *counts, "base_failed", "kept")
 
 
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +58,7 @@ def op8_shingle_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(common.table(spark, sf_dir, "documents"))
+    return _led_by(mixing.mix(common.table(spark, sf_dir, "documents")), "doc_id", "size", "source_size", "target", "taken")
 
 
 def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

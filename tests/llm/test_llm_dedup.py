@@ -230,3 +230,20 @@ def test_empty_tables_and_more_columns(empty, crowded, docs):
         assert operator(empty).collect() == []
         assert order([tuple(r) for r in operator(crowded).collect()]) == order([tuple(r) for r in operator(docs).collect()])
     assert jaccard.keep_one(empty).collect() == []
+
+
+def test_passages_go_from_400_bytes_on(spark, docs):
+    """Passages of over 50 words that two documents share: their bytes decide, not their words."""
+    rng, rows, gone = random.Random(9), [], {}
+    for i, size in enumerate([300, 380, 398, 399, 400, 401, 450, 900] * 2):
+        passage = ""
+        while len(passage) < size:
+            passage += "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 7))) + " "
+        passage = passage[:size]
+        assert len(passage.split()) > 50
+        for side in "xy":
+            # Different bytes around it, so that nothing else is shared.
+            rows.append((len(rows), f"{side * 40}{i}{side}|{passage}|{side}{i}{side * 40}" if side == "x" else f"{side * 40}{i}{side}<{passage}>{side}{i}{side * 40}", "en", "s", 0))
+            gone[len(rows) - 1] = size if size >= 400 else 0
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in repeats.kept_bytes(spark.createDataFrame(rows, docs.schema).repartition(3)).collect()}
+    assert got == {k: (n, int(n > 0)) for k, n in gone.items()}
