@@ -42,7 +42,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 #: (name, function of spark, docs and the folder of the tables).
 STAGES = [("quality", sound), ("near copies", single), ("personal data", masked), ("mix", mixed), ("pack", packed)]
 
-#: Covariance estimates, a fitted field and token ids are beyond SQL; see tests/llm/test_pipeline.py.
+#: Covariance estimates, a fitted field and token ids are beyond SQL; see tests/llm/test_llm_pipeline.py.
 ORACLE_SQL = None
 
 
