@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Window, WindowSpec, functions as F, types as T
 
+from ..functions.timebucket import grid
 from ..schema import with_symbol
 from . import bars, ordered
 
@@ -51,6 +52,11 @@ def labelled_bars(
     return _targets(ahead, threshold, [c for c in ahead.columns if c != "price_ahead"])
 
 
+def chunk_bits_of(rule: str, horizon: int = DEFAULT_HORIZON) -> int:
+    """Width of chunks of time that hold some thousand bars of a rule, and many horizons."""
+    return (grid(rule).span * max(bars.CHUNK_BARS, 8 * horizon)).bit_length()
+
+
 def build_targets(
     bars: DataFrame,
     horizon: int = DEFAULT_HORIZON,
@@ -60,7 +66,8 @@ def build_targets(
 ) -> DataFrame:
     """Add ``future_return`` over ``horizon`` rows and the 0/1 ``label`` to made bars.
 
-    ``labelled_bars`` makes both at once. The last ``horizon`` bars of a symbol have no future and are dropped.
+    ``labelled_bars`` makes both at once. ``chunk_bits_of`` tells chunks that suit the
+    bars' rule; the default suits minutes. The last ``horizon`` bars of a symbol have no future and are dropped.
     """
     if horizon < 1:
         raise ValueError("horizon must be at least 1")

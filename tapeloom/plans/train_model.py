@@ -34,17 +34,20 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> tu
     args = arguments(argv)
     spark = spark or session.create("train_model")
     source = args.features or paths.features_path(args.features_dir, args.symbol, args.freq)
-    dataset = labels.build_targets(features.load_features(spark, source), args.horizon, args.threshold)
-    bundle, quality = training.train(dataset, labels.numeric_features(dataset))
-    target = paths.model_path(args.model_dir, args.symbol, args.freq, args.horizon)
-    metadata = {
-        "symbol": args.symbol,
-        "feature_path": source,
-        "horizon": args.horizon,
-        "threshold": args.threshold,
-        "metrics": quality,
-    }
-    return models.save_model(spark, bundle, target, metadata), quality
+    chunk_bits = labels.chunk_bits_of(args.freq, args.horizon)
+    # The tables that training writes go when the model is saved.
+    with session.scope(spark):
+        dataset = labels.build_targets(features.load_features(spark, source), args.horizon, args.threshold, chunk_bits=chunk_bits)
+        bundle, quality = training.train(dataset, labels.numeric_features(dataset))
+        target = paths.model_path(args.model_dir, args.symbol, args.freq, args.horizon)
+        metadata = {
+            "symbol": args.symbol,
+            "feature_path": source,
+            "horizon": args.horizon,
+            "threshold": args.threshold,
+            "metrics": quality,
+        }
+        return models.save_model(spark, bundle, target, metadata), quality
 
 
 if __name__ == "__main__":

@@ -243,3 +243,9 @@ def test_labelled_bars_equal_targets_of_bars(spark, trades_of, horizon, rule):
 def test_a_stray_time_makes_no_giant_array(trades_of):
     trades = trades_of([(0, 1.0, 1.0), (86_400_000 * 40, 2.0, 1.0)])
     assert bars.compute(trades, "1s", (3,)).count() == 86_400 * 40 + 1
+
+
+def test_chunks_of_targets_suit_the_rule():
+    assert labels.chunk_bits_of("1min") == 28
+    assert labels.chunk_bits_of("100ms") < 20 and labels.chunk_bits_of("100ms", 100_000) > 25
+    assert labels.chunk_bits_of("ME") > 40
