@@ -7,10 +7,12 @@ state of their symbol, which holds the last close and the last returns.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -22,6 +24,9 @@ from ..schema import with_position, with_symbol
 # Bars of a gap that are told at once.
 GAP_BARS = 1 << 16
 
+# The processor goes to workers as code, so they need not find this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def closed_bars(trades: DataFrame, rule: str, delay: str) -> DataFrame:
     """(symbol, bucket, price_close) of bars with a trade, once the watermark has passed their end.
