@@ -1,6 +1,6 @@
 """Run a job: spark-submit --py-files tapeloom.zip job.py NAME [arguments]
 
-NAME is build_features, train_model or run_stream; see its --help.
+NAME is build_features, rebuild_features, train_model or run_stream; see its --help.
 """
 
 from __future__ import annotations
@@ -8,7 +8,7 @@ from __future__ import annotations
 import importlib
 import sys
 
-JOBS = ("build_features", "train_model", "run_stream")
+JOBS = ("build_features", "rebuild_features", "train_model", "run_stream")
 
 
 def main(argv: list[str]) -> None:
