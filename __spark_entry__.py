@@ -8,6 +8,7 @@ places on both sides, because sums of doubles depend on their order.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -19,7 +20,8 @@ from tapeloom import session  # noqa: E402
 from tapeloom.functions.timebucket import floor_to  # noqa: E402
 from tapeloom.operators import asof, backtest, bars, correlation, divergence, labels, metrics, normalize, ordered  # noqa: E402
 from tapeloom.operators import orderflow, quantiles, recent, scoring, training  # noqa: E402
-from tapeloom.sources import features, history, models, raw  # noqa: E402
+from tapeloom.plans import build_features, rebuild_features  # noqa: E402
+from tapeloom.sources import features, history, models, paths, raw  # noqa: E402
 from tapeloom.streaming import accuracy as accuracy_stream  # noqa: E402
 from tapeloom.streaming import ingest as ingest_stream  # noqa: E402
 from tapeloom.streaming import monitor  # noqa: E402
@@ -622,6 +624,54 @@ def q_correlations(spark, sf_dir):
     return found.select("window", "symbol", "other", "n", r6("correlation"))
 
 
+def q_features_rebuilt(spark, sf_dir):
+    """A store of bars after its history grew by later days and by late trades of one day."""
+    past, store = (session.shared_folder(spark, n) for n in ("history", "store"))
+    ticks = trades(spark, sf_dir)
+    late = (F.col("ts") >= RANGE_START) & (F.col("ts") < RANGE_START + 86_400_000) & (F.col("seq") % 2 == 0)
+    early = F.col("ts") <= RANGE_END
+    for part in (early & ~late, ~early | late):
+        history.append(ticks.where(part), past)
+        rebuild_features.rebuild(spark, past, store)
+    return bar_view(rebuild_features.load_store(spark, store).drop("bar_date"))
+
+
+def q_features_job(spark, sf_dir):
+    """The job on a history of one unnamed symbol; the features are found by their name."""
+    past, out = (session.shared_folder(spark, n) for n in ("history", "features"))
+    history.append(trades(spark, sf_dir, with_symbol=False), past)
+    build_features.main(["UNKNOWN", "--db", past, "--outdir", out], spark)
+    return bar_view(features.load_features(spark, paths.features_path(out, "UNKNOWN", bars.DEFAULT_RULE)))
+
+
+def q_history_table(spark, sf_dir):
+    """Trades added twice to a catalogued table, which is made once."""
+    path, name = session.shared_folder(spark, "history"), f"trades_{uuid.uuid4().hex}"
+    ticks = trades(spark, sf_dir)
+    for part in (0, 1):
+        history.create_table(spark, name, path)
+        history.append_table(ticks.where(F.pmod("seq", F.lit(2)) == part), name)
+    days = spark.table(name).groupBy("symbol", "trade_date").agg(F.count("*").alias("n"), F.sum("qty").alias("qty"), F.max("seq").alias("newest"))
+    return days.select("symbol", F.unix_date("trade_date").alias("day"), "n", r6("qty"), "newest")
+
+
+def q_numeric_columns(spark, sf_dir):
+    """What a model may learn from: the numeric columns of labelled bars without their targets."""
+    dataset = labelled(spark, sf_dir)
+    return bar_view(dataset, *labels.numeric_features(dataset))
+
+
+def q_ingest_capped(spark, sf_dir):
+    """Six landed files, two per trigger: three batches hold all trades."""
+    landed, log, past, checkpoint = (session.shared_folder(spark, n) for n in ("landed", "log", "history", "cp"))
+    raw_frames(trades(spark, sf_dir)).repartitionByRange(6, "seq").write.parquet(landed)
+    frames = raw.stream_frames(spark, landed, max_files_per_trigger=2)
+    _drain(ingest_stream.start(frames, log, past, checkpoint, drop_rejects=True, symbol="BTCUSDT"))
+    kept = history.open_history(spark, past)
+    batches = kept.agg(F.count_distinct("ingest_batch")).first()[0]
+    return kept.select("seq", "ts", "price", "qty", "side", "symbol", F.lit(batches).cast("bigint").alias("batches"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Feature bars per symbol at one minute."""
     return q_bars_full(spark, "/root/testdata/sf0.001")
@@ -856,6 +906,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT c_mktsegment AS symbol, CAST(count(*) AS DOUBLE) AS quantity, sum(c_acctbal) AS value FROM customer GROUP BY 1)""",
     }
     own |= {
+        "features_rebuilt": _bars_sql(MINUTE, w),
+        "features_job": _bars_sql(MINUTE, w, ticks=_ticks("'UNKNOWN'")),
+        "history_table": f"WITH {_ticks()} SELECT symbol, CAST(ts // 86400000 AS INTEGER) AS day, count(*) AS n, {_r('sum(qty)', 'qty')}, max(seq) AS newest FROM t GROUP BY symbol, ts // 86400000",
+        "numeric_columns": _labels_sql(MINUTE, w) + f"SELECT symbol, bucket, trade_count, {', '.join(_r(c) for c in (*OHLCV[:-1], 'vwap', 'return_1', *bars.feature_columns(w)))} FROM lab",
+        "ingest_capped": f"WITH {_ticks()} SELECT seq, ts, price, qty, CASE WHEN side = 'buy' THEN 'buy' ELSE 'sell' END AS side, 'BTCUSDT' AS symbol, 3::BIGINT AS batches FROM t WHERE NOT {_BAD}",
         "asof_features": f"WITH {_ticks()}, {_sparse_sql(MINUTE)},\n{_dense_sql(MINUTE, (3, 5))},\ne AS (SELECT *, bucket + {MINUTE} AS closed_at FROM b)"
         f"""SELECT t.symbol, seq, ts, closed_at, {_r('price_close')}, {_r('return_1')}, {_r('ma_3')}, {_r('vol_5')}
             FROM t ASOF LEFT JOIN e ON t.symbol = e.symbol AND t.ts >= e.closed_at""",
