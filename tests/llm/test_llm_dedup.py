@@ -120,6 +120,22 @@ def test_classes_hold_all_pairs(sides, wanted):
     assert {k: v for k, v in found.items()} == dict(best)
 
 
+@given(st.lists(st.binary(max_size=6), min_size=2, max_size=9), st.integers(1, 5))
+@settings(max_examples=300, deadline=None)
+def test_maximal_repeats_are_all_found(sides, wanted):
+    halves = sorted({(bytes(x % 2 for x in s[: len(s) // 2]), bytes(x % 2 for x in s[len(s) // 2 :])) for s in sides}, key=lambda e: (e[1], e[0]))
+    lefts, rights = [e[0] for e in halves], [e[1] for e in halves]
+    best = set()
+    for x in {a[:n] for a in lefts for n in range(len(a) + 1)}:
+        for y in {b[:n] for b in rights for n in range(len(b) + 1)}:
+            members = [i for i, (a, b) in enumerate(halves) if a.startswith(x) and b.startswith(y)]
+            before, after = ([e[k][len(z) :][:1] for i in members for e in [halves[i]]] for k, z in ((0, x), (1, y)))
+            if len(members) > 1 and len(x) + len(y) >= wanted and all(b"" in c or len(set(c)) > 1 for c in (before, after)):
+                best.add((len(y), len(x), tuple(members)))
+    found = [(right, left, tuple(sorted(members))) for right, left, members in repeats.maximal(lefts, rights, wanted)]
+    assert sorted(found) == sorted(best)
+
+
 # --- operators ----------------------------------------------------------------------
 
 
@@ -152,6 +168,54 @@ def test_byte_strings(docs, rows, most, monkeypatch):
     assert order(found) == order(bytes_removed(rows))
 
 
+def _nested_repeats():
+    """Variants of a passage that part at different places on both sides, with exact copies."""
+    draw = random.Random(5)
+    filler = lambda n: "".join(draw.choices("abcdefgh ", k=n))
+    passage, out = filler(700), []
+    for cut in (0, 0, 40, 40, 90, 150, 150, 200):
+        for end in (700, 650, 600):
+            out.append(filler(300) + passage[cut:end] + filler(300))
+    return [(i, t) for i, t in enumerate(out + out[:2] + [None, ""])]
+
+
+def test_groups_of_crowded_anchors(spark):
+    rows = _nested_repeats()
+    nested = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+    def groups(most):
+        out = defaultdict(set)
+        for r in repeats.maximal_repeats(nested, most=most).collect():
+            out[r.anchor, r.repeat].add((r.doc_id, r.start, r.length))
+        return out
+
+    texts = {i: (t or "").encode() for i, t in rows}
+    wanted = groups(repeats.MOST_VARIANTS)
+    for members in wanted.values():
+        assert len(members) > 1
+        assert len({texts[i][start : start + length] for i, start, length in members}) == 1
+        assert all(length >= 400 for _, _, length in members)
+        assert len({length for _, _, length in members}) == 1
+    seen = sorted(sorted(g) for g in wanted.values())
+    assert max(map(len, seen)) > 10
+    for most in (1, 5):
+        assert sorted(sorted(g) for g in groups(most).values()) == seen
+    # Every string of 400 bytes that occurs twice lies in a group, with all its occurrences.
+    where = defaultdict(set)
+    for i, t in texts.items():
+        for at in range(len(t) - 399):
+            where[t[at : at + 400]].add((i, at))
+    covers = [{(i, start): length for i, start, length in g} for g in wanted.values()]
+    for places in (p for p in where.values() if len(p) > 1):
+        i, at = min(places)
+        assert any(
+            all((j, start + b - at) in cover for j, b in places)
+            for cover in covers
+            for (k, start), length in cover.items()
+            if k == i and start <= at and at + 400 <= start + length
+        )
+
+
 def test_maximal_repeats_are_repeats(docs, rows):
     texts = defaultdict(set)
     for r in rows:
