@@ -1,6 +1,7 @@
 """Job: one of the streaming queries.
 
     spark-submit job.py run_stream ingest FRAMES LOG HISTORY --checkpoint DIR (--rejects DIR | --drop-rejects)
+    spark-submit job.py run_stream ingest TOPIC LOG HISTORY --kafka SERVERS --checkpoint DIR (--rejects DIR | --drop-rejects)
     spark-submit job.py run_stream orderflow LOG OUT --checkpoint DIR
     spark-submit job.py run_stream score LOG OUT --checkpoint DIR [--model DIR]
     spark-submit job.py run_stream tail LOG --checkpoint DIR
@@ -14,7 +15,7 @@ from __future__ import annotations
 import argparse
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import session
@@ -33,6 +34,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--new-only", action="store_true", help="pass over what is there at the start")
     parser.add_argument("--max-bytes", type=int, help="bytes per micro-batch")
     parser.add_argument("--max-files", type=int, help="files per micro-batch")
+    parser.add_argument("--kafka", help="servers; the source of an ingest is then a topic")
+    parser.add_argument("--max-offsets", type=int, help="records of a topic per micro-batch")
     parser.add_argument("--symbol")
     parser.add_argument("--model")
     parser.add_argument("--start-ts", type=int, help="first ms to replay, by default a minute before the last")
@@ -48,6 +51,14 @@ def publish(args: argparse.Namespace, spark: SparkSession) -> str:
     return replay.publish(history.open_history(spark, args.source), begin, end, out)
 
 
+def landed(args: argparse.Namespace, spark: SparkSession, caps: dict) -> DataFrame:
+    """The raw frames of an ingest, from a folder or a topic."""
+    if not args.kafka:
+        return raw.stream_frames(spark, args.source, **caps)
+    most = {"max_offsets_per_trigger": args.max_offsets} if args.max_offsets else {}
+    return raw.stream_kafka(spark, args.kafka, args.source, starting="latest" if args.new_only else "earliest", **most)
+
+
 def start(args: argparse.Namespace, spark: SparkSession) -> StreamingQuery:
     when = {"processingTime": args.every} if args.every else {"availableNow": True}
     caps = {"max_files_per_trigger": args.max_files}
@@ -58,9 +69,8 @@ def start(args: argparse.Namespace, spark: SparkSession) -> StreamingQuery:
         caps["max_bytes_per_trigger"] = args.max_bytes
     if args.query == "ingest":
         log, past = args.sinks
-        frames = raw.stream_frames(spark, args.source, **caps)
         return ingest.start(
-            frames,
+            landed(args, spark, caps),
             log,
             past,
             args.checkpoint,

@@ -30,12 +30,17 @@ def write_once(df: DataFrame, base: str, feed: str, batch_id: int, kind: str = "
     """Write batch `batch_id` of a feed below ``base`` unless it is already there.
 
     The batch is written aside and appears under its name by one rename, so
-    readers that tail ``base`` see it whole or not at all, and never change.
+    readers that tail ``base`` see it whole or not at all, and never change. What
+    earlier attempts at the batch left aside is removed; one batch is written by
+    one query at a time.
     """
     spark = df.sparkSession
     target = join(base, f"feed={feed}", f"batch={batch_id}")
     if exists(spark, target):
         return
+    files, left = _at(spark, join(base, UNFINISHED, f"{feed}-{batch_id}-*"))
+    for status in files.globStatus(left) or ():
+        files.delete(status.getPath(), True)
     aside = join(base, UNFINISHED, f"{feed}-{batch_id}-{uuid.uuid4().hex}")
     df.write.format(kind).save(aside)
     files, source = _at(spark, aside)

@@ -9,6 +9,8 @@ from ..schema import RAW_FRAME, TRADE, UNKNOWN_SYMBOL
 
 # Bits of a position that number the lines of a split.
 SPLIT_BITS = 33
+# Bits of a position that name the partition of a Kafka topic.
+PARTITION_BITS = 14
 
 
 def read_frames(spark: SparkSession, path: str) -> DataFrame:
@@ -80,17 +82,29 @@ def stream_kafka(
     """Frames from a Kafka topic. Needs the Kafka connector on the class path.
 
     ``starting`` is ``earliest`` for the whole log or ``latest`` for new frames
-    only. Offsets count per partition, so a symbol must stay in one partition.
+    only; a restart goes on from the checkpoint.
     """
-    return (
+    records = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
         .option("maxOffsetsPerTrigger", max_offsets_per_trigger)
         .load()
-        .select(F.col("offset").alias("seq"), F.col("value").cast("string").alias("value"))
     )
+    return kafka_frames(records)
+
+
+def kafka_frames(records: DataFrame) -> DataFrame:
+    """Frames ``[seq, value]`` of Kafka records.
+
+    Offsets count per partition, so a position is the offset followed by the partition:
+    no two records share one, and each partition keeps its order. Across partitions
+    there is no order of arrival; records keyed by symbol have it per symbol. A record
+    without a value is a frame without text, which is rejected with a reason.
+    """
+    seq = F.shiftleft("offset", PARTITION_BITS).bitwiseOR(F.col("partition").cast("bigint"))
+    return records.select(seq.alias("seq"), F.col("value").cast("string").alias("value"))
 
 
 def kafka_records(rows: DataFrame) -> DataFrame:

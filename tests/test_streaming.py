@@ -1,5 +1,6 @@
 import json
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -322,3 +323,44 @@ def test_kafka_records(trades_of):
     row = raw.kafka_records(trades_of([(5, None, 2.0)])).first()
     assert row["key"] == "BTCUSDT"
     assert json.loads(row["value"]) == {"symbol": "BTCUSDT", "seq": 0, "ts": 5, "price": None, "qty": 2.0, "side": "buy"}
+
+
+def test_kafka_frames_have_a_position_each(spark):
+    records = [(p, o, bytearray(f"{p}-{o}".encode()) if o != 2 else None) for p in (0, 1, 16000) for o in (0, 1, 2, 1 << 45)]
+    frames = raw.kafka_frames(spark.createDataFrame(records, "partition int, offset bigint, value binary"))
+    rows = frames.collect()
+    assert frames.columns == ["seq", "value"] and len({r.seq for r in rows}) == len(records) and min(r.seq for r in rows) >= 0
+    for p in (0, 1, 16000):
+        own = [r.seq for r, x in zip(rows, records) if x[0] == p]
+        assert own == sorted(own)
+    assert [r.value for r in rows][:3] == ["0-0", "0-1", None]
+
+
+def test_ingest_job_reads_a_topic(spark, folder, monkeypatch):
+    """The records of a topic, stood in for by files with the connector's columns."""
+    records = [(p, o, json.dumps({"T": 1700000000000 + o, "p": "5.0", "q": str(p + 1), "m": False})) for p in (0, 1) for o in range(3)]
+    given = "partition int, offset bigint, value string"
+    spark.createDataFrame(records, given).selectExpr("partition", "offset", "CAST(value AS binary) AS value").write.parquet(folder("topic"))
+    asked = []
+
+    def stream(session, servers, topic, **options):
+        asked.append((servers, topic, options))
+        return raw.kafka_frames(session.readStream.schema("partition int, offset bigint, value binary").parquet(topic))
+
+    monkeypatch.setattr(raw, "stream_kafka", stream)
+    run_stream.main(
+        ["ingest", folder("topic"), folder("log"), folder("past"), "--kafka", "host:1", "--checkpoint", folder("cp"),
+         "--rejects", folder("bad"), "--symbol", "S", "--new-only", "--max-offsets", "7"], spark,
+    )
+    assert asked == [("host:1", folder("topic"), {"starting": "latest", "max_offsets_per_trigger": 7})]
+    kept = history.load_trades(spark, folder("past"), "S").collect()
+    assert sorted((r.seq, r.qty) for r in kept) == sorted(((o << raw.PARTITION_BITS) | p, p + 1.0) for p, o, _ in records)
+
+
+def test_failed_attempts_are_removed(spark, folder):
+    base = Path(folder("log"))
+    for name in ("f-3-old", "f-30-other", "g-3-other"):
+        (base / paths.UNFINISHED / name).mkdir(parents=True)
+    paths.write_once(spark.range(3).toDF("n"), str(base), "f", 3)
+    assert sorted(p.name for p in (base / paths.UNFINISHED).iterdir() if not p.name.startswith(".")) == ["f-30-other", "g-3-other"]
+    assert spark.read.parquet(str(base / "feed=f" / "batch=3")).count() == 3
