@@ -57,20 +57,31 @@ def _local(links: DataFrame) -> DataFrame:
     return links.mapInArrow(task, links.schema)
 
 
-def components(links: DataFrame) -> DataFrame:
+#: Links that one task joins at once, some hundred bytes each.
+TASK_LINKS = 1 << 18
+
+
+def _labels(stars: DataFrame) -> DataFrame:
+    return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+        stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    )
+
+
+def components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
     """(node, component) for links (a, b): the least node reachable from each linked node.
 
     First each partition's links become stars of their own. Then large and small
-    stars in turn until every node hangs on the least one of its component; the rounds grow with the logarithm of the longest path. A node with
-    many links is a key of a join with one row per node, which Spark splits.
+    stars in turn, until every node hangs on the least one of its component or one
+    task can hold what is left; the rounds grow with the logarithm of the longest path.
+    A node with many links is a key of a join with one row per node, which Spark splits.
     """
-    links = common.stored(_local(common.stored(links.where("a <> b").select("a", "b").distinct(), "links")), "links-local")
+    links = common.stored(_local(links.where("a <> b").select("a", "b")), "links-local")
     seen = None
     while True:
-        links = common.stored(_stars(_stars(links, True), False), "links")
         state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-            )
+            return _labels(links)
+        if state[0] <= task_links:
+            return _labels(common.stored(_local(links.coalesce(1)), "links"))
         seen = state
+        links = common.stored(_stars(_stars(links, True), False), "links")

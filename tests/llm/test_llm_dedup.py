@@ -284,8 +284,9 @@ def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(300, 200), (200, 250), (250, 300)]
     rng.shuffle(links)
     links = [p if rng.random() < 0.5 else p[::-1] for p in links] * 2
-    got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
-    assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 160), 100), **dict.fromkeys((200, 250, 300), 200)}
+    for room in (components.TASK_LINKS, 0):
+        got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long"), room).collect()}
+        assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 160), 100), **dict.fromkeys((200, 250, 300), 200)}
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
