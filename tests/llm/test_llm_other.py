@@ -38,6 +38,42 @@ def exact(rows, query, own, k=10):
     return found[:k]
 
 
+def test_few_vectors_are_verified():
+    """Vectors without clusters, all about as far from each other: the hardest case."""
+    rng = np.random.default_rng(5)
+    rows = rng.normal(size=(4096, 64))
+    rows /= np.linalg.norm(rows, axis=1)[:, None]
+    block, hits, queries = nearest.Arrays(np.arange(len(rows)), rows, nearest.LINES), 0, range(0, 4096, 128)
+    for query in queries:
+        away = np.linalg.norm(rows - rows[query], axis=1)
+        want = set(np.argsort(away)[1:11].tolist())
+        hits += len(want & {i for _, i in block.search(query, rows[query], 0.9, 10, nearest.THRESHOLD)})
+    assert hits >= 0.95 * 10 * len(queries)
+    assert block.verified < len(rows) * len(queries) / 3
+
+
+def test_no_radius_for_copies():
+    """A bound of 0 finds all copies, although their projections may differ in the last bits."""
+    rows = np.concatenate([np.repeat(np.full((1, 16), 0.1), 30, axis=0), np.random.default_rng(1).normal(size=(50, 16))])
+    block = nearest.Arrays(np.arange(80), rows, nearest.LINES)
+    assert block.search(7, rows[7], 0.0, 10, nearest.THRESHOLD, 0.0) == [(0.0, i) for i in range(11) if i != 7]
+
+
+def test_blocks_share_a_bound(space, monkeypatch):
+    monkeypatch.setattr(nearest, "BLOCK", 100)
+    test_recall_and_scores(space)
+
+
+def test_nobody_asks_and_clashing_columns(space, spark):
+    rows, df = space
+    points = nearest.usable(df, "vec_id", "embedding")
+    assert nearest.search(points, points.where("id < 0")).collect() == []
+    assert nearest.search(points.where("id < 0"), points.where("id < 0")).collect() == []
+    more = df.selectExpr("vec_id", "embedding", "1 AS id", "'x' AS vector", "2 AS bound", "3 AS `with`", "4 AS block")
+    assert nearest.usable(more, "vec_id", "embedding").columns == ["id", "vector"]
+    assert sorted(map(str, nearest.usable(more, "vec_id", "embedding").collect())) == sorted(map(str, points.collect()))
+
+
 def test_recall_and_scores(space):
     rows, df = space
     points = nearest.usable(df, "vec_id", "embedding")
