@@ -26,6 +26,8 @@ HISTORY = T.StructType(
 NO_FEED = "direct"
 # One file holds at most this many positions of a symbol and day (2**22).
 FILE_BITS = 22
+# The run of trades without a position, the first of their millisecond.
+NO_RUN = -(1 << 63)
 
 
 def create_table(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -134,18 +136,27 @@ def _in_order(trades: DataFrame) -> DataFrame:
     return trades.orderBy(*[c for c in ("ts", "seq") if c in trades.columns])
 
 
-def replay_range(trades: DataFrame, start_ts: int, end_ts: int) -> DataFrame:
+def replay_range(
+    trades: DataFrame, start_ts: int, end_ts: int, *, chunk_bits: int = ARRIVAL_BITS, seq_bits: int = ordered.CHUNK_BITS
+) -> DataFrame:
     """Trades with ``ts`` in the closed range, in replay order, with ``position`` 1, 2, ...
 
-    The order is ``(ts, seq, symbol)``. Positions are counted per stretch of time
-    and the stretches added up, so no task ranks the whole range.
+    The order is ``(ts, seq, symbol)``. Positions come from counts per millisecond and
+    run of arrival positions, summed map-side: running counts within stretches of
+    time, stretches chained by their totals. A task ranks the trades of one run, so
+    even a single busy millisecond is shared.
     """
     chosen = select_trades(with_arrival(trades), None, start_ts, end_ts)
-    timed = chosen.withColumn("_slot", F.shiftright("ts", ARRIVAL_BITS))
+    run = ["_slot", "ts", "_run"]
+    timed = chosen.withColumns({"_slot": F.shiftright("ts", chunk_bits), "_run": F.coalesce(F.shiftright("seq", seq_bits), F.lit(NO_RUN))})
+    before = Window.partitionBy("_slot").orderBy("ts", "_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = timed.groupBy(*run).agg(F.count(F.lit(1)).alias("_n"))
+    starts = ordered.offsets(runs, [], "_slot", {"_ahead": F.col("_n")})
+    within = F.coalesce(F.sum("_n").over(before), F.lit(0).cast("bigint"))
+    placed = runs.withColumn("_before", within).join(starts, "_slot").select(*run, (F.col("_ahead") + F.col("_before")).alias("_before"))
     last = ["symbol"] if "symbol" in chosen.columns else []
-    place = Window.partitionBy("_slot").orderBy("ts", "seq", *last)
-    before = ordered.offsets(timed, [], "_slot", {"_before": F.lit(1).cast("bigint")})
-    numbered = timed.withColumn("_place", F.row_number().over(place)).join(before, "_slot")
+    place = Window.partitionBy(*run).orderBy("seq", *last)
+    numbered = timed.withColumn("_place", F.row_number().over(place)).join(placed, run)
     return numbered.select(*chosen.columns, (F.col("_before") + F.col("_place")).alias("position")).orderBy("position")
 
 

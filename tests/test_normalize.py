@@ -2,6 +2,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from sample_times import BASE
 from tapeloom.operators import normalize
 from tapeloom.sources import history
 from tapeloom.streaming import replay
@@ -148,3 +149,14 @@ def test_symbol_is_optional(spark):
     with_symbol = df.withColumn("symbol", F.lit("btc"))
     assert history.select_trades(with_symbol, "BTC").count() == 0
     assert history.select_trades(with_symbol, "btc", 5, 5).count() == 1
+
+
+def test_replay_positions_of_a_busy_millisecond(spark):
+    rows = [(s, q, BASE + (0 if q % 3 else q), 1.0, 1.0, "buy") for s in ("A", "B") for q in range(60)]
+    rows += [("A", None, BASE, 1.0, 1.0, "sell"), ("A", -5, BASE, 1.0, 1.0, "sell"), ("B", 1 << 40, BASE + 7, 1.0, 1.0, "sell"), ("A", 3, BASE - 1, 1.0, 1.0, "sell")]
+    trades = spark.createDataFrame(rows, "symbol string, seq bigint, ts bigint, price double, qty double, side string").repartition(5)
+    want = sorted((r for r in rows if BASE <= r[2] <= BASE + 50), key=lambda r: (r[2], r[1] is not None, r[1] or 0, r[0]))
+    for chunk_bits, seq_bits in ((18, 22), (2, 2), (0, 0)):
+        got = history.replay_range(trades, BASE, BASE + 50, chunk_bits=chunk_bits, seq_bits=seq_bits).collect()
+        assert [r.position for r in got] == list(range(1, len(want) + 1))
+        assert [(r.symbol, r.seq, r.ts) for r in got] == [(r[0], r[1], r[2]) for r in want]
