@@ -8,7 +8,7 @@ distance from its group's estimate exceeds a chi-square quantile.
 
 Nothing of a group is ever gathered: a step is a histogram of distances with
 fixed bins, the bin that holds the wanted share, and sums over the documents up
-to that bin. Groups with few documents are estimated together.
+to that bin. Groups with few documents are estimated together, by language first.
 """
 
 from __future__ import annotations
@@ -29,7 +29,8 @@ SHARE = 0.75
 STEPS = 5
 #: Chance that a document of a normal group is rejected.
 ALPHA = 1e-6
-#: Groups with fewer documents form one group.
+#: Groups with fewer documents are judged with the other small groups of their language, and if those
+#: are still fewer, with the small groups of all languages.
 LEAST = 100
 FEWEST_WORDS = 50
 #: Files of tables that have a row per group.
@@ -167,7 +168,12 @@ def estimate(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataF
 def _kinds(sound: DataFrame, least: int) -> DataFrame:
     """(own, kind): the group that each own group is judged with."""
     sizes = sound.groupBy("own").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.select("own", F.when(F.col("n") >= least, F.col("own")).otherwise("").alias("kind"))
+    # A name that no own group has: NULL languages are a language.
+    pool = F.to_json(F.struct(F.get_json_object("own", "$.lang").alias("lang"), F.lit(True).alias("pooled")))
+    named = sizes.withColumn("pool", pool)
+    pools = named.where(F.col("n") < least).groupBy("pool").agg(F.sum("n").alias("in_pool"))
+    kind = F.when(F.col("n") >= least, F.col("own")).when(F.col("in_pool") >= least, F.col("pool")).otherwise("")
+    return named.join(pools, "pool", "left").select("own", kind.alias("kind"))
 
 
 def fit(stats: DataFrame, share: float = SHARE, steps: int = STEPS, least: int = LEAST) -> DataFrame:
@@ -194,7 +200,8 @@ def judge(docs: DataFrame, identity: str = "doc_id", lang: str = "lang", source:
 
     NULL and empty texts have no word and fail the base rule, as do texts under
     50 words and texts half of whose words repeat; these have no distance and
-    no say in the estimates. NULL languages and sources are groups of their
+    no say in the estimates. Groups under `least` documents share an estimate with the
+    small groups of their language, then of all languages. NULL languages and sources are groups of their
     own. Repeated rows count each. An empty table gives no rows.
     """
     alpha = options.pop("alpha", ALPHA)
@@ -205,7 +212,10 @@ def judge(docs: DataFrame, identity: str = "doc_id", lang: str = "lang", source:
 
 
 def keep(docs: DataFrame, identity: str = "doc_id", lang: str = "lang", source: str = "source", text: str = "text", **options) -> DataFrame:
-    """The documents that are kept, with all their columns."""
+    """The documents that are kept, with all their columns, by the rules of `judge`.
+
+    NULL and empty texts go. Repeated rows stay or go together. An empty table gives no rows.
+    """
     alpha = options.pop("alpha", ALPHA)
     (whole,) = common.fresh(docs, "document")
     packed = docs.select(

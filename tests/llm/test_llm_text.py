@@ -368,3 +368,16 @@ def test_added_tokens_are_one_id(spark, docs):
     texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|>\n\n  y <|endoftext", "\n <|endoftext|>it's", "plain"]
     found = packing.pack(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], docs.schema), with_ids=True).collect()
     assert {r.doc_id: r.ids for r in found} == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+
+
+def test_small_groups_are_judged_by_language(spark):
+    """Own groups from 10 rows on, then the small ones of a language, then all that are left."""
+    sizes = {("en", "big"): 12, ("en", "a"): 6, ("en", "b"): 5, ("de", "a"): 4, ("de", "b"): 3, (None, "a"): 2, ("", None): 10, ("zh", "a"): 10}
+    rows = [(lang, source) for (lang, source), n in sizes.items() for _ in range(n)]
+    named = spark.createDataFrame(rows, "lang string, source string").select("lang", "source", outliers._group("lang", "source").alias("own"))
+    kinds = outliers._kinds(named, 10)
+    got = {(r.lang, r.source): r.kind for r in named.distinct().join(kinds, "own").collect()}
+    assert len(got) == len(sizes)
+    alone = [got["en", "big"], got["", None], got["zh", "a"]]
+    assert len(set(alone)) == 3 and got["en", "a"] == got["en", "b"] not in [*alone, ""]
+    assert {got["de", "a"], got["de", "b"], got[None, "a"]} == {""}
