@@ -62,9 +62,11 @@ def judged(rows, share=outliers.SHARE, steps=outliers.STEPS, least=outliers.LEAS
     for i, r in enumerate(rows):
         if not failed[i]:
             groups[r[2], r[3]].append(i)
-    kinds = defaultdict(list)
+    kinds, pools = defaultdict(list), defaultdict(int)
+    for (lang, _), own in groups.items():
+        pools[lang] += len(own) if len(own) < least else 0
     for k, own in groups.items():
-        kinds[k if len(own) >= least else ""] += own
+        kinds[k if len(own) >= least else ("pool", k[0]) if pools[k[0]] >= least else ""] += own
     floor, kept = np.diag(outliers.SPREAD**2), [False] * len(rows)
     swell = share / outliers.chi2_below(outliers.chi2_point(share, 4), 6)
     for own in kinds.values():
