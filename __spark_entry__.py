@@ -41,6 +41,8 @@ except ModuleNotFoundError as absent:
 
 MINUTE = 60_000
 NUDGE = 1e-9
+# Below this, a double has places enough behind the sixth to tell what a half is.
+PLAIN = 65536.0
 RANGE_START = 1704412800000  # 2024-01-05 00:00 UTC
 RANGE_END = 1705708799999  # 2024-01-19 23:59:59.999 UTC
 
@@ -133,8 +135,14 @@ def log_fields(ticks: DataFrame) -> DataFrame:
 
 
 def r6(name: str):
-    """Six places; the nudge keeps exact halves, which engines round apart, off the edge."""
-    return (F.round(F.col(name) + NUDGE, 6) + F.lit(0.0)).alias(name)
+    """Six places; the nudge keeps exact halves, which engines round apart, off the edge.
+
+    `round` goes through decimals, which costs more than all else of a bar; below
+    `PLAIN` the same number comes from plain doubles, the quotient of two whole ones.
+    """
+    nudged = F.col(name) + NUDGE
+    plain = F.rint(nudged * 1e6) / F.lit(1e6)
+    return (F.when(F.abs(nudged) < PLAIN, plain).otherwise(F.round(nudged, 6)) + F.lit(0.0)).alias(name)
 
 
 def bar_view(df: DataFrame, *columns: str) -> DataFrame:

@@ -20,12 +20,6 @@ def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def finite_or_null(value: Column) -> Column:
-    """Missing and infinite values become NULL."""
-    infinite = F.abs(value) == F.lit(float("inf"))
-    return F.when(~F.isnan(value) & ~infinite, value)
-
-
 def parse_float(text: Column) -> Column:
     """Double from text; NULL where the text is no number.
 

@@ -7,11 +7,14 @@ single symbol spreads over the cluster however long or busy it is.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
-from ..functions.numbers import finite_or_null, nan_to_null
+from ..functions.numbers import nan_to_null
 from ..functions.timebucket import DAY_MS, Grid, floor_to, grid, slot_of
 from ..schema import with_position, with_symbol
 
@@ -29,6 +32,11 @@ GAP_BITS = 10
 OPENING, BAR, CLOSING = 0, 1, 2
 
 PRICES = ("price_open", "price_high", "price_low", "price_close")
+# Columns whose last known value an empty bar repeats.
+FILLS = (*PRICES, "vwap")
+
+# Grid points that a task makes dense at once.
+MOST_POINTS = 1 << 16
 
 
 def sparse_bars(trades: DataFrame, rule: str = DEFAULT_RULE) -> DataFrame:
@@ -161,20 +169,13 @@ def _carries(sparse: DataFrame, step: int, chunk_bars: int, halo: int) -> DataFr
     )
 
 
-def dense_chunks(
-    trades: DataFrame, buckets: Grid, halo: int, chunk_bars: int = CHUNK_BARS, ahead: int = 0
-) -> DataFrame:
-    """Every grid point of every chunk, filled, plus ``halo`` points of context.
+def _chunk_rows(trades: DataFrame, buckets: Grid, halo: int, chunk_bars: int) -> DataFrame:
+    """(symbol, chunk, bucket, kind, fills, volume, trade_count): the rows that tell each chunk, in its order.
 
-    Prices and VWAP repeat their own last value column by column, volume and
-    count of empty buckets are 0. ``own`` marks points that belong to the chunk:
-    with ``ahead``, those whose ``ahead``-th successor lies in its stretch of
-    time. So every own point sees that far into the future, and only the last
-    ``ahead`` points of a symbol belong to no chunk.
+    A chunk gets its bars, those of the ``halo`` points before it, and rows that tell
+    what was known before and where it ends.
     """
     step = buckets.step
-    halo += ahead
-    chunk_bars = max(chunk_bars, 4 * halo)
     width = step * chunk_bars
     into_chunk = F.pmod(F.col("bucket"), F.lit(width))
     tail = into_chunk >= (chunk_bars - halo) * step
@@ -199,48 +200,138 @@ def dense_chunks(
     # A fixed number of partitions: gaps make these rows grow up to a thousand
     # times below, so their size here must not decide how many tasks share them.
     tasks = int(trades.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(tasks, "symbol", "chunk")
-
-    by_time = Window.partitionBy("symbol", "chunk").orderBy("bucket", "kind")
-    upto = by_time.rowsBetween(Window.unboundedPreceding, 0)
-    fills = (*PRICES, "vwap")
-    filled = rows.select(
-        "symbol",
-        "chunk",
-        "bucket",
-        "kind",
-        "volume",
-        "trade_count",
-        *[F.last(c, ignorenulls=True).over(upto).alias(c) for c in fills],
-        F.lead("bucket").over(by_time).alias("until"),
-    ).where((F.col("kind") != CLOSING) & (F.col("until").isNull() | (F.col("until") > F.col("bucket"))))
-
-    step_lit = F.lit(step).cast("bigint")
-    slots = F.sequence(F.col("bucket"), F.coalesce(F.col("until") - step_lit, F.col("bucket")), step_lit)
-    has_trade = F.col("slot") == F.col("bucket")
-    return filled.withColumn("slot", F.explode(slots)).select(
-        "symbol",
-        "chunk",
-        F.col("slot").alias("bucket"),
-        "price_close",
-        "price_open",
-        "price_high",
-        "price_low",
-        F.when(has_trade, F.coalesce(F.col("volume"), F.lit(0.0))).otherwise(0.0).alias("volume"),
-        F.when(has_trade, F.coalesce(F.col("trade_count"), F.lit(0).cast("bigint")))
-        .otherwise(0)
-        .cast("bigint")
-        .alias("trade_count"),
-        F.coalesce(F.col("vwap"), F.col("price_close")).alias("vwap"),
-        (slot_of(F.col("slot") + ahead * step, width) == F.col("chunk")).alias("own"),
+    order = ("symbol", "chunk", "bucket", "kind")
+    return (
+        rows.repartition(tasks, "symbol", "chunk")
+        .sortWithinPartitions(*order)
+        .select(*order, *FILLS, F.coalesce("volume", F.lit(0.0)).alias("volume"), F.coalesce("trade_count", F.lit(0).cast("bigint")).alias("trade_count"))
     )
 
 
-def step_return(value: Column, before: Column) -> Column:
+def _last_known(values: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Each value or, where it is NaN, the last one known since ``start``, the first row of its chunk."""
+    at = np.maximum.accumulate(np.where(np.isnan(values), -1, np.arange(len(values))))
+    return np.where(at >= start, values[at], np.nan)
+
+
+def _earlier(values: np.ndarray, k: int) -> np.ndarray:
+    """Every row's value ``k`` rows before; rows without one get what stands for nothing."""
+    out = np.full(len(values), np.nan)
+    out[k:] = values[: len(values) - k]
+    return out
+
+
+def _rolled(values: np.ndarray, place: np.ndarray, window: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(value, is it there and finite) of the rows of each row's window, the oldest first."""
+    for k in range(window - 1, -1, -1):
+        value = _earlier(values, k) if k < len(values) else np.full(len(values), np.nan)
+        yield value, np.isfinite(value) & (place >= k)
+
+
+def rolling_mean(values: np.ndarray, place: np.ndarray, window: int) -> np.ndarray:
+    """Mean of the finite values of the window, NaN without any; ``place`` counts rows within their chunk."""
+    total, n = np.zeros(len(values)), np.zeros(len(values))
+    for value, good in _rolled(values, place, window):
+        total += np.where(good, value, 0.0)
+        n += good
+    return total / n
+
+
+def rolling_deviation(values: np.ndarray, place: np.ndarray, window: int) -> np.ndarray:
+    """Sample deviation of the finite values of the window by updates of mean and moment; 0 for fewer than two."""
+    n, mean, moment = np.zeros(len(values)), np.zeros(len(values)), np.zeros(len(values))
+    for value, good in _rolled(values, place, window):
+        n += good
+        delta = np.where(good, value - mean, 0.0)
+        part = delta / np.maximum(n, 1.0)
+        mean += part
+        moment += delta * (delta - part)
+    return np.where(n > 1, np.sqrt(moment / np.maximum(n - 1, 1.0)), 0.0)
+
+
+def step_returns(value: np.ndarray, before: np.ndarray) -> np.ndarray:
     """Relative change to the previous value; 0 at the start and for 0/0."""
-    grown = F.when(value > 0, F.lit(float("inf"))).when(value < 0, F.lit(float("-inf"))).otherwise(0.0)
-    # NULLIF keeps the division out of reach of a zero under ANSI rules.
-    return F.coalesce(F.when(before == 0, grown).otherwise(value / F.nullif(before, F.lit(0.0)) - 1), F.lit(0.0))
+    grown = np.where(value > 0, np.inf, np.where(value < 0, -np.inf, 0.0))
+    return np.where(np.isnan(value) | np.isnan(before), 0.0, np.where(before == 0, grown, value / before - 1))
+
+
+def _dense(told: dict[str, np.ndarray], begin: np.ndarray, step: int, width: int, windows: tuple[int, ...], ahead: int) -> dict[str, np.ndarray]:
+    """The feature bars of whole chunks from their rows; ``begin`` holds each chunk's first row, ``row`` of the result the row of a bar."""
+    n = len(told["bucket"])
+    length = np.diff(np.append(begin, n))
+    start = np.repeat(begin, length)
+    bucket, last = told["bucket"], np.append(begin[1:], n) - 1
+    until = np.append(bucket[1:], 0)
+    until[last] = bucket[last] + step
+    shown = (told["kind"] != CLOSING) & (until > bucket)
+    points = np.where(shown, np.maximum((until - bucket) // step, 1), 0)
+    row = np.repeat(np.arange(n), points)
+    into = np.arange(len(row)) - np.repeat(np.cumsum(points) - points, points)
+    has_trade = into == 0
+    slot = bucket[row] + into * step
+    # Rows of a chunk are next to each other, in the dense table too.
+    at = start[row]
+    new = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    place = np.arange(len(row)) - np.repeat(new, np.diff(np.append(new, len(row))))
+
+    out = {c: _last_known(told[c], start)[row] for c in FILLS}
+    close = out["price_close"]
+    out["vwap"] = np.where(np.isnan(out["vwap"]), close, out["vwap"])
+    out["volume"] = np.where(has_trade, told["volume"][row], 0.0)
+    out["trade_count"] = np.where(has_trade, told["trade_count"][row], 0)
+    out["return_1"] = step_returns(close, np.where(place > 0, _earlier(close, 1), np.nan))
+    for w in windows:
+        out[f"ma_{w}"] = rolling_mean(close, place, w)
+        out[f"vol_{w}"] = rolling_deviation(out["return_1"], place, w)
+        out[f"volumema_{w}"] = rolling_mean(out["volume"], place, w)
+    if ahead:
+        later = np.full(len(row), np.nan)
+        later[: max(0, len(row) - ahead)] = np.where(at[ahead:] == at[: max(0, len(row) - ahead)], close[ahead:], np.nan)
+        out["price_ahead"] = later
+    # Points that belong to the chunk: with ``ahead``, those whose ``ahead``-th successor lies in its stretch of time.
+    keep = (slot + ahead * step) // width == told["chunk"][row]
+    for column in out.values():
+        keep &= ~np.isnan(column)
+    return {c: v[keep] for c, v in {"bucket": slot, "row": row, **out}.items()}
+
+
+def _bars_of_chunks(batches: Iterator[pa.RecordBatch], step: int, width: int, windows: tuple[int, ...], ahead: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of chunks in order, made dense some whole chunks at a time."""
+    held: list[pa.RecordBatch] = []
+
+    def cut(rows: pa.RecordBatch, begin: np.ndarray) -> Iterator[pa.RecordBatch]:
+        # Parts of at most about MOST_POINTS grid points, or one chunk.
+        bucket = rows.column("bucket").to_numpy()
+        most = (bucket[np.append(begin[1:], rows.num_rows) - 1] - bucket[begin]) // step + 1
+        part = np.cumsum(most) // MOST_POINTS
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        for a, b in zip(first, np.append(first[1:], len(begin)), strict=True):
+            low, high = begin[a], begin[b] if b < len(begin) else rows.num_rows
+            here = rows.slice(low, high - low)
+            told = {c: here.column(c).to_numpy(zero_copy_only=False) for c in here.schema.names if c != "symbol"}
+            with np.errstate(all="ignore"):
+                made = _dense(told, begin[a:b] - low, step, width, windows, ahead)
+            columns = [here.column("symbol").take(pa.array(made["row"])) if c == "symbol" else pa.array(made[c]) for c in names]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    def whole(last: bool) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()
+        held.clear()
+        for rows in rows[:1]:
+            symbol = rows.column("symbol").dictionary_encode("encode").indices.to_numpy()
+            chunk = rows.column("chunk").to_numpy()
+            begin = np.flatnonzero(np.concatenate([[True], (symbol[1:] != symbol[:-1]) | (chunk[1:] != chunk[:-1])]))
+            if not last:  # the last chunk may go on
+                held.append(rows.slice(begin[-1]))
+                rows, begin = rows.slice(0, begin[-1]), begin[:-1]
+            if len(begin):
+                yield from cut(rows, begin)
+
+    for batch in batches:
+        held.append(batch)
+        yield from whole(False)
+    if held:
+        yield from whole(True)
 
 
 def feature_columns(windows: Iterable[int]) -> list[str]:
@@ -273,27 +364,17 @@ def features(
     windows = tuple(dict.fromkeys(int(w) for w in windows))
     if any(w < 1 for w in windows):
         raise ValueError("rolling windows must be at least 1")
-    halo = max(windows, default=1)
+    halo = max(windows, default=1) + ahead
     buckets = grid(rule)
-    bars = dense_chunks(trades, buckets, halo, chunk_bars, ahead)
-    by_time = Window.partitionBy("symbol", "chunk").orderBy("bucket")
-    bars = bars.withColumn("return_1", step_return(F.col("price_close"), F.lag("price_close").over(by_time)))
-
-    rolling = {}
-    for w in windows:
-        frame = by_time.rowsBetween(-(w - 1), 0)
-        rolling[f"ma_{w}"] = F.avg(finite_or_null(F.col("price_close"))).over(frame)
-        rolling[f"vol_{w}"] = F.coalesce(F.stddev_samp(finite_or_null(F.col("return_1"))).over(frame), F.lit(0.0))
-        rolling[f"volumema_{w}"] = F.avg(finite_or_null(F.col("volume"))).over(frame)
-    if ahead:
-        rolling["price_ahead"] = F.lead("price_close", ahead).over(by_time)
+    chunk_bars = max(chunk_bars, 4 * halo)
+    step, width = buckets.step, buckets.step * chunk_bars
     values = [
         "price_close", "price_open", "price_high", "price_low", "volume", "trade_count", "vwap", "return_1",
-        *rolling,
+        *feature_columns(windows), *["price_ahead"] * (ahead > 0),
     ]
-    return (
-        bars.withColumns(rolling)
-        .where("own")
-        .select(F.timestamp_millis(buckets.label(F.col("bucket"))).alias("timestamp"), *values, "symbol")
-        .na.drop("any", subset=values)
-    )
+    names = ["symbol", "bucket", *values]
+    rows = _chunk_rows(trades, buckets, halo, chunk_bars)
+    whole = ("bucket", "trade_count")
+    schema = T.StructType([rows.schema["symbol"], *(T.StructField(c, T.LongType() if c in whole else T.DoubleType()) for c in names[1:])])
+    dense = rows.mapInArrow(lambda batches: _bars_of_chunks(batches, step, width, windows, ahead, names), schema)
+    return dense.select(F.timestamp_millis(buckets.label(F.col("bucket"))).alias("timestamp"), *values, "symbol")

@@ -249,3 +249,38 @@ def test_chunks_of_targets_suit_the_rule():
     assert labels.chunk_bits_of("1min") == 28
     assert labels.chunk_bits_of("100ms") < 20 and labels.chunk_bits_of("100ms", 100_000) > 25
     assert labels.chunk_bits_of("ME") > 40
+
+
+def test_dense_points_are_made_behind_every_sort(ten_trades):
+    """Bars without a trade are most of the rows: nothing sorts, windows or explodes them."""
+    df = bars.compute(ten_trades, "1min", (3,))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("MapInArrow")]
+    assert not any(word in above for word in ("Sort", "Window", "Generate", "Exchange"))
+
+
+def test_dense_parts_do_not_show(monkeypatch):
+    """The same bars, however many grid points are made at once and wherever a batch ends."""
+    import pyarrow as pa
+
+    told = {"symbol": [], "chunk": [], "bucket": [], "kind": []}
+    values = {c: [] for c in (*bars.FILLS, "volume", "trade_count")}
+    rng = random.Random(5)
+    for symbol in ("A", "B", None):
+        for chunk in range(3):
+            for bucket in sorted(rng.sample(range(16 * chunk, 16 * chunk + 16), rng.randrange(1, 9))):
+                for c, v in zip(told, (symbol, chunk, bucket, bars.BAR), strict=True):
+                    told[c].append(v)
+                for c in values:
+                    values[c].append(float(rng.randrange(1, 9)) if c != "trade_count" else 1)
+    rows = pa.table({**told, **values}).to_batches()[0]
+    names = ["symbol", "bucket", "price_close", "trade_count", "return_1", "ma_3", "vol_3", "volumema_3"]
+
+    def made(size):
+        parts = [rows.slice(i, size) for i in range(0, rows.num_rows, size)]
+        return pa.Table.from_batches(bars._bars_of_chunks(iter(parts), 1, 16, (3,), 0, names)).to_pylist()
+
+    whole = made(rows.num_rows)
+    assert len(whole) > rows.num_rows
+    monkeypatch.setattr(bars, "MOST_POINTS", 8)
+    assert all(made(size) == whole for size in (1, 2, 7, 1000))
