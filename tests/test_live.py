@@ -85,3 +85,24 @@ def test_hits(spark):
     scored = spark.createDataFrame([("A", BASE, 0.5), ("A", BASE + 1, 0.49), ("A", BASE + MINUTE, 0.9), (None, BASE, 0.9)], "symbol string, ts bigint, prob_up double")
     known = spark.createDataFrame([("A", BASE - BASE % MINUTE, 1), (None, BASE - BASE % MINUTE, 1)], "symbol string, bucket bigint, label int")
     assert sorted((r.ts - BASE, r.hit) for r in accuracy.judged(scored, known, "1min").collect()) == [(0, True), (1, False)]
+
+
+def test_accuracy_keeps_bars_not_trades(spark, folder):
+    """Many trades of few bars: the join's state holds bars and labels; windows that cut a bar, no forecast and no label count as before."""
+    i = F.col("id")
+    scored = spark.range(4000).select(
+        F.when(i % 4 == 0, "B").otherwise("A").alias("symbol"), (BASE - BASE % MINUTE + i * 37).alias("ts"),
+        F.when(i % 7 != 0, i % 10 / 10).alias("prob_up"),
+    ).persist()
+    known = scored.select("symbol", (F.col("ts") - F.col("ts") % MINUTE).alias("bucket")).distinct().withColumn("label", F.when(F.col("symbol") == "A", 1))
+    paths = {"scored": scored, "labels": known}
+    for name, df in paths.items():
+        df.write.parquet(folder(name))
+    streams = [raw.stream_frames(spark, folder(n), df.schema) for n, df in paths.items()]
+    query = accuracy.start(*streams, folder("out"), folder("cp"), rule="1min", window_ms=90_000)
+    run(query)
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(kept) <= 4 * known.count() < 40
+    want = accuracy.accuracy(accuracy.counted(accuracy.judged(scored, known, "1min"), 90_000))
+    got = sorted(map(str, accuracy.read(spark, folder("out")).collect()))
+    assert got == sorted(map(str, want.collect())) and len(got) > 2
