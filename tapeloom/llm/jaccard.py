@@ -341,24 +341,18 @@ class _Forest:
 
 
 def _propose(rows: list[tuple], percent: int, trees: int) -> Iterator[tuple[bytes, bytes]]:
-    """Links to check among members (set, size, sketch, component, linked, refuted, side): `trees` forests without common edges.
+    """Links to check among members (set, size, sketch, component, refuted, side): `trees` forests without common edges.
 
     Members of one component are joined already.
     """
     sizes = np.array([r[1] for r in rows], np.int64)
     i, j, bits = near_pairs(sizes, [r[2] for r in rows], percent)
-    crossing = any(r[6] for r in rows)
+    crossing = any(r[5] for r in rows)
     place = {r[0]: k for k, r in enumerate(rows)}
-    known = [(k, place[other]) for k, r in enumerate(rows) for other in r[4] or () if other in place]
-    answered = {(min(x), max(x)) for x in known}
-    answered |= {(min(k, place[o]), max(k, place[o])) for k, r in enumerate(rows) for o in r[5] or () if o in place}
-    joined, first = _Forest(len(rows)), {}
-    for k, r in enumerate(rows):
-        joined.join(k, first.setdefault(r[3], k))
-    for a, b in known:
-        joined.join(a, b)
-    whole = np.array([joined.root(k) for k in range(len(rows))])
-    side = np.array([r[6] for r in rows])
+    answered = {(min(k, place[o]), max(k, place[o])) for k, r in enumerate(rows) for o in r[4] or () if o in place}
+    first: dict[bytes, int] = {}
+    whole = np.array([first.setdefault(r[3], k) for k, r in enumerate(rows)])
+    side = np.array([r[5] for r in rows])
     # Only what isn't joined yet; between two blocks only pairs across.
     open_ = whole[i] != whole[j]
     if crossing:
@@ -379,22 +373,35 @@ def _propose(rows: list[tuple], percent: int, trees: int) -> Iterator[tuple[byte
 
 
 _PAIR = "list long, a binary, b binary"
+#: Pairs that a task remembers as told.
+TOLD = 1 << 18
 
 
 def proposals(joined: DataFrame, percent: int, trees: int) -> DataFrame:
-    """(list, a, b) from rows (list, n, set, size, sketch, component, linked, refuted)."""
+    """(list, a, b) from rows (list, n, set, size, sketch, component, refuted).
+
+    A pair comes once from a task, whichever of its lists propose it; each list that
+    proposes anything has a row, without a pair if others have told them all.
+    """
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("set"), blocks.cast("bigint")).cast("int")
     placed = joined.withColumn("blocks", blocks).withColumn("own", own).withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
     placed = placed.select(
         "list", F.least("own", "with").alias("one"), F.greatest("own", "with").alias("two"),
-        "set", "size", "sketch", "component", "linked", "refuted", F.when(F.col("own") > F.col("with"), 1).otherwise(0).alias("side"),
+        "set", "size", "sketch", "component", "refuted", F.when(F.col("own") > F.col("with"), 1).otherwise(0).alias("side"),
     )
     # In the group of two blocks only pairs across are compared.
     placed = placed.withColumn("side", F.when(F.col("one") == F.col("two"), 0).otherwise(F.col("side") + 1))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, rows, found = None, [], []
+        last, rows, found, told = None, [], [], set()
+
+        def add(group: tuple, rows: list[tuple]) -> None:
+            offered = list(_propose(rows, percent, trees)) if len(rows) > 1 else []
+            fresh = [pair for pair in offered if pair not in told]
+            if len(told) < TOLD:
+                told.update(fresh)
+            found.extend((group[0], a, b) for a, b in fresh or [(None, None)] * bool(offered))
 
         def batch_of() -> pa.RecordBatch:
             columns = list(zip(*found, strict=True)) or [()] * 3
@@ -406,15 +413,13 @@ def proposals(joined: DataFrame, percent: int, trees: int) -> DataFrame:
             lists, ones, twos, *rest = (c.to_pylist() for c in batch.columns)
             for group, row in zip(zip(lists, ones, twos, strict=True), zip(*rest, strict=True), strict=True):
                 if group != last:
-                    if len(rows) > 1:
-                        found += [(last[0], a, b) for a, b in _propose(rows, percent, trees)]
-                        if len(found) > 10000:
-                            yield batch_of()
-                            found = []
+                    add(last, rows)
+                    if len(found) > 10000:
+                        yield batch_of()
+                        found.clear()
                     last, rows = group, []
                 rows.append(row)
-        if len(rows) > 1:
-            found += [(last[0], a, b) for a, b in _propose(rows, percent, trees)]
+        add(last, rows)
         yield batch_of()
 
     return placed.repartition("list", "one", "two").sortWithinPartitions("list", "one", "two", "set").mapInArrow(task, _PAIR)
@@ -481,10 +486,13 @@ class _Answers:
         self.docs, self.sets, self.percent, self.width = docs, sets, percent, width
         self.full = self.known = None
 
-    def ask(self, pairs: DataFrame) -> None:
-        fresh = pairs.select("a", "b").distinct()
+    def ask(self, pairs: DataFrame) -> bool:
+        """Whether a link came of it."""
+        fresh = pairs.where("a IS NOT NULL").select("a", "b").distinct()
         # Written before the joins, so that Spark knows when there are few.
         fresh = common.stored(fresh if self.known is None else fresh.join(self.known, ["a", "b"], "left_anti"), "fresh", FILES)
+        if self.known is not None and fresh.isEmpty():
+            return False
         wanted = fresh.select(F.explode(F.array("a", "b")).alias("set")).distinct()
         if self.full is not None:
             wanted = wanted.join(self.full.select("set"), "set", "left_anti")
@@ -494,10 +502,21 @@ class _Answers:
             self.full = more if self.full is None else self.full.unionByName(more)
         checked = common.stored(_checked(self.full, fresh, self.percent), "answers", FILES)
         self.known = checked if self.known is None else self.known.unionByName(checked)
+        return not checked.where("linked").isEmpty()
 
     def links(self) -> DataFrame:
         return self.known.where("linked").select("a", "b")
 
+    def refuted(self, owned: DataFrame) -> DataFrame:
+        """(set, refuted): whom a set has no link with, as far as asked and in another component."""
+        of = owned.select("set", "component")
+        apart = self.known.where("NOT linked").select("a", "b")
+        for end in ("a", "b"):
+            apart = apart.join(of.select(F.col("set").alias(end), F.col("component").alias(f"of_{end}")), end)
+        apart = apart.where("of_a <> of_b")
+        ends = apart.select(F.col("a").alias("set"), F.col("b").alias("other")).unionByName(apart.select(F.col("b").alias("set"), F.col("a").alias("other")))
+        return ends.groupBy("set").agg(F.collect_list("other").alias("refuted"))
+
     def components(self) -> DataFrame:
         """(name, set, component) of every set by the links so far; its own without any."""
         labels = components.components(self.links())
@@ -519,48 +538,45 @@ def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT, width: int =
     A group of near copies stands together in very many lists that differ by a few
     members each. So the first proposals come from one list per set, its longest, and
     the next from one list for all that see the same components; a list whose members
-    these have joined is done. What is left of the lists is then gone through in full.
+    these have joined is done. What is left of the lists is then gone through in full:
+    in rounds of more and more proposals each, across the components known by then and
+    without the pairs refuted, until no list proposes any. A pair's answer goes to its two
+    sets, not to every list that has them.
     """
     listed = common.stored(members(sets, percent), "members")
     seen = sets.select(_name().alias("name"), "set", "size", "sketch")
-    unknown = F.lit(None).cast("array<binary>")
     answers = _Answers(docs, sets, percent, width)
 
-    def offered(chosen: DataFrame, owned: DataFrame | None) -> DataFrame:
+    def ask(chosen: DataFrame, owned: DataFrame | None, trees: int) -> tuple[DataFrame, DataFrame]:
+        """(proposals, components): of the chosen lists, and with their answers; the same components without a new link."""
         joined = chosen.join(seen, "name")
-        joined = joined.withColumn("component", F.col("set")) if owned is None else joined.join(owned.select("set", "component"), "set")
-        return joined.withColumn("linked", unknown).withColumn("refuted", unknown).select("list", "n", "set", "size", "sketch", "component", "linked", "refuted")
+        if owned is None:
+            joined = joined.withColumn("component", F.col("set")).withColumn("refuted", F.lit(None).cast("array<binary>"))
+        else:
+            refuted = common.stored(answers.refuted(owned), "refuted", FILES)
+            joined = joined.join(owned.select("set", "component"), "set").join(refuted, "set", "left")
+        pairs = common.stored(proposals(joined.select("list", "n", "set", "size", "sketch", "component", "refuted"), percent, trees), "proposals")
+        if not answers.ask(pairs) and owned is not None:
+            return pairs, owned
+        return pairs, common.stored(answers.components(), "components")
 
     longest = common.stored(listed.groupBy("name").agg(F.max_by("list", F.struct("n", "list")).alias("list")), "longest")
     sizes = longest.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    answers.ask(common.stored(proposals(offered(longest.join(sizes, "list"), None), percent, 1), "proposals"))
-    owned = common.stored(answers.components(), "components")
+    _, owned = ask(longest.join(sizes, "list"), None, 1)
     one_each = _open(listed, owned).groupBy("groups", "sum").agg(F.max_by("list", F.struct("n", "list")).alias("list")).select("list")
-    chosen = listed.join(common.stored(one_each, "one-each", FILES), "list")
-    answers.ask(common.stored(proposals(offered(chosen, owned), percent, 1), "proposals"))
-    owned = common.stored(answers.components(), "components")
-    listed = common.stored(listed.join(_open(listed, owned).select("list"), "list"), "open")
+    _, owned = ask(listed.join(common.stored(one_each, "one-each", FILES), "list"), owned, 1)
 
-    joined, past, trees = offered(listed, owned), None, 1
+    trees = 1
     while True:
-        pairs = common.stored(proposals(joined, percent, trees), "proposals")
-        answers.ask(pairs)
-        # Only lists with a failed proposal can hold more.
-        failed = common.stored(pairs.join(answers.known.where("NOT linked"), ["a", "b"]).select("list").distinct(), "failed", FILES)
-        if failed.isEmpty():
+        listed = common.stored(listed.join(_open(listed, owned).select("list"), "list"), "open")
+        if listed.isEmpty():
+            return answers.links()
+        pairs, owned = ask(listed, owned, trees)
+        # A list that proposes nothing has nothing more to tell: its pairs are refuted or joined.
+        asked = common.stored(pairs.select("list").distinct(), "asked", FILES)
+        if asked.isEmpty():
             return answers.links()
-        told = common.stored(pairs.join(failed, "list").join(answers.known, ["a", "b"]), "told", FILES)
-        past = told if past is None else past.unionByName(told)
-        trees *= 8
-        both = past.join(failed, "list")
-        both = both.select("list", F.col("a").alias("set"), F.col("b").alias("other"), "linked").unionByName(
-            both.select("list", F.col("b").alias("set"), F.col("a").alias("other"), "linked")
-        )
-        known = both.groupBy("list", "set").agg(
-            F.collect_set(F.when(F.col("linked"), F.col("other"))).alias("linked"), F.collect_set(F.when(~F.col("linked"), F.col("other"))).alias("refuted")
-        )
-        again = common.stored(listed.join(failed, "list"), "again", FILES)
-        joined = offered(again, owned).drop("linked", "refuted").join(common.stored(known, "known", FILES), ["list", "set"], "left")
+        listed, trees = listed.join(asked, "list"), trees * 8
 
 
 def _owned(rows: DataFrame, percent: int, width: int) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from brute_links import linked
 from tapeloom.llm import anchors, components, jaccard, repeats, textarrays as ta, window_dedup
@@ -312,3 +313,16 @@ def test_passages_go_from_400_bytes_on(spark, docs):
             gone[len(rows) - 1] = size if size >= 400 else 0
     got = {r.doc_id: (r.n_removed, r.n_spans) for r in repeats.kept_bytes(spark.createDataFrame(rows, docs.schema).repartition(3)).collect()}
     assert got == {k: (n, int(n > 0)) for k, n in gone.items()}
+
+
+def test_lists_tell_a_pair_once_and_leave_out_refuted_ones(spark):
+    """Fifty lists of the same six sets: a task tells each pair once, and every list that has something to tell has a row."""
+    names = [bytes([k] * 16) for k in range(6)]
+    rows = [(one, 6, name, 10, bytes(8), name, [names[0]] if name == names[5] else None) for one in range(50) for name in names]
+    df = spark.createDataFrame(rows, "list long, n int, set binary, size long, sketch binary, component binary, refuted array<binary>")
+    found = jaccard.proposals(df, 90, 1).collect()
+    pairs = [(r.a, r.b) for r in found if r.a is not None]
+    assert {r.list for r in found} == set(range(50)) and len(pairs) <= 4 * 5
+    assert len(set(pairs)) == 5 and (names[0], names[5]) not in pairs
+    # Sets of one component have nothing to propose.
+    assert jaccard.proposals(df.withColumn("component", F.lit(b"x")), 90, 8).where("list IS NOT NULL").isEmpty()
