@@ -30,6 +30,8 @@ from . import common
 CAPACITY = 2048
 #: Id that ends a document.
 END = 1
+#: Documents whose pieces a task hands on at once.
+SLICE = 256
 
 
 class Vocabulary:
@@ -69,7 +71,8 @@ def pieces(docs: DataFrame, identity: str, text: str, vocabulary: Vocabulary, ca
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, encoder, seen = TaskContext.get().partitionId(), shared.value.encoder(), defaultdict(int)
         encode = partial(encoder.encode, allowed_special="all") if shared.value.added else encoder.encode_ordinary
-        for batch in batches:
+        # What leaves at once holds the ids of few documents, here and in the JVM.
+        for batch in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
             rows: list[tuple] = []
             for i, content in enumerate(batch.column(1).to_pylist()):
                 ids = np.array([*encode(content or ""), END], "<u4")
@@ -156,12 +159,11 @@ def pack(docs: DataFrame, identity: str = "doc_id", text: str = "text", vocabula
     shown = [identity, "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
     ranked = cut.join(before, ["length", "part"]).select(*[F.col(f"`{c}`") for c in shown], (F.col("before") + F.col("place")).alias("rank"))
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sequence, offset = shared.value.find(batch.column(2).to_numpy(), batch.column(len(shown)).to_numpy())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(shown)], pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())], names=[*shown, "sequence_id", "offset"]
-            )
-
-    fields = [ranked.schema[c] for c in shown] + [T.StructField(n, T.LongType()) for n in ("sequence_id", "offset")]
-    return ranked.mapInArrow(task, T.StructType(fields))
+    # Lengths and ranks go to Python; the ids stay in the rows.
+    @F.arrow_udf("sequence_id long, offset long")
+    def place(length: pa.Array, rank: pa.Array) -> pa.Array:
+        found = shared.value.find(length.to_numpy(), rank.to_numpy())
+        return pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in found], names=["sequence_id", "offset"])
+
+    placed = ranked.withColumn("rank", place("length", "rank"))
+    return placed.select(*[F.col(f"`{c}`") for c in shown], "rank.sequence_id", "rank.offset")
