@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -5,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions import numbers, timebucket
 
+import __spark_entry__ as entry
+
 
 def one(spark, values, kind, column):
     frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, x {kind}").orderBy("i")
@@ -69,3 +72,14 @@ def test_days_and_clock_ignore_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert days == ["1970-01-01", "1970-01-01", "1970-01-02", "1969-12-31", "2023-11-14"]
     assert clocks == ["00:00:00", "23:59:59", "00:00:00", "23:59:59", "22:13:22"]
+
+
+def test_six_places_without_decimals_are_those_of_round(spark):
+    """Below 65,536 no decimal is made; the numbers are those of `round`, also past that, without a value and at halves."""
+    rng = random.Random(3)
+    values = [rng.uniform(-1, 1) * 10 ** rng.uniform(-9, 9) for _ in range(5000)] + [i / 2e6 for i in range(-50, 50)]
+    values += [None, math.nan, math.inf, -math.inf, 0.0, -0.0, 65535.9999995, 65536.0, -65536.25, 1e300]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", entry.r6("v").alias("got"), (F.round(F.col("v") + entry.NUDGE, 6) + F.lit(0.0)).alias("want"))
+    assert df.where("NOT got <=> want").isEmpty()
+    tree = df.select(entry.r6("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "rint" in tree.lower()
