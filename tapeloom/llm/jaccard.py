@@ -13,10 +13,12 @@ counted over the corpus.
 
 Members of one list or subset are compared by parity sketches: bit i tells whether
 an odd number of tokens falls on i, so two sketches differ in at most as many bits
-as the sets in tokens, and a pair with too many is no link. What is left is linked
-tree-wise, never in all pairs; each proposed link is counted exactly, by the whole
-sets. Where a proposal fails, the list proposes others, until everything that the
-sketches allow is either in one component or refuted.
+as the sets in tokens, and a pair with too many is no link. Lists that nearly
+agree are one list. What the sketches allow is first proposed tree-wise by one list
+per set and counted exactly, by the whole sets. Between the components that gives,
+the members with a partner by their sketches meet once more with their whole sets,
+and only links found exactly, a tree of them per group, leave a task: a group of
+near copies gives rows in proportion to its members, not to its pairs.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from . import anchors, common, components, textarrays as ta, window_dedup
@@ -46,8 +48,10 @@ GATHERED = 1 << 20
 LEAST_BITS, MOST_BITS = 64, 8192
 #: Files of the tables of proposals and answers, some fifty bytes a row.
 FILES = 32
-#: Members of a list that meet in one group; longer lists meet block by block.
-BLOCK = 1024
+#: Members of a list that meet in one group, and their tokens where whole sets meet; longer lists meet block by block.
+BLOCK, BLOCK_TOKENS = 1024, 1 << 21
+#: Bits of a sketch made of a whole set, as a multiple of those that are sent, and their bound.
+FINER, MOST_FINE_BITS = 32, 1 << 16
 #: Costs of a member of a list, whose sketch is sent along, and of a comparison of sketches, in rows.
 MEMBER, COMPARED = 20.0, 1 / 64
 #: First sizes of the classes.
@@ -137,8 +141,8 @@ def _cell(token: np.ndarray, width: int) -> np.ndarray:
     return (ta.mix(token + U64(11)) & U64(width - 1)).astype(np.int64)
 
 
-def _sketch(tokens: np.ndarray) -> bytes:
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (len(tokens) // 2).bit_length()))
+def _sketch(tokens: np.ndarray, finer: int = 1, most: int = MOST_BITS) -> bytes:
+    bits = min(most, finer * max(LEAST_BITS, 1 << (len(tokens) // 2).bit_length()))
     odd = np.bincount((ta.mix(tokens) & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -273,7 +277,8 @@ def members(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Near copies share many tokens and so stand together in many lists; groups are
     told by count and two 64-bit sums of their members, and by whether the boundary cuts
-    members off: what is left of such a list doesn't stand for the whole group.
+    members off: what is left of such a list doesn't stand for the whole group. What
+    differs by a few members is merged.
     """
     large = common.stored(_shared(_tokens(sets, percent), percent), "lists-of-tokens")
     counted = large.groupBy("list", "level").agg(F.count(F.lit(1)).alias("n"))
@@ -283,7 +288,25 @@ def members(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     partner = F.col("size") * 100 >= bound * percent
     held = large.where(partner).withColumn("cut", F.col("least") * 100 < bound * percent).unionByName(small.withColumn("cut", F.lit(False)))
     once = held.groupBy("n", "sum1", "sum2", "cut").agg(F.min("list").alias("list"))
-    return held.join(once.select("list"), "list").select("list", "n", "name")
+    return _merged(common.stored(held.join(once.select("list"), "list").select("list", "name"), "lists-once"), 1)
+
+
+def _merged(held: DataFrame, seed: int) -> DataFrame:
+    """(list, n, name) of (list, name): lists with the same least member by hash become one where that costs less.
+
+    Two lists agree in it as often as they agree in their members. Whoever met in a
+    list meets in the merged one too.
+    """
+    told = held.groupBy("list").agg(F.min(F.xxhash64("name", F.lit(seed))).alias("least"), F.count(F.lit(1)).alias("n"))
+    told = common.stored(told, "lists-told")
+    both = common.stored(held.join(told, "list").select("least", "name").distinct(), "lists-both")
+    cost = lambda rows, pairs: MEMBER * rows + COMPARED * pairs
+    apart = told.groupBy("least").agg(F.count(F.lit(1)).alias("lists"), cost(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).alias("apart"))
+    one = both.groupBy("least").agg(F.count(F.lit(1)).alias("n"))
+    one = apart.join(one, "least").where((F.col("lists") > 1) & (cost(F.col("n"), F.col("n") * (F.col("n") - 1) / 2) <= F.col("apart"))).select("least", "n")
+    one = common.stored(one, "lists-merged", FILES)
+    alone = told.join(one.select("least"), "least", "left_anti").select("list", "n")
+    return held.join(alone, "list").select("list", "n", "name").unionByName(both.join(one, "least").select(F.col("least").alias("list"), "n", "name"))
 
 
 def _folded(sketch: np.ndarray, width: int) -> np.ndarray:
@@ -383,15 +406,7 @@ def proposals(joined: DataFrame, percent: int, trees: int) -> DataFrame:
     A pair comes once from a task, whichever of its lists propose it; each list that
     proposes anything has a row, without a pair if others have told them all.
     """
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("set"), blocks.cast("bigint")).cast("int")
-    placed = joined.withColumn("blocks", blocks).withColumn("own", own).withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
-    placed = placed.select(
-        "list", F.least("own", "with").alias("one"), F.greatest("own", "with").alias("two"),
-        "set", "size", "sketch", "component", "refuted", F.when(F.col("own") > F.col("with"), 1).otherwise(0).alias("side"),
-    )
-    # In the group of two blocks only pairs across are compared.
-    placed = placed.withColumn("side", F.when(F.col("one") == F.col("two"), 0).otherwise(F.col("side") + 1))
+    placed = _placed(joined, F.ceil(F.col("n") / BLOCK), "set", "size", "sketch", "component", "refuted")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, rows, found, told = None, [], [], set()
@@ -422,7 +437,98 @@ def proposals(joined: DataFrame, percent: int, trees: int) -> DataFrame:
         add(last, rows)
         yield batch_of()
 
-    return placed.repartition("list", "one", "two").sortWithinPartitions("list", "one", "two", "set").mapInArrow(task, _PAIR)
+    return placed.mapInArrow(task, _PAIR)
+
+
+def _placed(joined: DataFrame, blocks: Column, *columns: str) -> DataFrame:
+    """(list, one, two, *columns, side): each member of a list once for every block of the list, with which its own block meets."""
+    own = F.pmod(F.xxhash64("set"), F.col("blocks").cast("bigint")).cast("int")
+    placed = joined.withColumn("blocks", blocks.cast("int")).withColumn("own", own).withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
+    placed = placed.select(
+        "list", F.least("own", "with").alias("one"), F.greatest("own", "with").alias("two"),
+        *columns, F.when(F.col("own") > F.col("with"), 1).otherwise(0).alias("side"),
+    )
+    # In the group of two blocks only pairs across are compared.
+    placed = placed.withColumn("side", F.when(F.col("one") == F.col("two"), 0).otherwise(F.col("side") + 1))
+    return placed.repartition("list", "one", "two").sortWithinPartitions("list", "one", "two", columns[0])
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows, without their first three columns, of each group of the same three; the last but one column stays in Arrow's arrays."""
+    last, rows = None, []
+    for batch in batches:
+        *columns, side = batch.columns
+        groups = zip(*(c.to_pylist() for c in columns[:3]), strict=True)
+        values, ends = None, None
+        if pa.types.is_list(columns[-1].type):
+            values, ends = columns[-1].values.to_numpy(), columns[-1].offsets.to_numpy()
+        rest = [c.to_pylist() for c in (columns[3:] if values is None else columns[3:-1])]
+        if values is not None:
+            rest.append([values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)])
+        for group, row in zip(groups, zip(*rest, side.to_pylist(), strict=True), strict=True):
+            if group != last:
+                if len(rows) > 1:
+                    yield last[0], rows
+                last, rows = group, []
+            rows.append(row)
+    if len(rows) > 1:
+        yield last[0], rows
+
+
+def _apart(rows: list[tuple], sketches: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """(i, j, differing bits, whole) of pairs that may be links of members (.., size, component, .., side) and lie in two components.
+
+    `whole` has the first member of each one's component.
+    """
+    i, j, bits = near_pairs(np.array([r[1] for r in rows], np.int64), sketches, percent)
+    first: dict[bytes, int] = {}
+    whole = np.array([first.setdefault(r[2], k) for k, r in enumerate(rows)])
+    side = np.array([r[-1] for r in rows])
+    open_ = (whole[i] != whole[j]) & ((side[i] != side[j]) | (side[i] == 0))
+    return i[open_], j[open_], bits[open_], whole.tolist()
+
+
+def candidates(joined: DataFrame, percent: int) -> DataFrame:
+    """(list, name): the members that may have a link to another component, of rows (list, n, name, set, size, component, sketch)."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for one, rows in _met(batches):
+            i, j, *_ = _apart(rows, [r[3] for r in rows], percent)
+            names = pa.array([rows[k][0] for k in np.unique(np.concatenate([i, j]))], pa.int64())
+            if len(names):
+                yield pa.RecordBatch.from_arrays([pa.array([one] * len(names), pa.int64()), names], names=["list", "name"])
+
+    placed = _placed(joined, F.ceil(F.col("n") / BLOCK), "name", "size", "component", "sketch")
+    return placed.mapInArrow(task, "list long, name long").distinct()
+
+
+def verified(joined: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join all that have one, of rows (list, n, total, set, size, component, tokens) with whole sets.
+
+    Of two members that are joined already nothing is asked; all others that may be
+    a link are counted here. `total` is the number of tokens of a list.
+    """
+
+    def linked(one: np.ndarray, two: np.ndarray) -> bool:
+        common_size = len(np.intersect1d(one, two, assume_unique=True))
+        return 100 * common_size >= percent * (len(one) + len(two) - common_size)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _met(batches):
+            sets = [r[3] for r in rows]
+            i, j, bits, whole = _apart(rows, [_sketch(s.view(U64), FINER, MOST_FINE_BITS) for s in sets], percent)
+            order, forest, found = np.lexsort((j, i, bits)), _Forest(whole), []
+            for at in range(0, len(order), 1 << 16):
+                part = order[at : at + (1 << 16)]
+                for a, b in zip(i[part].tolist(), j[part].tolist(), strict=True):
+                    if forest.root(a) != forest.root(b) and linked(sets[a], sets[b]):
+                        forest.join(a, b)
+                        found.append((min(rows[a][0], rows[b][0]), max(rows[a][0], rows[b][0])))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found, strict=True)], names=["a", "b"])
+
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / BLOCK_TOKENS))
+    return _placed(joined, blocks, "set", "size", "component", "tokens").mapInArrow(task, "a binary, b binary").distinct()
 
 
 #: Bits of the filter of wanted rows: a power of two over so many for each, up to a bound.
@@ -479,108 +585,61 @@ def _checked(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", (100 * common_size >= percent * either).alias("linked"))
 
 
-class _Answers:
-    """Proposed links and what the whole sets say about them; no pair is asked twice."""
-
-    def __init__(self, docs: DataFrame, sets: DataFrame, percent: int, width: int):
-        self.docs, self.sets, self.percent, self.width = docs, sets, percent, width
-        self.full = self.known = None
-
-    def ask(self, pairs: DataFrame) -> bool:
-        """Whether a link came of it."""
-        fresh = pairs.where("a IS NOT NULL").select("a", "b").distinct()
-        # Written before the joins, so that Spark knows when there are few.
-        fresh = common.stored(fresh if self.known is None else fresh.join(self.known, ["a", "b"], "left_anti"), "fresh", FILES)
-        if self.known is not None and fresh.isEmpty():
-            return False
-        wanted = fresh.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-        if self.full is not None:
-            wanted = wanted.join(self.full.select("set"), "set", "left_anti")
-        wanted = common.stored(wanted.join(self.sets.select("set", "id", "key"), "set"), "sets-wanted", FILES)
-        if self.full is None or not wanted.isEmpty():
-            more = common.stored(_whole_sets(self.docs, wanted, self.width), "sets-whole")
-            self.full = more if self.full is None else self.full.unionByName(more)
-        checked = common.stored(_checked(self.full, fresh, self.percent), "answers", FILES)
-        self.known = checked if self.known is None else self.known.unionByName(checked)
-        return not checked.where("linked").isEmpty()
-
-    def links(self) -> DataFrame:
-        return self.known.where("linked").select("a", "b")
-
-    def refuted(self, owned: DataFrame) -> DataFrame:
-        """(set, refuted): whom a set has no link with, as far as asked and in another component."""
-        of = owned.select("set", "component")
-        apart = self.known.where("NOT linked").select("a", "b")
-        for end in ("a", "b"):
-            apart = apart.join(of.select(F.col("set").alias(end), F.col("component").alias(f"of_{end}")), end)
-        apart = apart.where("of_a <> of_b")
-        ends = apart.select(F.col("a").alias("set"), F.col("b").alias("other")).unionByName(apart.select(F.col("b").alias("set"), F.col("a").alias("other")))
-        return ends.groupBy("set").agg(F.collect_list("other").alias("refuted"))
-
-    def components(self) -> DataFrame:
-        """(name, set, component) of every set by the links so far; its own without any."""
-        labels = components.components(self.links())
-        names = self.sets.select(_name().alias("name"), "set")
-        return names.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
-
-
 def _open(listed: DataFrame, owned: DataFrame) -> DataFrame:
-    """(list, n, groups, sum) of the lists whose members are in several components: how many, and their sum."""
-    inside = listed.join(owned.select("name", "component"), "name").groupBy("list", "component").agg(F.max("n").alias("n"))
-    told = inside.groupBy("list").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("groups"), F.bit_xor(F.xxhash64("component")).alias("sum"))
-    return told.where("groups > 1")
+    """(list) of the lists whose members are in several components."""
+    inside = listed.join(owned.select("name", "component"), "name")
+    return inside.groupBy("list").agg(F.min("component").alias("one"), F.max("component").alias("two")).where("one <> two").select("list")
 
 
 def links(docs: DataFrame, sets: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """(a, b): links between different sets that join all that belong together.
 
     For rows (id, key, text) and one row (set, id, key, size, alone, prefix, sketch) per set.
-    A group of near copies stands together in very many lists that differ by a few
-    members each. So the first proposals come from one list per set, its longest, and
-    the next from one list for all that see the same components; a list whose members
-    these have joined is done. What is left of the lists is then gone through in full:
-    in rounds of more and more proposals each, across the components known by then and
-    without the pairs refuted, until no list proposes any. A pair's answer goes to its two
-    sets, not to every list that has them.
+    The first proposals come from one list per set, its longest. A list whose members
+    these have joined is done. Of the others, the members that the sketches allow a
+    link to another component meet with their whole sets, which answer for all their
+    pairs at once.
     """
     listed = common.stored(members(sets, percent), "members")
     seen = sets.select(_name().alias("name"), "set", "size", "sketch")
-    answers = _Answers(docs, sets, percent, width)
-
-    def ask(chosen: DataFrame, owned: DataFrame | None, trees: int) -> tuple[DataFrame, DataFrame]:
-        """(proposals, components): of the chosen lists, and with their answers; the same components without a new link."""
-        joined = chosen.join(seen, "name")
-        if owned is None:
-            joined = joined.withColumn("component", F.col("set")).withColumn("refuted", F.lit(None).cast("array<binary>"))
-        else:
-            refuted = common.stored(answers.refuted(owned), "refuted", FILES)
-            joined = joined.join(owned.select("set", "component"), "set").join(refuted, "set", "left")
-        pairs = common.stored(proposals(joined.select("list", "n", "set", "size", "sketch", "component", "refuted"), percent, trees), "proposals")
-        if not answers.ask(pairs) and owned is not None:
-            return pairs, owned
-        return pairs, common.stored(answers.components(), "components")
+    places = sets.select(_name().alias("name"), "set", "id", "key")
 
     longest = common.stored(listed.groupBy("name").agg(F.max_by("list", F.struct("n", "list")).alias("list")), "longest")
     sizes = longest.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    _, owned = ask(longest.join(sizes, "list"), None, 1)
-    one_each = _open(listed, owned).groupBy("groups", "sum").agg(F.max_by("list", F.struct("n", "list")).alias("list")).select("list")
-    _, owned = ask(listed.join(common.stored(one_each, "one-each", FILES), "list"), owned, 1)
-
-    trees = 1
-    while True:
-        listed = common.stored(listed.join(_open(listed, owned).select("list"), "list"), "open")
-        if listed.isEmpty():
-            return answers.links()
-        pairs, owned = ask(listed, owned, trees)
-        # A list that proposes nothing has nothing more to tell: its pairs are refuted or joined.
-        asked = common.stored(pairs.select("list").distinct(), "asked", FILES)
-        if asked.isEmpty():
-            return answers.links()
-        listed, trees = listed.join(asked, "list"), trees * 8
+    joined = longest.join(sizes, "list").join(seen, "name").withColumn("component", F.col("set")).withColumn("refuted", F.lit(None).cast("array<binary>"))
+    pairs = common.stored(proposals(joined.select("list", "n", "set", "size", "sketch", "component", "refuted"), percent, 1), "proposals")
+    fresh = common.stored(pairs.where("a IS NOT NULL").select("a", "b").distinct(), "fresh", FILES)
+    asked = fresh.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    asked = common.stored(asked.join(places.drop("name"), "set"), "sets-wanted", FILES)
+    full = common.stored(_whole_sets(docs, asked, width), "sets-whole")
+    known = common.stored(_checked(full, fresh, percent).where("linked").select("a", "b"), "links-proposed", FILES)
+
+    labels = components.components(known)
+    owned = seen.select("name", "set").join(labels.withColumnRenamed("node", "set"), "set", "left")
+    owned = common.stored(owned.withColumn("component", F.coalesce("component", "set")), "components")
+    rest = listed.join(_open(listed, owned), "list").join(seen, "name").join(owned.select("set", "component"), "set")
+    left = common.stored(candidates(rest, percent), "candidates")
+    if left.isEmpty():
+        return known
+    more = places.join(left.select("name").distinct(), "name").join(full.select("set"), "set", "left_anti")
+    more = common.stored(more.select("set", "id", "key"), "sets-wanted", FILES)
+    if not more.isEmpty():
+        full = full.unionByName(common.stored(_whole_sets(docs, more, width), "sets-whole"))
+    held = common.stored(_merged(left, 2).join(seen.select("name", "set", "size"), "name"), "meeting")
+    totals = held.groupBy("list").agg(F.sum("size").alias("total"))
+    whole = held.join(totals, "list").join(owned.select("set", "component"), "set").join(full, "set")
+    return known.unionByName(common.stored(verified(whole, percent), "links-verified", FILES))
 
 
 def _owned(rows: DataFrame, percent: int, width: int) -> DataFrame:
-    """(id, key, size, component) of rows (id, key, text); no component without a shingle."""
+    """(id, key, size, component) of rows (id, key, text); no component without a shingle.
+
+    Written once; the tables on the way there are removed.
+    """
+    return common.stored_alone(rows.sparkSession, lambda: _found(rows, percent, width), "near-copies")
+
+
+def _found(rows: DataFrame, percent: int, width: int) -> DataFrame:
     known = common.stored(described(rows, *order_of_tokens(rows, width), percent, width), "sets")
     picked = F.min(F.struct("id", "key")).alias("one")
     once = known.where("size(prefix) > 0").groupBy("set").agg(picked, *[F.first(c).alias(c) for c in ("size", "alone", "prefix", "sketch")])

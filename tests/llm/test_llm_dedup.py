@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -326,3 +327,58 @@ def test_lists_tell_a_pair_once_and_leave_out_refuted_ones(spark):
     assert len(set(pairs)) == 5 and (names[0], names[5]) not in pairs
     # Sets of one component have nothing to propose.
     assert jaccard.proposals(df.withColumn("component", F.lit(b"x")), 90, 8).where("list IS NOT NULL").isEmpty()
+
+
+def near_misses(n):
+    """Sets of 58 shingles, of which any two differ in eight, and at most six are a link; two thirds of them have a copy that is one."""
+    rows = []
+    for k in range(n):
+        words = [f"a{k}", f"b{k}", *[f"w{j}" for j in range(56)], f"c{k}", f"d{k}"]
+        rows.append((len(rows), " ".join(words), "en", "s", 0))
+        if k % 3:
+            rows.append((len(rows), " ".join([*words[:-1], f"e{k}"]), "en", "s", 0))
+    return rows
+
+
+def test_a_group_of_near_misses_gives_rows_by_members_not_by_pairs(spark, docs, monkeypatch):
+    rows, made = near_misses(90), Counter()
+    kept = jaccard.common.stored
+
+    def counted(df, purpose, files=None):
+        out = kept(df, purpose, files)
+        made[purpose] += out.count()
+        return out
+
+    monkeypatch.setattr(jaccard.common, "stored", counted)
+    found = [tuple(r) for r in jaccard.groups(spark.createDataFrame(rows, docs.schema)).collect()]
+    assert order(found) == order(linked(rows))
+    assert sum(made[p] for p in ("proposals", "fresh", "answers", "candidates", "links-verified")) <= 6 * len(rows)
+
+
+@pytest.mark.parametrize("tokens", [100, 1 << 21])
+def test_whole_sets_meet_block_by_block(spark, docs, monkeypatch, tokens):
+    rows = near_misses(24)
+    monkeypatch.setattr(jaccard, "BLOCK", 5)
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", tokens)
+    assert order([tuple(r) for r in jaccard.groups(spark.createDataFrame(rows, docs.schema)).collect()]) == order(linked(rows))
+
+
+def test_merged_lists_hold_all_that_met(spark):
+    rng = random.Random(4)
+    lists = [set(rng.sample(range(40), 38)) for _ in range(30)] + [set(rng.sample(range(100, 9000), 3)) for _ in range(30)]
+    rows = [(k, name) for k, names in enumerate(lists) for name in names]
+    merged = {}
+    for r in jaccard._merged(spark.createDataFrame(rows, "list long, name long"), 1).collect():
+        merged.setdefault((r.list, r.n), set()).add(r.name)
+    assert all(n == len(names) for (_, n), names in merged.items())
+    assert all(any(names <= other for other in merged.values()) for names in lists)
+    assert sum(map(len, merged.values())) < len(rows) / 2
+
+
+def test_tables_on_the_way_to_near_copies_are_removed(spark, docs):
+    jaccard.groups(spark.createDataFrame(near_misses(3), docs.schema))
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(shared))
+    found = jaccard.groups(spark.createDataFrame(near_misses(6), docs.schema))
+    assert [name.rsplit("-", 1)[0] for name in set(os.listdir(shared)) - before] == ["near-copies"]
+    assert found.count() == 10
