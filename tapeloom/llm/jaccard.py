@@ -147,6 +147,13 @@ def _sketch(tokens: np.ndarray, finer: int = 1, most: int = MOST_BITS) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def _names(bounds: np.ndarray, token: np.ndarray) -> list[bytes | None]:
+    """A 128-bit hash of each whole set, None of an empty one."""
+    sums = [np.concatenate([np.zeros(1, U64), np.cumsum(ta.mix(token ^ U64(seed)))]) for seed in (3, 5)]
+    both = np.stack([s[bounds[1:]] - s[bounds[:-1]] for s in sums], axis=1)
+    return [row.tobytes() if size else None for row, size in zip(both, np.diff(bounds), strict=True)]
+
+
 def described(docs: DataFrame, bits: np.ndarray, frequent: np.ndarray, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """(id, key, size, set, alone, prefix, sketch) of every document.
 
@@ -173,13 +180,11 @@ def described(docs: DataFrame, bits: np.ndarray, frequent: np.ndarray, percent:
                     at = np.minimum(np.searchsorted(sorted_often, token), len(often) - 1)
                     known = sorted_often[at] == token
                     order[known] = _LATE | ranked[at[known]].astype(U64)
-                sums = [np.concatenate([np.zeros(1, U64), np.cumsum(ta.mix(token ^ U64(seed)))]) for seed in (3, 5)]
-                name = [s[bounds[1:]] - s[bounds[:-1]] for s in sums]
+                names += _names(bounds, token)
                 for i in range(len(bounds) - 1):
                     own = slice(bounds[i], bounds[i + 1])
                     size = own.stop - own.start
                     sizes.append(size)
-                    names.append(b"".join(n[i].tobytes() for n in name) if size else None)
                     # Smaller sets have no partner but their equals.
                     wide = min(size, size - least_overlap(size, percent) + SUBSET) if size >= smallest else 0
                     first = np.sort(np.partition(order[own], wide - 1)[:wide]) if wide else np.zeros(0, U64)
@@ -551,7 +556,8 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(set, tokens) for rows (id, key, set).
 
     Texts stay where they are: the filter, which lets through all wanted rows and
-    few others, goes to the tasks, and only sets meet the wanted rows.
+    few others, goes to the tasks, and only sets meet the wanted ones, by the name
+    that joins them and drops copies in one exchange.
     """
     held, bits = _filter(wanted)
     shared = docs.sparkSession.sparkContext.broadcast(held)
@@ -559,18 +565,13 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = np.frombuffer(shared.value, np.int64).view(U64)
         for batch in batches:
-            cell = batch.column(1).to_numpy().view(U64) & U64(bits - 1)
+            cell = batch.column(0).to_numpy().view(U64) & U64(bits - 1)
             chosen = batch.filter(pa.array((words[(cell >> U64(6)).astype(np.int64)] >> (cell & U64(63))) & U64(1) > 0))
-            for base, bounds, token in _sets(chosen.column(2), width):
-                n = len(bounds) - 1
-                yield pa.RecordBatch.from_arrays(
-                    [chosen.column(0).slice(base, n), chosen.column(1).slice(base, n), ta.lists(pa.array(ta.signed(token)), bounds)],
-                    names=["id", "key", "tokens"],
-                )
-
-    schema = T.StructType([docs.schema["id"], T.StructField("key", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))])
-    found = docs.select("id", "key", "text").mapInArrow(task, schema).alias("d")
-    return found.join(wanted.alias("w"), F.expr("d.id <=> w.id AND d.key = w.key")).select("w.set", "d.tokens").dropDuplicates(["set"])
+            for _, bounds, token in _sets(chosen.column(1), width):
+                yield pa.RecordBatch.from_arrays([pa.array(_names(bounds, token), pa.binary()), ta.lists(pa.array(ta.signed(token)), bounds)], names=["set", "tokens"])
+
+    found = docs.select("key", "text").mapInArrow(task, "set binary, tokens array<long>")
+    return found.join(wanted.select("set"), "set", "left_semi").dropDuplicates(["set"])
 
 
 def _checked(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
