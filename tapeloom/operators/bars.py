@@ -1,8 +1,8 @@
 """OHLCV bars on a dense midnight-anchored grid, with fills and rolling columns.
 
-Ticks move once, after map-side aggregation, as one row per symbol and bucket.
-Everything later works on bars cut into (symbol, stretch of time) chunks, so a
-single symbol spreads over the cluster however long or busy it is.
+Ticks move once, after map-side aggregation, to their chunk: a symbol's stretch of
+time. Everything later works on chunks, so a single symbol spreads over the cluster
+however long or busy it is, and of all else only few rows per chunk move.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +36,19 @@ PRICES = ("price_open", "price_high", "price_low", "price_close")
 # Columns whose last known value an empty bar repeats.
 FILLS = (*PRICES, "vwap")
 
+# A partial bar: some trades of a bucket, with (ts, seq) of the first and the last priced one.
+PARTIAL = (
+    "first_ts", "first_seq", "price_open", "volume", "trade_count",
+    "last_ts", "last_seq", "price_high", "price_low", "price_close", "notional",
+)
+COUNTS = ("first_ts", "first_seq", "trade_count", "last_ts", "last_seq")
+# A column that is NULL equals this one, a NULL notional price_open * volume. So the
+# partial bar of a single trade, as most are in thin markets, is small on the way.
+SAME = {"last_ts": "first_ts", "last_seq": "first_seq", **dict.fromkeys(("price_high", "price_low", "price_close"), "price_open")}
+
+# Partial bars that a task puts together at once.
+MOST_PARTIAL = 1 << 18
+
 # Grid points that a task makes dense at once.
 MOST_POINTS = 1 << 16
 
@@ -50,10 +64,8 @@ def sparse_bars(trades: DataFrame, rule: str = DEFAULT_RULE) -> DataFrame:
     return _numbered_bars(trades, buckets).withColumn("bucket", buckets.label(F.col("bucket")))
 
 
-def _numbered_bars(trades: DataFrame, buckets: Grid) -> DataFrame:
-    """Sparse bars by bucket number."""
-    grain = buckets.grain
-    ticks = with_position(with_symbol(trades)).where(F.col("ts").isNotNull()).select(
+def _ticks(trades: DataFrame) -> DataFrame:
+    return with_position(with_symbol(trades)).where(F.col("ts").isNotNull()).select(
         "symbol",
         "seq",
         "ts",
@@ -61,6 +73,16 @@ def _numbered_bars(trades: DataFrame, buckets: Grid) -> DataFrame:
         nan_to_null(F.col("qty").cast("double")).alias("qty"),
     )
 
+
+def _first_days(ticks: DataFrame) -> DataFrame:
+    return ticks.groupBy("symbol").agg(floor_to(F.min("ts"), DAY_MS).alias("origin"))
+
+
+def _numbered_bars(trades: DataFrame, buckets: Grid) -> DataFrame:
+    """Sparse bars by bucket number."""
+    grain = buckets.grain
+    ticks = _ticks(trades)
+
     # (ts, seq) as one BIGINT keeps min_by/max_by in the codegen'd hash
     # aggregate; a struct key would sort every tick. The low bits hold seq, its
     # high bits (the era) are a grouping key, so no value range is assumed.
@@ -94,8 +116,7 @@ def _numbered_bars(trades: DataFrame, buckets: Grid) -> DataFrame:
     )
 
     if buckets.of_cell_from:
-        first_days = ticks.groupBy("symbol").agg(floor_to(F.min("ts"), DAY_MS).alias("origin"))
-        cells = cells.join(first_days, "symbol")
+        cells = cells.join(_first_days(ticks), "symbol")
         bucket = buckets.of_cell_from(F.col("cell"), F.col("origin"))
     else:
         bucket = buckets.of_cell(F.col("cell"))
@@ -119,6 +140,157 @@ def _numbered_bars(trades: DataFrame, buckets: Grid) -> DataFrame:
     )
 
 
+def _combined(rows: dict[str, np.ndarray], begin: np.ndarray) -> dict[str, np.ndarray]:
+    """One partial bar for each run of rows; ``begin`` holds each run's first row."""
+    size = np.diff(np.append(begin, len(rows["volume"])))
+    out = {c: rows[c][begin] for c in PARTIAL}
+    several = np.flatnonzero(size > 1)
+    if not len(several):
+        return out
+    inside = np.repeat(size > 1, size)
+    part, length = {c: rows[c][inside] for c in PARTIAL}, size[several]
+    low = np.cumsum(length) - length
+    for c, together in {"price_high": np.fmax, "price_low": np.fmin, "volume": np.add, "trade_count": np.add, "notional": np.add}.items():
+        out[c][several] = together.reduceat(part[c], low)
+    # The first and the last row with a price; of several at one (ts, seq) the one that came last.
+    run, priced, came = np.repeat(np.arange(len(several)), length), part["trade_count"] > 0, np.arange(np.sum(length))
+    first = np.lexsort((-came, part["first_seq"], part["first_ts"], ~priced, run))[low]
+    last = np.lexsort((came, part["last_seq"], part["last_ts"], priced, run))[low + length - 1]
+    for row, columns in ((first, ("first_ts", "first_seq", "price_open")), (last, ("last_ts", "last_seq", "price_close"))):
+        for c in columns:
+            out[c][several] = part[c][row]
+    return out
+
+
+def _unpacked(rows: pa.RecordBatch) -> dict[str, np.ndarray]:
+    """The columns of partial bars without what ``SAME`` leaves out; a missing price is NaN."""
+    found = {c: rows.column(c) for c in PARTIAL}
+    found["notional"] = pc.coalesce(found["notional"], pc.multiply(found["price_open"], found["volume"]))
+    found |= {c: pc.coalesce(found[c], found[of]) for c, of in SAME.items()}
+    return {c: v.to_numpy(zero_copy_only=False) for c, v in found.items()}
+
+
+def _packed(found: dict[str, np.ndarray]) -> dict[str, pa.Array]:
+    same = {c: found[c].view(np.int64) == found[of].view(np.int64) for c, of in SAME.items()}
+    same["notional"] = found["notional"].view(np.int64) == (found["price_open"] * found["volume"]).view(np.int64)
+    return {c: pa.array(v, mask=same.get(c)) for c, v in found.items()}
+
+
+def _codes(column: pa.Array) -> np.ndarray:
+    return column.dictionary_encode("encode").indices.to_numpy()
+
+
+def _one_batch(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
+def _put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial bars of as many trades of a task as fit, by symbol and bucket."""
+    held: list[pa.RecordBatch] = []
+
+    def put() -> pa.RecordBatch:
+        rows = _one_batch(held)
+        symbol, bucket = _codes(rows.column("symbol")), rows.column("bucket").to_numpy()
+        order = np.lexsort((bucket, symbol))
+        symbol, bucket = symbol[order], bucket[order]
+        begin = np.flatnonzero(np.concatenate([[True], (symbol[1:] != symbol[:-1]) | (bucket[1:] != bucket[:-1])]))
+        with np.errstate(all="ignore"):
+            found = _packed(_combined({c: v[order] for c, v in _unpacked(rows).items()}, begin))
+        columns = {"symbol": rows.column("symbol").take(pa.array(order[begin])), "bucket": pa.array(bucket[begin]), **found}
+        return pa.RecordBatch.from_arrays([columns[c] for c in rows.schema.names], schema=rows.schema)
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(x.num_rows for x in held) >= MOST_PARTIAL:
+            held[:] = [put()]
+            if held[0].num_rows > MOST_PARTIAL // 2:
+                yield held.pop()
+    if held:
+        yield put()
+
+
+def _partial_bars(trades: DataFrame, buckets: Grid) -> DataFrame:
+    """(symbol, bucket, partial bar): the trades put together within each task that reads them."""
+    ticks = _ticks(trades)
+    cell = floor_to(F.col("ts"), buckets.grain)
+    schema = T.StructType([
+        ticks.schema["symbol"],
+        *(T.StructField(c, T.LongType() if c in ("bucket", *COUNTS) else T.DoubleType()) for c in ("bucket", *PARTIAL)),
+    ])
+    priced = F.col("price").isNotNull()
+    # A trade is a partial bar, too.
+    told = {
+        "first_ts": F.col("ts"),
+        "first_seq": F.col("seq"),
+        "price_open": F.col("price"),
+        "volume": F.coalesce("qty", F.lit(0.0)),
+        "trade_count": F.when(priced, 1).otherwise(0),
+        "notional": F.when(~priced | F.col("qty").isNull(), 0.0),
+    }
+    single = ticks.select(
+        "symbol",
+        (cell if buckets.of_cell_from else buckets.of_cell(cell)).cast("bigint").alias("bucket"),
+        *[told.get(c, F.lit(None)).cast(schema[c].dataType).alias(c) for c in PARTIAL],
+    )
+    partial = single.mapInArrow(_put_together, schema)
+    if buckets.of_cell_from is None:
+        return partial
+    bucket = buckets.of_cell_from(F.col("bucket"), F.col("origin"))
+    return partial.join(_first_days(ticks), "symbol").select("symbol", bucket.alias("bucket"), *PARTIAL).mapInArrow(_put_together, schema)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of chunks in order, with one row for the partial bars of a bucket."""
+    keys = ("symbol", "chunk", "bucket", "kind")
+    held: list[pa.RecordBatch] = []
+
+    def bars(rows: pa.RecordBatch) -> pa.RecordBatch:
+        volume, notional = rows.column("volume").to_numpy(), rows.column("notional").to_numpy()
+        with np.errstate(all="ignore"):
+            vwap = np.where(volume != 0, notional / volume, np.nan)
+        # An opening row has no trades; what it tells of the VWAP stands in place of the notional.
+        vwap = np.where(rows.column("kind").to_numpy() == OPENING, notional, vwap)
+        columns = {c: rows.column(c) for c in (*keys, *PRICES, "volume", "trade_count")} | {"vwap": pa.array(vwap)}
+        names = [*keys, *FILLS, "volume", "trade_count"]
+        return pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = _one_batch([*held, batch.select([*keys, *PARTIAL])])
+        told = [_codes(rows.column("symbol")), *(rows.column(c).to_numpy() for c in keys[1:])]
+        begin = np.flatnonzero(np.append(True, np.any([x[1:] != x[:-1] for x in told], axis=0)))
+        with np.errstate(all="ignore"):
+            found = _combined(_unpacked(rows), begin)
+        columns = {c: rows.column(c).take(pa.array(begin)) for c in keys} | {c: pa.array(v) for c, v in found.items()}
+        rows = pa.RecordBatch.from_arrays([columns[c] for c in rows.schema.names], schema=rows.schema)
+        held[:] = [rows.slice(len(begin) - 1)]  # the last bucket may go on
+        if len(begin) > 1:
+            yield bars(rows.slice(0, len(begin) - 1))
+    for rows in held:
+        yield bars(rows)
+
+
+def _border_bars(batches: Iterator[pa.RecordBatch], step: int, width: int, tail: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Of the bars of chunks in order, those that ``_carries`` can need: the last ones of each zone."""
+    for rows in _merged(batches):
+        bucket, chunk = rows.column("bucket").to_numpy(), rows.column("chunk").to_numpy()
+        rows = rows.filter(pa.array(bucket // width == chunk))  # without those lent by the chunk before
+        if not rows.num_rows:
+            continue
+        bucket, symbol = rows.column("bucket").to_numpy(), _codes(rows.column("symbol"))
+        zone = bucket // width * 2 + (bucket % width >= width - tail * step)
+        begin = np.flatnonzero(np.append(True, (symbol[1:] != symbol[:-1]) | (zone[1:] != zone[:-1])))
+        at = np.arange(len(zone))
+        known = (rows.column("trade_count").to_numpy() > 0, ~np.isnan(rows.column("vwap").to_numpy()), at >= 0)
+        last = np.unique([np.maximum.reduceat(np.where(x, at, -1), begin) for x in known])
+        last = pa.array(last[last >= 0])
+        found = {c: rows.column(c).take(last) for c in rows.schema.names if c in names} | {"zone": pa.array(zone).take(last)}
+        found |= {c: pa.array(found[c].to_numpy(), from_pandas=True) for c in FILLS}
+        yield pa.RecordBatch.from_arrays([found[c] for c in names], names=names)
+
+
 def _carries(sparse: DataFrame, step: int, chunk_bars: int, halo: int) -> DataFrame:
     """Rows that tell a chunk what was known before it and where it ends.
 
@@ -170,42 +342,49 @@ def _carries(sparse: DataFrame, step: int, chunk_bars: int, halo: int) -> DataFr
 
 
 def _chunk_rows(trades: DataFrame, buckets: Grid, halo: int, chunk_bars: int) -> DataFrame:
-    """(symbol, chunk, bucket, kind, fills, volume, trade_count): the rows that tell each chunk, in its order.
+    """(symbol, chunk, bucket, kind, partial bar): the rows that tell each chunk, in its order.
 
     A chunk gets its bars, those of the ``halo`` points before it, and rows that tell
     what was known before and where it ends.
     """
     step = buckets.step
     width = step * chunk_bars
-    into_chunk = F.pmod(F.col("bucket"), F.lit(width))
-    tail = into_chunk >= (chunk_bars - halo) * step
-    sparse = _numbered_bars(trades, buckets).select(
-        "symbol",
-        "bucket",
-        *PRICES,
-        "volume",
-        "trade_count",
-        nan_to_null(F.col("notional") / F.nullif(F.col("volume"), F.lit(0.0))).alias("vwap"),
-        (slot_of(F.col("bucket"), width) * 2 + F.when(tail, 1).otherwise(0)).alias("zone"),
+    bucket = F.col("bucket")
+    own_chunk = slot_of(bucket, width)
+    in_tail = F.pmod(bucket, F.lit(width)) >= (chunk_bars - halo) * step
+    # The only exchange of all bars; both uses below read all of its columns, so that it is made once.
+    partial = (
+        _partial_bars(trades, buckets)
+        .withColumn("chunk", F.explode(F.when(in_tail, F.array(own_chunk, own_chunk + 1)).otherwise(F.array(own_chunk))))
+        .repartition("symbol", "chunk")
+        .withColumn("kind", F.lit(BAR))
     )
-
-    own_chunk = F.shiftright(F.col("zone"), 1)
-    in_tail = F.pmod(F.col("zone"), F.lit(2)) == 1
-    spread = sparse.withColumn(
-        "chunk", F.explode(F.when(in_tail, F.array(own_chunk, own_chunk + 1)).otherwise(F.array(own_chunk)))
-    ).drop("zone")
-    rows = spread.withColumn("kind", F.lit(BAR)).unionByName(
-        _carries(sparse, step, chunk_bars, halo), allowMissingColumns=True
+    names = ["symbol", "bucket", "zone", *FILLS, "trade_count"]
+    schema = T.StructType([
+        partial.schema["symbol"],
+        *(T.StructField(c, T.DoubleType() if c in FILLS else T.LongType()) for c in names[1:]),
+    ])
+    border = partial.sortWithinPartitions("symbol", "chunk", "bucket").mapInArrow(
+        lambda batches: _border_bars(batches, step, width, halo, names), schema
+    )
+    empty = {c: F.lit(0 if c in COUNTS else 0.0 if c == "volume" else None) for c in PARTIAL}
+    # NaN and not NULL, which would stand for open * volume.
+    told = {c: F.col(c) for c in PRICES} | {"notional": F.coalesce("vwap", F.lit(float("nan")))}
+    carries = _carries(border, step, chunk_bars, halo)
+    # A row that shows nothing. Adaptive execution drops a side without rows, and would then
+    # merge partitions of the other. Gaps make the rows grow up to a thousand times below, so
+    # their size here must not decide how many tasks share them.
+    blank = trades.sparkSession.range(0, 1, 1, 1).select(
+        *[F.lit(None).alias(c) for c in ("symbol", *FILLS)], *[F.lit(0).alias(c) for c in ("chunk", "bucket")], F.lit(CLOSING).alias("kind")
     )
-    # A fixed number of partitions: gaps make these rows grow up to a thousand
-    # times below, so their size here must not decide how many tasks share them.
     tasks = int(trades.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ("symbol", "chunk", "bucket", "kind")
-    return (
-        rows.repartition(tasks, "symbol", "chunk")
-        .sortWithinPartitions(*order)
-        .select(*order, *FILLS, F.coalesce("volume", F.lit(0.0)).alias("volume"), F.coalesce("trade_count", F.lit(0).cast("bigint")).alias("trade_count"))
+    extra = carries.unionByName(blank).select(
+        "symbol", "chunk", "bucket", "kind", *[told.get(c, empty[c]).cast(partial.schema[c].dataType).alias(c) for c in PARTIAL]
     )
+    rows = partial.unionByName(extra.repartition(tasks, "symbol", "chunk"))
+    # Both sides are dealt as the window needs them, so it moves nothing; it makes sure of that, and sorts.
+    order = Window.partitionBy("symbol", "chunk").orderBy("bucket", "kind")
+    return rows.withColumn("place", F.row_number().over(order))
 
 
 def _last_known(values: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -318,7 +497,7 @@ def _bars_of_chunks(batches: Iterator[pa.RecordBatch], step: int, width: int, wi
         rows = pa.Table.from_batches(held).combine_chunks().to_batches()
         held.clear()
         for rows in rows[:1]:
-            symbol = rows.column("symbol").dictionary_encode("encode").indices.to_numpy()
+            symbol = _codes(rows.column("symbol"))
             chunk = rows.column("chunk").to_numpy()
             begin = np.flatnonzero(np.concatenate([[True], (symbol[1:] != symbol[:-1]) | (chunk[1:] != chunk[:-1])]))
             if not last:  # the last chunk may go on
@@ -376,5 +555,5 @@ def features(
     rows = _chunk_rows(trades, buckets, halo, chunk_bars)
     whole = ("bucket", "trade_count")
     schema = T.StructType([rows.schema["symbol"], *(T.StructField(c, T.LongType() if c in whole else T.DoubleType()) for c in names[1:])])
-    dense = rows.mapInArrow(lambda batches: _bars_of_chunks(batches, step, width, windows, ahead, names), schema)
+    dense = rows.mapInArrow(lambda batches: _bars_of_chunks(_merged(batches), step, width, windows, ahead, names), schema)
     return dense.select(F.timestamp_millis(buckets.label(F.col("bucket"))).alias("timestamp"), *values, "symbol")

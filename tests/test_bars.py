@@ -284,3 +284,88 @@ def test_dense_parts_do_not_show(monkeypatch):
     assert len(whole) > rows.num_rows
     monkeypatch.setattr(bars, "MOST_POINTS", 8)
     assert all(made(size) == whole for size in (1, 2, 7, 1000))
+
+
+def moved(df):
+    """Rows that each exchange of a collected frame has written."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif kind != "ReusedExchangeExec":
+            if kind == "ShuffleExchangeExec":
+                found.append(node.metrics().apply("shuffleRecordsWritten").value())
+            children = node.children()
+            todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+@pytest.mark.parametrize("rule", ["1min", "1D"])
+def test_bars_move_once(spark, rule):
+    """Trades are put together where they are read, however far apart their positions, and their bars move once."""
+    step = 60_000 if rule == "1min" else 86_400_000
+    rows = [(f"S{i % 3}", i << 50, 1704067200000 + step * (i // 6), 1.0 + i % 7, 1.0) for i in range(3000)]
+    df = bars.compute(spark.createDataFrame(rows, "symbol string, seq bigint, ts bigint, price double, qty double"), rule, (3,))
+    assert len(df.collect()) == 1500
+    written = sorted(moved(df))
+    assert 1500 <= written[-1] < 1600 and sum(written[:-1]) < 100
+
+
+def test_dense_tasks_do_not_depend_on_sizes(trades_of):
+    """With all bars in one stretch of time nothing is carried; few rows must still be shared by all tasks."""
+    df = bars.compute(trades_of([(BASE + 60_000 * i, 1.0 + i, 1.0, "buy", f"S{i % 50}") for i in range(200)]), "1min", (3,))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "AQEShuffleRead" not in plan[: plan.index("ShuffleQueryStage")]
+
+
+def test_partial_bars_in_any_order(monkeypatch):
+    """The same bars wherever a task's trades are cut, and however their partial bars meet."""
+    import pyarrow as pa
+
+    rng = random.Random(11)
+    schema = pa.schema([("symbol", pa.string()), ("bucket", pa.int64()), *((c, pa.int64() if c in bars.COUNTS else pa.float64()) for c in bars.PARTIAL)])
+    rows, want = [], {}
+    for i in range(400):
+        price = rng.choice([None, 0.0, math.inf] + [float(rng.randrange(1, 9))] * 9)
+        qty = rng.choice([None, 0.0, 1.0, 2.0, -2.0])
+        row = dict.fromkeys(schema.names) | {"symbol": rng.choice("AB"), "bucket": rng.randrange(9), "price_open": price, "volume": qty or 0.0}
+        row |= {"first_ts": rng.randrange(3), "first_seq": rng.choice([1, -1]) * (1 << 62) + i, "trade_count": int(price is not None)}
+        rows.append(row | {"notional": 0.0 if price is None or qty is None else None})
+    for row in sorted(rows, key=lambda r: (r["first_ts"], r["first_seq"])):
+        bar = want.setdefault((row["symbol"], row["bucket"]), {"prices": [], "volume": 0.0, "notional": 0.0})
+        bar["prices"] += [row["price_open"]] * row["trade_count"]
+        bar["volume"] += row["volume"]
+        bar["notional"] += row["price_open"] * row["volume"] if row["notional"] is None else 0.0
+
+    def put(tasks):
+        return pa.Table.from_batches([x for task in (tasks[::2], tasks[1::2]) for x in bars._put_together(iter(task))])
+
+    for most, size in ((1 << 18, 200), (1 << 18, 7), (40, 10), (2, 1)):
+        monkeypatch.setattr(bars, "MOST_PARTIAL", most)
+        rng.shuffle(rows)
+        partial = put([pa.RecordBatch.from_pylist(rows[a : a + size], schema) for a in range(0, len(rows), size)])
+        assert most < 400 or partial.num_rows <= 2 * len(want)
+        kinds = {c: pa.array([v] * partial.num_rows, t) for c, v, t in (("chunk", 0, pa.int64()), ("kind", bars.BAR, pa.int32()))}
+        for c, v in kinds.items():
+            partial = partial.append_column(c, v)
+        ordered = partial.sort_by([("symbol", "ascending"), ("bucket", "ascending")]).to_batches(size)
+        got = {(r["symbol"], r["bucket"]): r for r in pa.Table.from_batches(bars._merged(iter(ordered))).to_pylist()}
+        assert got.keys() == want.keys()
+        for key, bar in want.items():
+            known, volume = bar["prices"] or [math.nan], bar["volume"]
+            named = zip(bars.PRICES, (known[0], max(known), min(known), known[-1]), strict=True)
+            for c, v in (*named, ("volume", volume), ("trade_count", len(bar["prices"])), ("vwap", bar["notional"] / volume if volume else math.nan)):
+                np.testing.assert_allclose(got[key][c], v, err_msg=f"{key} {c}")
+
+
+def test_wide_positions_keep_their_order_in_dense_bars(spark):
+    day = 1704067200000
+    rows = [("S", (1 << 61) + 5, day, 3.0, 1.0), ("S", 2, day, 1.0, 1.0), ("S", 1 << 50, day, 2.0, 1.0), ("S", -7, day, 4.0, 1.0)]
+    df = spark.createDataFrame(rows, "symbol string, seq bigint, ts bigint, price double, qty double").repartition(3)
+    bar = bars.compute(df, "1min", (2,)).first()
+    assert (bar["price_open"], bar["price_close"], bar["price_high"], bar["trade_count"]) == (4.0, 3.0, 4.0, 4)
